@@ -3,13 +3,11 @@
 from pyspark.sql import functions as F
 
 from ..operators.extract import (
-    dispatch, extract, extract_all, failures_of, products_of, profile_table, rejected,
-    zero_link_pages,
+    dispatch, extract, extract_all, extract_feed, extract_products, failures_of, profile_table,
+    rejected, zero_link_pages,
 )
 from ..functions.urls import host
 from ..plans.crawl import crawl_round
-from ..profiles.browser import feed_detail
-from ..operators.html import strip_noise
 from ..schema import PRODUCT_COLUMNS, PRODUCT_DEFAULTS
 from .catalog import query
 from .views import SHOPS, product_pages
@@ -140,15 +138,16 @@ from product_pages where shop = 8""")
 def _feed(spark, sf_dir):
     """Title, sale price and link come from the listing, the rest from the page."""
     pages = pages_of(spark, sf_dir, "feedshop")
-    return pages.withColumn("_page", strip_noise(F.col("html"))).select(*feed_detail(
-        F.col("_page"), F.col("p_name"), (F.col("p_size") * 10).cast("string"), F.col("url")))
+    return extract_feed(pages.select(
+        "url", "html", F.col("p_name").alias("title"),
+        (F.col("p_size") * 10).cast("string").alias("sale_price")))
 
 
 @query("catalogue", ("product_pages",),
        "\nunion all\n".join(product_sql(shop, fields) for shop, fields in EXPECTED.items()))
 def _catalogue(spark, sf_dir):
     """Products of all shops in one pass over the pages."""
-    return products_of(extract_all(dispatch(product_pages(spark, sf_dir))))
+    return extract_products(dispatch(product_pages(spark, sf_dir)))
 
 
 # The listing shop is mapped to a profile here, the feed shop to none.

@@ -5,6 +5,8 @@ The text is valid in Spark SQL and in DuckDB, so a query and its check read the
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import new_folder
+
 _ITEM = "(p_partkey - p_partkey % 4 + least(p_partkey % 4, 2))"
 
 VIEWS: dict[str, str] = {}
@@ -165,7 +167,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view, built from evenly spread part rows."""
-    spread(table(spark, sf_dir, "part")).createOrReplaceTempView("_spread_part")
-    return spark.sql(VIEWS["product_pages"].replace("from part", "from _spread_part"))
+    """The pages as a crawler would have left them: a table of files, landed once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        spread(table(spark, sf_dir, "part")).createOrReplaceTempView("_spread_part")
+        folder = new_folder(spark, "pages")
+        spark.sql(VIEWS["product_pages"].replace("from part", "from _spread_part")
+                  ).write.parquet(folder)
+        _LANDED[key] = folder
+    return spark.read.parquet(_LANDED[key])

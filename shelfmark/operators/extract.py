@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 from ..functions.text import blank, lower_hyphen
 from ..functions.urls import host, is_ignored_link, url_join
-from ..profiles import Page, Profile, get_profile, profile_names
+from ..profiles import Found, Page, Profile, get_profile, profile_names
+from ..profiles.browser import feed_readings, feed_row
 from . import html as H
 from .links import explode_links
 
@@ -14,8 +15,8 @@ NOT_A_PRODUCT = "Parser returned None"
 NO_PROFILE = "No parser found"
 
 
-def _page(df_seller: Column, base: Column) -> Page:
-    return Page(F.col("url"), F.col("_page"), df_seller, base)
+def _page(seller: Column, base: Column) -> Page:
+    return Page(F.col("url"), F.col("_page"), seller, base)
 
 
 def _readable(pages: DataFrame) -> DataFrame:
@@ -23,15 +24,40 @@ def _readable(pages: DataFrame) -> DataFrame:
     return pages.withColumn("_page", H.strip_noise(F.col("html")))
 
 
+def _layers(pages: DataFrame, profiles: list[Profile], choose, page: Page) -> DataFrame:
+    """Adds ``product``, one projection per layer.
+
+    ``choose`` maps one column per profile to the column for a row, by the row's profile.
+    """
+    blocks = F.transform(choose([p.rest_of_blocks(page) for p in profiles]),
+                         lambda rest: H.inner_of_rest(rest))
+    read = [p.read(page, F.col("_blocks")) for p in profiles]
+    cleaned = F.transform(choose([F.array(*r.values()) for r in read]), lambda s: H.clean(s))
+    found = [Found(list(r), F.col("_found")) for r in read]
+    return (pages.withColumn("_blocks", blocks)
+            .withColumn("_found", cleaned)
+            .withColumn("product", choose(
+                [p.product(page, f) for p, f in zip(profiles, found)])))
+
+
 def extract(pages: DataFrame, profile: Profile | str, seller_name: str, base_url: str,
             keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Product rows of one seller's pages; other pages are left out."""
     profile = get_profile(profile) if isinstance(profile, str) else profile
     page = _page(F.lit(seller_name), F.lit(base_url))
-    found = _readable(pages).filter(profile.is_product(page))
-    return found.select(*[c for c in keep if c in pages.columns],
-                        profile.product(page).alias("p")).select(
-        *[c for c in keep if c in pages.columns], "p.*")
+    kept = [c for c in keep if c in pages.columns]
+    found = _readable(pages.select(*kept, "url", "html")).filter(profile.is_product(page))
+    return _layers(found, [profile], lambda columns: columns[0], page).select(*kept, "product.*")
+
+
+def extract_feed(pages: DataFrame) -> DataFrame:
+    """Vendor feed rows from detail pages; ``pages`` also has the listing's columns
+    ``title`` and ``sale_price``."""
+    names = list(feed_readings(F.lit("")))
+    read = F.array(*feed_readings(F.col("_page")).values())
+    found = _readable(pages).withColumn("_found", F.transform(read, lambda s: H.clean(s)))
+    return found.select(*feed_row(F.col("title"), F.col("sale_price"), F.col("url"),
+                                  Found(names, F.col("_found"))))
 
 
 def rejected(pages: DataFrame, profile: Profile | str) -> DataFrame:
@@ -73,8 +99,16 @@ def dispatch(pages: DataFrame, domains: DataFrame | None = None) -> DataFrame:
     return located.join(domains, "domain", "left")
 
 
-def _by_profile(names: list[str], value) -> Column:
-    return F.coalesce(*[F.when(F.col("profile") == n, value(get_profile(n))) for n in names])
+def _by_profile(profiles: list[Profile]):
+    def choose(columns: list[Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("profile") == p.name, c)
+                            for p, c in zip(profiles, columns)])
+    return choose
+
+
+def _dispatched_page() -> Page:
+    return _page(F.coalesce(F.col("profile"), F.lit("")),
+                 F.concat(F.lit("https://"), F.col("domain")))
 
 
 def extract_all(dispatched: DataFrame, names: list[str] | None = None,
@@ -83,20 +117,33 @@ def extract_all(dispatched: DataFrame, names: list[str] | None = None,
 
     Each row runs the rules of its own profile only.
     """
-    names = names or profile_names()
-    seller = F.coalesce(F.col("profile"), F.lit(""))
-    page = _page(seller, F.concat(F.lit("https://"), F.col("domain")))
+    profiles = [get_profile(n) for n in names or profile_names()]
+    choose = _by_profile(profiles)
+    page = _dispatched_page()
     kept = [c for c in keep if c in dispatched.columns]
-    judged = _readable(dispatched).withColumn(
-        "_is_product", _by_profile(names, lambda p: p.is_product(page)))
-    return judged.select(
+    judged = _readable(dispatched.select(*kept, "url", "html", "domain", "profile")).withColumn(
+        "_is_product", choose([p.is_product(page) for p in profiles]))
+    # Pages that are no products have no text to read.
+    judged = judged.withColumn("_page", F.when(F.col("_is_product"), F.col("_page")))
+    return _layers(judged, profiles, choose, page).select(
         *kept, "url", "profile",
-        F.when(F.col("_is_product"), _by_profile(names, lambda p: p.product(page))
-               ).alias("product"),
+        F.when(F.col("_is_product"), F.col("product")).alias("product"),
         F.when(F.col("_is_product").isNull(), F.lit(NO_PROFILE))
         .when(~F.col("_is_product"), F.lit(NOT_A_PRODUCT)).alias("reason"))
 
 
+def extract_products(dispatched: DataFrame, names: list[str] | None = None,
+                     keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+    """Products only. Other pages are dropped before any field is read."""
+    profiles = [get_profile(n) for n in names or profile_names()]
+    choose = _by_profile(profiles)
+    page = _dispatched_page()
+    kept = [c for c in keep if c in dispatched.columns]
+    found = _readable(dispatched.select(*kept, "url", "html", "domain", "profile")).filter(
+        choose([p.is_product(page) for p in profiles]))
+    return _layers(found, profiles, choose, page).select(*kept, "product.*")
+
+
 def products_of(outcomes: DataFrame, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     kept = [c for c in keep if c in outcomes.columns]
     return outcomes.filter(F.col("product").isNotNull()).select(*kept, "product.*")
@@ -113,7 +160,8 @@ def page_links(pages: DataFrame, profile: Profile | str, recurse: bool = True) -
         return (pages.filter(F.lit(False))
                 .select(F.col("url").alias("source_url"), F.lit("").alias("href")))
     page = _page(F.lit(""), F.lit(""))
-    links = explode_links(_readable(pages).filter(profile.is_listing(page)), profile.links(page))
+    links = explode_links(_readable(pages).filter(profile.is_listing(page)),
+                          H.clean(profile.links(page)))
     return links.filter(~is_ignored_link(F.col("href"))) if profile.drops_ignored_links else links
 
 
@@ -122,9 +170,13 @@ def followed_urls(links: DataFrame) -> DataFrame:
     return links.withColumn("url", url_join(F.col("source_url"), F.col("href")))
 
 
+def _anchors() -> Column:
+    return H.attrs(F.col("_page"), H.tag("a", read="href"))
+
+
 def all_anchors(pages: DataFrame) -> DataFrame:
     """``(source_url, href)`` of every anchor, each href once per page."""
-    return explode_links(_readable(pages), H.attrs(F.col("_page"), H.tag("a"), "href"))
+    return explode_links(_readable(pages), H.clean(_anchors()))
 
 
 def zero_link_pages(pages: DataFrame, profile: Profile | str) -> DataFrame:
@@ -134,8 +186,7 @@ def zero_link_pages(pages: DataFrame, profile: Profile | str) -> DataFrame:
     """
     profile = get_profile(profile) if isinstance(profile, str) else profile
     page = _page(F.lit(""), F.lit(""))
-    hrefs = F.filter(H.attrs(F.col("_page"), H.tag("a"), "href"),
-                     lambda h: F.contains(h, F.lit("/product/")))
+    hrefs = F.filter(_anchors(), lambda h: F.contains(h, F.lit("/product/")))
     return (_readable(pages)
             .filter(~F.coalesce(profile.is_product(page), F.lit(False)) & (F.size(hrefs) == 0))
             .drop("_page"))

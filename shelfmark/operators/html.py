@@ -1,8 +1,12 @@
-"""Reading fields out of HTML with built-in regular expressions.
+"""Reading HTML with built-in regular expressions, in layers.
 
-Element patterns are built by ``tag``; the functions below apply them to a text column.
-All repetitions are character classes or possessive groups, which the JVM runs in a loop:
-a hostile page of any length can neither overflow the stack nor backtrack exponentially.
+A profile first cuts blocks out of a page, then reads raw strings from page and blocks, always
+as arrays; ``clean`` decodes and strips all of them in one expression; only then come the
+rules. Column expressions are trees, so each layer is a column of its own: a layer is
+computed once per page, however many fields read it, and the plan stays small.
+
+All repetitions are character classes or possessive groups, which the JVM runs in a loop: a
+hostile page of any length can neither overflow the stack nor backtrack exponentially.
 """
 
 import re
@@ -14,29 +18,40 @@ from ..functions.text import strip
 
 _NOISE = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"
 _TAGS = r"<[^>]*>"
+_LEAF = r"<([a-zA-Z][a-zA-Z0-9]*+)\b[^>]*+>[^<]*+</\1\s*+>"
 # Leaf children in front of an element's own text, then that text.
-_OWN_TEXT = r"(?:<([a-zA-Z][a-zA-Z0-9]*+)\b[^>]*+>[^<]*+</\1\s*+>)*+([^<]*+)"
+_OWN_TEXT = rf"(?:{_LEAF})*+([^<]*+)"
+_VALUE = r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+_QUOTES = "\"'"
 
 # Named character references decoded in text; `&amp;` must stay last.
 NAMED_ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
     "&copy;": "©", "&reg;": "®", "&trade;": "™", "&middot;": "·", "&bull;": "•",
     "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“",
     "&rdquo;": "”", "&hellip;": "…", "&times;": "×", "&deg;": "°", "&laquo;": "«",
     "&raquo;": "»", "&euro;": "€", "&pound;": "£", "&amp;": "&",
 }
 
+# Elements that always have a closing tag and give a page its structure.
+STRUCTURE = ["div", "section", "article", "header", "footer", "main", "nav", "aside",
+             "form", "ul", "ol", "table", "figure"]
+
 
-def tag(name: str, cls: str | None = None, **attrs: str) -> str:
-    """Pattern of an opening tag.
+# ── patterns ─────────────────────────────────────────────────────────────────
+
+
+def tag(name: str, cls: str | None = None, read: str | None = None, **attrs: str) -> str:
+    """Pattern of an opening tag; ``*`` as name is any element.
 
     ``cls`` is one class among several. Other attributes compare by value; a value may
     start with ``*`` for "contains". Use ``class_`` for the whole class attribute and
-    ``__`` for a hyphen in an attribute name.
+    ``__`` for a hyphen in an attribute name. ``read`` captures an attribute's value.
     """
     looks = ""
     if cls:
-        looks += rf"(?=[^>]*\s(?i:class)\s*=\s*[\"'](?:[^\"'>]*\s)?{re.escape(cls)}(?:\s[^\"'>]*)?[\"'])"
+        looks += (rf"(?=[^>]*\s(?i:class)\s*=\s*[\"'](?:[^\"'>]*\s)?{re.escape(cls)}"
+                  r"(?:\s[^\"'>]*)?[\"'])")
     for key, value in attrs.items():
         attr = re.escape(key.rstrip("_").replace("__", "-"))
         if value.startswith("*"):
@@ -44,9 +59,17 @@ def tag(name: str, cls: str | None = None, **attrs: str) -> str:
         else:
             body = rf"[\"']?{re.escape(value)}(?:[\"'\s>])"
         looks += rf"(?=[^>]*\s(?i:{attr})\s*=\s*{body})"
-    # "*" stands for any element name.
     element = "[a-zA-Z][a-zA-Z0-9-]*+" if name == "*" else f"(?i:{name})"
-    return rf"<{element}(?=[\s>/]){looks}[^>]*+>"
+    start = rf"<{element}(?=[\s>/]){looks}"
+    return rf"{start}[^>]*?\s(?i:{re.escape(read)}){_VALUE}[^>]*+>" if read else rf"{start}[^>]*+>"
+
+
+def _content(name: str) -> str:
+    """Everything up to the next closing tag of an element."""
+    return rf"((?:[^<]++|<(?!/(?i:{name})[\s>]))*+)"
+
+
+# ── the page ─────────────────────────────────────────────────────────────────
 
 
 def strip_noise(html: Column) -> Column:
@@ -54,27 +77,6 @@ def strip_noise(html: Column) -> Column:
     return F.regexp_replace(html, _NOISE, "")
 
 
-def unescape(c: Column) -> Column:
-    """Decodes character references."""
-    def numeric(text: Column, found: Column, digits: Column) -> Column:
-        valid = F.coalesce(digits, F.lit(0)).between(1, 0xD7FF) | digits.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(digits), 8, "0")), "UTF-32")
-        return F.when(valid, F.replace(text, found, char)).otherwise(text)
-
-    decimal = F.aggregate(
-        F.array_distinct(F.regexp_extract_all(c, F.lit("(&#[0-9]{1,7};)"), F.lit(1))), c,
-        lambda text, ref: numeric(text, ref, F.regexp_extract(ref, "([0-9]+)", 1).cast("bigint")))
-    either = F.aggregate(
-        F.array_distinct(F.regexp_extract_all(c, F.lit("(&#[xX][0-9a-fA-F]{1,6};)"), F.lit(1))),
-        decimal,
-        lambda text, ref: numeric(
-            text, ref, F.conv(F.regexp_extract(ref, "([0-9a-fA-F]+);", 1), 16, 10).cast("bigint")))
-    text = F.when(F.contains(c, F.lit("&#")), either).otherwise(c)
-    for name, char in NAMED_ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), text).otherwise(c)
-
-
 def has(html: Column, pattern: str) -> Column:
     return F.rlike(html, F.lit(pattern))
 
@@ -83,130 +85,192 @@ def count(html: Column, pattern: str) -> Column:
     return F.regexp_count(html, F.lit(pattern))
 
 
-def own_text(html: Column, pattern: str) -> Column:
-    """Stripped own text of the first match, ``''`` when there is none."""
-    return strip(unescape(F.regexp_extract(html, pattern + _OWN_TEXT, 2)))
+# ── fragments: strings of HTML ───────────────────────────────────────────────
 
 
-def own_texts(html: Column, pattern: str, keep_blank: bool = True) -> Column:
-    """Stripped own texts of all matches, in page order."""
-    texts = F.transform(F.regexp_extract_all(html, F.lit(pattern + _OWN_TEXT), F.lit(2)),
-                        lambda t: strip(unescape(t)))
-    return texts if keep_blank else F.filter(texts, lambda t: t != "")
+def following(html: Column, pattern: str) -> Column:
+    """Everything after the first match."""
+    return F.regexp_extract(html, rf"{pattern}([\s\S]*)", 1)
 
 
-def _attribute_of(tag_text: Column, name: str) -> Column:
-    value = rf"\s(?i:{re.escape(name)})\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    return strip(unescape(F.concat(*[
-        F.coalesce(F.regexp_extract(tag_text, value, g), F.lit("")) for g in (1, 2, 3)])))
+def flats(html: Column, pattern: str, name: str) -> Column:
+    """Contents of all matches, for elements that do not hold one of their own name."""
+    return F.regexp_extract_all(html, F.lit(pattern + _content(name)), F.lit(1))
 
 
-def attr(html: Column, pattern: str, name: str) -> Column:
-    """Attribute of the first match, ``''`` when element or attribute is missing."""
-    return _attribute_of(F.regexp_extract(html, pattern, 0), name)
+def flat(html: Column, pattern: str, name: str) -> Column:
+    return F.regexp_extract(html, pattern + _content(name), 1)
 
 
-def attrs(html: Column, pattern: str, name: str) -> Column:
-    """Non-empty attribute values of all matches, in page order."""
-    values = F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)),
-                         lambda t: _attribute_of(t, name))
-    return F.filter(values, lambda v: v != "")
+def flat_all(html: Column, pattern: str, name: str) -> Column:
+    """``flats`` as one fragment."""
+    return F.array_join(flats(html, pattern, name), "<br>")
 
 
-def nth(values: Column, k: int) -> Column:
-    """Entry ``k`` (1-based, negative from the end), ``''`` when there is none."""
-    return F.coalesce(F.try_element_at(values, F.lit(k)), F.lit(""))
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def inner(html: Column, pattern: str, name: str) -> Column:
-    """Inner HTML of the first match of an element ``name``, up to its own closing tag.
+def inner_of_rest(rest: Column, name: str = "div") -> Column:
+    """Inner HTML of an element, given everything that follows its opening tag.
 
-    Cuts the rest of the page before each opening or closing tag of that name and walks the
-    nesting depth, so elements of the same name inside it are kept. An unclosed element runs
-    to the end of the page.
+    Cuts the text before each opening or closing tag of that name and walks the nesting
+    depth, so elements of the same name inside it are kept. An unclosed element runs to the
+    end of the page.
     """
-    rest = F.regexp_extract(html, rf"{pattern}([\s\S]*)", 1)
-    pieces = F.split(rest, rf"(?=</?(?i:{name})(?=[\s>/]))")
-    closing = rf"^</(?i:{name})[\s>]"
-    opening = rf"^<(?i:{name})[\s>]"
-    walked = F.aggregate(
-        pieces,
-        F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept")),
-        lambda at, piece: F.when(at["depth"] == 0, at).otherwise(F.struct(
-            (at["depth"]
-             + F.when(F.rlike(piece, F.lit(opening)), 1).otherwise(0)
-             - F.when(F.rlike(piece, F.lit(closing)), 1).otherwise(0)).alias("depth"),
-            (at["kept"] + F.when((at["depth"] == 1) & F.rlike(piece, F.lit(closing)), 0).otherwise(1)
-             ).alias("kept"))),
-    )
-    return F.array_join(F.slice(pieces, F.lit(1), walked["kept"]), "")
-
-
-def flat(html: Column, pattern: str, name: str) -> Column:
-    """As ``inner`` for elements that cannot hold one of their own name; much cheaper."""
-    return F.regexp_extract(html, rf"{pattern}((?:[^<]++|<(?!/(?i:{name})[\s>]))*+)", 1)
-
+    def step(at: Column, piece: Column) -> Column:
+        closes = F.startswith(piece, F.lit("</"))
+        opens = F.startswith(piece, F.lit("<")) & ~closes
+        depth = at["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        kept = at["kept"] + F.when(depth > 0, 1).otherwise(0)
+        return F.when(at["depth"] == 0, at).otherwise(
+            F.struct(depth.alias("depth"), kept.alias("kept")))
 
-def flat_all(html: Column, pattern: str, name: str) -> Column:
-    """The ``flat`` content of all matches, as one fragment."""
-    block = rf"{pattern}((?:[^<]++|<(?!/(?i:{name})[\s>]))*+)"
-    return F.array_join(F.regexp_extract_all(html, F.lit(block), F.lit(1)), " ")
+    # The first piece is the text in front of any such tag; the space keeps it from being
+    # taken for one.
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
+    pieces = F.split(F.concat(F.lit(" "), rest), rf"(?=</?(?i:{name})[\s>/])")
+    return _let(pieces, lambda p: F.array_join(
+        F.slice(p, F.lit(1), F.aggregate(p, start, step)["kept"]), ""))
 
 
-# Elements that always have a closing tag and give a page its structure.
-STRUCTURE = ["div", "section", "article", "header", "footer", "main", "nav", "aside",
-             "form", "ul", "ol", "table", "figure"]
+def inner(html: Column, pattern: str, name: str = "div") -> Column:
+    """Inner HTML of the first match of an element, up to its own closing tag."""
+    return inner_of_rest(following(html, pattern), name)
 
 
-def child(fragment: Column, name: str, k: int = 1) -> Column:
-    """Inner HTML of the ``k``-th ``name`` directly inside a fragment, ``''`` if absent.
+def piece_at(html: Column, path: list[tuple[str, int]]) -> Column:
+    """The text from an element's opening tag to the next structural tag.
 
-    Only structural elements count for nesting, so unclosed inline tags do no harm.
+    ``path`` lists (element, position among its siblings of that name) from the fragment
+    down. Only structural elements count for nesting, so unclosed inline tags do no harm.
     """
+    names = F.array(*[F.lit(name) for name, _ in path])
+    places = F.array(*[F.lit(k) for _, k in path])
     any_tag = "|".join(STRUCTURE)
-    pieces = F.split(fragment, rf"(?=</?(?i:{any_tag})(?=[\s>/]))")
-    opens = rf"^<(?i:{any_tag})[\s>/]"
-    closes = rf"^</(?i:{any_tag})[\s>]"
-    target = rf"^<(?i:{name})[\s>/]"
 
     def step(at: Column, piece: Column) -> Column:
-        opening = F.rlike(piece, F.lit(opens))
-        closing = F.rlike(piece, F.lit(closes))
-        hit = (at["depth"] == 0) & F.rlike(piece, F.lit(target))
-        seen = at["seen"] + F.when(hit, 1).otherwise(0)
-        depth = at["depth"] + F.when(opening, 1).otherwise(0) - F.when(closing, 1).otherwise(0)
-        begin = F.when(hit & (seen == k), at["i"]).otherwise(at["begin"])
-        end = F.when((at["begin"] > 0) & (at["end"] == 0) & closing & (depth == 0), at["i"]
-                     ).otherwise(at["end"])
-        return F.struct((at["i"] + 1).alias("i"), depth.alias("depth"), seen.alias("seen"),
-                        begin.alias("begin"), end.alias("end"))
+        closes = F.startswith(piece, F.lit("</"))
+        opens = F.startswith(piece, F.lit("<")) & ~closes
+        name = F.lower(F.regexp_extract(piece, "^<([a-zA-Z]+)", 1))
+        live = at["found"] == 0
+        wanted = opens & live & (at["depth"] == at["matched"]) & (
+            name == F.get(names, at["matched"]))
+        hit = wanted & (at["seen"] + 1 == F.get(places, at["matched"]))
+        # Leaving a matched element ends the search: its position occurs once.
+        left = closes & (at["depth"] - 1 < at["matched"])
+        return F.struct(
+            (at["i"] + 1).alias("i"),
+            (at["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).alias("depth"),
+            F.when(hit, at["matched"] + 1).when(left & live, -9).otherwise(at["matched"]
+                                                                    ).alias("matched"),
+            F.when(hit, 0).when(wanted, at["seen"] + 1).otherwise(at["seen"]).alias("seen"),
+            F.when(hit & (at["matched"] + 1 == len(path)), at["i"]).otherwise(at["found"]
+                                                                            ).alias("found"))
 
-    zero = F.struct(F.lit(1).alias("i"), *[F.lit(0).alias(n)
-                                           for n in ("depth", "seen", "begin", "end")])
-    at = F.aggregate(pieces, zero, step)
-    stop = F.when(at["end"] > 0, at["end"]).otherwise(at["i"])
-    found = F.array_join(F.slice(pieces, at["begin"], stop - at["begin"]), "")
-    return F.when(at["begin"] > 0, F.regexp_replace(found, r"^<[^>]*>", "")).otherwise("")
+    start = F.struct(F.lit(1).alias("i"), *[F.lit(0).alias(n)
+                                            for n in ("depth", "matched", "seen", "found")])
+    pieces = F.split(F.concat(F.lit(" "), html), rf"(?=</?(?i:{any_tag})[\s>/])")
+    return _let(pieces, lambda p: F.coalesce(
+        F.try_element_at(p, F.nullif(F.aggregate(p, start, step)["found"], F.lit(0))), F.lit("")))
 
 
-def own_texts_joined(fragment: Column, sep: str = "") -> Column:
-    """As ``texts_joined``, without the text of child elements."""
-    leaf = r"<([a-zA-Z][a-zA-Z0-9]*+)\b[^>]*+>[^<]*+</\1\s*+>"
-    return texts_joined(F.regexp_replace(fragment, leaf, "<br>"), sep)
+# ── readings: arrays of raw strings ──────────────────────────────────────────
 
 
-def texts_joined(fragment: Column, sep: str = "") -> Column:
-    """All non-blank text nodes of a fragment, stripped and joined."""
-    nodes = F.transform(F.split(fragment, _TAGS), lambda t: strip(unescape(t)))
-    return F.array_join(F.filter(nodes, lambda t: t != ""), sep)
+def text(html: Column, pattern: str) -> Column:
+    """Own text of the first match."""
+    return F.array(F.regexp_extract(html, pattern + _OWN_TEXT, 2))
 
 
-def visible_text(fragment: Column) -> Column:
-    """Text of a fragment as a browser shows it on one line."""
-    plain = unescape(F.regexp_replace(fragment, _TAGS, ""))
-    return strip(F.regexp_replace(plain, r"\s+", " "))
+def texts(html: Column, pattern: str) -> Column:
+    """Own texts of all matches, in page order."""
+    return F.regexp_extract_all(html, F.lit(pattern + _OWN_TEXT), F.lit(2))
 
 
-def following(html: Column, pattern: str) -> Column:
-    """Everything after the first match."""
-    return F.regexp_extract(html, rf"{pattern}([\s\S]*)", 1)
+def _unquoted(value: Column) -> Column:
+    return F.btrim(value, F.lit(_QUOTES))
+
+
+def attr(html: Column, pattern: str) -> Column:
+    """First value the pattern reads."""
+    return F.array(_unquoted(F.regexp_extract(html, pattern, 1)))
+
+
+def attrs(html: Column, pattern: str) -> Column:
+    """All values the pattern reads, in page order."""
+    return F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), _unquoted)
+
+
+def tags(html: Column, pattern: str) -> Column:
+    """The opening tags themselves."""
+    return F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+
+
+def attr_of(tag_text: Column, name: str) -> Column:
+    """Attribute of one tag, ``''`` if absent. A string, not a reading."""
+    return _unquoted(F.regexp_extract(tag_text, rf"\s(?i:{re.escape(name)}){_VALUE}", 1))
+
+
+def nodes(fragment: Column) -> Column:
+    """All text nodes."""
+    return F.split(fragment, _TAGS)
+
+
+def own_nodes(fragment: Column) -> Column:
+    """Text nodes outside child elements."""
+    return F.split(F.regexp_replace(fragment, _LEAF, "<br>"), _TAGS)
+
+
+def plain(fragment: Column) -> Column:
+    """Text without tags."""
+    return F.array(F.regexp_replace(fragment, _TAGS, ""))
+
+
+# ── cleaning ─────────────────────────────────────────────────────────────────
+
+
+def unescape(c: Column) -> Column:
+    """Decodes character references."""
+    def decode(text_: Column, ref: Column) -> Column:
+        body = F.lower(F.regexp_extract(ref, "([0-9a-fA-FxX]+)", 1))
+        code = F.when(F.startswith(body, F.lit("x")),
+                      F.conv(F.substring(body, 2, 8), 16, 10).cast("bigint")
+                      ).otherwise(body.try_cast("bigint"))
+        return _let(code, lambda n: F.when(
+            n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
+            F.replace(text_, ref, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        ).otherwise(text_))
+
+    refs = F.regexp_extract_all(c, F.lit("(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)"), F.lit(1))
+    named = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(char).alias("char"))
+                      for name, char in NAMED_ENTITIES.items()])
+    return F.when(
+        F.contains(c, F.lit("&")),
+        F.aggregate(named, F.aggregate(F.array_distinct(refs), c, decode),
+                    lambda t, e: F.replace(t, e["name"], e["char"]))
+    ).otherwise(c)
+
+
+def clean(readings: Column) -> Column:
+    """Decodes and strips every string of an array."""
+    return F.transform(readings, lambda s: strip(unescape(s)))
+
+
+# ── what rules need ──────────────────────────────────────────────────────────
+
+
+def nth(values: Column, k: int) -> Column:
+    """Entry ``k`` (1-based, negative from the end), ``''`` when there is none."""
+    return F.coalesce(F.try_element_at(values, F.lit(k)), F.lit(""))
+
+
+def joined(values: Column, sep: str = "") -> Column:
+    """Non-blank entries joined."""
+    return F.array_join(F.filter(values, lambda v: v != ""), sep)
+
+
+def one_line(c: Column) -> Column:
+    """Runs of white space as one space, as a browser shows them."""
+    return F.regexp_replace(c, r"\s+", " ")

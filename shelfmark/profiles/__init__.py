@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.flags import active_flag
+from ..functions.text import slug_basic
 from ..operators import html as H
 from ..operators.derive import derived_fields
 from ..schema import PRODUCT_DEFAULTS, template_row
@@ -24,47 +26,72 @@ class Page:
     seller_name: Column
     base_url: Column
 
-    def text(self, pattern: str) -> Column:
-        return H.own_text(self.html, pattern)
+    def has(self, pattern: str) -> Column:
+        return H.has(self.html, pattern)
 
-    def texts(self, pattern: str) -> Column:
-        return H.own_texts(self.html, pattern)
 
-    def attr(self, pattern: str, name: str) -> Column:
-        return H.attr(self.html, pattern, name)
+class Found:
+    """Cleaned readings of a page, by name."""
 
-    def attrs(self, pattern: str, name: str) -> Column:
-        return H.attrs(self.html, pattern, name)
+    def __init__(self, names: list[str], column: Column):
+        self._at = {name: i for i, name in enumerate(names)}
+        self._column = column
 
-    def has(self, pattern: str) -> Column:
-        return H.has(self.html, pattern)
+    def all(self, name: str) -> Column:
+        return self._column[self._at[name]]
+
+    def filled(self, name: str) -> Column:
+        return F.filter(self.all(name), lambda v: v != "")
+
+    def one(self, name: str) -> Column:
+        return H.nth(self.all(name), 1)
+
+
+Columns = dict[str, Column]
 
 
 @dataclass(frozen=True)
 class Profile:
     name: str
     is_product: Callable[[Page], Column]
-    fields: Callable[[Page], dict[str, Column]]
-    # Array of hrefs to follow from a page; None for profiles that follow nothing.
+    # Raw strings read from the page and its blocks, as arrays.
+    readings: Callable[[Page, Columns], Columns]
+    # Product fields from the cleaned readings.
+    rules: Callable[[Page, Found], Columns]
+    # Opening-tag patterns of ``div`` elements whose inner HTML the readings need.
+    blocks: dict[str, str] = field(default_factory=dict)
+    # Hrefs to follow from a page; None for profiles that follow nothing.
     links: Callable[[Page], Column] | None = None
     # Links are followed only from pages that satisfy this.
-    is_listing: Callable[[Page], Column] = field(default=lambda page: F.lit(True))
+    is_listing: Callable[[Page], Column] = lambda page: F.lit(True)
     drops_ignored_links: bool = True
     # False for shops whose links are followed whatever the recurse option says.
     honours_recurse: bool = True
-    # Shops that resolve their links against the page before following.
+    # Names whose slug is the lower-case name with hyphens.
+    slugs: tuple[str, ...] = ()
+    # True if blank slugs and flags are filled from other fields afterwards.
     derives: bool = False
 
-    def product(self, page: Page) -> Column:
-        """The product row as a struct."""
-        read = {"seller_product_url": page.url, "seller_name": page.seller_name,
-                "base_url": page.base_url, **self.fields(page)}
-        if "product_name" in read:
-            read.setdefault("seller_product_name", read["product_name"])
+    def rest_of_blocks(self, page: Page) -> Column:
+        """What follows each block's opening tag, an array of strings."""
+        return F.array(*[H.following(page.html, pattern) for pattern in self.blocks.values()]
+                       ).cast("array<string>")
+
+    def read(self, page: Page, blocks: Column) -> Columns:
+        return self.readings(page, {name: blocks[i] for i, name in enumerate(self.blocks)})
+
+    def product(self, page: Page, found: Found) -> Column:
+        """The product row, a struct."""
+        row = {"seller_product_url": page.url, "seller_name": page.seller_name,
+               "base_url": page.base_url, **self.rules(page, found)}
+        row.setdefault("seller_product_name", row["product_name"])
+        for name in self.slugs:
+            row[f"{name}_slug"] = slug_basic(row[f"{name}_name"])
         if self.derives:
-            read.update(derived_fields(
-                lambda c: read.get(c, F.lit(PRODUCT_DEFAULTS.get(c, "")))))
-        return F.struct(*template_row(read))
+            row |= derived_fields(lambda c: row.get(c, F.lit(PRODUCT_DEFAULTS.get(c, ""))))
+        else:
+            row["is_active"] = active_flag(row["in_stock"])
+        return F.struct(*template_row(row))
 
 
 _PROFILES: dict[str, Profile] = {}

@@ -6,161 +6,202 @@ from pyspark.sql import functions as F
 from ..functions import flags, gallery, prices, text
 from ..operators import html as H
 from ..operators.html import tag
-from . import Page, Profile, register_profile
-from .sellers import _CRUMBS, _TITLE, _bdi_prices, _taka
+from . import Columns, Found, Page, Profile, register_profile
+from .sellers import GRID_LINK, PRODUCT_TAG, TITLE, bdi_prices, crumbs, taka
 
 
-def is_product_url(url: Column) -> Column:
-    return F.contains(url, F.lit("/product/")) & ~F.contains(url, F.lit("/product-category/"))
+def is_product_url(page: Page) -> Column:
+    return F.contains(page.url, F.lit("/product/")) & ~F.contains(
+        page.url, F.lit("/product-category/"))
 
 
-def _shown(page: Page, pattern: str, name: str) -> Column:
-    """Visible text of the first match."""
-    return H.visible_text(H.inner(page.html, pattern, name))
+# ── herlan ───────────────────────────────────────────────────────────────────
 
 
-def _taka_list(values: Column) -> Column:
-    return F.transform(values, _taka)
+_DETAILS = {"details": tag("div", class_="cg-accordion-item")}
 
 
-# ── herlan ───────────────────────────────────────────────────────────────────
+def _herlan_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
+    photo = rf"{tag('li', itemprop='associatedMedia')}\s*{tag('img', read='src')}"
+    return {
+        "name": H.text(html, TITLE),
+        "prices": bdi_prices(page),
+        "photos": H.attrs(html, photo),
+        "crumbs": crumbs(page),
+        "brand": H.text(html, PRODUCT_TAG),
+        "stock": H.text(html, rf"(?:{tag('p', class_='*stock')}|{tag('p')}(?=[^<]*In stock))"),
+        "details": H.plain(block["details"]),
+    }
 
 
-def _herlan(page: Page) -> dict[str, Column]:
-    bdi = _taka_list(_bdi_prices(page))
-    current, original = prices.pair_fallback(bdi)
-    photo = rf"{tag('li', itemprop='associatedMedia')}\s*{tag('img')}"
-    photos = H.attrs(page.html, photo, "src")
-    crumbs = H.own_texts(H.flat(page.html, _CRUMBS, "nav"), tag("a"))
-    stock = page.text(rf"(?:{tag('p', class_='*stock')}|{tag('p')}(?=[^<]*In stock))")
+def _herlan(page: Page, found: Found) -> Columns:
+    current, original = prices.pair_fallback(found.all("prices"))
+    photos = found.filled("photos")
     return {
-        "product_name": page.text(_TITLE),
-        "current_price": current,
-        "original_price": original,
-        "primary_image_url": gallery.gallery_primary(photos),
+        "product_name": found.one("name"),
+        "current_price": taka(current),
+        "original_price": taka(original),
+        "primary_image_url": H.nth(photos, 1),
         "image_urls": F.array_join(photos, ";"),
-        "category_name": H.nth(crumbs, -1),
-        "brand_name": page.text(rf"{tag('li', class_='*product-tag-item')}\s*{tag('a')}"),
-        "in_stock": flags.stock_flag(stock, "in stock", ignore_case=True),
-        "product_description": _shown(page, tag("div", class_="cg-accordion-item"), "div"),
+        "category_name": H.nth(found.all("crumbs"), -1),
+        "brand_name": found.one("brand"),
+        "in_stock": flags.stock_flag(found.one("stock"), "in stock", ignore_case=True),
+        "product_description": H.one_line(found.one("details")),
     }
 
 
 register_profile(Profile(
-    "herlan_browser", is_product=lambda page: is_product_url(page.url), fields=_herlan,
-    derives=True,
-    links=lambda page: page.attrs(
-        rf"{tag('div', class_='woocommerce-loop-product__title')}\s*{tag('a')}", "href"),
-    drops_ignored_links=False,
+    "herlan_browser", is_product=is_product_url, blocks=_DETAILS,
+    readings=_herlan_readings, rules=_herlan, derives=True, drops_ignored_links=False,
+    links=lambda page: H.attrs(page.html, GRID_LINK),
 ))
 
 
-def _herlan_with_reviews(page: Page) -> dict[str, Column]:
+def _reviews_readings(page: Page, block: Columns) -> Columns:
+    return {**_herlan_readings(page, block), "nodes": H.nodes(block["details"]),
+            "reviews": H.text(page.html, tag("span", cls="count"))}
+
+
+def _herlan_with_reviews(page: Page, found: Found) -> Columns:
     """The older rules: also a review count, and text nodes joined by a space."""
-    details = H.inner(page.html, tag("div", class_="cg-accordion-item"), "div")
     return {
-        **_herlan(page),
-        "product_description": H.texts_joined(details, " "),
-        "review_count": gallery.first_non_empty(page.text(tag("span", cls="count")), F.lit("0")),
+        **_herlan(page, found),
+        "product_description": H.joined(found.all("nodes"), " "),
+        "review_count": gallery.first_non_empty(found.one("reviews"), F.lit("0")),
     }
 
 
 register_profile(Profile(
-    "herlan_browser_reviews", is_product=lambda page: is_product_url(page.url),
-    fields=_herlan_with_reviews, derives=True, drops_ignored_links=False,
+    "herlan_browser_reviews", is_product=is_product_url, blocks=_DETAILS,
+    readings=_reviews_readings, rules=_herlan_with_reviews, derives=True,
+    drops_ignored_links=False,
 ))
 
 # ── ohsogo ───────────────────────────────────────────────────────────────────
 
+_SUMMARY = tag(
+    "div", class_="jdgm-rev-widg__summary-text jdgm-all-reviews__summary-text--verified")
+_ACCORDION = rf"(?={tag('div', cls='rte')}){tag('div', cls='accordion__content')}"
+
+
+def _ohsogo_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
+    boxes = H.flat_all(html, tag("price-money"), "price-money")
+    thumbs = H.flat(html, tag("thumbnail-slider"), "thumbnail-slider")
+    return {
+        "name": H.text(html, tag("h1", class_="product__heading h2")),
+        "prices": H.texts(boxes, tag("bdi")),
+        "thumbs": H.attrs(thumbs, tag("img", read="src")),
+        "rating": H.text(html, tag("span", class_="jdgm-rev-widg__summary-average")),
+        "summary": H.text(html, _SUMMARY),
+        "details": H.plain(block["details"]),
+    }
+
 
-def _ohsogo(page: Page) -> dict[str, Column]:
-    boxes = H.flat_all(page.html, tag("price-money"), "price-money")
-    shown = F.filter(H.own_texts(boxes, tag("bdi")), lambda p: p != "")
-    current, original = prices.pair_reversed(
-        F.transform(shown, lambda p: prices.without(p, "৳", ",")))
-    thumbs = H.attrs(H.flat(page.html, tag("thumbnail-slider"), "thumbnail-slider"),
-                     tag("img"), "src")
-    rating = page.text(tag("span", class_="jdgm-rev-widg__summary-average"))
-    summary = page.text(tag(
-        "div", class_="jdgm-rev-widg__summary-text jdgm-all-reviews__summary-text--verified"))
-    reviews = gallery.first_non_empty(summary, F.lit("0"))
+def _ohsogo(page: Page, found: Found) -> Columns:
+    current, original = prices.pair_reversed(found.filled("prices"))
+    summary = gallery.first_non_empty(found.one("summary"), F.lit("0"))
     return {
-        "product_name": page.text(tag("h1", class_="product__heading h2")),
-        "current_price": current,
-        "original_price": original,
-        "primary_image_url": gallery.gallery_primary(thumbs),
-        "image_urls": F.array_join(thumbs, ";"),
+        "product_name": found.one("name"),
+        "current_price": prices.without(current, "৳", ","),
+        "original_price": prices.without(original, "৳", ","),
+        "primary_image_url": H.nth(found.filled("thumbs"), 1),
+        "image_urls": H.joined(found.all("thumbs"), ";"),
         "in_stock": F.lit("Yes"),
-        "seller_rating": text.nth_token(rating, " ", 0),
-        "review_count": text.nth_token(reviews, " ", 2),
-        "product_description": _shown(
-            page, rf"(?={tag('div', cls='rte')}){tag('div', cls='accordion__content')}", "div"),
+        "seller_rating": text.nth_token(found.one("rating"), " ", 0),
+        "review_count": text.nth_token(summary, " ", 2),
+        "product_description": H.one_line(found.one("details")),
     }
 
 
 register_profile(Profile(
-    "ohsogo", is_product=lambda page: F.lit(True), fields=_ohsogo, derives=True,
-    links=lambda page: page.attrs(
-        rf"{tag('div', class_='card-product_title line-clamp')}\s*{tag('a')}", "href"),
-    drops_ignored_links=False,
+    "ohsogo", is_product=lambda page: F.lit(True), blocks={"details": _ACCORDION},
+    readings=_ohsogo_readings, rules=_ohsogo, derives=True, drops_ignored_links=False,
+    links=lambda page: H.attrs(
+        page.html, rf"{tag('div', class_='card-product_title line-clamp')}\s*{tag('a', read='href')}"),
 ))
 
 # ── themallbd ────────────────────────────────────────────────────────────────
 
+_SLIDE = r"<(?i:div)(?=[\s>/])(?=[^>]*\sdata-swiper-slide-index)[^>]*+>"
+_CARD = rf"{tag('a', read='href')}(?=\s*{tag('div', class_='image-container text-center')})"
+
+
+def _themallbd_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
+    return {
+        "name": H.plain(block["name"]),
+        "prices": H.texts(html, tag("span", class_="*fw-semibold")),
+        "brand": H.text(html, rf"{tag('div', class_='title fw-bold fs-5')}\s*{tag('a')}"),
+        "label": H.text(html, tag("span", class_="ms-1 m-fs-6 fs-6")),
+        "details": H.plain(H.flat(html, tag("ul", id="shortDesc"), "ul")),
+        "shown": H.tags(block["shown"], tag("img")),
+        "slides": H.tags(H.flat_all(html, _SLIDE, "div"), tag("img")),
+    }
+
 
-def _themallbd(page: Page) -> dict[str, Column]:
-    current, original = prices.triple(_taka_list(
-        page.texts(tag("span", class_="*fw-semibold"))))
-    label = page.text(tag("span", class_="ms-1 m-fs-6 fs-6"))
+def _image_sources(images: Column) -> Column:
+    """Address per image tag: the loaded one, or the one a lazy loader would take."""
+    return F.transform(images, lambda img: gallery.first_non_empty(
+        *[H.attr_of(img, a) for a in ("src", "data-src", "data-lazy")]))
 
-    def sources(fragment: Column) -> Column:
-        tags = F.regexp_extract_all(fragment, F.lit(tag("img")), F.lit(0))
-        return F.transform(tags, lambda t: gallery.first_non_empty(
-            *[H.attr(t, tag("img"), a) for a in ("src", "data-src", "data-lazy")]))
 
-    slide = r"<(?i:div)(?=[\s>/])(?=[^>]*\sdata-swiper-slide-index)[^>]*+>"
-    shown = sources(H.inner(page.html, tag("div", cls="swiper-slide-visible"), "div"))
+def _themallbd(page: Page, found: Found) -> Columns:
+    current, original = prices.triple(found.all("prices"))
     return {
-        "product_name": _shown(page, tag("div", class_="mt-2 title-full fs-6"), "div"),
-        "current_price": current,
-        "original_price": original,
-        "brand_name": page.text(rf"{tag('div', class_='title fw-bold fs-5')}\s*{tag('a')}"),
-        "in_stock": flags.stock_flag(label, "Add to Cart"),
-        "product_description": _shown(page, tag("ul", id="shortDesc"), "ul"),
-        "primary_image_url": gallery.gallery_primary(shown),
+        "product_name": H.one_line(found.one("name")),
+        "current_price": taka(current),
+        "original_price": taka(original),
+        "brand_name": found.one("brand"),
+        "in_stock": flags.stock_flag(found.one("label"), "Add to Cart"),
+        "product_description": H.one_line(found.one("details")),
+        "primary_image_url": H.nth(_image_sources(found.all("shown")), 1),
         "image_urls": gallery.gallery_join(
-            sources(H.flat_all(page.html, slide, "div")), ";", distinct=True),
+            _image_sources(found.all("slides")), ";", distinct=True),
     }
 
 
 register_profile(Profile(
-    "themallbd", is_product=lambda page: F.lit(True), fields=_themallbd, derives=True,
-    links=lambda page: page.attrs(
-        rf"{tag('a')}(?=\s*{tag('div', class_='image-container text-center')})", "href"),
-    drops_ignored_links=False,
+    "themallbd", is_product=lambda page: F.lit(True),
+    blocks={"name": tag("div", class_="mt-2 title-full fs-6"),
+            "shown": tag("div", cls="swiper-slide-visible")},
+    readings=_themallbd_readings,
+    rules=_themallbd, derives=True, drops_ignored_links=False,
+    links=lambda page: H.attrs(page.html, _CARD),
 ))
 
 # ── vendor feed detail pages ─────────────────────────────────────────────────
 
+_MRP = tag("div", class_="text-sm whitespace-nowrap text-gray-500 line-through "
+                         "product_single_mrp_generate")
+
+
+def feed_readings(html: Column) -> Columns:
+    return {
+        "mrp": H.text(html, _MRP),
+        "images": H.attrs(html, tag("img", alt="*Image", read="src")),
+        "cart": F.array(H.has(html, rf"{tag('span')}[^<]*Add To Cart").cast("string")),
+        "brand": H.text(html, tag("span", class_="text-sm text-brand")),
+        "details": H.plain(H.inner(html, tag("div", class_="mt-4"))),
+        "rating": H.text(html, tag("span", class_="text-gray-700")),
+        "reviews": H.text(html, tag("div", class_="text-sm text-gray-500")),
+    }
+
 
-def feed_detail(page_html: Column, title: Column, sale_price: Column, link: Column
-                ) -> list[Column]:
-    """The 11 feed columns: three come from the listing, the rest from the detail page."""
-    mrp = H.own_text(page_html, tag(
-        "div", class_="text-sm whitespace-nowrap text-gray-500 line-through product_single_mrp_generate"))
-    images = H.attrs(page_html, tag("img", alt="*Image"), "src")
-    rating = H.own_text(page_html, tag("span", class_="text-gray-700"))
-    reviews = H.own_text(page_html, tag("div", class_="text-sm text-gray-500"))
+def feed_row(title: Column, sale_price: Column, link: Column, found: Found) -> list[Column]:
+    """The 11 feed columns: three from the listing, the rest from the page."""
+    images = found.filled("images")
     return [
         title.alias("title"),
         sale_price.alias("sale_price"),
         link.alias("link"),
-        prices.mrp_or_sale(mrp, sale_price).alias("price"),
-        gallery.gallery_primary(images).alias("primary_image_url"),
-        gallery.gallery_join(images, "\n", distinct=True).alias("image_urls"),
-        H.has(page_html, rf"{tag('span')}[^<]*Add To Cart").alias("stock"),
-        H.own_text(page_html, tag("span", class_="text-sm text-brand")).alias("brand"),
-        H.visible_text(H.inner(page_html, tag("div", class_="mt-4"), "div")).alias("description"),
-        text.strip(text.nth_token(rating, "/", 0)).alias("rating"),
-        F.coalesce(text.first_word(reviews), F.lit("")).alias("reviews"),
+        prices.mrp_or_sale(found.one("mrp"), sale_price).alias("price"),
+        H.nth(images, 1).alias("primary_image_url"),
+        F.array_join(F.array_distinct(images), "\n").alias("image_urls"),
+        found.one("cart").cast("boolean").alias("stock"),
+        found.one("brand").alias("brand"),
+        H.one_line(found.one("details")).alias("description"),
+        text.nth_token(found.one("rating"), "/", 0).alias("rating"),
+        F.coalesce(text.first_word(found.one("reviews")), F.lit("")).alias("reviews"),
     ]

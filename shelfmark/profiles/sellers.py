@@ -3,34 +3,30 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import flags, gallery, prices, text, urls
+from ..functions import flags, gallery, prices, urls
 from ..operators import html as H
 from ..operators.html import tag
-from . import Page, Profile, register_profile
+from . import Columns, Found, Page, Profile, register_profile
 
-_TITLE = tag("h1", class_="product_title entry-title")
-_CRUMBS = tag("nav", class_="woocommerce-breadcrumb")
+TITLE = tag("h1", class_="product_title entry-title")
 
 
-def _taka(c: Column) -> Column:
+def taka(c: Column) -> Column:
     return prices.clean_price(c, "৳")
 
 
-def _bdi_prices(page: Page) -> Column:
-    """Price texts in all ``p.price`` blocks of a page."""
-    return H.own_texts(H.flat_all(page.html, tag("p", class_="price"), "p"), tag("bdi"))
+def bdi_prices(page: Page) -> Column:
+    """Price texts in all price paragraphs."""
+    return H.texts(H.flat_all(page.html, tag("p", class_="price"), "p"), tag("bdi"))
 
 
-def _with_slug(name_field: str, slug_field: str, value: Column) -> dict[str, Column]:
-    return {name_field: value, slug_field: text.slug_basic(value)}
-
-
-def _status(in_stock: Column) -> dict[str, Column]:
-    return {"in_stock": in_stock, "is_active": flags.active_flag(in_stock)}
+def crumbs(page: Page) -> Column:
+    trail = H.flat(page.html, tag("nav", class_="woocommerce-breadcrumb"), "nav")
+    return H.texts(trail, tag("a"))
 
 
 def _hrefs(fragment: Column) -> Column:
-    return H.attrs(fragment, tag("a"), "href")
+    return H.attrs(fragment, tag("a", read="href"))
 
 
 def _both(*hrefs: Column) -> Column:
@@ -42,40 +38,52 @@ def _both(*hrefs: Column) -> Column:
 _RYANS_NAME = tag("h1", itemprop="name")
 
 
-def _ryans(page: Page) -> dict[str, Column]:
-    crumb_row = H.inner(H.following(page.html, tag("div", cls="card-body")),
-                        tag("div", cls="d-flex"), "div")
-    crumbs = H.own_texts(crumb_row, tag("a", itemtype="http://schema.org/Thing"))
-    category = F.when(F.size(crumbs) > 1, H.nth(crumbs, 2)).otherwise("")
-    brand = F.when(F.size(crumbs) > 2, H.nth(crumbs, -2)).otherwise("")
-    overview = H.inner(page.html, tag("div", cls="overview"), "div")
-    points = H.flat_all(H.flat(overview, tag("ul", cls="category-info"), "ul"), tag("li"), "li")
-    availability = page.attr(tag("link", itemprop="availability"), "href")
+def _ryans_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
+    points = H.flat(block["overview"], tag("ul", cls="category-info"), "ul")
     return {
-        **_with_slug("product_name", "product_slug", page.text(_RYANS_NAME)),
-        "seller_sku": H.own_text(
-            page.html, rf"{tag('p')}[^<]*Product Id[^<]*{tag('span')}"),
-        "current_price": prices.clean_price(page.text(tag("span", cls="new-sp-text")), "Tk"),
-        "original_price": prices.clean_price(page.text(tag("span", cls="new-reg-text")), "Tk"),
-        "primary_image_url": page.attr(tag("img", cls="slideshow-items"), "src"),
-        **_with_slug("category_name", "category_slug", category),
-        **_with_slug("brand_name", "brand_slug", brand),
-        "product_description": H.own_texts_joined(points),
-        "review_count": H.count(page.html, tag("div", cls="qna-body")).cast("string"),
-        **_status(flags.stock_flag(availability, "InStock")),
+        "name": H.text(html, _RYANS_NAME),
+        "sku": H.text(html, rf"{tag('p')}[^<]*Product Id[^<]*{tag('span')}"),
+        "current": H.text(html, tag("span", cls="new-sp-text")),
+        "original": H.text(html, tag("span", cls="new-reg-text")),
+        "image": H.attr(html, tag("img", cls="slideshow-items", read="src")),
+        "crumbs": H.texts(block["trail"], tag("a", itemtype="http://schema.org/Thing")),
+        "points": H.own_nodes(H.flat_all(points, tag("li"), "li")),
+        "reviews": F.array(H.count(html, tag("div", cls="qna-body")).cast("string")),
+        "availability": H.attr(html, tag("link", itemprop="availability", read="href")),
+    }
+
+
+def _ryans(page: Page, found: Found) -> Columns:
+    trail = found.all("crumbs")
+    return {
+        "product_name": found.one("name"),
+        "seller_sku": found.one("sku"),
+        "current_price": prices.clean_price(found.one("current"), "Tk"),
+        "original_price": prices.clean_price(found.one("original"), "Tk"),
+        "primary_image_url": found.one("image"),
+        "category_name": F.when(F.size(trail) > 1, H.nth(trail, 2)).otherwise(""),
+        "brand_name": F.when(F.size(trail) > 2, H.nth(trail, -2)).otherwise(""),
+        "product_description": H.joined(found.all("points")),
+        "review_count": found.one("reviews"),
+        "in_stock": flags.stock_flag(found.one("availability"), "InStock"),
     }
 
 
 def _ryans_links(page: Page) -> Column:
     products = _hrefs(H.flat_all(page.html, tag("h4", cls="product-name"), "h4"))
     pager = H.flat_all(page.html, tag("li", cls="page-item"), "li")
-    return _both(products, F.slice(H.attrs(pager, tag("a", rel="next"), "href"), 1, 1))
+    return _both(products, F.slice(H.attrs(pager, tag("a", rel="next", read="href")), 1, 1))
 
 
 register_profile(Profile(
     "ryans",
     is_product=lambda page: page.has(_RYANS_NAME) | page.has(tag("button", cls="details-cart-btn")),
-    fields=_ryans,
+    blocks={"trail": rf"{tag('div', cls='card-body')}[\s\S]*?{tag('div', cls='d-flex')}",
+            "overview": tag("div", cls="overview")},
+    readings=_ryans_readings,
+    rules=_ryans,
+    slugs=("product", "category", "brand"),
     links=_ryans_links,
     is_listing=lambda page: page.has(tag("div", cls="category-single-product")),
     drops_ignored_links=False,
@@ -84,40 +92,39 @@ register_profile(Profile(
 
 # ── startech ─────────────────────────────────────────────────────────────────
 
-
-def _startech_photo(page: Page) -> Column:
-    """The image at a fixed place: the path of (element, position) from the body down."""
-    at = H.following(page.html, tag("body"))
-    for k in (5, 1, 1, 2, 1, 1, 1):
-        at = H.child(at, "div", k)
-    return H.attr(F.regexp_extract(at, rf"{tag('a')}\s*{tag('img')}", 0), tag("img"), "src")
+# Where the photo and the category list stand, from the body down.
+_PHOTO_PATH = [("div", 5), ("div", 1), ("div", 1), ("div", 2), ("div", 1), ("div", 1), ("div", 1)]
+_CATEGORY_PATH = [("section", 1), ("div", 1), ("ul", 1)]
 
 
-def _startech_category(page: Page) -> Column:
-    """Second entry of the list in the page's first section."""
-    crumbs = H.child(H.child(H.child(
-        H.following(page.html, tag("body")), "section"), "div"), "ul")
-    items = F.regexp_extract_all(
-        crumbs, F.lit(tag("li") + r"((?:[^<]++|<(?!/(?i:li)[\s>]))*+)"), F.lit(1))
-    return H.own_text(H.nth(items, 2), rf"{tag('a')}[^<]*{tag('span')}")
+def _startech_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
+    body = H.following(html, tag("body"))
+    crumbs = H.flats(H.piece_at(body, _CATEGORY_PATH), tag("li"), "li")
+    price = H.flat(html, tag("td", cls="product-price"), "td")
+    return {
+        "name": H.text(html, tag("h1", cls="product-name")),
+        "image": H.attr(H.piece_at(body, _PHOTO_PATH), rf"{tag('a')}\s*{tag('img', read='src')}"),
+        "price": F.array(F.regexp_extract(price, r"^([^<]*)", 1)),
+        "reduced": H.text(price, tag("ins")),
+        "original": H.text(html, tag("td", cls="product-regular-price")),
+        "category": H.text(H.nth(crumbs, 2), rf"{tag('a')}[^<]*{tag('span')}"),
+        "reviews": H.text(H.following(html, tag("*", id="write-review")), tag("h2")),
+        "code": H.text(html, tag("*", cls="product-code")),
+        "status": H.text(html, tag("*", cls="product-status")),
+    }
 
 
-def _startech(page: Page) -> dict[str, Column]:
-    name = page.text(tag("h1", cls="product-name"))
-    price_cell = H.flat(page.html, tag("td", cls="product-price"), "td")
-    price = gallery.first_non_empty(
-        text.strip(F.regexp_extract(price_cell, r"^([^<]*)", 1)), H.own_text(price_cell, tag("ins")))
-    reviews = H.following(page.html, tag("*", id="write-review"))
-    in_stock = flags.stock_flag(page.text(tag("*", cls="product-status")), "In Stock")
+def _startech(page: Page, found: Found) -> Columns:
     return {
-        "product_name": name,
-        "primary_image_url": _startech_photo(page),
-        "current_price": _taka(price),
-        "original_price": _taka(page.text(tag("td", cls="product-regular-price"))),
-        "category_name": _startech_category(page),
-        "review_count": H.own_text(reviews, tag("h2")),
-        "seller_sku": page.text(tag("*", cls="product-code")),
-        **_status(in_stock),
+        "product_name": found.one("name"),
+        "primary_image_url": found.one("image"),
+        "current_price": taka(gallery.first_non_empty(found.one("price"), found.one("reduced"))),
+        "original_price": taka(found.one("original")),
+        "category_name": found.one("category"),
+        "review_count": found.one("reviews"),
+        "seller_sku": found.one("code"),
+        "in_stock": flags.stock_flag(found.one("status"), "In Stock"),
     }
 
 
@@ -125,7 +132,8 @@ register_profile(Profile(
     "startech",
     is_product=lambda page: F.contains(page.url, F.lit("product"))
     | page.has(tag("div", class_="*product-details")),
-    fields=_startech,
+    readings=_startech_readings,
+    rules=_startech,
     links=lambda page: _both(
         _hrefs(H.flat_all(page.html, tag("h4", cls="p-item-name"), "h4")),
         _hrefs(H.flat_all(page.html, tag("ul", cls="pagination"), "ul"))),
@@ -138,75 +146,97 @@ def _is_shop_product(page: Page) -> Column:
     return F.contains(page.url, F.lit("product")) & ~F.contains(page.url, F.lit("product-category"))
 
 
-def _crumbs(page: Page) -> Column:
-    return H.own_texts(H.flat(page.html, _CRUMBS, "nav"), tag("a"))
+def _pair(found: Found) -> Columns:
+    current, original = prices.pair_second(found.all("prices"))
+    return {"current_price": taka(current), "original_price": taka(original)}
 
 
-def _lira(page: Page) -> dict[str, Column]:
-    current, original = prices.pair_second(_bdi_prices(page))
+_ZOOM = tag("a", class_="woocommerce-main-image pswp-main-image zoom")
+
+
+def _lira_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
+    return {
+        "name": H.text(html, TITLE),
+        "image": H.attr(html, rf"{_ZOOM}\s*{tag('img', read='src')}"),
+        "prices": bdi_prices(page),
+        "crumbs": crumbs(page),
+        "brand": H.text(html, rf"{tag('span', class_='product_brand')}\s*{tag('a')}"),
+        "sku": H.text(html, tag("span", class_="sku")),
+        "description": H.nodes(block["description"]),
+    }
+
+
+def _lira(page: Page, found: Found) -> Columns:
     return {
-        **_with_slug("product_name", "product_slug", page.text(_TITLE)),
-        "primary_image_url": page.attr(
-            rf"{tag('a', class_='woocommerce-main-image pswp-main-image zoom')}\s*{tag('img')}",
-            "src"),
-        "current_price": _taka(current),
-        "original_price": _taka(original),
-        "category_name": H.nth(_crumbs(page), 3),
-        **_with_slug("brand_name", "brand_slug",
-                     page.text(rf"{tag('span', class_='product_brand')}\s*{tag('a')}")),
+        **_pair(found),
+        "product_name": found.one("name"),
+        "primary_image_url": found.one("image"),
+        "category_name": H.nth(found.all("crumbs"), 3),
+        "brand_name": found.one("brand"),
         "review_count": F.lit("0"),
         "in_stock": F.lit("Yes"),
-        "is_active": F.lit("1"),
-        "seller_sku": page.text(tag("span", class_="sku")),
-        "product_description": H.texts_joined(
-            H.inner(page.html, tag("div", aria__labelledby="tab-title-description"), "div")),
+        "seller_sku": found.one("sku"),
+        "product_description": H.joined(found.all("description")),
     }
 
 
 register_profile(Profile(
     "lira",
     is_product=_is_shop_product,
-    fields=_lira,
+    blocks={"description": tag("div", aria__labelledby="tab-title-description")},
+    readings=_lira_readings,
+    rules=_lira,
+    slugs=("product", "brand"),
     links=lambda page: _both(
         _hrefs(H.flat_all(page.html, tag("h2", cls="product-title"), "h2")),
-        page.attrs(tag("a", cls="woocommerce-LoopProduct-link"), "href"),
-        page.attrs(rf"(?={tag('a', cls='page-numbers')}){tag('a', cls='next')}", "href")),
+        H.attrs(page.html, tag("a", cls="woocommerce-LoopProduct-link", read="href")),
+        H.attrs(page.html, rf"(?={tag('a', cls='page-numbers')}){tag('a', cls='next', read='href')}")),
 ))
 
+PRODUCT_TAG = rf"{tag('li', class_='*product-tag-item')}\s*{tag('a')}"
+
+
+def _herlan_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
+    photos = H.flat_all(html, tag("li", itemprop="associatedMedia"), "li")
+    return {
+        "name": H.text(html, TITLE),
+        "images": H.attrs(photos, tag("img", read="src")),
+        "prices": bdi_prices(page),
+        "crumbs": crumbs(page),
+        "brand": H.text(html, PRODUCT_TAG),
+        "stock": H.text(html, rf"{tag('p')}(?=[^<]*In stock)"),
+        "description": H.nodes(block["description"]),
+    }
+
 
-def _herlan(page: Page) -> dict[str, Column]:
-    images = gallery.gallery_clean(_gallery_items(page))
-    current, original = prices.pair_second(_bdi_prices(page))
-    in_stock = flags.stock_flag(page.text(rf"{tag('p')}(?=[^<]*In stock)"), "In stock")
+def _herlan(page: Page, found: Found) -> Columns:
+    images = gallery.gallery_clean(found.all("images"))
     return {
-        **_with_slug("product_name", "product_slug", page.text(_TITLE)),
+        **_pair(found),
+        "product_name": found.one("name"),
         "primary_image_url": gallery.gallery_primary(images),
         "image_urls": F.array_join(images, ";"),
-        "current_price": _taka(current),
-        "original_price": _taka(original),
-        "category_name": H.nth(_crumbs(page), -1),
-        **_with_slug("brand_name", "brand_slug", page.text(
-            rf"{tag('li', class_='*product-tag-item')}\s*{tag('a')}")),
+        "category_name": H.nth(found.all("crumbs"), -1),
+        "brand_name": found.one("brand"),
         "review_count": F.lit("0"),
-        "product_description": H.texts_joined(
-            H.inner(page.html, tag("div", class_="cg-accordion-item"), "div")),
-        **_status(in_stock),
+        "product_description": H.joined(found.all("description")),
+        "in_stock": flags.stock_flag(found.one("stock"), "In stock"),
     }
 
 
-def _gallery_items(page: Page) -> Column:
-    """Image addresses inside all gallery list items."""
-    items = H.flat_all(page.html, tag("li", itemprop="associatedMedia"), "li")
-    return H.attrs(items, tag("img"), "src")
-
+GRID_LINK = rf"{tag('div', class_='woocommerce-loop-product__title')}\s*{tag('a', read='href')}"
 
 register_profile(Profile(
     "herlan",
     is_product=_is_shop_product,
-    fields=_herlan,
-    links=lambda page: _both(
-        page.attrs(rf"{tag('div', class_='woocommerce-loop-product__title')}\s*{tag('a')}", "href"),
-        page.attrs(tag("a", aria__label="Next"), "href")),
+    blocks={"description": tag("div", class_="cg-accordion-item")},
+    readings=_herlan_readings,
+    rules=_herlan,
+    slugs=("product", "brand"),
+    links=lambda page: _both(H.attrs(page.html, GRID_LINK),
+                             H.attrs(page.html, tag("a", aria__label="Next", read="href"))),
 ))
 
 # ── kireibd ──────────────────────────────────────────────────────────────────
@@ -214,42 +244,63 @@ register_profile(Profile(
 _POST = tag("div", cls="post-content")
 
 
-def _kireibd(page: Page) -> dict[str, Column]:
-    post = H.following(page.html, _POST)
-    price_box = H.inner(page.html, tag("div", cls="post-content__price"), "div")
-    brand_box = H.inner(page.html, tag("div", cls="post-content__brand"), "div")
-    brand_href = H.attr(brand_box, tag("a"), "href")
-    sku = F.regexp_extract(
-        brand_box, rf"{tag('strong')}(?=[^<]*Barcode)[^<]*</strong\s*>(?:<[^>]*>)?([^<]*)", 1)
-    # Links that follow the "Category" label under the same parent.
-    labelled = F.regexp_extract(
-        page.html, rf"{tag('span')}(?=[^<]*Category)[^<]*</span\s*>((?:[^<]*+{tag('a')}[^<]*+</a\s*+>)*+)", 1)
-    last_link = F.regexp_extract(labelled, rf"({tag('a')}[^<]*)</a\s*>\s*\z", 1)
-    category_href = H.attr(last_link, tag("a"), "href")
-    sold_out = page.text(tag("span", cls="trk-btn--stock-out"))
-    rating = H.inner(page.html, tag("div", cls="rating"), "div")
-    details = H.inner(page.html, tag("div", class_="*product-details__content"), "div")
+_KIREIBD_BLOCKS = {
+    "price": tag("div", cls="post-content__price"),
+    "brand": tag("div", cls="post-content__brand"),
+    "rating": tag("div", cls="rating"),
+    "description": tag("div", class_="*product-details__content"),
+}
+_BARCODE = rf"{tag('strong')}(?=[^<]*Barcode)[^<]*</strong\s*>(?:<[^>]*>)?([^<]*)"
+# Links that follow the "Category" label; the last one is the category.
+_CATEGORIES = (rf"{tag('span')}(?=[^<]*Category)[^<]*</span\s*>"
+               rf"((?:[^<]*+{tag('a')}[^<]*+</a\s*+>)*+)")
+
+
+def _kireibd_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
+    category = F.regexp_extract(F.regexp_extract(html, _CATEGORIES, 1),
+                                rf"({tag('a')}[^<]*)</a\s*>[^<]*\z", 1)
     return {
-        "product_name": H.own_text(post, tag("h3", cls="fw-medium")),
+        "name": H.text(H.following(html, _POST), tag("h3", cls="fw-medium")),
+        "current": H.text(block["price"], tag("h3", cls="fw-medium")),
+        "original": H.text(block["price"], tag("del")),
+        "image": H.attr(html, tag("img", src="*cdn.kireibd.com/storage/all/", read="src")),
+        "brand": H.text(block["brand"], tag("a")),
+        "brand_href": H.attr(block["brand"], tag("a", read="href")),
+        "sku": F.array(F.regexp_extract(block["brand"], _BARCODE, 1)),
+        "category": H.text(category, tag("a")),
+        "category_href": H.attr(category, tag("a", read="href")),
+        "rating": H.text(block["rating"], tag("button")),
+        "description": H.nodes(block["description"]),
+        "sold_out": H.text(html, tag("span", cls="trk-btn--stock-out")),
+    }
+
+
+def _kireibd(page: Page, found: Found) -> Columns:
+    def stripped(c: Column, mark: str) -> Column:
+        return F.trim(prices.without(c, mark))
+
+    return {
+        "product_name": found.one("name"),
         "product_slug": urls.url_last_segment(page.url, cut_query=False),
-        "current_price": _taka(H.own_text(price_box, tag("h3", cls="fw-medium"))),
-        "original_price": _taka(H.own_text(price_box, tag("del"))),
-        "primary_image_url": page.attr(tag("img", src="*cdn.kireibd.com/storage/all/"), "src"),
-        "brand_name": H.own_text(brand_box, tag("a")),
-        "brand_slug": urls.after_token(brand_href, "brand="),
-        "seller_sku": text.strip(prices.without(H.unescape(sku), ":")),
-        "category_name": text.strip(prices.without(H.own_text(last_link, tag("a")), ",")),
-        "category_slug": urls.after_token(category_href, "category="),
-        "review_count": prices.first_int_text(H.own_text(rating, tag("button"))),
-        "product_description": H.texts_joined(details, " "),
-        **_status(flags.stock_unless(sold_out, "out of stock")),
+        "current_price": taka(found.one("current")),
+        "original_price": taka(found.one("original")),
+        "primary_image_url": found.one("image"),
+        "brand_name": found.one("brand"),
+        "brand_slug": urls.after_token(found.one("brand_href"), "brand="),
+        "seller_sku": stripped(found.one("sku"), ":"),
+        "category_name": stripped(found.one("category"), ","),
+        "category_slug": urls.after_token(found.one("category_href"), "category="),
+        "review_count": prices.first_int_text(found.one("rating")),
+        "product_description": H.joined(found.all("description"), " "),
+        "in_stock": flags.stock_unless(found.one("sold_out"), "out of stock"),
     }
 
 
 def _kireibd_links(page: Page) -> Column:
-    anchors = _hrefs(page.html)
-    return _both(F.filter(anchors, urls.is_product_href),
-                 F.filter(anchors, lambda href: urls.is_same_category_href(href, page.url)))
+    return F.array_distinct(F.filter(
+        _hrefs(page.html),
+        lambda href: urls.is_product_href(href) | urls.is_same_category_href(href, page.url)))
 
 
 def _kireibd_is_product(page: Page) -> Column:
@@ -259,7 +310,9 @@ def _kireibd_is_product(page: Page) -> Column:
 register_profile(Profile(
     "kireibd",
     is_product=_kireibd_is_product,
-    fields=_kireibd,
+    blocks=_KIREIBD_BLOCKS,
+    readings=_kireibd_readings,
+    rules=_kireibd,
     links=_kireibd_links,
     is_listing=lambda page: ~_kireibd_is_product(page),
     drops_ignored_links=False,
@@ -271,40 +324,52 @@ register_profile(Profile(
 _SKU = tag("div", itemprop="sku")
 
 
-def _banglashoppers(page: Page) -> dict[str, Column]:
-    images = _hrefs(H.flat_all(page.html, tag("div", id="*MagicToolboxSelectors"), "div"))
-    box = H.inner(page.html, tag("div", class_="product-info-custom"), "div")
-    shown = H.own_texts(box, tag("span", class_="price"))
-    crumbs = H.own_texts(H.inner(page.html, tag("div", class_="breadcrumbs"), "div"),
-                         rf"{tag('li')}\s*{tag('a')}")
+def _banglashoppers_readings(page: Page, block: Columns) -> Columns:
+    html = page.html
     return {
-        **_with_slug("product_name", "product_slug", page.text(
-            rf"{tag('h1', class_='page-title')}\s*{tag('span')}")),
-        "primary_image_url": gallery.gallery_primary(images),
-        "image_urls": gallery.gallery_join(images),
+        "name": H.text(html, rf"{tag('h1', class_='page-title')}\s*{tag('span')}"),
+        "images": _hrefs(H.flat_all(html, tag("div", id="*MagicToolboxSelectors"), "div")),
+        "prices": H.texts(block["prices"], tag("span", class_="price")),
+        "crumbs": H.texts(block["trail"], rf"{tag('li')}\s*{tag('a')}"),
+        "brand": H.text(html, tag("div", id="brand_name")),
+        "reviews": H.text(html, tag("span", itemprop="reviewCount")),
+        "sku": H.text(html, _SKU),
+        "description": H.nodes(block["description"]),
+    }
+
+
+def _banglashoppers(page: Page, found: Found) -> Columns:
+    shown = found.all("prices")
+    return {
+        "product_name": found.one("name"),
+        "primary_image_url": H.nth(found.all("images"), 1),
+        "image_urls": H.joined(found.all("images"), ";"),
         "current_price": prices.cut_prefix(prices.clean_price(H.nth(shown, 1), "Tk")),
         "original_price": prices.cut_prefix(H.nth(shown, 2)),
-        "category_name": H.nth(crumbs, -2),
-        **_with_slug("brand_name", "brand_slug", page.text(tag("div", id="brand_name"))),
-        "review_count": prices.digits_only(page.text(tag("span", itemprop="reviewCount"))),
+        "category_name": H.nth(found.all("crumbs"), -2),
+        "brand_name": found.one("brand"),
+        "review_count": prices.digits_only(found.one("reviews")),
         "in_stock": F.lit("Yes"),
-        "is_active": F.lit("1"),
-        "seller_sku": text.strip(prices.without(page.text(_SKU), "SKU: ")),
-        "product_description": H.texts_joined(
-            H.inner(page.html, tag("div", id="description"), "div")),
+        "seller_sku": F.trim(prices.without(found.one("sku"), "SKU: ")),
+        "product_description": H.joined(found.all("description")),
     }
 
 
 def _banglashoppers_links(page: Page) -> Column:
-    products = page.attrs(
-        rf"{tag('li', class_='item product product-item')}\s*{tag('div')}\s*{tag('div')}\s*{tag('a')}",
-        "href")
-    return _both(products, F.slice(page.attrs(tag("a", class_="action  next"), "href"), 1, 1))
+    cell = rf"{tag('li', class_='item product product-item')}\s*{tag('div')}\s*{tag('div')}"
+    following = H.attrs(page.html, tag("a", class_="action  next", read="href"))
+    return _both(H.attrs(page.html, rf"{cell}\s*{tag('a', read='href')}"),
+                 F.slice(following, 1, 1))
 
 
 register_profile(Profile(
     "banglashoppers",
     is_product=lambda page: page.has(rf"{_SKU}[^<]"),
-    fields=_banglashoppers,
+    blocks={"prices": tag("div", class_="product-info-custom"),
+            "trail": tag("div", class_="breadcrumbs"),
+            "description": tag("div", id="description")},
+    readings=_banglashoppers_readings,
+    rules=_banglashoppers,
+    slugs=("product", "brand"),
     links=_banglashoppers_links,
 ))

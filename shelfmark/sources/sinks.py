@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from ..operators.ordered import chunk_number, row_index
 
-_CSV = {"header": "true", "escape": '"', "quote": '"'}
+_CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false"}
 
 # Fixed value: rows per upload file.
 CHUNK_ROWS = 2500
