@@ -71,10 +71,12 @@ def template_row(fields: dict[str, Column]) -> list[Column]:
     unknown = set(fields) - set(PRODUCT_COLUMNS)
     if unknown:
         raise ValueError(f"not product columns: {sorted(unknown)}")
-    return [
-        F.coalesce(fields[c], F.lit(default)).alias(c) if c in fields else F.lit(default).alias(c)
-        for c, default in ((c, PRODUCT_DEFAULTS.get(c, "")) for c in PRODUCT_COLUMNS)
-    ]
+    defaults = {v: F.lit(v) for v in ("", *PRODUCT_DEFAULTS.values())}
+    row = []
+    for c in PRODUCT_COLUMNS:
+        default = defaults[PRODUCT_DEFAULTS.get(c, "")]
+        row.append((F.coalesce(fields[c], default) if c in fields else default).alias(c))
+    return row
 
 
 def template_defaults(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
