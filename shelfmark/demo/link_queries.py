@@ -200,22 +200,12 @@ def _expected(resolve: bool) -> str:
 @query("profile_links", ("product_pages",), _expected(resolve=False))
 def _profile_links(spark, sf_dir):
     """Links each profile follows from all pages."""
-    out = None
-    pages = product_pages(spark, sf_dir)
-    for profile in _EXPECTED:
-        found = page_links(pages, profile).select(F.lit(profile).alias("profile"), "source_url", "href")
-        out = found if out is None else out.union(found)
-    return out
+    return page_links(product_pages(spark, sf_dir), list(_EXPECTED))
 
 
 @query("followed_urls", ("product_pages",),
        f"select * from ({_expected(resolve=True)}) where profile in ('ryans', 'kireibd')")
 def _followed(spark, sf_dir):
     """Links resolved against their page; these two shops ignore the recurse option."""
-    pages = product_pages(spark, sf_dir)
-    out = None
-    for profile in ("ryans", "kireibd", "lira"):
-        found = followed_urls(page_links(pages, profile, recurse=False)).select(
-            F.lit(profile).alias("profile"), "source_url", "href", F.col("url").alias("target"))
-        out = found if out is None else out.union(found)
-    return out
+    found = page_links(product_pages(spark, sf_dir), ["ryans", "kireibd", "lira"], recurse=False)
+    return followed_urls(found).withColumnRenamed("url", "target")

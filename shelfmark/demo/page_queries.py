@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..operators.extract import (
-    dispatch, extract, extract_all, extract_feed, extract_products, failures_of, profile_table,
-    rejected, zero_link_pages,
+    dispatch, extract, extract_feed, extract_products, failures_of, judge, profile_table, rejected,
+    zero_link_pages,
 )
 from ..functions.urls import host
 from ..plans.crawl import crawl_round
@@ -161,13 +161,13 @@ select page_id, case when shop = 9 then 'ryans' when shop = 8 then null
 from product_pages""")
 def _dispatch(spark, sf_dir):
     mapped = dispatch(product_pages(spark, sf_dir), profile_table(spark, _DOMAINS))
-    return extract_all(mapped).select("page_id", "profile", "reason")
+    return judge(mapped).drop("url")
 
 
 @query("page_failures", ("product_pages",), """
 select url, 'No parser found' as reason from product_pages where shop >= 8""")
 def _failures(spark, sf_dir):
-    return failures_of(extract_all(dispatch(product_pages(spark, sf_dir))))
+    return failures_of(judge(dispatch(product_pages(spark, sf_dir))))
 
 
 @query("rejected_pages", ("product_pages",), """

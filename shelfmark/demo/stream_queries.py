@@ -37,7 +37,7 @@ def _changes(spark, sf_dir):
     out, checkpoint = new_folder(spark, "changes"), new_folder(spark, "checkpoint")
 
     def run(folder: str) -> None:
-        stream = spark.readStream.schema(items.schema).parquet(folder)
+        stream = readers.stream_table(spark, folder, items.schema)
         jobs.to_files(jobs.changes_of_stream(stream), out, checkpoint).awaitTermination()
 
     landing(spark, items, "seq", run)
@@ -52,7 +52,7 @@ def _snapshot(spark, sf_dir):
     checkpoint = new_folder(spark, "checkpoint")
 
     def run(folder: str) -> None:
-        stream = spark.readStream.schema(items.schema).parquet(folder)
+        stream = readers.stream_table(spark, folder, items.schema)
         jobs.upsert_stream(stream, store, checkpoint).awaitTermination()
 
     landing(spark, items, "seq", run)
@@ -60,13 +60,27 @@ def _snapshot(spark, sf_dir):
         "seller_product_url", "seller_name", "product_name", "current_price", "in_stock")
 
 
+@query("stream_ingest", ("crawl_items",), KINDS + f" select {_COLUMNS}, kind from kinds")
+def _ingest(spark, sf_dir):
+    """The same with the batch operators in each micro-batch."""
+    items = view(spark, sf_dir, "crawl_items")
+    out, checkpoint = new_folder(spark, "stream-ingest"), new_folder(spark, "checkpoint")
+
+    def run(folder: str) -> None:
+        stream = readers.stream_table(spark, folder, items.schema)
+        jobs.ingest_stream(stream, out, checkpoint).awaitTermination()
+
+    landing(spark, items, "seq", run)
+    return spark.read.parquet(f"{out}/log").drop("batch")
+
+
 @query("stream_link_dedup", (), f"with {_ANCHORS} select distinct url from absolute")
 def _links(spark, sf_dir):
     found = all_anchors(spread(table(spark, sf_dir, "pages")))
     links = found.select("source_url", make_absolute(F.col("href"), F.col("source_url")).alias("url"))
     source, out = new_folder(spark, "links"), new_folder(spark, "urls")
     links.filter("url is not null").write.parquet(source)
-    stream = spark.readStream.schema("source_url string, url string").parquet(source)
+    stream = readers.stream_table(spark, source, "source_url string, url string")
     jobs.to_files(jobs.distinct_urls_of_stream(stream), out,
                   new_folder(spark, "checkpoint")).awaitTermination()
     return spark.read.schema("url string").parquet(out)

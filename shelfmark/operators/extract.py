@@ -1,5 +1,8 @@
 """From landed pages to product rows, failures and links."""
 
+from dataclasses import dataclass
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,39 +18,74 @@ NOT_A_PRODUCT = "Parser returned None"
 NO_PROFILE = "No parser found"
 
 
-def _page(seller: Column, base: Column) -> Page:
-    return Page(F.col("url"), F.col("_page"), seller, base)
-
-
 def _readable(pages: DataFrame) -> DataFrame:
     """One clean copy of the page text, shared by all rules."""
     return pages.withColumn("_page", H.strip_noise(F.col("html")))
 
 
-def _layers(pages: DataFrame, profiles: list[Profile], choose, page: Page) -> DataFrame:
-    """Adds ``product``, one projection per layer.
+def _page() -> Page:
+    """The columns every rule reads."""
+    return Page(F.col("url"), F.col("_page"), F.col("_seller"), F.col("_base"))
+
+
+@dataclass(frozen=True)
+class _Compiled:
+    """Rules of some profiles as columns, one per layer."""
+
+    is_product: Column
+    blocks: Column
+    found: Column
+    product: Column
+
 
-    ``choose`` maps one column per profile to the column for a row, by the row's profile.
+@lru_cache(maxsize=64)
+def _compile(application: str, profiles: tuple[Profile, ...]) -> _Compiled:
+    """Rules become columns once per application, not once per query.
+
+    With one profile its columns are taken as they are, with several by the row's profile.
     """
-    blocks = F.transform(choose([p.rest_of_blocks(page) for p in profiles]),
-                         lambda rest: H.inner_of_rest(rest))
+    page = _page()
+
+    def choose(columns: list[Column]) -> Column:
+        if len(profiles) == 1:
+            return columns[0]
+        return F.coalesce(*[F.when(F.col("profile") == p.name, c)
+                            for p, c in zip(profiles, columns)])
+
     read = [p.read(page, F.col("_blocks")) for p in profiles]
-    cleaned = F.transform(choose([F.array(*r.values()) for r in read]), lambda s: H.clean(s))
     found = [Found(list(r), F.col("_found")) for r in read]
-    return (pages.withColumn("_blocks", blocks)
-            .withColumn("_found", cleaned)
-            .withColumn("product", choose(
-                [p.product(page, f) for p, f in zip(profiles, found)])))
+    return _Compiled(
+        is_product=choose([F.coalesce(p.is_product(page), F.lit(False)) for p in profiles]),
+        blocks=F.transform(choose([p.rest_of_blocks(page) for p in profiles]),
+                           lambda rest: H.inner_of_rest(rest)),
+        found=F.transform(choose([F.array(*r.values()) for r in read]), lambda s: H.clean(s)),
+        product=choose([p.product(page, f) for p, f in zip(profiles, found)]))
+
+
+def _compiled(df: DataFrame, profiles: list[Profile]) -> _Compiled:
+    return _compile(df.sparkSession.sparkContext.applicationId, tuple(profiles))
+
+
+def _with_product(pages: DataFrame, rules: _Compiled) -> DataFrame:
+    """Adds ``product``, one projection per layer."""
+    return (pages.withColumn("_blocks", rules.blocks)
+            .withColumn("_found", rules.found)
+            .withColumn("product", rules.product))
+
+
+def _resolve(profile: Profile | str) -> Profile:
+    return get_profile(profile) if isinstance(profile, str) else profile
 
 
 def extract(pages: DataFrame, profile: Profile | str, seller_name: str, base_url: str,
             keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Product rows of one seller's pages; other pages are left out."""
-    profile = get_profile(profile) if isinstance(profile, str) else profile
-    page = _page(F.lit(seller_name), F.lit(base_url))
     kept = [c for c in keep if c in pages.columns]
-    found = _readable(pages.select(*kept, "url", "html")).filter(profile.is_product(page))
-    return _layers(found, [profile], lambda columns: columns[0], page).select(*kept, "product.*")
+    rules = _compiled(pages, [_resolve(profile)])
+    found = _readable(pages.select(
+        *kept, "url", "html", F.lit(seller_name).alias("_seller"), F.lit(base_url).alias("_base"))
+    ).filter(rules.is_product)
+    return _with_product(found, rules).select(*kept, "product.*")
 
 
 def extract_feed(pages: DataFrame) -> DataFrame:
@@ -62,9 +100,8 @@ def extract_feed(pages: DataFrame) -> DataFrame:
 
 def rejected(pages: DataFrame, profile: Profile | str) -> DataFrame:
     """Failures of one seller: pages that are not product pages."""
-    profile = get_profile(profile) if isinstance(profile, str) else profile
-    page = _page(F.lit(""), F.lit(""))
-    return (_readable(pages).filter(~F.coalesce(profile.is_product(page), F.lit(False)))
+    rules = _compiled(pages, [_resolve(profile)])
+    return (_readable(pages).filter(~rules.is_product)
             .select("url", F.lit(NOT_A_PRODUCT).alias("reason")))
 
 
@@ -99,16 +136,24 @@ def dispatch(pages: DataFrame, domains: DataFrame | None = None) -> DataFrame:
     return located.join(domains, "domain", "left")
 
 
-def _by_profile(profiles: list[Profile]):
-    def choose(columns: list[Column]) -> Column:
-        return F.coalesce(*[F.when(F.col("profile") == p.name, c)
-                            for p, c in zip(profiles, columns)])
-    return choose
+def _with_seller(dispatched: DataFrame, kept: list[str]) -> DataFrame:
+    return dispatched.select(
+        *kept, "url", "html", "profile", F.coalesce("profile", F.lit("")).alias("_seller"),
+        F.concat(F.lit("https://"), F.col("domain")).alias("_base"))
+
+
+def judge(dispatched: DataFrame, names: list[str] | None = None,
+          keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+    """``(url, profile, reason)`` of every page; the reason is NULL for products."""
+    kept = [c for c in keep if c in dispatched.columns]
+    rules = _compiled(dispatched, [get_profile(n) for n in names or profile_names()])
+    return _readable(_with_seller(dispatched, kept)).select(
+        *kept, "url", "profile", _reason(rules.is_product).alias("reason"))
 
 
-def _dispatched_page() -> Page:
-    return _page(F.coalesce(F.col("profile"), F.lit("")),
-                 F.concat(F.lit("https://"), F.col("domain")))
+def _reason(is_product: Column) -> Column:
+    return (F.when(is_product.isNull(), F.lit(NO_PROFILE))
+            .when(~is_product, F.lit(NOT_A_PRODUCT)))
 
 
 def extract_all(dispatched: DataFrame, names: list[str] | None = None,
@@ -117,31 +162,24 @@ def extract_all(dispatched: DataFrame, names: list[str] | None = None,
 
     Each row runs the rules of its own profile only.
     """
-    profiles = [get_profile(n) for n in names or profile_names()]
-    choose = _by_profile(profiles)
-    page = _dispatched_page()
     kept = [c for c in keep if c in dispatched.columns]
-    judged = _readable(dispatched.select(*kept, "url", "html", "domain", "profile")).withColumn(
-        "_is_product", choose([p.is_product(page) for p in profiles]))
+    rules = _compiled(dispatched, [get_profile(n) for n in names or profile_names()])
+    judged = _readable(_with_seller(dispatched, kept)).withColumn("_is_product", rules.is_product)
     # Pages that are no products have no text to read.
     judged = judged.withColumn("_page", F.when(F.col("_is_product"), F.col("_page")))
-    return _layers(judged, profiles, choose, page).select(
+    return _with_product(judged, rules).select(
         *kept, "url", "profile",
         F.when(F.col("_is_product"), F.col("product")).alias("product"),
-        F.when(F.col("_is_product").isNull(), F.lit(NO_PROFILE))
-        .when(~F.col("_is_product"), F.lit(NOT_A_PRODUCT)).alias("reason"))
+        _reason(F.col("_is_product")).alias("reason"))
 
 
 def extract_products(dispatched: DataFrame, names: list[str] | None = None,
                      keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Products only. Other pages are dropped before any field is read."""
-    profiles = [get_profile(n) for n in names or profile_names()]
-    choose = _by_profile(profiles)
-    page = _dispatched_page()
     kept = [c for c in keep if c in dispatched.columns]
-    found = _readable(dispatched.select(*kept, "url", "html", "domain", "profile")).filter(
-        choose([p.is_product(page) for p in profiles]))
-    return _layers(found, profiles, choose, page).select(*kept, "product.*")
+    rules = _compiled(dispatched, [get_profile(n) for n in names or profile_names()])
+    found = _readable(_with_seller(dispatched, kept)).filter(rules.is_product)
+    return _with_product(found, rules).select(*kept, "product.*")
 
 
 def products_of(outcomes: DataFrame, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
@@ -153,16 +191,28 @@ def failures_of(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("reason").isNotNull()).select("url", "reason")
 
 
-def page_links(pages: DataFrame, profile: Profile | str, recurse: bool = True) -> DataFrame:
-    """``(source_url, href)`` a seller's pages lead to."""
-    profile = get_profile(profile) if isinstance(profile, str) else profile
-    if profile.links is None or (not recurse and profile.honours_recurse):
-        return (pages.filter(F.lit(False))
-                .select(F.col("url").alias("source_url"), F.lit("").alias("href")))
-    page = _page(F.lit(""), F.lit(""))
-    links = explode_links(_readable(pages).filter(profile.is_listing(page)),
-                          H.clean(profile.links(page)))
-    return links.filter(~is_ignored_link(F.col("href"))) if profile.drops_ignored_links else links
+def page_links(pages: DataFrame, profiles: list[Profile | str] | Profile | str,
+               recurse: bool = True) -> DataFrame:
+    """``(profile, source_url, href)``: what each profile follows from these pages, in one scan.
+
+    Without ``recurse`` only the profiles that do not heed that option follow links.
+    """
+    several = [_resolve(p) for p in (profiles if isinstance(profiles, list) else [profiles])]
+    asked = [p for p in several if p.links and (recurse or not p.honours_recurse)]
+    page = _page()
+    none = F.array().cast("array<string>")
+    hrefs = F.array(none, *[
+        F.when(F.coalesce(p.is_listing(page), F.lit(False)), p.links(page)).otherwise(none)
+        for p in asked])
+    names = F.array(F.lit(""), *[F.lit(p.name) for p in asked])
+    per_profile = _readable(pages).select(
+        F.col("url").alias("source_url"),
+        F.explode(F.arrays_zip(names.alias("profile"), hrefs.alias("hrefs"))).alias("f"))
+    links = per_profile.select(
+        F.col("f.profile").alias("profile"), "source_url",
+        F.explode(F.array_distinct(H.clean(F.col("f.hrefs")))).alias("href"))
+    keeps = [p.name for p in asked if not p.drops_ignored_links]
+    return links.filter(F.col("profile").isin(keeps) | ~is_ignored_link(F.col("href")))
 
 
 def followed_urls(links: DataFrame) -> DataFrame:
@@ -180,16 +230,13 @@ def all_anchors(pages: DataFrame) -> DataFrame:
 
 
 def zero_link_pages(pages: DataFrame, profile: Profile | str) -> DataFrame:
-    """Listing pages without any product link, for inspection.
+    """Pages that are no products and have no product link, for inspection.
 
     A row-local test; no join with the links is needed.
     """
-    profile = get_profile(profile) if isinstance(profile, str) else profile
-    page = _page(F.lit(""), F.lit(""))
+    rules = _compiled(pages, [_resolve(profile)])
     hrefs = F.filter(_anchors(), lambda h: F.contains(h, F.lit("/product/")))
-    return (_readable(pages)
-            .filter(~F.coalesce(profile.is_product(page), F.lit(False)) & (F.size(hrefs) == 0))
-            .drop("_page"))
+    return (_readable(pages).filter(~rules.is_product & (F.size(hrefs) == 0)).drop("_page"))
 
 
 def keyed(products: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ as arrays; ``clean`` decodes and strips all of them in one expression; only then
 rules. Column expressions are trees, so each layer is a column of its own: a layer is
 computed once per page, however many fields read it, and the plan stays small.
 
-All repetitions are character classes or possessive groups, which the JVM runs in a loop: a
-hostile page of any length can neither overflow the stack nor backtrack exponentially.
+Repetitions are character classes or possessive groups, which the JVM runs in a loop, and a tag
+never reaches over the next ``<``: a hostile page of any length can neither overflow the stack
+nor backtrack without end.
 """
 
 import re
@@ -16,9 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
-_NOISE = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"
-_TAGS = r"<[^>]*>"
-_LEAF = r"<([a-zA-Z][a-zA-Z0-9]*+)\b[^>]*+>[^<]*+</\1\s*+>"
+# An unclosed one runs to the end of the page.
+_NOISE = (r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+          r"|<!--.*?(?:-->|\z)")
+_TAGS = r"<[^<>]*>"
+_LEAF = r"<([a-zA-Z][a-zA-Z0-9]*+)\b[^<>]*+>[^<]*+</\1\s*+>"
 # Leaf children in front of an element's own text, then that text.
 _OWN_TEXT = rf"(?:{_LEAF})*+([^<]*+)"
 _VALUE = r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
@@ -50,18 +53,18 @@ def tag(name: str, cls: str | None = None, read: str | None = None, **attrs: str
     """
     looks = ""
     if cls:
-        looks += (rf"(?=[^>]*\s(?i:class)\s*=\s*[\"'](?:[^\"'>]*\s)?{re.escape(cls)}"
-                  r"(?:\s[^\"'>]*)?[\"'])")
+        looks += (rf"(?=[^<>]*\s(?i:class)\s*=\s*[\"'](?:[^\"'<>]*\s)?{re.escape(cls)}"
+                  r"(?:\s[^\"'<>]*)?[\"'])")
     for key, value in attrs.items():
         attr = re.escape(key.rstrip("_").replace("__", "-"))
         if value.startswith("*"):
-            body = rf"[\"'][^\"'>]*{re.escape(value[1:])}"
+            body = rf"[\"'][^\"'<>]*{re.escape(value[1:])}"
         else:
             body = rf"[\"']?{re.escape(value)}(?:[\"'\s>])"
-        looks += rf"(?=[^>]*\s(?i:{attr})\s*=\s*{body})"
+        looks += rf"(?=[^<>]*\s(?i:{attr})\s*=\s*{body})"
     element = "[a-zA-Z][a-zA-Z0-9-]*+" if name == "*" else f"(?i:{name})"
     start = rf"<{element}(?=[\s>/]){looks}"
-    return rf"{start}[^>]*?\s(?i:{re.escape(read)}){_VALUE}[^>]*+>" if read else rf"{start}[^>]*+>"
+    return rf"{start}[^<>]*?\s(?i:{re.escape(read)}){_VALUE}[^<>]*+>" if read else rf"{start}[^<>]*+>"
 
 
 def _content(name: str) -> str:

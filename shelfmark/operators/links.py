@@ -35,10 +35,10 @@ def keep_domain(urls: DataFrame, domain: str | Column) -> DataFrame:
 def difference(found: DataFrame, seen: DataFrame, key: str = "url") -> DataFrame:
     """Distinct found URLs that are not in ``seen``.
 
-    The distinct comes first: it combines on the map side, and the anti join reuses its
-    partitioning.
+    Both sides are made distinct first: that combines on the map side, so a hot URL is one
+    row per task by the time of the join, which reuses the partitioning.
     """
-    return found.select(key).distinct().join(seen.select(key), key, "left_anti")
+    return found.select(key).distinct().join(seen.select(key).distinct(), key, "left_anti")
 
 
 def frontier_step(links: DataFrame, visited: DataFrame, domain: str | Column) -> DataFrame:

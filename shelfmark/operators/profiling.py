@@ -63,14 +63,14 @@ def failure_reasons(failures: DataFrame) -> DataFrame:
 def never_scraped(failures: DataFrame, products: DataFrame,
                   key: str = "seller_product_url") -> DataFrame:
     """Failed URLs that never became a product."""
-    done = products.select(F.col(key).alias("url"))
+    done = products.select(F.col(key).alias("url")).distinct()
     return failures.select("url").distinct().join(done, "url", "left_anti")
 
 
 def recovered(failures: DataFrame, products: DataFrame,
               key: str = "seller_product_url") -> DataFrame:
     """Failed URLs that did become a product."""
-    done = products.select(F.col(key).alias("url"))
+    done = products.select(F.col(key).alias("url")).distinct()
     return failures.select("url").distinct().join(done, "url", "left_semi")
 
 

@@ -1,13 +1,11 @@
 """One ingestion run: classify, stop, log, snapshot."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.changes import (
     classify_change, split_keyed, stop_points, until_stop, written,
 )
-from ..session import SMALL_BYTES, broadcast_if_small, cut
-from ..sources.sinks import append_change_log, append_failures
+from ..session import SMALL_BYTES, cut
 from ..sources.snapshots import SnapshotStore
 
 
@@ -15,28 +13,27 @@ def apply_stop_rules(kinds: DataFrame, max_duplicates: int = 50, max_items: int
                      group: str = "seller_name") -> DataFrame:
     """Rows a run sees before it stops.
 
-    The classified rows are written once and read twice, which is cheaper than shuffling
-    them twice. Stop points are one row per seller.
+    The classified rows are written once and read twice (the first time three columns only),
+    which is cheaper than shuffling them twice. Stop points are one row per seller; they are
+    written too, so that the planner broadcasts them by their known size.
     """
     kinds = cut(kinds)
     stops = cut(stop_points(kinds, max_duplicates, max_items, group))
-    return until_stop(kinds, broadcast_if_small(stops), group)
+    return until_stop(kinds, stops, group)
 
 
 def ingest_run(items: DataFrame, folder: str, batch_id: int, max_duplicates: int = 50,
                max_items: int = 0, small_bytes: int = SMALL_BYTES) -> DataFrame:
-    """Appends changes to ``folder/log``, upserts ``folder/snapshot``; returns what was written.
+    """Logs the changes of a run, upserts the snapshot and returns the changes.
 
-    Items without a URL go to ``folder/failures``.
+    Items without a URL go to the failures. Everything a run writes carries its ``batch_id``:
+    a repeated run starts from the versions before it and replaces what it wrote.
     """
-    spark = items.sparkSession
-    store = SnapshotStore(spark, f"{folder}/snapshot")
+    store = SnapshotStore(items.sparkSession, f"{folder}/snapshot")
     keyed, keyless = split_keyed(items)
-    kinds = classify_change(keyed, store.read(), small_bytes=small_bytes)
+    kinds = classify_change(keyed, store.read(before=batch_id), small_bytes=small_bytes)
     changes = cut(written(apply_stop_rules(kinds, max_duplicates, max_items)))
-    append_change_log(changes, f"{folder}/log")
-    append_failures(
-        keyless.select(F.lit("-").alias("url"), F.lit("item without URL").alias("reason")),
-        f"{folder}/failures")
+    changes.write.mode("overwrite").parquet(f"{folder}/log/batch={batch_id}")
+    keyless.write.mode("overwrite").parquet(f"{folder}/failures/batch={batch_id}")
     store.upsert(changes, batch_id)
     return changes

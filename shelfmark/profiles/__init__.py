@@ -50,7 +50,8 @@ class Found:
 Columns = dict[str, Column]
 
 
-@dataclass(frozen=True)
+# Compared by identity, so that compiled rules can be kept per profile.
+@dataclass(frozen=True, eq=False)
 class Profile:
     name: str
     is_product: Callable[[Page], Column]

@@ -1,10 +1,9 @@
-"""Session helpers: shared working folder, lineage cuts and size checks."""
+"""Session helpers: shared working folder, lineage cuts and size estimates."""
 
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are written for; everything else is left to the cluster.
 RECOMMENDED_CONF = {
@@ -16,8 +15,6 @@ RECOMMENDED_CONF = {
 
 # Below this estimated size one task can hold any group of the input.
 SMALL_BYTES = 256 << 20
-# Most rows a broadcast side may have.
-BROADCAST_ROWS = 200_000
 
 
 def working_root(spark: SparkSession) -> str:
@@ -41,25 +38,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives lost executors and is computed once."""
-    working_root(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(working_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Writes a table to the shared folder and reads it back.
+
+    The result survives lost executors, is computed once, can be read by column, and its
+    true size is known to the planner, which decides on broadcasts by it.
+    """
+    folder = new_folder(df.sparkSession, "cut")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimised plan. Starts no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if the (already materialised) side has few rows.
-
-    Call on a table or a ``cut`` result, so that the check reads and does not recompute.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def listed(columns) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in columns]

@@ -84,11 +84,11 @@ def read_url_list(spark: SparkSession, path: str) -> DataFrame:
 
 def read_products(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Product rows with their file position ``seq``. Columns the file lacks are absent."""
-    found = drop_unnamed(_with_header(spark, path)).columns
-    full = _with_header(spark, path)
-    known = [c for c in RAW_PRODUCT.fieldNames() if c in found]
-    extra = [c for c in found if c not in known]
-    return in_file_order(full).select("seq", *known, *extra)
+    rows = _with_header(spark, path)
+    named = drop_unnamed(rows).columns
+    known = [c for c in RAW_PRODUCT.fieldNames() if c in named]
+    extra = [c for c in named if c not in known]
+    return in_file_order(rows).select(F.col("seq").alias("seq"), *known, *extra)
 
 
 # A second crawl of the same seller has the same form.
@@ -103,12 +103,16 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path)
 
 
-def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """Landed pages as a stream; ``max_files`` bounds a micro-batch."""
-    return (spark.readStream.schema(PAGES).option("maxFilesPerTrigger", max_files)
+def stream_table(spark: SparkSession, path: str, schema, max_files: int = 1000) -> DataFrame:
+    """Files that land in a folder as a stream; ``max_files`` bounds a micro-batch."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .parquet(path))
 
 
+def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    return stream_table(spark, path, PAGES, max_files)
+
+
 def parse_failures(lines: DataFrame, column: str = "line") -> DataFrame:
     """``(ts, url, reason)`` of log entries; lines that start no entry are dropped."""
     c = F.col(column)

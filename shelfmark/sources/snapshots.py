@@ -43,27 +43,28 @@ class SnapshotStore:
         (as_snapshot(latest_per_url(items, (seq,)))
          .write.mode("overwrite").parquet(self._folder("delta", batch_id)))
 
-    def _parts(self) -> tuple[list[tuple[str, int]], int]:
-        bases = self._versions("base")
-        base = bases[-1] if bases else -1
-        parts = [(self._folder("base", base), -1)] if bases else []
-        deltas = [v for v in self._versions("delta") if v > base]
-        return parts + [(self._folder("delta", v), v) for v in deltas], base
+    def _parts(self, before: int | None = None) -> tuple[list[str], int]:
+        """Folders that make up the table, and the version of its base."""
+        end = float("inf") if before is None else before
+        base = max((v for v in self._versions("base") if v < end), default=-1)
+        folders = [self._folder("base", base)] if base >= 0 else []
+        deltas = [v for v in self._versions("delta") if base < v < end]
+        return folders + [self._folder("delta", v) for v in deltas], max(deltas, default=base)
 
-    def read(self) -> DataFrame | None:
-        """The current table, None before the first batch."""
-        parts, _ = self._parts()
-        if not parts:
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """The table, None if there is none; ``before`` leaves out that batch and later ones."""
+        folders, _ = self._parts(before)
+        if not folders:
             return None
         file = F.col("_metadata.file_path")
         number = F.regexp_extract(file, r"/(?:base|delta)/([0-9]{12})/[^/]*$", 1).cast("bigint")
-        generation = F.when(F.rlike(file, F.lit(r"/delta/[0-9]{12}/[^/]*$")), number).otherwise(F.lit(-1))
-        rows = (self.spark.read.parquet(*[folder for folder, _ in parts])
-                .withColumn("_generation", generation))
+        generation = F.when(F.rlike(file, F.lit(r"/delta/[0-9]{12}/[^/]*$")), number
+                            ).otherwise(F.lit(-1))
+        rows = self.spark.read.parquet(*folders).withColumn("_generation", generation)
         return latest_per_url(rows, ("_generation",)).drop("_generation")
 
     def compact(self) -> None:
-        parts, base = self._parts()
-        newest = max((v for _, v in parts), default=-1)
-        if newest > base:
+        """Folds all deltas into a new base, named after the last of them."""
+        folders, newest = self._parts()
+        if len(folders) > 1 or (folders and "/delta/" in folders[0]):
             self.read().write.mode("overwrite").parquet(self._folder("base", newest))

@@ -10,8 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import normalize_value
+from ..operators.changes import classify_change, written
 from ..operators.extract import dispatch, extract_all
 from ..schema import PRODUCT_COLUMNS
+from ..session import cut
 from ..sources.snapshots import SnapshotStore
 
 
@@ -29,7 +31,8 @@ def changes_of_stream(items: DataFrame, keys: tuple[str, ...] = ("seller_name",
 
     The state per key is one fingerprint, so it grows with the number of URLs and not with
     the observations. Rows are put in ``seq`` order inside a micro-batch; files must land in
-    ``seq`` order. The size of a micro-batch (``maxFilesPerTrigger``) bounds a group.
+    ``seq`` order. A group is held in memory, so bound the micro-batch where the stream is
+    read (``stream_table``); ``ingest_stream`` has no such need.
     """
     compare = compare or [c for c in PRODUCT_COLUMNS if c in items.columns and c not in keys]
     marked = items.withColumn("_digest", digest(compare))
@@ -53,6 +56,25 @@ def changes_of_stream(items: DataFrame, keys: tuple[str, ...] = ("seller_name",
         classify, out, state, "append", GroupStateTimeout.NoTimeout)
 
 
+def ingest_stream(items: DataFrame, folder: str, checkpoint: str,
+                  seq: str = "seq") -> StreamingQuery:
+    """Change log and snapshot of a stream, with the batch operators.
+
+    Needs no Python workers and splits hot keys, at the price of reading the snapshot in each
+    micro-batch. ``folder/log/batch=N`` holds the classified rows of a micro-batch; a replay
+    starts from the versions before it and replaces what it wrote.
+    """
+    store = SnapshotStore(items.sparkSession, f"{folder}/snapshot")
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
+        kinds = cut(classify_change(batch, store.read(before=batch_id), seq=seq))
+        kinds.write.mode("overwrite").parquet(f"{folder}/log/batch={batch_id}")
+        store.upsert(written(kinds), batch_id, seq)
+
+    return (items.writeStream.foreachBatch(ingest)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Appends to Parquet; a rerun with the same checkpoint takes only what is new."""
     return (stream.writeStream.format("parquet").outputMode("append")
