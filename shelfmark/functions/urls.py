@@ -106,9 +106,9 @@ def url_join(base: Column, href: Column) -> Column:
     folder = F.regexp_extract(base_path, r"^(.*/)[^/]*\z", 1)
     path = canonical_url(href)
     tail = F.regexp_extract(href, r"[?#].*", 0)
+    beside = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path)
     absolute_path = F.when(F.startswith(path, F.lit("/")), path).otherwise(
-        F.concat(F.when(folder == "", F.lit("/")).otherwise(
-            F.regexp_replace(folder, r"(?<!^)/{2,}", "/")), path))
+        F.regexp_replace(beside, "/{2,}", "/"))
     resolved = F.when(F.rlike(absolute_path, F.lit(r"/\.{1,2}(?:/|\z)")),
                       remove_dot_segments(absolute_path)).otherwise(absolute_path)
     return (

@@ -32,8 +32,10 @@ def ingest_run(items: DataFrame, folder: str, batch_id: int, max_duplicates: int
     store = SnapshotStore(items.sparkSession, f"{folder}/snapshot")
     keyed, keyless = split_keyed(items)
     kinds = classify_change(keyed, store.read(before=batch_id), small_bytes=small_bytes)
-    changes = cut(written(apply_stop_rules(kinds, max_duplicates, max_items)))
-    changes.write.mode("overwrite").parquet(f"{folder}/log/batch={batch_id}")
+    seen = written(apply_stop_rules(kinds, max_duplicates, max_items))
+    log = f"{folder}/log/batch={batch_id}"
+    seen.write.mode("overwrite").parquet(log)
+    changes = items.sparkSession.read.schema(seen.schema).parquet(log)
     keyless.write.mode("overwrite").parquet(f"{folder}/failures/batch={batch_id}")
     store.upsert(changes, batch_id)
     return changes

@@ -124,7 +124,7 @@ register_profile(Profile(
 
 # ── themallbd ────────────────────────────────────────────────────────────────
 
-_SLIDE = r"<(?i:div)(?=[\s>/])(?=[^>]*\sdata-swiper-slide-index)[^>]*+>"
+_SLIDE = r"<(?i:div)(?=[\s>/])(?=[^<>]*\sdata-swiper-slide-index)[^<>]*+>"
 _CARD = rf"{tag('a', read='href')}(?=\s*{tag('div', class_='image-container text-center')})"
 
 

@@ -250,7 +250,7 @@ _KIREIBD_BLOCKS = {
     "rating": tag("div", cls="rating"),
     "description": tag("div", class_="*product-details__content"),
 }
-_BARCODE = rf"{tag('strong')}(?=[^<]*Barcode)[^<]*</strong\s*>(?:<[^>]*>)?([^<]*)"
+_BARCODE = rf"{tag('strong')}(?=[^<]*Barcode)[^<]*</strong\s*>(?:<[^<>]*>)?([^<]*)"
 # Links that follow the "Category" label; the last one is the category.
 _CATEGORIES = (rf"{tag('span')}(?=[^<]*Category)[^<]*</span\s*>"
                rf"((?:[^<]*+{tag('a')}[^<]*+</a\s*+>)*+)")
