@@ -62,8 +62,8 @@ def with_previous(df: DataFrame, keys: list[str], seq: str, columns: list[str],
     w = Window.partitionBy(*keys, "_slice").orderBy(seq)
     return (sliced.withColumn("_prev", previous(w))
             .join(carry, [*keys, "_slice"], "left")
-            .withColumn("_prev", F.coalesce(null_if_first(F.col("_prev")), F.col("_carry")))
-            .drop("_hot", "_slice", "_carry"))
+            .select(*df.columns, F.coalesce(null_if_first(F.col("_prev")), F.col("_carry")
+                                            ).alias("_prev")))
 
 
 def row_index(df: DataFrame, seq: str = "seq", lead: list[str] | None = None,
