@@ -35,7 +35,11 @@ def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1)
 
 def with_previous(df: DataFrame, keys: list[str], seq: str, columns: list[str],
                   slice_rows: int = SLICE_ROWS, small_bytes: int = SMALL_BYTES) -> DataFrame:
-    """Adds ``_prev``: ``seq`` and ``columns`` of the row before, per key in ``seq`` order."""
+    """Adds ``_prev``: ``seq`` and ``columns`` of the row before, per key in ``seq`` order.
+
+    Inputs of up to ``small_bytes`` take one window. Beyond that, keys with more than
+    ``slice_rows`` rows are cut into slices first; rows with a NULL key are not.
+    """
     carried = [seq, *[c for c in columns if c != seq]]
 
     def previous(w) -> Column:
@@ -70,7 +74,7 @@ def row_index(df: DataFrame, seq: str = "seq", lead: list[str] | None = None,
               out: str = "row_index", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """1-based position in the order ``(*lead, seq)``, over the whole table.
 
-    ``lead`` columns have few values (a source number, say).
+    ``lead`` columns have few values (a source number, say) and none is NULL.
     """
     lead = lead or []
     sliced = df.withColumn("_slice", seq_slice(seq, slice_rows))
@@ -88,7 +92,7 @@ def row_index(df: DataFrame, seq: str = "seq", lead: list[str] | None = None,
 
 def chunk_number(index: Column, size: int) -> Column:
     """1-based chunk of a 1-based position."""
-    return (F.floor((index - 1) / F.lit(size)) + 1).cast("bigint")
+    return F.call_function("div", index - 1, F.lit(size)) + 1
 
 
 def take_while(df: DataFrame, keep: Column, seq: str = "seq") -> DataFrame:
@@ -101,11 +105,12 @@ def running_counts(df: DataFrame, group: str, seq: str, write: Column,
                    slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Per row: writes so far and rows since the last write, within its group.
 
-    Returns ``(group, seq, _write, writes, idle)``.
+    Returns ``(group, seq, _write, writes, idle)``; rows without a group are left out.
     """
     narrow = df.select(group, F.col(seq).alias("seq"), write.alias("_write"),
                        seq_slice(seq, slice_rows).alias("_slice"))
-    w = Window.partitionBy(group, "_slice").orderBy("seq")
+    w = (Window.partitionBy(group, "_slice").orderBy("seq")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (narrow.withColumn("_pos", F.row_number().over(w))
              .withColumn("_w", F.sum(F.col("_write").cast("bigint")).over(w))
              .withColumn("_last", F.max(F.when(F.col("_write"), F.col("_pos"))).over(w)))

@@ -117,8 +117,9 @@ def parse_failures(lines: DataFrame, column: str = "line") -> DataFrame:
     """``(ts, url, reason)`` of log entries; lines that start no entry are dropped."""
     c = F.col(column)
     return lines.filter(F.rlike(c, F.lit(_FAILURE))).select(
+        # Log times carry no zone.
         F.try_to_timestamp(F.regexp_extract(c, _FAILURE, 1), F.lit("yyyy-MM-dd HH:mm:ss")
-                           ).alias("ts"),
+                           ).cast("timestamp_ntz").alias("ts"),
         F.regexp_extract(c, _FAILURE, 2).alias("url"),
         strip(F.regexp_extract(c, _FAILURE, 3)).alias("reason"))
 
