@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__
-from compare import differences, duck
+from tests.compare import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 CHECKS = __spark_entry__.oracle_sql()
