@@ -31,7 +31,7 @@ def ingest_run(items: DataFrame, folder: str, batch_id: int, max_duplicates: int
     """
     store = SnapshotStore(items.sparkSession, f"{folder}/snapshot")
     keyed, keyless = split_keyed(items)
-    kinds = classify_change(keyed, store.read(before=batch_id), small_bytes=small_bytes)
+    kinds = classify_change(keyed, store.read(batch_id, keyed), small_bytes=small_bytes)
     seen = written(apply_stop_rules(kinds, max_duplicates, max_items))
     log = f"{folder}/log/batch={batch_id}"
     seen.write.mode("overwrite").parquet(log)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changes import as_snapshot, latest_per_url
+from ..operators.changes import URL, as_snapshot, latest_per_url
 
 
 def _folders(spark: SparkSession, path: str) -> list[str]:
@@ -51,8 +51,13 @@ class SnapshotStore:
         deltas = [v for v in self._versions("delta") if base < v < end]
         return folders + [self._folder("delta", v) for v in deltas], max(deltas, default=base)
 
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The table, None if there is none; ``before`` leaves out that batch and later ones."""
+    def read(self, before: int | None = None, urls: DataFrame | None = None
+             ) -> DataFrame | None:
+        """The table, None if there is none; ``before`` leaves out that batch and later ones.
+
+        ``urls`` limits it to some URLs before versions are resolved, so that a small batch
+        does not shuffle the whole table: the planner broadcasts the URLs if they fit.
+        """
         folders, _ = self._parts(before)
         if not folders:
             return None
@@ -61,6 +66,8 @@ class SnapshotStore:
         generation = F.when(F.rlike(file, F.lit(r"/delta/[0-9]{12}/[^/]*$")), number
                             ).otherwise(F.lit(-1))
         rows = self.spark.read.parquet(*folders).withColumn("_generation", generation)
+        if urls is not None:
+            rows = rows.join(urls.select(URL).distinct(), URL, "left_semi")
         return latest_per_url(rows, ("_generation",)).drop("_generation")
 
     def compact(self) -> None:

@@ -60,14 +60,14 @@ def ingest_stream(items: DataFrame, folder: str, checkpoint: str,
                   seq: str = "seq") -> StreamingQuery:
     """Change log and snapshot of a stream, with the batch operators.
 
-    Needs no Python workers and splits hot keys, at the price of reading the snapshot in each
-    micro-batch. ``folder/log/batch=N`` holds the classified rows of a micro-batch; a replay
+    Needs no Python workers and splits hot keys, at the price of reading the snapshot for the
+    URLs of each micro-batch. ``folder/log/batch=N`` holds the classified rows of a micro-batch; a replay
     starts from the versions before it and replaces what it wrote.
     """
     store = SnapshotStore(items.sparkSession, f"{folder}/snapshot")
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        kinds = cut(classify_change(batch, store.read(before=batch_id), seq=seq))
+        kinds = cut(classify_change(batch, store.read(batch_id, batch), seq=seq))
         kinds.write.mode("overwrite").parquet(f"{folder}/log/batch={batch_id}")
         store.upsert(written(kinds), batch_id, seq)
 

@@ -121,6 +121,7 @@ def test_snapshot_store(spark):
     store.upsert(batch((3, "b", "3")), 1)
     store.upsert(batch((3, "b", "4")), 1)
     assert state() == {"a": "2", "b": "4"} and state(before=1) == {"a": "2", "b": "1"}
+    assert column(store.read(urls=batch((0, "b", "x"), (1, "z", "x"))), "product_name") == ["4"]
     store.compact()
     store.compact()
     assert state() == {"a": "2", "b": "4"}
