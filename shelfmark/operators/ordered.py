@@ -107,8 +107,10 @@ def running_counts(df: DataFrame, group: str, seq: str, write: Column,
 
     Returns ``(group, seq, _write, writes, idle)``; rows without a group are left out.
     """
+    # Stated here, the filter is the same for rows and totals, which then share a shuffle.
     narrow = df.select(group, F.col(seq).alias("seq"), write.alias("_write"),
-                       seq_slice(seq, slice_rows).alias("_slice"))
+                       seq_slice(seq, slice_rows).alias("_slice")
+                       ).filter(F.col(group).isNotNull() & F.col("_slice").isNotNull())
     w = (Window.partitionBy(group, "_slice").orderBy("seq")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (narrow.withColumn("_pos", F.row_number().over(w))
