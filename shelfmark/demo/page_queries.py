@@ -10,6 +10,7 @@ from ..functions.urls import host
 from ..plans.crawl import crawl_round
 from ..schema import PRODUCT_COLUMNS, PRODUCT_DEFAULTS
 from .catalog import query
+from .link_queries import _expected
 from .views import SHOPS, product_pages
 
 _ID = "cast(page_id as varchar)"
@@ -185,22 +186,15 @@ def _zero_links(spark, sf_dir):
         "page_id", "url", F.length("html").cast("bigint").alias("size"))
 
 
-@query("crawl_round", ("product_pages",), """
-, hrefs as (
-  select page_id, p_type, p_size, url as source_url,
-    unnest(regexp_extract_all(html, '<a(?:\\s[^>]*)?\\shref="([^"]*)', 1)) as href from product_pages),
-absolute as (
-  select case when starts_with(href, '//') then 'https:' || href
-    when starts_with(href, '/') then regexp_extract(source_url, '^https://[^/]*') || href
-    when starts_with(href, 'http') then href end as url
-  from hrefs where not regexp_matches(lower(href), '/account|/cart|/checkout|/login|javascript:|tel:|mailto:|question|review')),
-wanted as (select distinct url from absolute where regexp_matches(url, '^https?://([^/?#]*\\.)?example\\.com([/?#]|$)'))
-select 'next' as part, url from wanted where url not in (select url from product_pages)
+@query("crawl_round", ("product_pages",), f"""
+, targets as ({_expected(resolve=True)})
+select 'next' as part, target as url from (select distinct target from targets where profile = 'ryans')
+where target not in (select url from product_pages)
 union all select 'product', url from product_pages where shop < 8
 union all select 'failure', url from product_pages where shop >= 8""")
 def _round(spark, sf_dir):
     pages = product_pages(spark, sf_dir)
-    done = crawl_round(pages, pages, "example.com")
+    done = crawl_round(pages, pages, "example.com", profile_table(spark, _DOMAINS))
     return (done.next_urls.select(F.lit("next").alias("part"), "url")
             .union(done.products.select(F.lit("product"), "seller_product_url"))
             .union(done.failures.select(F.lit("failure"), "url")))

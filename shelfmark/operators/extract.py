@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import blank, lower_hyphen
+from ..functions.text import lower_hyphen
 from ..functions.urls import host, is_ignored_link, url_join
 from ..profiles import Found, Page, Profile, get_profile, profile_names
 from ..profiles.browser import feed_readings, feed_row
@@ -39,18 +39,15 @@ class _Compiled:
 
 
 @lru_cache(maxsize=64)
-def _compile(application: str, profiles: tuple[Profile, ...]) -> _Compiled:
+def _compile(application: str, profiles: tuple[Profile, ...], dispatched: bool) -> _Compiled:
     """Rules become columns once per application, not once per query.
 
-    With one profile its columns are taken as they are, with several by the row's profile.
+    With ``dispatched`` a row takes the rules of its ``profile``, else those of the only one.
     """
     page = _page()
 
     def choose(columns: list[Column]) -> Column:
-        if len(profiles) == 1:
-            return columns[0]
-        return F.coalesce(*[F.when(F.col("profile") == p.name, c)
-                            for p, c in zip(profiles, columns)])
+        return _by_profile(profiles, columns) if dispatched else columns[0]
 
     read = [p.read(page, F.col("_blocks")) for p in profiles]
     found = [Found(list(r), F.col("_found")) for r in read]
@@ -62,8 +59,20 @@ def _compile(application: str, profiles: tuple[Profile, ...]) -> _Compiled:
         product=choose([p.product(page, f) for p, f in zip(profiles, found)]))
 
 
-def _compiled(df: DataFrame, profiles: list[Profile]) -> _Compiled:
-    return _compile(df.sparkSession.sparkContext.applicationId, tuple(profiles))
+def _by_profile(profiles, columns: list[Column]) -> Column:
+    return F.coalesce(*[F.when(F.col("profile") == p.name, c)
+                        for p, c in zip(profiles, columns)])
+
+
+def _rules_of(df: DataFrame, profile: Profile | str) -> _Compiled:
+    """Rules of one profile, for all rows."""
+    return _compile(df.sparkSession.sparkContext.applicationId, (_resolve(profile),), False)
+
+
+def _rules_by_row(df: DataFrame, names: list[str] | None) -> _Compiled:
+    """Rules of the profile each row was dispatched to."""
+    profiles = tuple(get_profile(n) for n in names or profile_names())
+    return _compile(df.sparkSession.sparkContext.applicationId, profiles, True)
 
 
 def _with_product(pages: DataFrame, rules: _Compiled) -> DataFrame:
@@ -81,7 +90,7 @@ def extract(pages: DataFrame, profile: Profile | str, seller_name: str, base_url
             keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Product rows of one seller's pages; other pages are left out."""
     kept = [c for c in keep if c in pages.columns]
-    rules = _compiled(pages, [_resolve(profile)])
+    rules = _rules_of(pages, profile)
     found = _readable(pages.select(
         *kept, "url", "html", F.lit(seller_name).alias("_seller"), F.lit(base_url).alias("_base"))
     ).filter(rules.is_product)
@@ -100,7 +109,7 @@ def extract_feed(pages: DataFrame) -> DataFrame:
 
 def rejected(pages: DataFrame, profile: Profile | str) -> DataFrame:
     """Failures of one seller: pages that are not product pages."""
-    rules = _compiled(pages, [_resolve(profile)])
+    rules = _rules_of(pages, profile)
     return (_readable(pages).filter(~rules.is_product)
             .select("url", F.lit(NOT_A_PRODUCT).alias("reason")))
 
@@ -146,7 +155,7 @@ def judge(dispatched: DataFrame, names: list[str] | None = None,
           keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """``(url, profile, reason)`` of every page; the reason is NULL for products."""
     kept = [c for c in keep if c in dispatched.columns]
-    rules = _compiled(dispatched, [get_profile(n) for n in names or profile_names()])
+    rules = _rules_by_row(dispatched, names)
     return _readable(_with_seller(dispatched, kept)).select(
         *kept, "url", "profile", _reason(rules.is_product).alias("reason"))
 
@@ -163,7 +172,7 @@ def extract_all(dispatched: DataFrame, names: list[str] | None = None,
     Each row runs the rules of its own profile only.
     """
     kept = [c for c in keep if c in dispatched.columns]
-    rules = _compiled(dispatched, [get_profile(n) for n in names or profile_names()])
+    rules = _rules_by_row(dispatched, names)
     judged = _readable(_with_seller(dispatched, kept)).withColumn("_is_product", rules.is_product)
     # Pages that are no products have no text to read.
     judged = judged.withColumn("_page", F.when(F.col("_is_product"), F.col("_page")))
@@ -177,7 +186,7 @@ def extract_products(dispatched: DataFrame, names: list[str] | None = None,
                      keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Products only. Other pages are dropped before any field is read."""
     kept = [c for c in keep if c in dispatched.columns]
-    rules = _compiled(dispatched, [get_profile(n) for n in names or profile_names()])
+    rules = _rules_by_row(dispatched, names)
     found = _readable(_with_seller(dispatched, kept)).filter(rules.is_product)
     return _with_product(found, rules).select(*kept, "product.*")
 
@@ -199,18 +208,39 @@ def page_links(pages: DataFrame, profiles: list[Profile | str] | Profile | str,
     """
     several = [_resolve(p) for p in (profiles if isinstance(profiles, list) else [profiles])]
     asked = [p for p in several if p.links and (recurse or not p.honours_recurse)]
-    page = _page()
-    none = F.array().cast("array<string>")
-    hrefs = F.array(none, *[
-        F.when(F.coalesce(p.is_listing(page), F.lit(False)), p.links(page)).otherwise(none)
-        for p in asked])
+    hrefs = F.array(_no_hrefs(), *[_hrefs_of(p) for p in asked])
     names = F.array(F.lit(""), *[F.lit(p.name) for p in asked])
     per_profile = _readable(pages).select(
         F.col("url").alias("source_url"),
         F.explode(F.arrays_zip(names.alias("profile"), hrefs.alias("hrefs"))).alias("f"))
-    links = per_profile.select(
-        F.col("f.profile").alias("profile"), "source_url",
-        F.explode(F.array_distinct(H.clean(F.col("f.hrefs")))).alias("href"))
+    return _followed(per_profile.select("f.profile", "source_url", "f.hrefs"), asked)
+
+
+def dispatched_links(dispatched: DataFrame, names: list[str] | None = None,
+                     recurse: bool = True) -> DataFrame:
+    """As ``page_links``, each page by the rules of its own profile."""
+    asked = [p for p in map(get_profile, names or profile_names())
+             if p.links and (recurse or not p.honours_recurse)]
+    found = _readable(dispatched).select(
+        "profile", F.col("url").alias("source_url"),
+        F.coalesce(_by_profile(asked, [_hrefs_of(p) for p in asked]), _no_hrefs()).alias("hrefs"))
+    return _followed(found, asked)
+
+
+def _no_hrefs() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _hrefs_of(profile: Profile) -> Column:
+    """Raw hrefs a profile follows from a page; none if it is no listing."""
+    page = _page()
+    return F.when(F.coalesce(profile.is_listing(page), F.lit(False)), profile.links(page)
+                  ).otherwise(_no_hrefs())
+
+
+def _followed(found: DataFrame, asked: list[Profile]) -> DataFrame:
+    links = found.select("profile", "source_url",
+                         F.explode(F.array_distinct(H.clean(F.col("hrefs")))).alias("href"))
     keeps = [p.name for p in asked if not p.drops_ignored_links]
     return links.filter(F.col("profile").isin(keeps) | ~is_ignored_link(F.col("href")))
 
@@ -234,11 +264,6 @@ def zero_link_pages(pages: DataFrame, profile: Profile | str) -> DataFrame:
 
     A row-local test; no join with the links is needed.
     """
-    rules = _compiled(pages, [_resolve(profile)])
+    rules = _rules_of(pages, profile)
     hrefs = F.filter(_anchors(), lambda h: F.contains(h, F.lit("/product/")))
     return (_readable(pages).filter(~rules.is_product & (F.size(hrefs) == 0)).drop("_page"))
-
-
-def keyed(products: DataFrame) -> DataFrame:
-    """Products whose URL and name were both found."""
-    return products.filter(~blank(F.col("seller_product_url")) & ~blank(F.col("product_name")))

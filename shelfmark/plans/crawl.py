@@ -4,8 +4,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
-from ..operators.extract import all_anchors, dispatch, extract_all, failures_of, products_of
-from ..operators.links import frontier_step
+from ..operators.extract import (
+    dispatch, dispatched_links, extract_all, failures_of, followed_urls, products_of,
+)
+from ..operators.links import difference, keep_domain
 from ..session import cut
 
 
@@ -17,9 +19,10 @@ class Round:
 
 
 def crawl_round(pages: DataFrame, visited: DataFrame, domain: str | Column,
-                domains: DataFrame | None = None) -> Round:
-    """Page outcomes are computed once and split; links come from a pass of their own,
-    since they are needed from pages of every kind."""
-    outcomes = cut(extract_all(dispatch(pages, domains)))
-    return Round(products_of(outcomes), failures_of(outcomes),
-                 frontier_step(all_anchors(pages), visited, domain))
+                domains: DataFrame | None = None, recurse: bool = True) -> Round:
+    """Outcomes are computed once and split into products and failures; links come from a
+    pass of their own, by the rules of each page's shop. ``visited`` is ``(url)``."""
+    shops = dispatch(pages, domains)
+    outcomes = cut(extract_all(shops))
+    found = keep_domain(followed_urls(dispatched_links(shops, recurse=recurse)), domain)
+    return Round(products_of(outcomes), failures_of(outcomes), difference(found, visited))

@@ -118,6 +118,13 @@ def test_dispatch_by_first_label(spark):
     assert got == {1: None, 2: "ryans"}
 
 
+def test_rows_of_other_profiles_are_left_alone(spark):
+    page = "<h1 itemprop='name'>n</h1>"
+    pages = spark.createDataFrame([(1, "https://ryans.com/x", page), (2, "https://lira.com/product", page)],
+                                  "page_id long, url string, html string")
+    assert [r["page_id"] for r in extract_products(dispatch(pages), ["ryans"]).collect()] == [1]
+
+
 def test_own_profile(spark):
     mine = register_profile(Profile(
         "myshop", is_product=lambda page: page.has(tag("h1")),
