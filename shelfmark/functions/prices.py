@@ -58,7 +58,8 @@ def first_int_text(c: Column) -> Column:
 
 
 def cast_count(c: Column) -> Column:
-    return F.coalesce(c.cast("bigint"), F.lit(0))
+    """Whole number of a count cell (``12``, ``12.0``, a boolean); 0 if it is none."""
+    return F.coalesce(c.try_cast("double").try_cast("bigint"), F.lit(0))
 
 
 def _at(prices: Column, k: int) -> Column:

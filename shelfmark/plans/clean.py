@@ -71,7 +71,7 @@ def conform_feed(feed: DataFrame, seller_name: str) -> DataFrame:
     def filled(c: str):
         return F.coalesce(F.col(c), F.lit(""))
 
-    stock = F.coalesce(F.col("stock").cast("boolean"), F.lit(False))
+    stock = F.coalesce(F.col("stock").try_cast("boolean"), F.lit(False))
     rows = feed.select(
         "seq",
         F.col("title").alias("product_name"),
@@ -87,7 +87,7 @@ def conform_feed(feed: DataFrame, seller_name: str) -> DataFrame:
         filled("primary_image_url").alias("primary_image_url"),
         text.strip_lines(filled("image_urls")).alias("image_urls"),
         prices.cast_count(F.col("reviews")).alias("review_count"),
-        prices.cast_count(F.col("stock").cast("boolean")).alias("stock_quantity"),
+        prices.cast_count(stock).alias("stock_quantity"),
         stock.alias("in_stock"),
         stock.alias("is_active"),
         F.lit(seller_name).alias("seller_name"),
