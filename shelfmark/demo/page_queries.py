@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators.extract import (
-    dispatch, extract, extract_feed, extract_products, failures_of, judge, profile_table, rejected,
+    dispatch, extract, extract_feed, extract_products, failures_of, judge, rejected,
     zero_link_pages,
 )
 from ..functions.urls import host
@@ -161,7 +161,7 @@ select page_id, case when shop = 9 then 'ryans' when shop = 8 then null
   case when shop = 9 then 'Parser returned None' when shop = 8 then 'No parser found' end as reason
 from product_pages""")
 def _dispatch(spark, sf_dir):
-    mapped = dispatch(product_pages(spark, sf_dir), profile_table(spark, _DOMAINS))
+    mapped = dispatch(product_pages(spark, sf_dir), _DOMAINS)
     return judge(mapped).drop("url")
 
 
@@ -194,7 +194,7 @@ union all select 'product', url from product_pages where shop < 8
 union all select 'failure', url from product_pages where shop >= 8""")
 def _round(spark, sf_dir):
     pages = product_pages(spark, sf_dir)
-    done = crawl_round(pages, pages, "example.com", profile_table(spark, _DOMAINS))
+    done = crawl_round(pages, pages, "example.com", _DOMAINS)
     return (done.next_urls.select(F.lit("next").alias("part"), "url")
             .union(done.products.select(F.lit("product"), "seller_product_url"))
             .union(done.failures.select(F.lit("failure"), "url")))

@@ -149,8 +149,8 @@ def _null_audit(spark, sf_dir):
 @query("denylisted_brands", ("raw_products",),
        f"select seq, brand_name from raw_products where brand_name in ({quoted(BRAND_DENYLIST)})")
 def _denylisted(spark, sf_dir):
-    denylist = spark.createDataFrame([(b,) for b in BRAND_DENYLIST], "value string")
-    return profiling.denylisted(view(spark, sf_dir, "raw_products"), denylist).select("seq", "brand_name")
+    return profiling.denylisted(view(spark, sf_dir, "raw_products"), BRAND_DENYLIST).select(
+        "seq", "brand_name")
 
 
 @query("brand_sample", ("vendor_feed",), """

@@ -16,6 +16,7 @@ from .links import explode_links
 
 NOT_A_PRODUCT = "Parser returned None"
 NO_PROFILE = "No parser found"
+BROADCAST_SHOPS = 100_000
 
 
 def _readable(pages: DataFrame) -> DataFrame:
@@ -133,16 +134,19 @@ def profile_of_host(h: Column) -> Column:
     return F.when(name.isin(profile_names()), name)
 
 
-def dispatch(pages: DataFrame, domains: DataFrame | None = None) -> DataFrame:
+def dispatch(pages: DataFrame, domains: dict[str, str] | None = None) -> DataFrame:
     """Adds ``domain`` and ``profile``; the latter is NULL for unknown shops.
 
-    ``domains`` is ``(domain, profile)``: configuration with one row per shop, so it is
-    broadcast only up to the session's own threshold.
+    ``domains`` maps shop domains to profile names. Pages are never shuffled for it unless it
+    has more than ``BROADCAST_SHOPS`` entries.
     """
     located = pages.withColumn("domain", host(F.col("url")))
     if domains is None:
         return located.withColumn("profile", profile_of_host(F.col("domain")))
-    return located.join(domains, "domain", "left")
+    shops = profile_table(pages.sparkSession, domains)
+    if len(domains) <= BROADCAST_SHOPS:
+        shops = F.broadcast(shops)
+    return located.join(shops, "domain", "left")
 
 
 def _with_seller(dispatched: DataFrame, kept: list[str]) -> DataFrame:

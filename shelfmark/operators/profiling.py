@@ -86,9 +86,9 @@ def null_rows(df: DataFrame, columns: list[str], show: list[str | Column]) -> Da
     return df.filter(any_null).select(*show)
 
 
-def denylisted(df: DataFrame, denylist: DataFrame, column: str = "brand_name") -> DataFrame:
-    """Rows whose value is in a list table ``(value)``; AQE broadcasts it when it is small."""
-    return df.join(denylist.select(F.col("value").alias(column)).distinct(), column, "left_semi")
+def denylisted(df: DataFrame, denylist: list[str], column: str = "brand_name") -> DataFrame:
+    """Rows whose value is in a list. A hash set in the filter; nothing is shuffled."""
+    return df.filter(F.col(column).isin(denylist))
 
 
 def brand_sample(df: DataFrame, k: int = 2, brand: str = "brand_name",

@@ -19,7 +19,7 @@ class Round:
 
 
 def crawl_round(pages: DataFrame, visited: DataFrame, domain: str | Column,
-                domains: DataFrame | None = None, recurse: bool = True) -> Round:
+                domains: dict[str, str] | None = None, recurse: bool = True) -> Round:
     """Outcomes are computed once and split into products and failures; links come from a
     pass of their own, by the rules of each page's shop. ``visited`` is ``(url)``."""
     shops = dispatch(pages, domains)

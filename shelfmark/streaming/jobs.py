@@ -82,7 +82,7 @@ def to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             .trigger(availableNow=True).start())
 
 
-def outcomes_of_stream(pages: DataFrame, domains: DataFrame | None = None) -> DataFrame:
+def outcomes_of_stream(pages: DataFrame, domains: dict[str, str] | None = None) -> DataFrame:
     """Products and failures of pages as they land."""
     return extract_all(dispatch(pages, domains))
 

@@ -116,6 +116,9 @@ def test_dispatch_by_first_label(spark):
                                   "page_id long, url string, html string")
     got = {r["page_id"]: r["profile"] for r in dispatch(pages).collect()}
     assert got == {1: None, 2: "ryans"}
+    mapped = dispatch(pages, {"www.ryans.com": "lira"})
+    assert {r["page_id"]: r["profile"] for r in mapped.collect()} == {1: "lira", 2: None}
+    assert "BroadcastHashJoin" in mapped._jdf.queryExecution().executedPlan().toString()
 
 
 def test_rows_of_other_profiles_are_left_alone(spark):

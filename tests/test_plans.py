@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from shelfmark.operators.profiling import StageCounts, brand_sample, column_profile
 from shelfmark.plans.clean import clean_feed, clean_ryans, clean_startech
 from shelfmark.plans.crawl import crawl_round
-from shelfmark.operators.extract import profile_table
 from shelfmark.schema import FEED_COLUMNS, PRODUCT_COLUMNS
 
 PRODUCTS = ("seq long, seller_product_url string, product_name string, brand_name string, category_name string, "
@@ -82,7 +81,7 @@ def test_crawl_round(spark):
         (1, "https://www.ryans.com/p/1", "<h1 itemprop='name'>Rod</h1>"),
         (2, "https://www.ryans.com/list", listing),
         (3, "https://unknown.com/x", "<h1>y</h1>")], "page_id long, url string, html string")
-    done = crawl_round(pages, pages, "ryans.com", profile_table(spark, {"www.ryans.com": "ryans"}))
+    done = crawl_round(pages, pages, "ryans.com", {"www.ryans.com": "ryans"})
     assert [r["product_name"] for r in done.products.collect()] == ["Rod"]
     assert {r["url"]: r["reason"] for r in done.failures.collect()} == {
         "https://www.ryans.com/list": "Parser returned None", "https://unknown.com/x": "No parser found"}
