@@ -53,9 +53,11 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 
 
-def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The texts of an Arrow batch in blocks of bounded bytes: first row, lower-cased bytes and
-    the n + 1 offsets of n rows. A null is an empty text."""
+def texts(
+    batch: pa.RecordBatch, column: str = "text", lower: bool = True
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The texts of an Arrow batch in blocks of bounded bytes: first row, bytes (A-Z lower-cased
+    unless told otherwise) and the n + 1 offsets of n rows. A null is an empty text."""
     values = batch.column(column).cast(pa.large_binary())
     if values.null_count:
         values = values.fill_null(b"")
@@ -67,7 +69,8 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, np
     first = 0
     while first < len(values):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1)
-        yield first, LOWER[data[offsets[first] : offsets[last]]], offsets[first : last + 1] - offsets[first]
+        block = data[offsets[first] : offsets[last]]
+        yield first, LOWER[block] if lower else block, offsets[first : last + 1] - offsets[first]
         first = last
 
 
