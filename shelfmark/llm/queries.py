@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import licenses, packing, quality, simhash, toxicity, urls
+from shelfmark.llm import decontaminate, licenses, packing, quality, simhash, toxicity, urls
 from shelfmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,42 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences named in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query("op4_benchmark_decontamination", rf"""
+with d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), b as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark
+), sized as (
+    select *, least(len(w), 10) as size from b where len(w) > 0
+), windows as (
+    select distinct item_id, size, array_to_string(w[i : i + size - 1], ' ') as words
+    from (select *, unnest(range(1, len(w) - size + 2)) as i from sized)
+), runs as (
+    select doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') as words
+    from (
+        select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i
+        from d, (select distinct size from windows) where len(w) >= size
+    )
+), found as (
+    select r.doc_id, r.i, r.size, x.item_id from runs r join windows x on r.words = x.words and r.size = x.size
+), hit as (
+    select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + size)) as p from found) group by doc_id
+), items as (
+    select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+    from (select distinct doc_id, cast(item_id as varchar) as item_id from found) group by doc_id
+)
+select d.doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
+from d left join hit using (doc_id) left join items using (doc_id)
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, hit words and items of every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("matches")
