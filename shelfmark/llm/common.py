@@ -177,3 +177,34 @@ def linked(
     if more.isEmpty():
         return classes
     return components(edges.union(more))
+
+
+#: Nodes whose list is sent to all tasks, 8 bytes each; more are joined by a shuffle.
+SENT_NODES = 1_000_000
+
+
+def texts_of(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, text of the given nodes out of a table with a row for every occurrence of a node."""
+    nodes = cut(nodes.select("node").distinct())
+    if nodes.count() <= SENT_NODES:
+        nodes = F.broadcast(nodes)
+    return cut(candidates.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")))
+
+
+def with_both_texts(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """a, b, left, right: the texts of both nodes of a pair."""
+    one = found.select(F.col("node").alias("a"), F.col("text").alias("left"))
+    two = found.select(F.col("node").alias("b"), F.col("text").alias("right"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
+
+
+def checked_pairs(pairs: DataFrame, accept: Callable[[str, str], bool]) -> DataFrame:
+    """The pairs a, b whose texts pass."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            passed = pa.array([accept(x, y) for x, y in both], pa.bool_())
+            yield batch.select(["a", "b"]).filter(passed)
+
+    return pairs.mapInArrow(of_batches, "a long, b long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, licenses, packing, quality, simhash, toxicity, urls
+from shelfmark.llm import decontaminate, licenses, lines, packing, paragraphs, quality, simhash, toxicity, urls
 from shelfmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, hit words and items of every document."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("matches")
+
+
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that repeats another one, with the first of its class."""
+    return lines.repeated_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of text that repeats another one, with the first of its class."""
+    return paragraphs.repeats(table(spark, sf_dir, "documents"))
