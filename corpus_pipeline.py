@@ -1,26 +1,60 @@
-"""The corpus pipeline: stages over `documents`, each writing Parquet that the next one reads."""
+"""The corpus pipeline: stages over `documents`, each written as Parquet that the next one reads.
+
+Every stage works on all rows its predecessor kept. All but the last return the columns of
+documents; the last returns the packed pieces. `labels`, `benchmark` and the tokenizer are the
+only other inputs.
+"""
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import simhash
+from shelfmark.llm import decontaminate, lines, packing, quality, simhash
 from shelfmark.llm.common import shared_folder, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal and nearly equal lines the first stays; documents lose lines, the table none."""
+    return lines.drop_repeated_lines(docs)
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
     return simhash.drop_near_duplicates(docs)
 
 
-STAGES = [("simhash near-dedup", near_dedup_stage)]
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("simhash near-dedup", near_dedup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
 
+#: Learned scores, edit distances, 64-bit hashes and a tokenizer: no SQL says the same.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over what its predecessor kept; each result is written to the shared folder."""
+    """The result of the last stage; every stage's result is a table in the shared folder."""
     docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, licenses, lines, packing, paragraphs, quality, simhash, toxicity, urls
+from shelfmark.llm import decontaminate, licenses, lines, packing, paragraphs, quality, simhash, toxicity, urls, vectors
 from shelfmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stretch of text that repeats another one, with the first of its class."""
     return paragraphs.repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op1_embedding_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
