@@ -35,6 +35,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores before it as it takes to be none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(text: str | Column) -> Column:
     """Text with A-Z lower-cased and nothing else; null becomes empty."""
     return F.translate(

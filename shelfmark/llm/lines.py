@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import checked_pairs, cut, linked, texts_of, with_both_texts
+from shelfmark.llm.common import checked_pairs, cut, linked, texts_of, unused, with_both_texts
 
 
 def segments(length: int, distance: int) -> list[tuple[int, int]]:
@@ -180,11 +180,12 @@ def drop_repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2) ->
     """All documents with all their columns, their texts without the removed lines; a document
     that loses every line stays with what is left of it. n_chars, if there, is set anew where a
     line was removed."""
-    gone = repeated_lines(docs, least, distance).where("removed").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_gone", i.cast("long"))), "\n")
-    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("_doc"), "left")
-    out = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
+    doc, lost = unused("doc", docs.columns), unused("lost", docs.columns)
+    gone = repeated_lines(docs, least, distance).where("removed").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("line_no").alias(lost))
+    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(lost, i.cast("long"))), "\n")
+    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col(doc), "left")
+    out = joined.withColumn("text", F.when(F.col(lost).isNull(), F.col("text")).otherwise(left))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
+        out = out.withColumn("n_chars", F.when(F.col(lost).isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
     return out.select(*docs.columns)

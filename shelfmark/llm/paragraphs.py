@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACED, checked_pairs, cut, linked, mixed, texts, texts_of, with_both_texts, word_hashes, words
+from shelfmark.llm.common import SPACED, checked_pairs, cut, linked, mixed, texts, texts_of, unused, with_both_texts, word_hashes, words
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -201,8 +201,9 @@ def repeats(docs: DataFrame, least: int = 25, similarity: float = 0.8, bands: in
 def drop_repeats(docs: DataFrame, **options) -> DataFrame:
     """All documents with all their columns; the removed stretches are cut out of their texts,
     with the white space behind them."""
-    gone = repeats(docs, **options).where("removed").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("start", "end")).alias("_gone"))
-    joined = docs.withColumn("text", F.col("text").cast("string")).join(gone, F.col("doc_id").cast("long") == F.col("_doc"), "left").drop("_doc")
+    doc, lost = unused("doc", docs.columns), unused("lost", docs.columns)
+    gone = repeats(docs, **options).where("removed").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("start", "end")).alias(lost))
+    joined = docs.withColumn("text", F.col("text").cast("string")).join(gone, F.col("doc_id").cast("long") == F.col(doc), "left").drop(doc)
     schema, place = docs.withColumn("text", F.col("text").cast("string")).schema, docs.columns.index("text")
     names, last = schema.names, len(docs.columns)
 

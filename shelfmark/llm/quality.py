@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import SPACED, cut, texts, word_hashes, words
+from shelfmark.llm.common import SPACED, cut, texts, unused, word_hashes, words
 from shelfmark.llm.logistic import fit
 from shelfmark.llm.toxicity import labelled_sample
 
@@ -23,6 +23,8 @@ _SIGN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 1
 _STOP = np.zeros(256, dtype=np.int64)
 _STOP[[33, 44, 46, 63]] = 1
 _FEATURES = 9
+#: Columns that `classify` adds.
+ADDED = ("evidence", "site", "prior", "score", "good")
 
 
 def text_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -148,8 +150,7 @@ def classify(
     Without labels the evidence is zero and all rows are good. Repeated rows get equal scores;
     repeated labels of a document count as the largest. An empty table gives none. Columns of
     `docs` named like a result are replaced."""
-    added = ["evidence", "site", "prior", "score", "good"]
-    docs = docs.drop(*added).withColumn("text", F.col("text").cast("string"))
+    docs = docs.drop(*ADDED).withColumn("text", F.col("text").cast("string"))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *levels)
     rows = cut(with_features(plain).drop("text"))
     intercept, slopes = learned_evidence(rows, labels, sample)
@@ -163,10 +164,12 @@ def classify(
     )
     overall, sites = site_posteriors(weighed, levels)
     base = float(np.log(overall / (1 - overall)))
-    finest = sites[-1].select(*[F.col(c).alias(f"_{c}") for c in levels], F.col("prior").alias("site"), F.col("posterior").alias("_p"))
-    scored = with_features(docs).withColumn("evidence", odds - base if slopes.any() else F.lit(0.0))
-    joined = scored.join(finest, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in levels], "left")
-    prior = F.least(F.greatest(F.coalesce(F.col("_p"), F.lit(overall)), F.lit(1e-4)), F.lit(1 - 1e-4))
+    name, own = unused("features", docs.columns), {c: unused(f"_{c}", docs.columns) for c in (*levels, "posterior")}
+    finest = sites[-1].select(*[F.col(c).alias(own[c]) for c in levels], F.col("prior").alias("site"), F.col("posterior").alias(own["posterior"]))
+    evidence = log_odds(name, intercept, slopes) - base if slopes.any() else F.lit(0.0)
+    scored = with_features(docs, name).withColumn("evidence", evidence)
+    joined = scored.join(finest, [F.col(c).eqNullSafe(F.col(own[c])) for c in levels], "left")
+    prior = F.least(F.greatest(F.coalesce(F.col(own["posterior"]), F.lit(overall)), F.lit(1e-4)), F.lit(1 - 1e-4))
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.log(prior / (1 - prior)))))
     return joined.select(
         *docs.columns, "evidence", F.coalesce("site", F.lit(overall)).alias("site"), prior.alias("prior"),
@@ -177,4 +180,6 @@ def classify(
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents classified as good, with their columns as they are. Rows are never
     compared by doc_id, so repeated and null ids are judged by their texts."""
-    return classify(docs, labels, **options).where("good").select(*docs.columns)
+    aside = {c: unused(f"_{c}", docs.columns) for c in docs.columns if c.lower() in ADDED}
+    judged = classify(docs.withColumnsRenamed(aside), labels, **options).where("good")
+    return judged.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACED, cut, linked, texts, words
+from shelfmark.llm.common import SPACED, cut, linked, texts, unused, words
 
 #: Shingles whose bits are counted at once.
 _STEP = 1 << 17
@@ -103,5 +103,6 @@ def near_duplicates(docs: DataFrame, distance: int = 3, size: int = 3) -> DataFr
 def drop_near_duplicates(docs: DataFrame, distance: int = 3, size: int = 3) -> DataFrame:
     """The documents of each component's smallest doc_id, with all their columns. Rows without a
     doc_id stay only if no row with one is near them."""
-    gone = near_duplicates(docs, distance, size).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    name = unused("gone", docs.columns)
+    gone = near_duplicates(docs, distance, size).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
