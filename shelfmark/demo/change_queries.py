@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import changes
 from ..plans.ingest import apply_stop_rules, ingest_run
 from ..session import new_folder
-from ..sources.snapshots import SnapshotStore
+from ..sources.snapshots import read_snapshot, write_batch
 from .catalog import query
 from .views import view
 
@@ -75,7 +75,7 @@ def _stop_points(spark, sf_dir):
 
 LATEST = """
 select * from crawl_items
-qualify row_number() over (partition by seller_product_url order by seq desc) = 1"""
+qualify row_number() over (partition by seller_name, seller_product_url order by seq desc) = 1"""
 
 
 @query("latest_snapshot", ("crawl_items",), LATEST)
@@ -94,7 +94,7 @@ def _two_crawls(spark, sf_dir):
 , halves as (select *, seq > (select max(seq) from crawl_items) / 2 as late from crawl_items)
 select seller_product_url, seller_name, product_name, current_price,
   case when late then null else in_stock end as in_stock
-from halves qualify row_number() over (partition by seller_product_url order by seq desc) = 1""")
+from halves qualify row_number() over (partition by seller_name, seller_product_url order by seq desc) = 1""")
 def _upsert(spark, sf_dir):
     """Rows of the second run replace whole rows: their stock is NULL, not merged."""
     first, second = _two_crawls(spark, sf_dir)
@@ -103,28 +103,26 @@ def _upsert(spark, sf_dir):
         "seller_product_url", "seller_name", "product_name", "current_price", "in_stock")
 
 
-@query("snapshot_store", ("crawl_items",), """
+@query("snapshot_table", ("crawl_items",), """
 , halves as (select *, seq > (select max(seq) from crawl_items) / 2 as late from crawl_items)
 select seller_product_url, seller_name, product_name, current_price,
   case when late then null else in_stock end as in_stock
-from halves qualify row_number() over (partition by seller_product_url order by seq desc) = 1""")
+from halves qualify row_number() over (partition by seller_name, seller_product_url order by seq desc) = 1""")
 def _store(spark, sf_dir):
-    """The same through the files of a snapshot store, compacted after the first run."""
-    store = SnapshotStore(spark, new_folder(spark, "snapshot"))
+    """The same through a table with a partition per run."""
+    folder = new_folder(spark, "snapshot")
     for batch_id, items in enumerate(_two_crawls(spark, sf_dir)):
-        store.upsert(items, batch_id)
-        if batch_id == 0:
-            store.compact()
-    return store.read().select(
+        write_batch(items, folder, batch_id)
+    return read_snapshot(spark, folder).select(
         "seller_product_url", "seller_name", "product_name", "current_price", "in_stock")
 
 
 @query("match_existing", ("crawl_items",), """
 , halves as (select *, seq > (select max(seq) from crawl_items) / 2 as late from crawl_items),
 stored as (select * from halves where not late
-           qualify row_number() over (partition by seller_product_url order by seq desc) = 1)
+           qualify row_number() over (partition by seller_name, seller_product_url order by seq desc) = 1)
 select i.seq, i.current_price as price_now, s.current_price as price_before
-from halves i left join stored s using (seller_product_url) where i.late""")
+from halves i left join stored s using (seller_name, seller_product_url) where i.late""")
 def _match(spark, sf_dir):
     first, second = _two_crawls(spark, sf_dir)
     snapshot = changes.as_snapshot(changes.latest_per_url(first))

@@ -7,7 +7,7 @@ from ..functions.urls import make_absolute
 from ..operators.extract import all_anchors, products_of
 from ..session import new_folder
 from ..sources import readers
-from ..sources.snapshots import SnapshotStore
+from ..sources.snapshots import read_snapshot
 from ..streaming import jobs
 from .catalog import query
 from .change_queries import KINDS, LATEST, _COLUMNS
@@ -38,25 +38,25 @@ def _changes(spark, sf_dir):
 
     def run(folder: str) -> None:
         stream = readers.stream_table(spark, folder, items.schema)
-        jobs.to_files(jobs.changes_of_stream(stream), out, checkpoint).awaitTermination()
+        jobs.changes_of_stream(stream, out, checkpoint).awaitTermination()
 
     landing(spark, items, "seq", run)
-    return spark.read.schema(items.schema.add("kind", "string")).parquet(out)
+    return spark.read.parquet(f"{out}/log").drop("batch", "_digest")
 
 
 @query("stream_snapshot", ("crawl_items",),
        f"select seller_product_url, seller_name, product_name, current_price, in_stock from ({LATEST})")
 def _snapshot(spark, sf_dir):
     items = view(spark, sf_dir, "crawl_items")
-    store = SnapshotStore(spark, new_folder(spark, "stream-snapshot"))
+    out = new_folder(spark, "stream-snapshot")
     checkpoint = new_folder(spark, "checkpoint")
 
     def run(folder: str) -> None:
         stream = readers.stream_table(spark, folder, items.schema)
-        jobs.upsert_stream(stream, store, checkpoint).awaitTermination()
+        jobs.upsert_stream(stream, out, checkpoint).awaitTermination()
 
     landing(spark, items, "seq", run)
-    return store.read().select(
+    return read_snapshot(spark, out).select(
         "seller_product_url", "seller_name", "product_name", "current_price", "in_stock")
 
 

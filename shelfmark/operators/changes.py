@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank, normalize_value
 from ..schema import PRODUCT_COLUMNS, SNAPSHOT_COLUMNS
-from ..session import SMALL_BYTES
-from .ordered import SLICE_ROWS, first_rows, running_counts, with_previous
+from .ordered import first_rows, running_counts, with_previous
 
 URL = "seller_product_url"
+# What makes two observations versions of one item.
+KEYS = ("seller_name", URL)
 
 
 def split_keyed(items: DataFrame, key: str = URL) -> tuple[DataFrame, DataFrame]:
@@ -17,9 +18,8 @@ def split_keyed(items: DataFrame, key: str = URL) -> tuple[DataFrame, DataFrame]
 
 
 def classify_change(items: DataFrame, known: DataFrame | None = None,
-                    keys: tuple[str, ...] = ("seller_name", URL), seq: str = "seq",
-                    compare: list[str] | None = None, slice_rows: int = SLICE_ROWS,
-                    small_bytes: int = SMALL_BYTES) -> DataFrame:
+                    keys: tuple[str, ...] = KEYS, seq: str = "seq",
+                    compare: list[str] | None = None, slices: int | None = None) -> DataFrame:
     """Adds ``kind``: ``new``, ``update`` or ``duplicate``.
 
     An observation is compared with the one before it under the same key. That equals
@@ -37,7 +37,7 @@ def classify_change(items: DataFrame, known: DataFrame | None = None,
         items = (items.withColumn("_known", F.lit(False))
                  .unionByName(earlier.withColumn(seq, F.lit(-1).cast("bigint")),
                               allowMissingColumns=True))
-    seen = with_previous(items, keys, seq, compare, slice_rows, small_bytes)
+    seen = with_previous(items, keys, seq, compare, slices)
     changed = F.lit(False)
     for c in compare:
         changed = changed | (normalize_value(F.col(c)) != normalize_value(F.col("_prev")[c]))
@@ -46,21 +46,31 @@ def classify_change(items: DataFrame, known: DataFrame | None = None,
     return seen.filter(~F.col("_known")).drop("_known") if known is not None else seen
 
 
-def stop_points(kinds: DataFrame, max_duplicates: int = 50, max_items: int = 0,
-                group: str = "seller_name", seq: str = "seq",
-                slice_rows: int = SLICE_ROWS) -> DataFrame:
+def stop_points(kinds: DataFrame, max_duplicates: int | None = None,
+                max_items: int | None = None, group: str = "seller_name", seq: str = "seq",
+                slices: int | None = None) -> DataFrame:
     """Per seller the position at which a run stops; sellers that never stop are absent.
 
-    A run stops at the ``max_duplicates``-th duplicate in a row or at the ``max_items``-th
-    written row, whichever comes first; 0 turns the item limit off.
+    A run stops at the ``max_duplicates``-th duplicate in a row (or the first one, if that is
+    0) or at the ``max_items``-th written row, whichever comes first. None turns a rule off,
+    0 the item limit too; without a rule no seller stops.
     """
-    counts = running_counts(kinds, group, seq, F.col("kind") != "duplicate", slice_rows)
-    reached = F.col("idle") >= max_duplicates
-    if max_items > 0:
+    counts = running_counts(kinds, group, seq, F.col("kind") != "duplicate", slices)
+    reached = F.lit(False)
+    if max_duplicates is not None:
+        reached = reached | (~F.col("_write") & (F.col("idle") >= max_duplicates))
+    if max_items:
         reached = reached | (F.col("_write") & (F.col("writes") >= max_items))
     return counts.filter(reached).groupBy(group).agg(F.min("seq").alias("stop_seq"))
 
 
+def left_out(kinds: DataFrame, stops: DataFrame, group: str = "seller_name",
+             seq: str = "seq") -> DataFrame:
+    """Per seller that stops, how many rows lie behind its stop."""
+    return (kinds.join(stops, group).groupBy(group, "stop_seq")
+            .agg(F.count_if(F.col(seq) > F.col("stop_seq")).alias("n_left_out")))
+
+
 def until_stop(kinds: DataFrame, stops: DataFrame, group: str = "seller_name",
                seq: str = "seq") -> DataFrame:
     """Rows a run still sees: up to and including the stopping one."""
@@ -78,10 +88,11 @@ def change_counts(kinds: DataFrame, group: str = "seller_name") -> DataFrame:
 
 
 def latest_per_url(log: DataFrame, order: tuple[str | Column, ...] = ("seq",),
-                   key: str = URL) -> DataFrame:
-    """Last version per non-empty URL."""
+                   keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Last version per seller and non-empty URL, or per those of the keys the table has."""
     newest_first = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
-    return first_rows(log.filter(~blank(F.col(key))), [key], newest_first)
+    present = [k for k in keys if k in log.columns]
+    return first_rows(log.filter(~blank(F.col(URL))), present, newest_first)
 
 
 def as_snapshot(latest: DataFrame, stamp: Column | None = None) -> DataFrame:
@@ -95,14 +106,15 @@ def as_snapshot(latest: DataFrame, stamp: Column | None = None) -> DataFrame:
 
 
 def upsert_snapshot(snapshot: DataFrame, items: DataFrame, seq: str = "seq") -> DataFrame:
-    """Replaces whole rows by URL: columns the new row lacks become NULL, not merged."""
+    """Replaces whole rows by seller and URL: columns the new row lacks become NULL, not merged."""
     fresh = as_snapshot(latest_per_url(items, (seq,)))
     both = (snapshot.withColumn("_generation", F.lit(0))
             .unionByName(fresh.withColumn("_generation", F.lit(1))))
     return latest_per_url(both, ("_generation",)).drop("_generation")
 
 
-def match_existing(items: DataFrame, snapshot: DataFrame, key: str = URL) -> DataFrame:
+def match_existing(items: DataFrame, snapshot: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Each item with its stored version in ``stored``, NULL when there is none."""
-    stored = snapshot.select(F.col(key), F.struct("*").alias("stored"))
-    return items.join(stored, key, "left")
+    stored = snapshot.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct("*").alias("stored"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return items.join(stored, same, "left").drop(*[f"_{k}" for k in keys])

@@ -1,26 +1,25 @@
 """Order-dependent operators that never put an unbounded group into one task.
 
-Every table has a ``seq``: a unique, non-negative position. ``seq div slice_rows`` cuts any
-group into slices of at most ``slice_rows`` rows. Windows run inside slices, and one small
-row per (group, slice) carries totals from slice to slice.
+Every table has a ``seq``: a position, unique within its group. Rows are dealt to slices by
+ranges of (group, ``seq``), which Spark samples, so that slices are of even size whatever the
+values and however hot a group is. Windows run inside slices, and one small row per slice (and
+group) carries totals from slice to slice.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import SMALL_BYTES, estimated_bytes
+from ..session import cut
 
-SLICE_ROWS = 1 << 20
 
+def in_slices(df: DataFrame, order: list[str], slices: int | None = None) -> DataFrame:
+    """Adds ``_slice``, written once: slices follow one another in ``order``.
 
-def seq_slice(seq: str, slice_rows: int) -> Column:
-    return F.expr(f"`{seq}` div {int(slice_rows)}L")
-
-
-def hot_keys(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Keys with more than ``rows`` rows. There are at most ``count(df) / rows`` of them."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > rows).select(*keys))
+    Their number is that of shuffle partitions, unless given. The range shuffle reads its
+    input twice, once to sample it, so cut an input that is costly to compute.
+    """
+    ranged = df.repartitionByRange(*([slices] if slices else []), *order)
+    return cut(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
 def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1) -> DataFrame:
@@ -34,58 +33,44 @@ def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1)
 
 
 def with_previous(df: DataFrame, keys: list[str], seq: str, columns: list[str],
-                  slice_rows: int = SLICE_ROWS, small_bytes: int = SMALL_BYTES) -> DataFrame:
+                  slices: int | None = None) -> DataFrame:
     """Adds ``_prev``: ``seq`` and ``columns`` of the row before, per key in ``seq`` order.
 
-    Inputs of up to ``small_bytes`` take one window. Beyond that, keys with more than
-    ``slice_rows`` rows are cut into slices first; rows with a NULL key are not.
+    NULL is a key like any other. The first row of a slice takes the last row of the slice
+    before it, which is one row per slice.
     """
     carried = [seq, *[c for c in columns if c != seq]]
-
-    def previous(w) -> Column:
-        # One lag per existing column: nothing is added to the shuffled rows.
-        return F.struct(*[F.lag(c).over(w).alias(c) for c in carried])
-
-    def null_if_first(prev: Column) -> Column:
-        return F.when(prev[seq].isNotNull(), prev)
-
-    if estimated_bytes(df) <= small_bytes:
-        w = Window.partitionBy(*keys).orderBy(seq)
-        return (df.withColumn("_prev", previous(w))
-                .withColumn("_prev", null_if_first(F.col("_prev"))))
-
-    # Hot keys only: slice them, then hand the last row of a slice to the next one.
-    hot = F.broadcast(hot_keys(df, keys, slice_rows).withColumn("_hot", F.lit(True)))
-    sliced = df.join(hot, keys, "left").withColumn(
-        "_slice", F.when(F.col("_hot"), seq_slice(seq, slice_rows)).otherwise(F.lit(-1)))
-    ends = (sliced.filter("_hot").groupBy(*keys, "_slice")
-            .agg(F.max_by(F.struct(*carried), F.col(seq)).alias("_end")))
+    fields = [*keys, *[c for c in carried if c not in keys]]
+    sliced = in_slices(df, [*keys, seq], slices)
+    ends = sliced.groupBy("_slice").agg(
+        F.max_by(F.struct(*fields), F.struct(*keys, seq)).alias("_end"))
     carry = ends.select(
-        *keys, "_slice",
-        F.lag("_end").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_carry"))
-    w = Window.partitionBy(*keys, "_slice").orderBy(seq)
-    return (sliced.withColumn("_prev", previous(w))
-            .join(carry, [*keys, "_slice"], "left")
-            .select(*df.columns, F.coalesce(null_if_first(F.col("_prev")), F.col("_carry")
-                                            ).alias("_prev")))
+        "_slice", F.lag("_end").over(Window.orderBy("_slice")).alias("_carry"))
+    w = Window.partitionBy("_slice").orderBy(*keys, seq)
+    # One lag per existing column: nothing is added to the shuffled rows.
+    inside = F.struct(*[F.lag(c).over(w).alias(c) for c in fields])
+    before = F.when(F.col("_place") > 1, F.col("_inside")).otherwise(F.col("_carry"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col("_before")[k].eqNullSafe(F.col(k))
+    prev = F.struct(*[F.col("_before")[c].alias(c) for c in carried])
+    return (sliced.withColumn("_inside", inside).withColumn("_place", F.row_number().over(w))
+            .join(carry, "_slice").withColumn("_before", before)
+            .select(*df.columns,
+                    F.when(F.col("_before").isNotNull() & same, prev).alias("_prev")))
 
 
 def row_index(df: DataFrame, seq: str = "seq", lead: list[str] | None = None,
-              out: str = "row_index", slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """1-based position in the order ``(*lead, seq)``, over the whole table.
-
-    ``lead`` columns have few values (a source number, say) and none is NULL.
-    """
-    lead = lead or []
-    sliced = df.withColumn("_slice", seq_slice(seq, slice_rows))
-    sizes = sliced.groupBy(*lead, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+              out: str = "row_index", slices: int | None = None) -> DataFrame:
+    """1-based position in the order ``(*lead, seq)``, over the whole table."""
+    order = [*(lead or []), seq]
+    sliced = in_slices(df, order, slices)
     # One row per slice, not per data row.
-    before = Window.orderBy(*lead, "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *lead, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    w = Window.partitionBy(*lead, "_slice").orderBy(seq)
-    return (sliced.withColumn("_rn", F.row_number().over(w))
-            .join(offsets, [*lead, "_slice"])
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    w = Window.partitionBy("_slice").orderBy(*order)
+    return (sliced.withColumn("_rn", F.row_number().over(w)).join(offsets, "_slice")
             .withColumn(out, (F.col("_offset") + F.col("_rn")).cast("bigint"))
             .drop("_slice", "_rn", "_offset"))
 
@@ -102,15 +87,14 @@ def take_while(df: DataFrame, keep: Column, seq: str = "seq") -> DataFrame:
 
 
 def running_counts(df: DataFrame, group: str, seq: str, write: Column,
-                   slice_rows: int = SLICE_ROWS) -> DataFrame:
+                   slices: int | None = None) -> DataFrame:
     """Per row: writes so far and rows since the last write, within its group.
 
     Returns ``(group, seq, _write, writes, idle)``; rows without a group are left out.
     """
-    # Stated here, the filter is the same for rows and totals, which then share a shuffle.
-    narrow = df.select(group, F.col(seq).alias("seq"), write.alias("_write"),
-                       seq_slice(seq, slice_rows).alias("_slice")
-                       ).filter(F.col(group).isNotNull() & F.col("_slice").isNotNull())
+    narrow = df.select(group, F.col(seq).alias("seq"), write.alias("_write")).filter(
+        F.col(group).isNotNull() & F.col("seq").isNotNull())
+    narrow = in_slices(narrow, [group, "seq"], slices)
     w = (Window.partitionBy(group, "_slice").orderBy("seq")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (narrow.withColumn("_pos", F.row_number().over(w))

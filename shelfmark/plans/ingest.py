@@ -5,37 +5,38 @@ from pyspark.sql import DataFrame
 from ..operators.changes import (
     classify_change, split_keyed, stop_points, until_stop, written,
 )
-from ..session import SMALL_BYTES, cut
-from ..sources.snapshots import SnapshotStore
+from ..session import cut
+from ..sources.snapshots import read_snapshot, write_batch
 
 
-def apply_stop_rules(kinds: DataFrame, max_duplicates: int = 50, max_items: int = 0,
-                     group: str = "seller_name") -> DataFrame:
-    """Rows a run sees before it stops.
+def apply_stop_rules(kinds: DataFrame, max_duplicates: int | None = None,
+                     max_items: int | None = None, group: str = "seller_name") -> DataFrame:
+    """Rows a run sees before it stops; all of them if no rule is given.
 
-    The classified rows are written once and read twice (the first time three columns only),
-    which is cheaper than shuffling them twice. Stop points are one row per seller; they are
-    written too, so that the planner broadcasts them by their known size.
+    The classified rows are written once and read twice, the first time three columns only.
+    ``changes.left_out`` counts what lies behind the stops.
     """
+    if max_duplicates is None and not max_items:
+        return kinds
     kinds = cut(kinds)
-    stops = cut(stop_points(kinds, max_duplicates, max_items, group))
-    return until_stop(kinds, stops, group)
+    return until_stop(kinds, stop_points(kinds, max_duplicates, max_items, group), group)
 
 
-def ingest_run(items: DataFrame, folder: str, batch_id: int, max_duplicates: int = 50,
-               max_items: int = 0, small_bytes: int = SMALL_BYTES) -> DataFrame:
+def ingest_run(items: DataFrame, folder: str, batch_id: int, max_duplicates: int | None = None,
+               max_items: int | None = None) -> DataFrame:
     """Logs the changes of a run, upserts the snapshot and returns the changes.
 
-    Items without a URL go to the failures. Everything a run writes carries its ``batch_id``:
-    a repeated run starts from the versions before it and replaces what it wrote.
+    Items are computed once. Those without a URL go to the failures. Everything a run writes
+    is a partition of its ``batch_id``: a repeated run starts from the versions before it and
+    replaces what it wrote.
     """
-    store = SnapshotStore(items.sparkSession, f"{folder}/snapshot")
-    keyed, keyless = split_keyed(items)
-    kinds = classify_change(keyed, store.read(batch_id, keyed), small_bytes=small_bytes)
-    seen = written(apply_stop_rules(kinds, max_duplicates, max_items))
+    spark = items.sparkSession
+    keyed, keyless = split_keyed(cut(items))
+    known = read_snapshot(spark, f"{folder}/snapshot", batch_id, keyed)
+    seen = written(apply_stop_rules(classify_change(keyed, known), max_duplicates, max_items))
     log = f"{folder}/log/batch={batch_id}"
     seen.write.mode("overwrite").parquet(log)
-    changes = items.sparkSession.read.schema(seen.schema).parquet(log)
+    changes = spark.read.schema(seen.schema).parquet(log)
     keyless.write.mode("overwrite").parquet(f"{folder}/failures/batch={batch_id}")
-    store.upsert(changes, batch_id)
+    write_batch(changes, f"{folder}/snapshot", batch_id)
     return changes

@@ -1,4 +1,4 @@
-"""Session helpers: shared working folder, lineage cuts and size estimates."""
+"""Session helpers: shared working folder and lineage cuts."""
 
 import tempfile
 import uuid
@@ -11,43 +11,37 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Read when the session starts: removes checkpoints that nothing refers to.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-# Below this estimated size one task can hold any group of the input.
-SMALL_BYTES = 256 << 20
-
-
 def working_root(spark: SparkSession) -> str:
-    """The folder shared by all executors, as set in ``spark.checkpoint.dir``."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="shelfmark-")
-    spark.sparkContext.setCheckpointDir(folder)
+    """The folder shared by all executors: ``spark.checkpoint.dir``, made known to Spark.
+
+    A local session without the setting, as in tests, gets a temporary folder; on a cluster
+    the setting is required.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="shelfmark-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder name under the shared root that no other run uses."""
+    """A folder name under the shared root that no other run uses. Its caller owns it."""
     return f"{working_root(spark).rstrip('/')}/shelfmark/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes a table to the shared folder and reads it back.
+    """The same rows, written to the shared folder, so that lost executors cost a read only.
 
-    The result survives lost executors, is computed once, can be read by column, and its
-    true size is known to the planner, which decides on broadcasts by it.
+    Spark deletes what it wrote once nothing refers to it, if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    folder = new_folder(df.sparkSession, "cut")
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan. Starts no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    working_root(df.sparkSession)
+    return df.checkpoint()

@@ -1,77 +1,52 @@
-"""The latest-version table as files: a base, plus one small delta per batch."""
+"""The latest-version table: a plain table with a partition per batch."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.changes import URL, as_snapshot, latest_per_url
+from ..operators.changes import KEYS, as_snapshot, latest_per_url
+from ..schema import SNAPSHOT_COLUMNS
 
+_SCHEMA = T.StructType([
+    *[T.StructField(c, T.StringType()) for c in SNAPSHOT_COLUMNS[:-1]],
+    T.StructField(SNAPSHOT_COLUMNS[-1], T.TimestampType()), T.StructField("batch", T.LongType())])
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of complete sub-folders of a path, on whatever file system it is."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    return sorted(
-        s.getPath().getName() for s in fs.listStatus(root)
-        if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
 
+def read_batches(spark: SparkSession, folder: str, schema: T.StructType,
+                 before: int | None = None) -> DataFrame | None:
+    """All partitions, or those before a batch; None if the table is not there yet."""
+    try:
+        rows = spark.read.schema(schema).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows if before is None else rows.filter(F.col("batch") < before)
 
-class SnapshotStore:
-    """Latest row per URL, updated batch by batch.
 
-    ``upsert`` writes only the rows of its batch, so its cost does not grow with the table,
-    and writing a batch again replaces it. ``read`` resolves versions; ``compact`` folds the
-    deltas into a new base. Readers never see a half-written folder: only those with a
-    success marker count.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def _versions(self, kind: str) -> list[int]:
-        return [int(name) for name in _folders(self.spark, f"{self.path}/{kind}")
-                if name.isdigit()]
-
-    def _folder(self, kind: str, version: int) -> str:
-        return f"{self.path}/{kind}/{version:012d}"
+def write_batch(items: DataFrame, folder: str, batch_id: int, seq: str = "seq") -> None:
+    """The last row per key of a batch as the batch's partition; written again, it replaces it.
 
-    def upsert(self, items: DataFrame, batch_id: int, seq: str = "seq") -> None:
-        """Whole-row replace by URL; the last row of a URL in the batch wins."""
-        (as_snapshot(latest_per_url(items, (seq,)))
-         .write.mode("overwrite").parquet(self._folder("delta", batch_id)))
-
-    def _parts(self, before: int | None = None) -> tuple[list[str], int]:
-        """Folders that make up the table, and the version of its base."""
-        end = float("inf") if before is None else before
-        base = max((v for v in self._versions("base") if v < end), default=-1)
-        folders = [self._folder("base", base)] if base >= 0 else []
-        deltas = [v for v in self._versions("delta") if base < v < end]
-        return folders + [self._folder("delta", v) for v in deltas], max(deltas, default=base)
+    An upsert thus costs as much as its batch.
+    """
+    rows = as_snapshot(latest_per_url(items, (seq,)))
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in _SCHEMA.fields[:-1]])
+    rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
-    def read(self, before: int | None = None, urls: DataFrame | None = None
-             ) -> DataFrame | None:
-        """The table, None if there is none; ``before`` leaves out that batch and later ones.
 
-        ``urls`` limits it to some URLs before versions are resolved, so that a small batch
-        does not shuffle the whole table: the planner broadcasts the URLs if they fit.
-        """
-        folders, _ = self._parts(before)
-        if not folders:
-            return None
-        file = F.col("_metadata.file_path")
-        number = F.regexp_extract(file, r"/(?:base|delta)/([0-9]{12})/[^/]*$", 1).cast("bigint")
-        generation = F.when(F.rlike(file, F.lit(r"/delta/[0-9]{12}/[^/]*$")), number
-                            ).otherwise(F.lit(-1))
-        rows = self.spark.read.parquet(*folders).withColumn("_generation", generation)
-        if urls is not None:
-            rows = rows.join(urls.select(URL).distinct(), URL, "left_semi")
-        return latest_per_url(rows, ("_generation",)).drop("_generation")
+def read_snapshot(spark: SparkSession, folder: str, before: int | None = None,
+                  items: DataFrame | None = None) -> DataFrame | None:
+    """The last version per key, None if there is no table; ``before`` leaves out that batch
+    and later ones.
 
-    def compact(self) -> None:
-        """Folds all deltas into a new base, named after the last of them."""
-        folders, newest = self._parts()
-        if len(folders) > 1 or (folders and "/delta/" in folders[0]):
-            self.read().write.mode("overwrite").parquet(self._folder("base", newest))
+    ``items`` limits it to their keys before versions are resolved, so that a small batch does
+    not shuffle the whole table: the planner broadcasts the keys if they fit.
+    """
+    rows = read_batches(spark, folder, _SCHEMA, before)
+    if rows is None:
+        return None
+    if items is not None:
+        wanted = items.select(*[F.col(k).alias(f"_{k}") for k in KEYS]).distinct()
+        rows = rows.join(wanted, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS], "left_semi")
+    return latest_per_url(rows, ("batch",)).drop("batch")

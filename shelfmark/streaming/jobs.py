@@ -1,20 +1,16 @@
 """Structured Streaming jobs. All run with ``availableNow`` and resume from a checkpoint."""
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import normalize_value
-from ..operators.changes import classify_change, written
+from ..operators.changes import KEYS, classify_change, latest_per_url, written
 from ..operators.extract import dispatch, extract_all
 from ..schema import PRODUCT_COLUMNS
 from ..session import cut
-from ..sources.snapshots import SnapshotStore
+from ..sources.snapshots import read_batches, read_snapshot, write_batch
 
 
 def digest(columns: list[str]):
@@ -25,51 +21,53 @@ def digest(columns: list[str]):
     return F.sha2(F.concat_ws("\x1f", *sizes, *fields), 256)
 
 
-def changes_of_stream(items: DataFrame, keys: tuple[str, ...] = ("seller_name", "seller_product_url"),
-                      seq: str = "seq", compare: list[str] | None = None) -> DataFrame:
-    """Adds ``kind`` to a stream of observations.
+def changes_of_stream(items: DataFrame, folder: str, checkpoint: str, seq: str = "seq",
+                      compare: list[str] | None = None) -> StreamingQuery:
+    """Writes the observations of a stream with their ``kind``, by micro-batch, to ``folder/log``.
 
-    The state per key is one fingerprint, so it grows with the number of URLs and not with
-    the observations. Rows are put in ``seq`` order inside a micro-batch; files must land in
-    ``seq`` order. A group is held in memory, so bound the micro-batch where the stream is
-    read (``stream_table``); ``ingest_stream`` has no such need.
+    Known versions are a table of keys and fingerprints, ``folder/seen``, with a partition per
+    micro-batch, so it grows with the written rows and not with their width. A replayed
+    micro-batch starts from the versions before it and replaces what it wrote. Micro-batches
+    must come in ``seq`` order.
     """
-    compare = compare or [c for c in PRODUCT_COLUMNS if c in items.columns and c not in keys]
-    marked = items.withColumn("_digest", digest(compare))
-    out = T.StructType([*items.schema.fields, T.StructField("kind", T.StringType())])
-    state = T.StructType([T.StructField("digest", T.StringType())])
-    names = out.fieldNames()
-
-    def classify(key: tuple, chunks: Iterator[pd.DataFrame], last: GroupState
-                 ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(seq)
-        before = rows["_digest"].shift(1)
-        if last.exists:
-            before.iloc[0] = last.get[0]
-        same = rows["_digest"].to_numpy() == before.to_numpy()
-        kind = pd.Series("update", index=rows.index).mask(same, "duplicate")
-        kind = kind.mask(before.isna(), "new")
-        last.update((rows["_digest"].iloc[-1],))
-        yield rows.assign(kind=kind)[names]
-
-    return marked.groupBy(*keys).applyInPandasWithState(
-        classify, out, state, "append", GroupStateTimeout.NoTimeout)
+    compare = compare or [c for c in PRODUCT_COLUMNS if c in items.columns and c not in KEYS]
+
+    def classify(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marked = cut(batch.withColumn("_digest", digest(compare)))
+        state = T.StructType([*[marked.schema[k] for k in KEYS], T.StructField("_digest", T.StringType()),
+                              T.StructField("batch", T.LongType())])
+        seen = read_batches(spark, f"{folder}/seen", state, batch_id)
+        if seen is not None:
+            seen = latest_per_url(seen, ("batch",)).drop("batch")
+        kinds = classify_change(marked, seen, seq=seq, compare=["_digest"])
+        log = f"{folder}/log/batch={batch_id}"
+        kinds.write.mode("overwrite").parquet(log)
+        kinds = spark.read.schema(kinds.schema).parquet(log)
+        last = latest_per_url(written(kinds), (seq,)).select(*KEYS, "_digest")
+        last.write.mode("overwrite").parquet(f"{folder}/seen/batch={batch_id}")
+
+    return (items.writeStream.foreachBatch(classify)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def ingest_stream(items: DataFrame, folder: str, checkpoint: str,
                   seq: str = "seq") -> StreamingQuery:
-    """Change log and snapshot of a stream, with the batch operators.
+    """Change log and snapshot of a stream.
 
-    Needs no Python workers and splits hot keys, at the price of reading the snapshot for the
-    URLs of each micro-batch. ``folder/log/batch=N`` holds the classified rows of a micro-batch; a replay
-    starts from the versions before it and replaces what it wrote.
+    ``folder/log/batch=N`` holds the classified rows of a micro-batch, written once and read
+    back for the snapshot; a replay starts from the versions before it and replaces what it
+    wrote.
     """
-    store = SnapshotStore(items.sparkSession, f"{folder}/snapshot")
-
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        kinds = cut(classify_change(batch, store.read(batch_id, batch), seq=seq))
-        kinds.write.mode("overwrite").parquet(f"{folder}/log/batch={batch_id}")
-        store.upsert(written(kinds), batch_id, seq)
+        spark = batch.sparkSession
+        batch = cut(batch)
+        known = read_snapshot(spark, f"{folder}/snapshot", batch_id, batch)
+        kinds = classify_change(batch, known, seq=seq)
+        log = f"{folder}/log/batch={batch_id}"
+        kinds.write.mode("overwrite").parquet(log)
+        kinds = spark.read.schema(kinds.schema).parquet(log)
+        write_batch(written(kinds), f"{folder}/snapshot", batch_id, seq)
 
     return (items.writeStream.foreachBatch(ingest)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -87,11 +85,11 @@ def outcomes_of_stream(pages: DataFrame, domains: dict[str, str] | None = None)
     return extract_all(dispatch(pages, domains))
 
 
-def upsert_stream(items: DataFrame, store: SnapshotStore, checkpoint: str,
+def upsert_stream(items: DataFrame, folder: str, checkpoint: str,
                   seq: str = "seq") -> StreamingQuery:
-    """Keeps a snapshot current. A replayed micro-batch replaces its own delta."""
+    """Keeps a snapshot current. A replayed micro-batch replaces its own partition."""
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(batch, batch_id, seq)
+        write_batch(batch, folder, batch_id, seq)
 
     return (items.writeStream.foreachBatch(upsert)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

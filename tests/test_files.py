@@ -9,7 +9,7 @@ from shelfmark.operators import links
 from shelfmark.schema import PRODUCT_COLUMNS, SNAPSHOT_COLUMNS, fill_missing_columns, template_defaults
 from shelfmark.session import new_folder
 from shelfmark.sources import readers, sinks
-from shelfmark.sources.snapshots import SnapshotStore
+from shelfmark.sources.snapshots import read_snapshot, write_batch
 from shelfmark.streaming import jobs
 from tests.test_ordered import SCHEMA, observations, replay
 
@@ -106,27 +106,27 @@ def test_columns_filled(spark):
     assert template_defaults(df).first()["currency"] == "BDT"
 
 
-def test_snapshot_store(spark):
-    store = SnapshotStore(spark, new_folder(spark, "store"))
-    assert store.read() is None
+def test_snapshot_table(spark):
+    folder = new_folder(spark, "table")
+    assert read_snapshot(spark, folder) is None
 
     def batch(*rows):
         return spark.createDataFrame(rows, "seq long, seller_product_url string, product_name string")
 
     def state(before=None):
-        return {r["seller_product_url"]: r["product_name"] for r in store.read(before).collect()}
+        return {r["seller_product_url"]: r["product_name"] for r in read_snapshot(spark, folder, before).collect()}
 
-    store.upsert(batch((0, "a", "1"), (1, "b", "1"), (2, "a", "2")), 0)
+    write_batch(batch((0, "a", "1"), (1, "b", "1"), (2, "a", "2")), folder, 0)
     assert state() == {"a": "2", "b": "1"}
-    store.upsert(batch((3, "b", "3")), 1)
-    store.upsert(batch((3, "b", "4")), 1)
+    write_batch(batch((3, "b", "3")), folder, 1)
+    write_batch(batch((3, "b", "4")), folder, 1)
     assert state() == {"a": "2", "b": "4"} and state(before=1) == {"a": "2", "b": "1"}
-    assert column(store.read(urls=batch((0, "b", "x"), (1, "z", "x"))), "product_name") == ["4"]
-    store.compact()
-    store.compact()
-    assert state() == {"a": "2", "b": "4"}
-    store.upsert(batch((9, "c", "5"), (10, None, "x")), 2)
+    wanted = batch((0, "b", "x"), (1, "z", "x")).withColumn("seller_name", F.lit(None).cast("string"))
+    assert column(read_snapshot(spark, folder, items=wanted), "product_name") == ["4"]
+    write_batch(batch((9, "c", "5"), (10, None, "x")), folder, 2)
     assert state() == {"a": "2", "b": "4", "c": "5"}
+    write_batch(batch((0, "a", "repeated")), folder, 0)
+    assert state() == {"a": "repeated", "b": "4", "c": "5"}
 
 
 @pytest.mark.parametrize("job", ["state", "batch"])
@@ -138,10 +138,10 @@ def test_streams_equal_replay_and_resume(spark, job):
         part.repartition(3).write.mode("append").parquet(landing)
         stream = readers.stream_table(spark, landing, SCHEMA)
         if job == "state":
-            jobs.to_files(jobs.changes_of_stream(stream), out, checkpoint).awaitTermination()
+            jobs.changes_of_stream(stream, out, checkpoint).awaitTermination()
         else:
             jobs.ingest_stream(stream, out, checkpoint).awaitTermination()
-    got = spark.read.parquet(out if job == "state" else f"{out}/log").collect()
+    got = spark.read.parquet(f"{out}/log").collect()
     assert {r["seq"]: r["kind"] for r in got} == replay(rows)
     assert len(got) == len(rows)
 

@@ -39,6 +39,11 @@ def replay(rows, known=()):
     return kinds
 
 
+def replay_any(rows):
+    """As ``replay``, for rows whose seller may be None."""
+    return replay([(seq, s or "", *rest) for seq, s, *rest in rows])
+
+
 def replay_stop(rows, kinds, max_duplicates, max_items):
     """Rows each seller's run sees before it stops."""
     kept = []
@@ -48,7 +53,7 @@ def replay_stop(rows, kinds, max_duplicates, max_items):
             kept.append(row[0])
             if kinds[row[0]] == "duplicate":
                 in_a_row += 1
-                if in_a_row >= max_duplicates:
+                if max_duplicates is not None and in_a_row >= max_duplicates:
                     break
             else:
                 in_a_row, count = 0, count + 1
@@ -57,25 +62,35 @@ def replay_stop(rows, kinds, max_duplicates, max_items):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("small_bytes", [1 << 40, 0], ids=["one window", "sliced hot keys"])
-def test_classify_equals_replay(spark, small_bytes):
-    rows = observations(1)
+@pytest.mark.parametrize("slices", [None, 40])
+@pytest.mark.parametrize("spread", [1, 1_700_000_123])
+def test_classify_equals_replay(spark, slices, spread):
+    """Also with positions as sparse as timestamps, and a hot key without a seller."""
+    rows = [(seq * spread, None if s == "s0" else s, *rest) for seq, s, *rest in observations(1)]
     df = cut(spark.createDataFrame(rows, SCHEMA).repartition(5))
-    got = changes.classify_change(df, slice_rows=64, small_bytes=small_bytes)
-    assert {r["seq"]: r["kind"] for r in got.collect()} == replay(rows)
+    got = changes.classify_change(df, slices=slices)
+    assert {r["seq"]: r["kind"] for r in got.collect()} == replay_any(rows)
     assert got.columns == df.columns + ["kind"]
-    assert ("_slice" in got._jdf.queryExecution().toString()) == (small_bytes == 0)
 
 
-@pytest.mark.parametrize("small_bytes", [1 << 40, 0])
-def test_classify_with_known_versions(spark, small_bytes):
+@pytest.mark.parametrize("spread", [1, 1_700_000_123])
+def test_slices_are_even_for_any_positions(spark, spread):
+    rows = [(seq * spread, *rest) for seq, *rest in observations(1)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    sizes = [r["count"] for r in ordered.in_slices(df, ["seller_name", "seller_product_url", "seq"], 10)
+             .groupBy("_slice").count().collect()]
+    assert 8 <= len(sizes) <= 10 and max(sizes) < 2 * len(rows) / 10
+
+
+@pytest.mark.parametrize("slices", [None, 25])
+def test_classify_with_known_versions(spark, slices):
     rows = observations(2, n=800)
     known = {("s0", "https://s0/0"): ("name", "100"), ("s1", "https://s1/3"): ("name", "7")}
     stored = spark.createDataFrame(
         [(s, u, n, p) for (s, u), (n, p) in known.items()],
         "seller_name string, seller_product_url string, product_name string, current_price string")
     df = spark.createDataFrame(rows, SCHEMA)
-    got = changes.classify_change(df, stored, slice_rows=32, small_bytes=small_bytes)
+    got = changes.classify_change(df, stored, slices=slices)
     assert {r["seq"]: r["kind"] for r in got.collect()} == replay(rows, known)
 
 
@@ -87,26 +102,25 @@ def test_rows_without_url_are_set_apart(spark):
     assert sorted(r["seq"] for r in keyed.collect()) == [1, 2]
 
 
-@pytest.mark.parametrize("duplicates,items", [(3, 0), (8, 0), (1000, 100), (6, 40), (10 ** 9, 0), (1, 1)])
+@pytest.mark.parametrize("duplicates,items", [(3, 0), (8, 0), (1000, 100), (6, 40), (10 ** 9, 0), (1, 1), (None, 40), (None, None), (0, 0)])
 def test_stop_rules_equal_replay(spark, duplicates, items):
     rows = observations(3, n=1500)
     kinds = replay(rows)
     df = spark.createDataFrame([(*r, kinds[r[0]]) for r in rows], SCHEMA + ", kind string").repartition(4)
-    stops = changes.stop_points(df, duplicates, items, slice_rows=50)
+    stops = changes.stop_points(df, duplicates, items, slices=20)
     got = sorted(r["seq"] for r in changes.until_stop(df, stops).collect())
     assert got == replay_stop(rows, kinds, duplicates, items)
     assert sorted(r["seq"] for r in apply_stop_rules(df, duplicates, items).collect()) == got
+    assert sum(r["n_left_out"] for r in changes.left_out(df, stops).collect()) == len(rows) - len(got)
 
 
 def test_row_index_is_dense_and_ordered(spark):
     rng = random.Random(4)
     rows = [(src, seq) for src in (0, 1) for seq in rng.sample(range(5000), 700)]
     df = spark.createDataFrame(rows, "src int, seq long").repartition(6)
-    got = ordered.row_index(df, lead=["src"], slice_rows=100).collect()
+    got = ordered.row_index(df, lead=["src"], slices=14).collect()
     assert [(r["src"], r["seq"]) for r in sorted(got, key=lambda r: r["row_index"])] == sorted(rows)
     assert sorted(r["row_index"] for r in got) == list(range(1, 1401))
-    # No window over the rows themselves without a partition.
-    assert "_slice" in ordered.row_index(df)._jdf.queryExecution().toString()
 
 
 @pytest.mark.parametrize("n,size", [(10, 4), (8, 4), (1, 4), (0, 4)])
@@ -141,6 +155,14 @@ def test_whole_row_replace(spark):
     assert got == {"u": ("d", None), "v": ("b", "No")}
 
 
+def test_two_sellers_with_one_url(spark):
+    rows = [(0, "a", "u", "n", "1"), (1, "b", "u", "n", "2")]
+    folder = new_folder(spark, "sellers")
+    assert ingest_run(spark.createDataFrame(rows, SCHEMA), folder, 0).count() == 2
+    again = spark.createDataFrame([(seq + 2, *rest) for seq, *rest in rows], SCHEMA)
+    assert ingest_run(again, folder, 1).count() == 0
+
+
 def test_repeated_ingest_run_changes_nothing(spark):
     rows = observations(6, n=400)
     half = len(rows) // 2
@@ -151,9 +173,9 @@ def test_repeated_ingest_run_changes_nothing(spark):
         log = spark.read.parquet(f"{folder}/log")
         return sorted((r["seq"], r["kind"]) for r in log.collect())
 
-    ingest_run(first, folder, 0, max_duplicates=10 ** 6)
-    ingest_run(second, folder, 1, max_duplicates=10 ** 6)
+    ingest_run(first, folder, 0)
+    ingest_run(second, folder, 1)
     before = state()
     assert before == sorted((s, k) for s, k in replay(rows).items() if k != "duplicate")
-    ingest_run(second, folder, 1, max_duplicates=10 ** 6)
+    ingest_run(second, folder, 1)
     assert state() == before
