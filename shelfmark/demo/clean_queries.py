@@ -100,6 +100,8 @@ def _clean_startech(spark, sf_dir):
     return clean_startech(view(spark, sf_dir, "raw_products"), view(spark, sf_dir, "price_patch"))
 
 
+_STOCK = (f"(case when regexp_matches(stock, '{NUMBER}') then try_cast(trim(stock) as double)"
+          " when lower(trim(stock)) = 'true' then 1.0 else 0.0 end)")
 _CONFORMED = {
     "product_name": "title", "product_slug": slug_sql("coalesce(title, '')"),
     "product_description": "trim(replace(coalesce(description, ''), chr(10), ' '))",
@@ -109,8 +111,8 @@ _CONFORMED = {
     "primary_image_url": "coalesce(primary_image_url, '')",
     "image_urls": "trim(replace(coalesce(image_urls, ''), chr(10), ' '))",
     "review_count": "cast(coalesce(reviews, 0) as bigint)",
-    "stock_quantity": "cast(coalesce(stock, false) as bigint)",
-    "in_stock": "coalesce(stock, false)", "is_active": "coalesce(stock, false)",
+    "stock_quantity": f"cast({_STOCK} as bigint)",
+    "in_stock": f"{_STOCK} > 0", "is_active": f"{_STOCK} > 0",
     "seller_name": "'Arogga'", "seller_rating": "rating", "seller_slug": "'arogga'",
     "base_url": "regexp_extract(link, '^([a-z]+):', 1) || '://' "
                 "|| regexp_extract(link, '^[a-z]+://([^/?#]*)', 1) || '/'",

@@ -7,7 +7,7 @@ from ..operators import links
 from ..operators.extract import all_anchors, followed_urls, page_links
 from ..sources.readers import entrypoints_or_default, listed_urls, without_headings
 from .catalog import query
-from .views import product_pages, spread, table, view
+from .views import product_pages, table, view
 
 # Every page's anchors, absolute; the pages only have root-relative links.
 _ANCHORS = """anchors as (
@@ -20,7 +20,7 @@ _HOST = "regexp_extract({0}, '^[a-z]+://([^/?#]*)', 1)"
 
 
 def _anchors(spark, sf_dir):
-    return all_anchors(spread(table(spark, sf_dir, "pages")))
+    return all_anchors(table(spark, sf_dir, "pages"))
 
 
 @query("make_absolute_links", (), f"with {_ANCHORS} select source_url, href, url from absolute")
@@ -44,7 +44,7 @@ select url from wanted where url not in (select url from visited)""".replace(
     "absolute join pages on source_url = pages.url", "absolute join (select url as page_url, page_id from pages) on source_url = page_url"))
 def _frontier(spark, sf_dir):
     """What even pages link to counts as visited; all pages are searched for links."""
-    pages = spread(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     found = all_anchors(pages)
     visited = links.absolute_links(all_anchors(pages.filter(_PAGE_ID)))
     return links.frontier_step(found, visited, "example.com")
@@ -94,7 +94,7 @@ except select href from absolute join (select url as page_url, page_id from page
 where page_id % 2 = 0""")
 def _difference(spark, sf_dir):
     """New links of odd pages, given those of even pages."""
-    pages = spread(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     odd, even = (all_anchors(pages.filter(c)).select(F.col("href").alias("url"))
                  for c in ("page_id % 2 = 1", "page_id % 2 = 0"))
     return links.difference(odd, even)
@@ -108,12 +108,14 @@ def _pending(spark, sf_dir):
         view(spark, sf_dir, "url_list"), view(spark, sf_dir, "crawl_items")).select("seq", "url")
 
 
-@query("shuffled_pending", ("url_list", "crawl_items"))
+@query("shuffled_pending", ("url_list", "crawl_items"), """
+, done as (select distinct seller_product_url as url from crawl_items)
+select url from url_list where url not in (select url from done)""")
 def _shuffled(spark, sf_dir):
-    """In random order."""
+    """In random order; the check compares the rows, whatever their order."""
     pending = links.pending_urls(
         view(spark, sf_dir, "url_list"), view(spark, sf_dir, "crawl_items"))
-    return pending.select("url").orderBy(F.rand(42))
+    return links.shuffled(pending.select("url"), 42)
 
 
 @query("pagination_cutoff", ("listing_pages",), """

@@ -13,7 +13,7 @@ from .catalog import query
 from .change_queries import KINDS, LATEST, _COLUMNS
 from .link_queries import _ANCHORS
 from .page_queries import EXPECTED, product_sql
-from .views import product_pages, spread, table, view
+from .views import product_pages, table, view
 
 SLICES = 2
 
@@ -76,7 +76,7 @@ def _ingest(spark, sf_dir):
 
 @query("stream_link_dedup", (), f"with {_ANCHORS} select distinct url from absolute")
 def _links(spark, sf_dir):
-    found = all_anchors(spread(table(spark, sf_dir, "pages")))
+    found = all_anchors(table(spark, sf_dir, "pages"))
     links = found.select("source_url", make_absolute(F.col("href"), F.col("source_url")).alias("url"))
     source, out = new_folder(spark, "links"), new_folder(spark, "urls")
     links.filter("url is not null").write.parquet(source)

@@ -55,7 +55,8 @@ select p_partkey as seq,
   cast(p_size * 12 as string) as price,
   case when p_partkey % 8 = 0 then null else 'https://cdn.example.com/' || cast(p_partkey as string) || '.jpg' end as primary_image_url,
   'https://cdn.example.com/a.jpg' || chr(10) || 'https://cdn.example.com/b.jpg' as image_urls,
-  case when p_partkey % 7 = 0 then null else p_size % 2 = 0 end as stock,
+  case when p_partkey % 7 = 0 then null when p_partkey % 7 = 1 then ' ' when p_partkey % 7 = 2 then cast(p_size % 3 as string)
+       when p_partkey % 7 = 3 then cast(p_size as string) || '.0' when p_size % 2 = 0 then 'True' else 'False' end as stock,
   case when p_partkey % 10 = 0 then null when p_partkey % 10 = 1 then 'no brand' when p_partkey % 10 = 2 then 'Acme International'
        when p_partkey % 10 = 3 then 'Tradewind' when p_partkey % 10 = 4 then ' , ' else p_brand end as brand,
   'Line one' || chr(10) || 'line two ' as description,
@@ -99,15 +100,15 @@ from part
 
 # Shop markup per profile number, as the profiles expect it.
 _MARKUP = {
-    0: """'<h1 itemprop="name"> ' || p_name || ' </h1><p>Product Id: <span>33.01.' || cast(p_partkey as string) || '</span></p><span class="new-sp-text">Tk 1,' || lpad(cast(p_size as string),3,'0') || '</span><span class="new-reg-text">Tk 2,' || lpad(cast(p_size as string),3,'0') || '</span><img class="slideshow-items active" src="https://cdn.example.com/' || cast(p_partkey as string) || '.jpg"><div class="card-body"><div class="d-flex"><a itemtype="http://schema.org/Thing" href="/">Home</a><a itemtype="http://schema.org/Thing" href="/c">All ' || p_type || '</a><a itemtype="http://schema.org/Thing" href="/b">' || p_brand || '</a><a itemtype="http://schema.org/Thing" href="/p">' || p_name || '</a></div></div><div class="overview"><ul class="category-info"><li> Alpha </li><li></li><li>Beta</li></ul></div>' || repeat('<div class="qna-body">r</div>', cast(p_size % 3 as int)) || '<link itemprop="availability" href="https://schema.org/' || case when p_size > 10 then 'InStock' else 'OutOfStock' end || '">'""",
-    1: """'<section><div><ul><li><a href="/"><span>Home</span></a></li><li><a href="/c"><span>' || p_type || '</span></a></li></ul></div></section><div>bar</div><div>menu</div><div>ad</div><div>path</div><div class="product-details"><div><div><div>left</div><div><div><div><div><a href="/zoom"><img src="https://cdn.example.com/s' || cast(p_partkey as string) || '.jpg"></a></div></div></div></div></div></div><h1 class="product-name">' || p_name || '</h1><table><td class="product-price">1,' || lpad(cast(p_size as string),3,'0') || '৳</td><td class="product-regular-price">2,000৳</td><td class="product-status">' || case when p_size > 10 then 'In Stock' else 'Out Of Stock' end || '</td><td class="product-code">' || cast(p_partkey as string) || '</td></table><div id="write-review"><div><div><h2>Reviews (' || cast(p_size as string) || ')</h2></div></div></div></div>'""",
-    2: """'<nav class="woocommerce-breadcrumb"><a href="/">Home</a><a href="/s">Shop</a><a href="/c">' || p_type || '</a></nav><h1 class="product_title entry-title">' || p_name || ' &amp; Co</h1><a class="woocommerce-main-image pswp-main-image zoom" href="/z"><img src="https://c.example.com/l.jpg"></a><p class="price"><bdi>৳ 2,000</bdi>' || case when p_size > 10 then '<bdi><span class="sym">&#2547;&nbsp;</span>1,' || lpad(cast(p_size as string),3,'0') || '</bdi>' else '' end || '</p><span class="product_brand"><a href="/b">' || p_brand || '</a></span><span class="sku">L' || cast(p_partkey as string) || '</span><div aria-labelledby="tab-title-description"><div><p> One </p></div><p>Two</p></div><div>after</div>'""",
+    0: """'<h1 itemprop="name"> ' || p_name || ' </h1><p><b>Product Id:</b> <span>33.01.' || cast(p_partkey as string) || '</span></p><span class="new-sp-text">Tk 1,' || lpad(cast(p_size as string),3,'0') || '</span><span class="new-reg-text">Tk 2,' || lpad(cast(p_size as string),3,'0') || '</span><img class="slideshow-items active" alt="big > small" src="https://cdn.example.com/' || cast(p_partkey as string) || '.jpg"><div class="card-body"><div class="d-flex"><a itemtype="http://schema.org/Thing" href="/">Home</a><a itemtype="http://schema.org/Thing" href="/c">All ' || p_type || '</a><a itemtype="http://schema.org/Thing" href="/b">' || p_brand || '</a><a itemtype="http://schema.org/Thing" href="/p">' || p_name || '</a></div></div><div class="overview"><ul class="category-info"><li> Alpha </li><li></li></ul><p>and</p><ul class="category-info"><li>Beta</li></ul></div>' || repeat('<div class="qna-body">r</div>', cast(p_size % 3 as int)) || '<link itemprop="availability" href="https://schema.org/' || case when p_size > 10 then 'InStock' else 'OutOfStock' end || '">'""",
+    1: """'<section><div><ul><li><a href="/"><span>Home</span></a></li><li><a href="/c"><span>' || p_type || '</span></a></li></ul></div></section><div>bar</div><div>menu</div><div>ad</div><div>path</div><div class="product-details"><div><div><div>left</div><div><div><div><div><a href="/zoom"><img src="https://cdn.example.com/s' || cast(p_partkey as string) || '.jpg"></a></div></div></div></div></div></div><h1 class="product-name">' || p_name || '</h1><table><td class="product-price"><del>900</del> 1,' || lpad(cast(p_size as string),3,'0') || '৳</td><td class="product-regular-price">2,000৳</td><td class="product-status">' || case when p_size > 10 then 'In Stock' else 'Out Of Stock' end || '</td><td class="product-code">' || cast(p_partkey as string) || '</td></table><div id="write-review"><div><div><h2>Reviews (' || cast(p_size as string) || ')</h2></div></div></div></div>'""",
+    2: """'<nav class="woocommerce-breadcrumb"><a href="/">Home</a><a href="/s">Shop</a><a href="/c">' || p_type || '</a></nav><h1 class="product_title entry-title">' || p_name || ' &#0000000038; Co</h1><a class="woocommerce-main-image pswp-main-image zoom" href="/z"><img src="https://c.example.com/l.jpg"></a><p class="price"><bdi>৳ 2,000</bdi>' || case when p_size > 10 then '<bdi><span class="sym">&#2547;&nbsp;</span>1,' || lpad(cast(p_size as string),3,'0') || '</bdi>' else '' end || '</p><span class="product_brand"><a href="/b">' || p_brand || '</a></span><span class="sku">L' || cast(p_partkey as string) || '</span><div aria-labelledby="tab-title-description"><div><p> One </p></div><p>Two</p></div><div>after</div>'""",
     3: """'<nav class="woocommerce-breadcrumb"><a href="/">Home</a><a href="/c">' || p_type || '</a></nav><h1 class="product_title entry-title">' || p_name || '</h1><li itemprop="associatedMedia"><img src="data:image/gif;base64,R0"></li><li itemprop="associatedMedia"><img src="https://c.example.com/' || cast(p_size as string) || '-150x150.jpg"></li><li itemprop="associatedMedia"><img src="https://c.example.com/' || cast(p_size as string) || '.jpg"></li><p class="price"><bdi>৳ 2,000</bdi>' || case when p_size > 10 then '<bdi>৳ 1,500</bdi>' else '' end || '</p><li class="product-tag-item"><a href="/t">' || p_brand || '</a></li>' || case when p_size % 2 = 0 then '<p class="stock">In stock</p>' else '' end || '<div class="cg-accordion-item"><b>Info</b> text</div>'""",
-    4: """'<div class="post-content"><h3 class="fw-medium">' || p_name || '</h3><div class="post-content__price"><h3 class="fw-medium">৳ 1,' || lpad(cast(p_size as string),3,'0') || '</h3><del>৳ 2,000</del></div><div class="post-content__brand"><a href="/shop?brand=' || replace(lower(p_brand),'#','-') || '">' || p_brand || '</a><strong>Barcode</strong>: 880' || cast(p_partkey as string) || '</div><span>Category</span><a href="/shop?category=a">A,</a><a href="/shop?category=' || lower(p_type) || '">' || p_type || '</a><div class="rating"><button>' || cast(p_size as string) || ' Reviews</button></div>' || case when p_size > 40 then '<span class="trk-btn--stock-out">Out of Stock</span>' else '' end || '<img src="https://cdn.kireibd.com/storage/all/' || cast(p_partkey as string) || '.png"><div class="product-details__content"><p>One</p><p> Two </p></div></div>'""",
-    5: """'<div class="breadcrumbs"><ul><li><a href="/">Home</a></li><li><a href="/c">' || p_type || '</a></li><li><a href="/p">' || p_name || '</a></li></ul></div><h1 class="page-title"><span>' || p_name || '</span></h1><div itemprop="sku">SKU: ' || cast(p_partkey as string) || '</div><div id="MagicToolboxSelectors1"><a href="https://c.example.com/1.jpg"></a><a href="https://c.example.com/2.jpg"></a></div><div class="product-info-custom"><span class="price">BDT1,' || lpad(cast(p_size as string),3,'0') || '</span><span class="price">BDT2,000</span></div><div id="brand_name">' || p_brand || '</div><span itemprop="reviewCount">1,' || lpad(cast(p_size as string),3,'0') || ' reviews</span><div id="description"><p>One</p></div>'""",
-    6: """'<h1 class="product__heading h2">' || p_name || '</h1><price-money><bdi>৳1,' || lpad(cast(p_size as string),3,'0') || '</bdi></price-money>' || case when p_size > 10 then '<price-money><bdi>৳2,000</bdi></price-money>' else '' end || '<thumbnail-slider><img src="https://c.example.com/a.jpg"><img src="https://c.example.com/b.jpg"></thumbnail-slider><div class="accordion__content rte">Soft text</div><span class="jdgm-rev-widg__summary-average">4.5 out of 5</span><div class="jdgm-rev-widg__summary-text jdgm-all-reviews__summary-text--verified">Based on ' || cast(p_size as string) || ' reviews</div>'""",
-    7: """'<div class="mt-2 title-full fs-6">' || p_name || '</div><div class="title fw-bold fs-5"><a href="/b">' || p_brand || '</a></div><span class="fw-semibold">৳ 2,000</span>' || case when p_size > 10 then '<span class="fw-semibold">10% off</span>' else '' end || case when p_size > 20 then '<span class="fw-semibold">৳ 1,800</span>' else '' end || '<span class="ms-1 m-fs-6 fs-6">' || case when p_size % 2 = 0 then 'Add to Cart' else 'Stock Out' end || '</span><ul id="shortDesc"><li>Short</li></ul><div class="swiper-slide-visible" data-swiper-slide-index="0"><img src="https://c.example.com/7.jpg"></div><div data-swiper-slide-index="1"><img data-src="https://c.example.com/8.jpg"></div>'""",
-    8: """'<span class="text-sm text-brand">' || p_brand || '</span><div class="text-sm whitespace-nowrap text-gray-500 line-through product_single_mrp_generate">' || case when p_size > 10 then 'MRP ৳1,500' else '' end || '</div><img alt="Image 1" src="https://c.example.com/1.jpg"><img alt="Image 2" src="https://c.example.com/1.jpg">' || case when p_size % 2 = 0 then '<span>Add To Cart</span>' else '' end || '<div class="mt-4">Desc</div><span class="text-gray-700">4.2/5</span><div class="text-sm text-gray-500">' || cast(p_size as string) || ' Ratings</div>'""",
+    4: """'<div class="post-content"><h3 class="fw-medium">' || p_name || '</h3><div class="post-content__price"><h3 class="fw-medium">৳ 1,' || lpad(cast(p_size as string),3,'0') || '</h3><del>৳ 2,000</del></div><div class="post-content__brand"><a href="/shop?brand=' || replace(lower(p_brand),'#','-') || '">' || p_brand || '</a><strong>Barcode</strong>: ' || chr(10) || '  880' || cast(p_partkey as string) || '</div><span>Category</span><a href="/shop?category=a">A,</a> <i>and</i> <a href="/shop?category=' || lower(p_type) || '">' || p_type || ',' || chr(10) || '</a><div class="rating"><button>' || cast(p_size as string) || ' Reviews</button></div>' || case when p_size > 40 then '<span class="trk-btn--stock-out">Out of Stock</span>' else '' end || '<img src="https://cdn.kireibd.com/storage/all/' || cast(p_partkey as string) || '.png"><div class="product-details__content"><p>One</p><p> Two </p></div></div>'""",
+    5: """'<div class="breadcrumbs"><ul><li><a href="/">Home</a></li><li><a href="/c">' || p_type || '</a></li><li><a href="/p">' || p_name || '</a></li></ul></div><h1 class="page-title"><span>' || p_name || '</span></h1><div itemprop="sku">SKU: ' || chr(10) || ' ' || cast(p_partkey as string) || '</div><div id="MagicToolboxSelectors1"><a href="https://c.example.com/1.jpg"></a><a href="https://c.example.com/2.jpg"></a></div><div class="product-info-custom"><span class="price">BDT1,' || lpad(cast(p_size as string),3,'0') || '</span><span class="price">BDT2,000</span></div><div id="brand_name">' || p_brand || '</div><span itemprop="reviewCount">1,' || lpad(cast(p_size as string),3,'0') || ' reviews</span><div id="description"><p>One</p></div>'""",
+    6: """'<h1 class="product__heading h2"><span>' || p_name || '</span></h1><price-money><bdi>৳1,' || lpad(cast(p_size as string),3,'0') || '</bdi></price-money>' || case when p_size > 10 then '<price-money><bdi>৳2,000</bdi></price-money>' else '' end || '<thumbnail-slider><img src="https://c.example.com/a.jpg"><img src="https://c.example.com/b.jpg"></thumbnail-slider><div class="accordion__content rte">Soft text</div><span class="jdgm-rev-widg__summary-average"><b>4.5</b> out of 5</span><div class="jdgm-rev-widg__summary-text jdgm-all-reviews__summary-text--verified">Based on ' || cast(p_size as string) || ' reviews</div>'""",
+    7: """'<div class="mt-2 title-full fs-6">' || p_name || '</div><div class="title fw-bold fs-5"><a href="/b"><b>' || p_brand || '</b></a></div><span class="fw-semibold">৳ 2,000</span>' || case when p_size > 10 then '<span class="fw-semibold">10% off</span>' else '' end || case when p_size > 20 then '<span class="fw-semibold">৳ 1,800</span>' else '' end || '<span class="ms-1 m-fs-6 fs-6">' || case when p_size % 2 = 0 then '<b>Add</b> to Cart' else 'Stock Out' end || '</span><ul id="shortDesc"><li>Short</li></ul><div class="swiper-slide-visible" data-swiper-slide-index="0"><img src="https://c.example.com/7.jpg"></div><div data-swiper-slide-index="1"><img data-src="https://c.example.com/8.jpg"></div>'""",
+    8: """'<span class="text-sm text-brand">' || p_brand || '</span><div class="text-sm whitespace-nowrap text-gray-500 line-through product_single_mrp_generate">' || case when p_size > 10 then 'MRP ৳1,500' else '' end || '</div><img alt="Image 1" src="https://c.example.com/1.jpg"><img alt="Image 2" src="https://c.example.com/1.jpg">' || case when p_size % 2 = 0 then '<span><i></i>Add To <b>Cart</b></span>' else '' end || '<div class="mt-4">Desc</div><span class="text-gray-700">4.2/5</span><div class="text-sm text-gray-500">' || cast(p_size as string) || ' Ratings</div>'""",
     9: """case when p_partkey % 40 = 39 then '<p>empty</p>' else '<div class="category-single-product"><h4 class="product-name"><a href="/product/item-' || cast(p_partkey - 9 as string) || '?x=1#top">a</a></h4><h4 class="product-name"><a href="/product/item-' || cast(p_partkey - 9 as string) || '?x=1#top">dup</a></h4><h4 class="product-name"><a href="//shop9.example.com/product/item-' || cast(p_partkey % 100 as string) || '">b</a></h4></div><a href="javascript:void(0)">j</a><a href="/cart">c</a><a href="mailto:a@example.com">m</a><a href="#x">h</a><a href="http://other.example.org/product/1">o</a><ul><li class="page-item"><a href="?category=' || lower(p_type) || '&page=' || cast(p_size + 1 as string) || '" rel="next">n</a></li></ul><h4 class="p-item-name"><a href="/st-' || cast(p_partkey as string) || '">s</a><a href="/account/x">acc</a></h4><ul class="pagination"><li><a href="/st?page=2">2</a></li></ul><h2 class="product-title"><a href="/li-' || cast(p_partkey as string) || '">l</a></h2><a class="woocommerce-LoopProduct-link" href="/li-' || cast(p_partkey as string) || '"></a><a class="next page-numbers" href="/li/page/2">n</a><div class="woocommerce-loop-product__title"><a href="/he-' || cast(p_partkey as string) || '">h</a></div><a aria-label="Next" href="/he?page=2">n</a><li class="item product product-item"><div><div><a href="/ba-' || cast(p_partkey as string) || '">b</a></div></div></li><a class="action  next" href="/ba?p=2">n</a><a class="action  next" href="/ba?p=3">n</a><a href="/tm-' || cast(p_partkey as string) || '"><div class="image-container text-center">t</div></a><div class="card-product_title line-clamp"><a href="/oh-' || cast(p_partkey as string) || '">o</a></div>' end""",
 }
 
@@ -158,15 +159,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Uses all cores for row-wise work on an input of fewer splits than cores.
-
-    On large tables the scan has more splits than that and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 _LANDED: dict[tuple[str, str], str] = {}
 
 
@@ -174,9 +166,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as a crawler would have left them: a table of files, landed once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
-        spread(table(spark, sf_dir, "part")).createOrReplaceTempView("_spread_part")
         folder = new_folder(spark, "pages")
-        spark.sql(VIEWS["product_pages"].replace("from part", "from _spread_part")
-                  ).write.parquet(folder)
+        view(spark, sf_dir, "product_pages").write.parquet(folder)
         _LANDED[key] = folder
     return spark.read.parquet(_LANDED[key])

@@ -16,7 +16,6 @@ from .links import explode_links
 
 NOT_A_PRODUCT = "Parser returned None"
 NO_PROFILE = "No parser found"
-BROADCAST_SHOPS = 100_000
 
 
 def _readable(pages: DataFrame) -> DataFrame:
@@ -137,16 +136,13 @@ def profile_of_host(h: Column) -> Column:
 def dispatch(pages: DataFrame, domains: dict[str, str] | None = None) -> DataFrame:
     """Adds ``domain`` and ``profile``; the latter is NULL for unknown shops.
 
-    ``domains`` maps shop domains to profile names. Pages are never shuffled for it unless it
-    has more than ``BROADCAST_SHOPS`` entries.
+    ``domains`` maps shop domains to profile names: a local table of known size, so the planner
+    decides how to join it.
     """
     located = pages.withColumn("domain", host(F.col("url")))
     if domains is None:
         return located.withColumn("profile", profile_of_host(F.col("domain")))
-    shops = profile_table(pages.sparkSession, domains)
-    if len(domains) <= BROADCAST_SHOPS:
-        shops = F.broadcast(shops)
-    return located.join(shops, "domain", "left")
+    return located.join(profile_table(pages.sparkSession, domains), "domain", "left")
 
 
 def _with_seller(dispatched: DataFrame, kept: list[str]) -> DataFrame:

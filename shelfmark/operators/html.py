@@ -11,6 +11,7 @@ nor backtrack without end.
 """
 
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,14 +28,14 @@ _OWN_TEXT = rf"(?:{_LEAF})*+([^<]*+)"
 _VALUE = r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 _QUOTES = "\"'"
 
-# Named character references decoded in text; `&amp;` must stay last.
-NAMED_ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&copy;": "©", "&reg;": "®", "&trade;": "™", "&middot;": "·", "&bull;": "•",
-    "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“",
-    "&rdquo;": "”", "&hellip;": "…", "&times;": "×", "&deg;": "°", "&laquo;": "«",
-    "&raquo;": "»", "&euro;": "€", "&pound;": "£", "&amp;": "&",
-}
+# Character references by name, from the standard library's table; a hard space reads as a blank.
+NAMED_REFERENCES = {name: chr(code) for name, code in name2codepoint.items()
+                    } | {"apos": "'", "nbsp": " "}
+
+# A reference, a run of other text, or a stray ampersand.
+_PIECE = r"(&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);|[^&]++|&)"
+# The end of a tag's attribute value that holds a closing bracket.
+_BRACKET_IN_VALUE = r"(?<==)(\"[^\"<>]*+)>([^\"<]*+\"(?=[\s/>]))|(?<==)('[^'<>]*+)>([^'<]*+'(?=[\s/>]))"
 
 # Elements that always have a closing tag and give a page its structure.
 STRUCTURE = ["div", "section", "article", "header", "footer", "main", "nav", "aside",
@@ -76,8 +77,12 @@ def _content(name: str) -> str:
 
 
 def strip_noise(html: Column) -> Column:
-    """Without scripts, styles and comments, whose text could look like markup."""
-    return F.regexp_replace(html, _NOISE, "")
+    """Without scripts, styles and comments, whose text could look like markup, and with the
+    closing brackets in quoted attribute values (two at most) written as references."""
+    page = F.regexp_replace(html, _NOISE, "")
+    for _ in range(2):
+        page = F.regexp_replace(page, _BRACKET_IN_VALUE, "$1$3&gt;$2$4")
+    return page
 
 
 def has(html: Column, pattern: str) -> Column:
@@ -96,9 +101,10 @@ def following(html: Column, pattern: str) -> Column:
     return F.regexp_extract(html, rf"{pattern}([\s\S]*)", 1)
 
 
-def flats(html: Column, pattern: str, name: str) -> Column:
-    """Contents of all matches, for elements that do not hold one of their own name."""
-    return F.regexp_extract_all(html, F.lit(pattern + _content(name)), F.lit(1))
+def flats(html: Column, pattern: str, name: str, whole: bool = False) -> Column:
+    """Contents of all matches, for elements that do not hold one of their own name; ``whole``
+    keeps their opening tags in front."""
+    return F.regexp_extract_all(html, F.lit(pattern + _content(name)), F.lit(0 if whole else 1))
 
 
 def flat(html: Column, pattern: str, name: str) -> Column:
@@ -192,6 +198,12 @@ def texts(html: Column, pattern: str) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern + _OWN_TEXT), F.lit(2))
 
 
+def shown(html: Column, pattern: str, name: str) -> Column:
+    """Text of the first match with that of its children, for elements that do not hold one of
+    their own name."""
+    return plain(flat(html, pattern, name))
+
+
 def _unquoted(value: Column) -> Column:
     return F.btrim(value, F.lit(_QUOTES))
 
@@ -234,26 +246,27 @@ def plain(fragment: Column) -> Column:
 # ── cleaning ─────────────────────────────────────────────────────────────────
 
 
+def _character(ref: Column) -> Column:
+    """The character a reference stands for; the reference itself if it stands for none."""
+    body = F.substring(ref, 2, 2147483647)
+    digits = F.regexp_extract(body, "^#[xX]?0*([0-9a-fA-F]*);", 1)
+    is_hex = F.rlike(body, F.lit("^#[xX]"))
+    code = F.when(F.length(digits) <= 7, F.conv(digits, 10, 10).cast("bigint"))
+    code = F.when(is_hex, F.when(F.length(digits) <= 6, F.conv(digits, 16, 10).cast("bigint"))
+                  ).otherwise(code)
+    number = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
+                    F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    names = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
+    named = F.try_element_at(names, F.rtrim(body, F.lit(";")))
+    return F.coalesce(F.when(F.startswith(body, F.lit("#")), number).otherwise(named), ref)
+
+
 def unescape(c: Column) -> Column:
-    """Decodes character references."""
-    def decode(text_: Column, ref: Column) -> Column:
-        body = F.lower(F.regexp_extract(ref, "([0-9a-fA-FxX]+)", 1))
-        code = F.when(F.startswith(body, F.lit("x")),
-                      F.conv(F.substring(body, 2, 8), 16, 10).cast("bigint")
-                      ).otherwise(body.try_cast("bigint"))
-        return _let(code, lambda n: F.when(
-            n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
-            F.replace(text_, ref, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
-        ).otherwise(text_))
-
-    refs = F.regexp_extract_all(c, F.lit("(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)"), F.lit(1))
-    named = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(char).alias("char"))
-                      for name, char in NAMED_ENTITIES.items()])
-    return F.when(
-        F.contains(c, F.lit("&")),
-        F.aggregate(named, F.aggregate(F.array_distinct(refs), c, decode),
-                    lambda t, e: F.replace(t, e["name"], e["char"]))
-    ).otherwise(c)
+    """Decodes character references, each once."""
+    pieces = F.regexp_extract_all(c, F.lit(_PIECE), F.lit(1))
+    decoded = F.transform(pieces, lambda p: F.when(
+        F.startswith(p, F.lit("&")) & (p != "&"), _character(p)).otherwise(p))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
 
 
 def clean(readings: Column) -> Column:

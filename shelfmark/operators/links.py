@@ -102,3 +102,8 @@ def pagination_cutoff(listing: DataFrame, pages: DataFrame | None = None) -> Dat
     return (first_seen.join(ends, "source_url", "left")
             .filter(F.col("end").isNull() | (F.col("page_num") < F.col("end")))
             .select("source_url", "product_url", F.col("page_num").alias("found_on_page")))
+
+
+def shuffled(urls: DataFrame, seed: int) -> DataFrame:
+    """In random order: a sort by ranges of random numbers, so no task sees all rows."""
+    return urls.orderBy(F.rand(seed))

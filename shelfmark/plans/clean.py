@@ -71,7 +71,10 @@ def conform_feed(feed: DataFrame, seller_name: str) -> DataFrame:
     def filled(c: str):
         return F.coalesce(F.col(c), F.lit(""))
 
-    stock = F.coalesce(F.col("stock").try_cast("boolean"), F.lit(False))
+    # A number, or true and false as 1 and 0.
+    stock = F.col("stock").cast("string")
+    stock = F.coalesce(prices.to_number(stock), stock.try_cast("boolean").cast("double"), F.lit(0.0))
+    on_sale = stock > 0
     rows = feed.select(
         "seq",
         F.col("title").alias("product_name"),
@@ -88,8 +91,8 @@ def conform_feed(feed: DataFrame, seller_name: str) -> DataFrame:
         text.strip_lines(filled("image_urls")).alias("image_urls"),
         prices.cast_count(F.col("reviews")).alias("review_count"),
         prices.cast_count(stock).alias("stock_quantity"),
-        stock.alias("in_stock"),
-        stock.alias("is_active"),
+        on_sale.alias("in_stock"),
+        on_sale.alias("is_active"),
         F.lit(seller_name).alias("seller_name"),
         F.col("rating").alias("seller_rating"),
         text.slug_alnum(F.lit(seller_name)).alias("seller_slug"),

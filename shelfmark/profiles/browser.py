@@ -21,16 +21,24 @@ def is_product_url(page: Page) -> Column:
 _DETAILS = {"details": tag("div", class_="cg-accordion-item")}
 
 
+def _stock_text(html: Column) -> Column:
+    """The first paragraph that is marked as stock or whose own text says so."""
+    paragraphs = H.flats(html, tag("p"), "p", whole=True)
+    marked = F.filter(paragraphs, lambda p: F.rlike(p, F.lit(tag("p", class_="*stock")))
+                      | F.exists(H.own_nodes(p), lambda t: F.contains(t, F.lit("In stock"))))
+    return H.plain(H.nth(marked, 1))
+
+
 def _herlan_readings(page: Page, block: Columns) -> Columns:
     html = page.html
     photo = rf"{tag('li', itemprop='associatedMedia')}\s*{tag('img', read='src')}"
     return {
-        "name": H.text(html, TITLE),
+        "name": H.shown(html, TITLE, "h1"),
         "prices": bdi_prices(page),
         "photos": H.attrs(html, photo),
         "crumbs": crumbs(page),
-        "brand": H.text(html, PRODUCT_TAG),
-        "stock": H.text(html, rf"(?:{tag('p', class_='*stock')}|{tag('p')}(?=[^<]*In stock))"),
+        "brand": H.shown(html, PRODUCT_TAG, "a"),
+        "stock": _stock_text(html),
         "details": H.plain(block["details"]),
     }
 
@@ -39,14 +47,15 @@ def _herlan(page: Page, found: Found) -> Columns:
     current, original = prices.pair_fallback(found.all("prices"))
     photos = found.filled("photos")
     return {
-        "product_name": found.one("name"),
+        "product_name": H.one_line(found.one("name")),
         "current_price": taka(current),
         "original_price": taka(original),
         "primary_image_url": H.nth(photos, 1),
         "image_urls": F.array_join(photos, ";"),
         "category_name": H.nth(found.all("crumbs"), -1),
-        "brand_name": found.one("brand"),
-        "in_stock": flags.stock_flag(found.one("stock"), "in stock", ignore_case=True),
+        "brand_name": H.one_line(found.one("brand")),
+        "in_stock": flags.stock_flag(
+            H.one_line(found.one("stock")), "in stock", ignore_case=True),
         "product_description": H.one_line(found.one("details")),
     }
 
@@ -60,7 +69,7 @@ register_profile(Profile(
 
 def _reviews_readings(page: Page, block: Columns) -> Columns:
     return {**_herlan_readings(page, block), "nodes": H.nodes(block["details"]),
-            "reviews": H.text(page.html, tag("span", cls="count"))}
+            "reviews": H.shown(page.html, tag("span", cls="count"), "span")}
 
 
 def _herlan_with_reviews(page: Page, found: Found) -> Columns:
@@ -90,26 +99,26 @@ def _ohsogo_readings(page: Page, block: Columns) -> Columns:
     boxes = H.flat_all(html, tag("price-money"), "price-money")
     thumbs = H.flat(html, tag("thumbnail-slider"), "thumbnail-slider")
     return {
-        "name": H.text(html, tag("h1", class_="product__heading h2")),
+        "name": H.shown(html, tag("h1", class_="product__heading h2"), "h1"),
         "prices": H.texts(boxes, tag("bdi")),
         "thumbs": H.attrs(thumbs, tag("img", read="src")),
-        "rating": H.text(html, tag("span", class_="jdgm-rev-widg__summary-average")),
-        "summary": H.text(html, _SUMMARY),
+        "rating": H.shown(html, tag("span", class_="jdgm-rev-widg__summary-average"), "span"),
+        "summary": H.plain(H.inner(html, _SUMMARY)),
         "details": H.plain(block["details"]),
     }
 
 
 def _ohsogo(page: Page, found: Found) -> Columns:
     current, original = prices.pair_reversed(found.filled("prices"))
-    summary = gallery.first_non_empty(found.one("summary"), F.lit("0"))
+    summary = gallery.first_non_empty(H.one_line(found.one("summary")), F.lit("0"))
     return {
-        "product_name": found.one("name"),
+        "product_name": H.one_line(found.one("name")),
         "current_price": prices.without(current, "৳", ","),
         "original_price": prices.without(original, "৳", ","),
         "primary_image_url": H.nth(found.filled("thumbs"), 1),
         "image_urls": H.joined(found.all("thumbs"), ";"),
         "in_stock": F.lit("Yes"),
-        "seller_rating": text.nth_token(found.one("rating"), " ", 0),
+        "seller_rating": text.nth_token(H.one_line(found.one("rating")), " ", 0),
         "review_count": text.nth_token(summary, " ", 2),
         "product_description": H.one_line(found.one("details")),
     }
@@ -133,8 +142,8 @@ def _themallbd_readings(page: Page, block: Columns) -> Columns:
     return {
         "name": H.plain(block["name"]),
         "prices": H.texts(html, tag("span", class_="*fw-semibold")),
-        "brand": H.text(html, rf"{tag('div', class_='title fw-bold fs-5')}\s*{tag('a')}"),
-        "label": H.text(html, tag("span", class_="ms-1 m-fs-6 fs-6")),
+        "brand": H.shown(html, rf"{tag('div', class_='title fw-bold fs-5')}\s*{tag('a')}", "a"),
+        "label": H.shown(html, tag("span", class_="ms-1 m-fs-6 fs-6"), "span"),
         "details": H.plain(H.flat(html, tag("ul", id="shortDesc"), "ul")),
         "shown": H.tags(block["shown"], tag("img")),
         "slides": H.tags(H.flat_all(html, _SLIDE, "div"), tag("img")),
@@ -153,8 +162,8 @@ def _themallbd(page: Page, found: Found) -> Columns:
         "product_name": H.one_line(found.one("name")),
         "current_price": taka(current),
         "original_price": taka(original),
-        "brand_name": found.one("brand"),
-        "in_stock": flags.stock_flag(found.one("label"), "Add to Cart"),
+        "brand_name": H.one_line(found.one("brand")),
+        "in_stock": flags.stock_flag(H.one_line(found.one("label")), "Add to Cart"),
         "product_description": H.one_line(found.one("details")),
         "primary_image_url": H.nth(_image_sources(found.all("shown")), 1),
         "image_urls": gallery.gallery_join(
@@ -179,13 +188,15 @@ _MRP = tag("div", class_="text-sm whitespace-nowrap text-gray-500 line-through "
 
 def feed_readings(html: Column) -> Columns:
     return {
-        "mrp": H.text(html, _MRP),
+        "mrp": H.plain(H.inner(html, _MRP)),
         "images": H.attrs(html, tag("img", alt="*Image", read="src")),
-        "cart": F.array(H.has(html, rf"{tag('span')}[^<]*Add To Cart").cast("string")),
-        "brand": H.text(html, tag("span", class_="text-sm text-brand")),
+        "cart": F.array(F.exists(
+            H.flats(html, tag("span"), "span"),
+            lambda s: F.contains(F.get(H.plain(s), F.lit(0)), F.lit("Add To Cart"))).cast("string")),
+        "brand": H.shown(html, tag("span", class_="text-sm text-brand"), "span"),
         "details": H.plain(H.inner(html, tag("div", class_="mt-4"))),
-        "rating": H.text(html, tag("span", class_="text-gray-700")),
-        "reviews": H.text(html, tag("div", class_="text-sm text-gray-500")),
+        "rating": H.shown(html, tag("span", class_="text-gray-700"), "span"),
+        "reviews": H.plain(H.inner(html, tag("div", class_="text-sm text-gray-500"))),
     }
 
 
@@ -200,8 +211,8 @@ def feed_row(title: Column, sale_price: Column, link: Column, found: Found) -> l
         H.nth(images, 1).alias("primary_image_url"),
         F.array_join(F.array_distinct(images), "\n").alias("image_urls"),
         found.one("cart").cast("boolean").alias("stock"),
-        found.one("brand").alias("brand"),
+        H.one_line(found.one("brand")).alias("brand"),
         H.one_line(found.one("details")).alias("description"),
-        text.nth_token(found.one("rating"), "/", 0).alias("rating"),
+        text.nth_token(H.one_line(found.one("rating")), "/", 0).alias("rating"),
         F.coalesce(text.first_word(found.one("reviews")), F.lit("")).alias("reviews"),
     ]

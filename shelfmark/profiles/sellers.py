@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import flags, gallery, prices, urls
+from ..functions.text import strip
 from ..operators import html as H
 from ..operators.html import tag
 from . import Columns, Found, Page, Profile, register_profile
@@ -40,10 +41,12 @@ _RYANS_NAME = tag("h1", itemprop="name")
 
 def _ryans_readings(page: Page, block: Columns) -> Columns:
     html = page.html
-    points = H.flat(block["overview"], tag("ul", cls="category-info"), "ul")
+    points = H.flat_all(block["overview"], tag("ul", cls="category-info"), "ul")
+    numbered = F.filter(H.flats(html, tag("p"), "p"),
+                        lambda p: F.contains(p, F.lit("Product Id")))
     return {
         "name": H.text(html, _RYANS_NAME),
-        "sku": H.text(html, rf"{tag('p')}[^<]*Product Id[^<]*{tag('span')}"),
+        "sku": H.text(H.nth(numbered, 1), tag("span")),
         "current": H.text(html, tag("span", cls="new-sp-text")),
         "original": H.text(html, tag("span", cls="new-reg-text")),
         "image": H.attr(html, tag("img", cls="slideshow-items", read="src")),
@@ -105,7 +108,7 @@ def _startech_readings(page: Page, block: Columns) -> Columns:
     return {
         "name": H.text(html, tag("h1", cls="product-name")),
         "image": H.attr(H.piece_at(body, _PHOTO_PATH), rf"{tag('a')}\s*{tag('img', read='src')}"),
-        "price": F.array(F.regexp_extract(price, r"^([^<]*)", 1)),
+        "price": H.own_nodes(price),
         "reduced": H.text(price, tag("ins")),
         "original": H.text(html, tag("td", cls="product-regular-price")),
         "category": H.text(H.nth(crumbs, 2), rf"{tag('a')}[^<]*{tag('span')}"),
@@ -119,7 +122,7 @@ def _startech(page: Page, found: Found) -> Columns:
     return {
         "product_name": found.one("name"),
         "primary_image_url": found.one("image"),
-        "current_price": taka(gallery.first_non_empty(found.one("price"), found.one("reduced"))),
+        "current_price": taka(gallery.first_non_empty(H.nth(found.filled("price"), 1), found.one("reduced"))),
         "original_price": taka(found.one("original")),
         "category_name": found.one("category"),
         "review_count": found.one("reviews"),
@@ -251,15 +254,14 @@ _KIREIBD_BLOCKS = {
     "description": tag("div", class_="*product-details__content"),
 }
 _BARCODE = rf"{tag('strong')}(?=[^<]*Barcode)[^<]*</strong\s*>(?:<[^<>]*>)?([^<]*)"
-# Links that follow the "Category" label; the last one is the category.
+# What follows the "Category" label in its block; the last link there is the category.
 _CATEGORIES = (rf"{tag('span')}(?=[^<]*Category)[^<]*</span\s*>"
-               rf"((?:[^<]*+{tag('a')}[^<]*+</a\s*+>)*+)")
+               r"((?:[^<]++|<(?!/?(?i:div|p|li|ul|td|section)[\s>]))*+)")
 
 
 def _kireibd_readings(page: Page, block: Columns) -> Columns:
     html = page.html
-    category = F.regexp_extract(F.regexp_extract(html, _CATEGORIES, 1),
-                                rf"({tag('a')}[^<]*)</a\s*>[^<]*\z", 1)
+    categories = F.regexp_extract(html, _CATEGORIES, 1)
     return {
         "name": H.text(H.following(html, _POST), tag("h3", cls="fw-medium")),
         "current": H.text(block["price"], tag("h3", cls="fw-medium")),
@@ -268,8 +270,8 @@ def _kireibd_readings(page: Page, block: Columns) -> Columns:
         "brand": H.text(block["brand"], tag("a")),
         "brand_href": H.attr(block["brand"], tag("a", read="href")),
         "sku": F.array(F.regexp_extract(block["brand"], _BARCODE, 1)),
-        "category": H.text(category, tag("a")),
-        "category_href": H.attr(category, tag("a", read="href")),
+        "category": H.texts(categories, tag("a")),
+        "category_href": F.transform(H.tags(categories, tag("a")), lambda a: H.attr_of(a, "href")),
         "rating": H.text(block["rating"], tag("button")),
         "description": H.nodes(block["description"]),
         "sold_out": H.text(html, tag("span", cls="trk-btn--stock-out")),
@@ -278,7 +280,7 @@ def _kireibd_readings(page: Page, block: Columns) -> Columns:
 
 def _kireibd(page: Page, found: Found) -> Columns:
     def stripped(c: Column, mark: str) -> Column:
-        return F.trim(prices.without(c, mark))
+        return strip(prices.without(c, mark))
 
     return {
         "product_name": found.one("name"),
@@ -289,8 +291,8 @@ def _kireibd(page: Page, found: Found) -> Columns:
         "brand_name": found.one("brand"),
         "brand_slug": urls.after_token(found.one("brand_href"), "brand="),
         "seller_sku": stripped(found.one("sku"), ":"),
-        "category_name": stripped(found.one("category"), ","),
-        "category_slug": urls.after_token(found.one("category_href"), "category="),
+        "category_name": stripped(H.nth(found.all("category"), -1), ","),
+        "category_slug": urls.after_token(H.nth(found.all("category_href"), -1), "category="),
         "review_count": prices.first_int_text(found.one("rating")),
         "product_description": H.joined(found.all("description"), " "),
         "in_stock": flags.stock_unless(found.one("sold_out"), "out of stock"),
@@ -350,7 +352,7 @@ def _banglashoppers(page: Page, found: Found) -> Columns:
         "brand_name": found.one("brand"),
         "review_count": prices.digits_only(found.one("reviews")),
         "in_stock": F.lit("Yes"),
-        "seller_sku": F.trim(prices.without(found.one("sku"), "SKU: ")),
+        "seller_sku": strip(prices.without(found.one("sku"), "SKU: ")),
         "product_description": H.joined(found.all("description")),
     }
 

@@ -62,6 +62,38 @@ def test_piece_at_path(spark):
     assert read(spark, markup, lambda h: H.piece_at(h, [("div", 1), ("div", 1)])) == ""
 
 
+def test_brackets_in_attribute_values(spark):
+    markup = "<img alt=\"a > b > c\" title='x > y' src='/i.jpg'><p>if a=\"b\" > c</p>"
+    assert read(spark, markup, lambda h: H.clean(H.attr(H.strip_noise(h), tag("img", read="src")))) == ["/i.jpg"]
+    assert read(spark, markup, lambda h: H.clean(H.attr(H.strip_noise(h), tag("img", read="alt")))) == ["a > b > c"]
+
+
+def test_text_with_children(spark):
+    markup = "<h1 class='t'>Soap <b>Gold</b></h1><h1 class='t'>x</h1>"
+    assert read(spark, markup, lambda h: H.shown(h, tag("h1", cls="t"), "h1")) == ["Soap Gold"]
+
+
+def test_stock_and_names_of_rendered_pages(spark):
+    page = ("<h1 class='product_title entry-title'>Soap <b>Gold</b></h1><li class='x product-tag-item'><a><i>Nice</i> One</a></li>"
+            "<p>text</p><p class='stock'><span>In</span> <span>stock</span></p>")
+    pages = spark.createDataFrame([(1, "https://h.com/product/1", page)], "page_id long, url string, html string")
+    row = extract(pages, "herlan_browser", "s", "https://s.com").first()
+    assert (row["product_name"], row["brand_name"], row["in_stock"]) == ("Soap Gold", "Nice One", "Yes")
+
+
+def test_labels_and_lists_anywhere(spark):
+    page = ("<h1 itemprop='name'>Rod</h1><p>x</p><p>The <b>Product Id:</b> <span>33.1</span></p><div class='overview'>"
+            "<ul class='category-info'><li>A</li></ul><p>-</p><ul class='category-info'><li>B</li></ul></div>")
+    pages = spark.createDataFrame([(1, "https://r.com/product/1", page)], "page_id long, url string, html string")
+    row = extract(pages, "ryans", "s", "https://s.com").first()
+    assert (row["seller_sku"], row["product_description"]) == ("33.1", "AB")
+    page = ("<div class='post-content'><h3 class='fw-medium'>n</h3></div><span>Category</span><a href='?category=x'>X,</a> <b>-</b> "
+            "<a href='?category=y'>Y,\n</a>")
+    pages = spark.createDataFrame([(1, "https://k.com/product/1", page)], "page_id long, url string, html string")
+    row = extract(pages, "kireibd", "s", "https://s.com").first()
+    assert (row["category_name"], row["category_slug"]) == ("Y", "y")
+
+
 def test_noise_is_removed(spark):
     markup = "a<script>var t='</p>';</script>b<!-- <h1>x</h1> -->c<style>d</style>e<script>never closed"
     assert read(spark, markup, H.strip_noise) == "abce"
@@ -69,7 +101,7 @@ def test_noise_is_removed(spark):
 
 def test_unescape_equals_python(spark):
     given = ["&amp;lt;", "&lt;b&gt;", "&#2547;&nbsp;1,500", "&#x9F3;", "&#X41;&#65;", "a&b", "&unknown;",
-             "&quot;&apos;", "&#0;", "&#55296;", "&#1114112;", "&copy; &middot; &hellip;"]
+             "&quot;&apos;", "&#38;lt;b&#38;gt;", "&eacute;&ccedil;&frac12;", "&#0000000065;&#x000000041;", "&", "a&&amp;;", "&#0;", "&#55296;", "&#1114112;", "&copy; &middot; &hellip;"]
     same = [g for g in given if g not in ("&#0;", "&#55296;", "&#1114112;")]
     for text in same:
         assert read(spark, text, H.unescape) == stdlib_html.unescape(text).replace(" ", " "), text
