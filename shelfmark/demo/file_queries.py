@@ -29,6 +29,24 @@ def _products(spark, sf_dir):
     return found.select(*_PRODUCT_COLUMNS)
 
 
+@query("swapped_columns_csv", ("raw_products", "price_patch"), """
+select 'products' as reader, product_name, current_price, in_stock from raw_products where seller_product_url is not null
+union all select 'products', product_name, current_price, null from price_patch
+union all select 'patch', product_name, current_price, null from price_patch""")
+def _swapped(spark, sf_dir):
+    """Files of one folder with other columns in another order come together by name."""
+    path, patch = new_folder(spark, "swapped"), new_folder(spark, "patch")
+    rows = view(spark, sf_dir, "raw_products").filter("seller_product_url is not null")
+    sinks.export_csv(rows.select("product_name", "current_price", "in_stock"), f"{path}/a")
+    late = view(spark, sf_dir, "price_patch").select("current_price", "product_name")
+    sinks.export_csv(late, f"{path}/b")
+    sinks.export_csv(late, patch)
+    columns = ["product_name", "current_price"]
+    both = readers.read_products(spark, [f"{path}/a", f"{path}/b"])
+    return both.select(F.lit("products").alias("reader"), *columns, "in_stock").union(
+        readers.read_fixed_patch(spark, patch).select(F.lit("patch"), *columns, F.lit(None)))
+
+
 @query("file_order", ("crawl_items",),
        "select row_number() over (order by seq) - 1 as position, seq from crawl_items")
 def _file_order(spark, sf_dir):
@@ -51,7 +69,7 @@ def _feed(spark, sf_dir):
     # Blanks at the ends of a cell belong to it.
     feed.write.options(header="true", escape='"', ignoreLeadingWhiteSpace="false",
                        ignoreTrailingWhiteSpace="false").csv(path)
-    return readers.read_feed(spark, path).select(*FEED_COLUMNS)
+    return readers.read_feed(spark, path, multi_line=True).select(*FEED_COLUMNS)
 
 
 @query("change_log_replay", ("crawl_items",), KINDS + """
@@ -98,7 +116,7 @@ union all select 'headerless', url from url_list where trim(url) <> '' and lower
 union all select 'listed', url from url_list where trim(url) <> ''""")
 def _entrypoints(spark, sf_dir):
     path = new_folder(spark, "entrypoints")
-    sinks.export_csv(view(spark, sf_dir, "url_list").select("url"), path)
+    sinks.export_csv(view(spark, sf_dir, "url_list").select("url", F.lit("x").alias("note")), path)
     start = "https://start.example.com/"
     named = readers.read_entrypoints(spark, path, start).filter(F.trim("url") != "")
     plain = readers.read_entrypoints_headerless(spark, path)
@@ -152,8 +170,12 @@ def _brand_review(spark, sf_dir):
 @query("failures_log", ("failure_lines",), r"""
 select strptime(regexp_extract(line, '^\[([^\]]*)\]', 1), '%Y-%m-%d %H:%M:%S') as ts,
   regexp_extract(line, '\]\s+(\S+)', 1) as url,
-  trim(regexp_extract(line, '\|\s+(.*)$', 1)) || chr(10) || 'stack trace' as reason
-from failure_lines where starts_with(line, '[')""")
+  trim(regexp_extract(line, '\|\s+(.*)$', 1)) || coalesce(chr(10) || more, '') || chr(10) || 'stack trace' as reason
+from (
+  select min_by(line, seq) as line,
+    string_agg(case when not starts_with(line, '[') then line end, chr(10) order by seq) as more
+  from (select *, sum(case when starts_with(line, '[') then 1 else 0 end) over (order by seq) as entry from failure_lines)
+  where entry > 0 group by entry)""")
 def _failures(spark, sf_dir):
     """Reasons over two lines come back whole."""
     path = new_folder(spark, "failures")

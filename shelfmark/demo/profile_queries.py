@@ -101,8 +101,13 @@ def _run_summary(spark, sf_dir):
 _FAILURES = r"""
 , failures as (
   select strptime(regexp_extract(line, '^\[([^\]]*)\]', 1), '%Y-%m-%d %H:%M:%S') as ts,
-    regexp_extract(line, '\]\s+(\S+)', 1) as url, trim(regexp_extract(line, '\|\s+(.*)$', 1)) as reason
-  from failure_lines where starts_with(line, '['))"""
+    regexp_extract(line, '\]\s+(\S+)', 1) as url,
+    trim(trim(regexp_extract(line, '\|\s+(.*)$', 1)) || coalesce(chr(10) || more, '')) as reason
+  from (
+    select min_by(line, seq) as line,
+      string_agg(case when not starts_with(line, '[') then line end, chr(10) order by seq) as more
+    from (select *, sum(case when starts_with(line, '[') then 1 else 0 end) over (order by seq) as entry from failure_lines)
+    where entry > 0 group by entry))"""
 
 
 def _failures(spark, sf_dir):

@@ -165,15 +165,27 @@ def _reason(is_product: Column) -> Column:
             .when(~is_product, F.lit(NOT_A_PRODUCT)))
 
 
+def _followers(names: list[str] | None, recurse: bool) -> list[Profile]:
+    """Profiles that follow links; without ``recurse`` only those that do not heed it."""
+    return [p for p in map(get_profile, names or profile_names())
+            if p.links and (recurse or not p.honours_recurse)]
+
+
 def extract_all(dispatched: DataFrame, names: list[str] | None = None,
-                keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+                keep: tuple[str, ...] = ("page_id",), recurse: bool | None = None) -> DataFrame:
     """Outcome of every page in one scan: ``product`` (a struct) or a failure ``reason``.
 
-    Each row runs the rules of its own profile only.
+    Each row runs the rules of its own profile only. If ``recurse`` is given, the raw ``hrefs``
+    that the profile follows are read in the same pass; ``outcome_links`` makes links of them.
     """
     kept = [c for c in keep if c in dispatched.columns]
     rules = _rules_by_row(dispatched, names)
     judged = _readable(_with_seller(dispatched, kept)).withColumn("_is_product", rules.is_product)
+    if recurse is not None:
+        asked = _followers(names, recurse)
+        judged = judged.withColumn("hrefs", F.coalesce(
+            _by_profile(asked, [_hrefs_of(p) for p in asked]), _no_hrefs()))
+        kept = [*kept, "hrefs"]
     # Pages that are no products have no text to read.
     judged = judged.withColumn("_page", F.when(F.col("_is_product"), F.col("_page")))
     return _with_product(judged, rules).select(
@@ -219,14 +231,20 @@ def page_links(pages: DataFrame, profiles: list[Profile | str] | Profile | str,
 def dispatched_links(dispatched: DataFrame, names: list[str] | None = None,
                      recurse: bool = True) -> DataFrame:
     """As ``page_links``, each page by the rules of its own profile."""
-    asked = [p for p in map(get_profile, names or profile_names())
-             if p.links and (recurse or not p.honours_recurse)]
+    asked = _followers(names, recurse)
     found = _readable(dispatched).select(
         "profile", F.col("url").alias("source_url"),
         F.coalesce(_by_profile(asked, [_hrefs_of(p) for p in asked]), _no_hrefs()).alias("hrefs"))
     return _followed(found, asked)
 
 
+def outcome_links(outcomes: DataFrame, names: list[str] | None = None,
+                  recurse: bool = True) -> DataFrame:
+    """As ``dispatched_links``, from the ``hrefs`` of ``extract_all``."""
+    found = outcomes.select("profile", F.col("url").alias("source_url"), "hrefs")
+    return _followed(found, _followers(names, recurse))
+
+
 def _no_hrefs() -> Column:
     return F.array().cast("array<string>")
 

@@ -87,12 +87,13 @@ def take_while(df: DataFrame, keep: Column, seq: str = "seq") -> DataFrame:
 
 
 def running_counts(df: DataFrame, group: str, seq: str, write: Column,
-                   slices: int | None = None) -> DataFrame:
+                   slices: int | None = None, carried: list[str] | None = None) -> DataFrame:
     """Per row: writes so far and rows since the last write, within its group.
 
-    Returns ``(group, seq, _write, writes, idle)``; rows without a group are left out.
+    Returns ``(group, seq, _write, *carried, writes, idle)``; rows without a group are left out.
     """
-    narrow = df.select(group, F.col(seq).alias("seq"), write.alias("_write")).filter(
+    carried = carried or []
+    narrow = df.select(group, F.col(seq).alias("seq"), write.alias("_write"), *carried).filter(
         F.col(group).isNotNull() & F.col("seq").isNotNull())
     narrow = in_slices(narrow, [group, "seq"], slices)
     w = (Window.partitionBy(group, "_slice").orderBy("seq")
@@ -104,7 +105,7 @@ def running_counts(df: DataFrame, group: str, seq: str, write: Column,
         F.count(F.lit(1)).alias("_n"), F.max("_w").alias("_wn"), F.max("_last").alias("_ln"))
     before = (Window.partitionBy(group).orderBy("_slice")
               .rowsBetween(Window.unboundedPreceding, -1))
-    carried = (
+    offsets = (
         totals.withColumn("_rows0", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .withColumn("_writes0", F.coalesce(F.sum("_wn").over(before), F.lit(0)))
         .withColumn("_last0", F.coalesce(
@@ -113,7 +114,7 @@ def running_counts(df: DataFrame, group: str, seq: str, write: Column,
     )
     position = F.col("_rows0") + F.col("_pos")
     last_write = F.coalesce(F.col("_rows0") + F.col("_last"), F.col("_last0"))
-    return local.join(carried, [group, "_slice"]).select(
-        group, "seq", "_write",
+    return local.join(offsets, [group, "_slice"]).select(
+        group, "seq", "_write", *carried,
         (F.col("_writes0") + F.col("_w")).alias("writes"),
         (position - last_write).alias("idle"))

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from ..operators.extract import (
-    dispatch, dispatched_links, extract_all, failures_of, followed_urls, products_of,
+    dispatch, extract_all, failures_of, followed_urls, outcome_links, products_of,
 )
 from ..operators.links import difference, keep_domain
 from ..session import cut
@@ -20,9 +20,8 @@ class Round:
 
 def crawl_round(pages: DataFrame, visited: DataFrame, domain: str | Column,
                 domains: dict[str, str] | None = None, recurse: bool = True) -> Round:
-    """Outcomes are computed once and split into products and failures; links come from a
-    pass of their own, by the rules of each page's shop. ``visited`` is ``(url)``."""
-    shops = dispatch(pages, domains)
-    outcomes = cut(extract_all(shops))
-    found = keep_domain(followed_urls(dispatched_links(shops, recurse=recurse)), domain)
+    """Pages are read once: products, failures and links, by the rules of each page's shop, are
+    written together and split after. ``visited`` is ``(url)``."""
+    outcomes = cut(extract_all(dispatch(pages, domains), recurse=recurse))
+    found = keep_domain(followed_urls(outcome_links(outcomes, recurse=recurse)), domain)
     return Round(products_of(outcomes), failures_of(outcomes), difference(found, visited))

@@ -1,43 +1,73 @@
-"""Tables and files the jobs start from. Schemas are explicit; nothing is inferred."""
+"""Tables and files the jobs start from.
+
+Schemas are explicit, but for CSV files that name their own columns: all cells are text, and
+files with different headers are brought together by name.
+"""
 
 import re
+from functools import reduce
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank, strip
-from ..schema import ENTRYPOINTS, PAGES, RAW_FEED, RAW_PRODUCT
+from ..operators.ordered import running_counts
+from ..schema import PAGES, RAW_FEED, RAW_PRODUCT
 
-_CSV = {"header": "true", "multiLine": "true", "escape": '"', "enforceSchema": "false"}
+_CSV = {"header": "true", "escape": '"', "enforceSchema": "false"}
+_START = r"^\[?[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\]"
 _FAILURE = r"^\[?([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2})\]\s+(\S+)\s+\|\s+([\s\S]*)"
 
 # First cells that are headings, not URLs.
 HEADING_CELLS = ["url", "link", "entrypoint", ""]
 
+_PLACE = ["_file", "_block", "_at"]
 
-def in_file_order(df: DataFrame, out: str = "seq") -> DataFrame:
-    """Adds the 0-based position of each row in the files it was read from.
 
-    Counts rows per input split, then numbers them inside a split, so no task sees more
-    than one split.
-    """
-    located = df.select(
+def located(df: DataFrame) -> DataFrame:
+    """Adds where each row was read: file, start of the input split, place in the split."""
+    return df.select(
         "*", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"))
+
+
+def in_file_order(rows: DataFrame, out: str = "seq") -> DataFrame:
+    """Adds the 0-based position of each located row in the files it was read from.
+
+    Counts rows per input split, then numbers them inside a split, so no task sees more
+    than one split.
+    """
     split = ["_file", "_block"]
     before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (located.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = (rows.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"))
                .select(*split, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
     inside = F.row_number().over(Window.partitionBy(*split).orderBy("_at")) - 1
-    return (located.withColumn("_inside", inside).join(offsets, split)
+    return (rows.withColumn("_inside", inside).join(offsets, split)
             .withColumn(out, F.col("_offset") + F.col("_inside"))
-            .drop(*split, "_at", "_inside", "_offset"))
+            .drop(*_PLACE, "_inside", "_offset"))
+
+
+def _headers(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """Files, grouped by their first line; a line break in a heading is not foreseen."""
+    lines = located(spark.read.text(path)).filter(F.col("_block") == 0)
+    first = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
+    groups = first.groupBy("_header").agg(F.sort_array(F.collect_list("_file")).alias("files"))
+    return sorted([unquote(f) for f in r["files"]] for r in groups.collect())
 
 
-def _with_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns as strings under the names the file gives them."""
-    return spark.read.options(header="true", multiLine="true", escape='"').csv(path)
+def _with_header(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
+    """Located rows, all columns as strings under the names their own file gives them.
+
+    With ``multi_line`` cells may hold line breaks, but a file is then read by one task.
+    """
+    options = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
+    parts = [located(spark.read.options(**options).csv(files)) for files in _headers(spark, path)]
+    if not parts:
+        return spark.createDataFrame([], "_file string, _block long, _at long")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def drop_unnamed(df: DataFrame) -> DataFrame:
@@ -54,8 +84,16 @@ def entrypoints_or_default(urls: DataFrame, start_url: str) -> DataFrame:
 
 
 def read_entrypoints(spark: SparkSession, path: str, start_url: str) -> DataFrame:
-    return entrypoints_or_default(
-        spark.read.schema(ENTRYPOINTS).options(**_CSV).csv(path), start_url)
+    """The ``url`` column; the start URL if the file is absent or has none."""
+    try:
+        rows = _with_header(spark, path, False)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = None
+    if rows is None or "url" not in rows.columns:
+        rows = spark.createDataFrame([], "url string")
+    return entrypoints_or_default(rows, start_url)
 
 
 def without_headings(cells: DataFrame) -> DataFrame:
@@ -79,13 +117,14 @@ def listed_urls(df: DataFrame) -> DataFrame:
 
 
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
-    return listed_urls(_with_header(spark, path))
+    return listed_urls(_with_header(spark, path, False).drop(*_PLACE))
 
 
-def read_products(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Product rows with their file position ``seq``. Columns the file lacks are absent."""
-    rows = _with_header(spark, path)
-    named = drop_unnamed(rows).columns
+def read_products(spark: SparkSession, path: str | list[str], multi_line: bool = False
+                  ) -> DataFrame:
+    """Product rows with their file position ``seq``. Columns no file has are absent."""
+    rows = _with_header(spark, path, multi_line)
+    named = [c for c in drop_unnamed(rows).columns if c not in _PLACE]
     known = [c for c in RAW_PRODUCT.fieldNames() if c in named]
     extra = [c for c in named if c not in known]
     return in_file_order(rows).select(F.col("seq").alias("seq"), *known, *extra)
@@ -95,8 +134,9 @@ def read_products(spark: SparkSession, path: str | list[str]) -> DataFrame:
 read_fixed_patch = read_products
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    return in_file_order(spark.read.schema(RAW_FEED).options(**_CSV).csv(path))
+def read_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    rows = spark.read.schema(RAW_FEED).options(**_CSV, multiLine=str(multi_line).lower()).csv(path)
+    return in_file_order(located(rows))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -113,20 +153,29 @@ def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataF
     return stream_table(spark, path, PAGES, max_files)
 
 
-def parse_failures(lines: DataFrame, column: str = "line") -> DataFrame:
-    """``(ts, url, reason)`` of log entries; lines that start no entry are dropped."""
+def parse_failures(lines: DataFrame, column: str = "line", seq: str = "seq") -> DataFrame:
+    """``(ts, url, reason)`` of log entries.
+
+    An entry starts at a line with a time in brackets; the lines up to the next one, in ``seq``
+    order, belong to its reason. Lines before the first entry, and entries without a URL, are
+    dropped.
+    """
     c = F.col(column)
-    return lines.filter(F.rlike(c, F.lit(_FAILURE))).select(
+    entries = running_counts(
+        lines.select(F.lit(0).alias("_log"), F.col(seq).alias("seq"), c.alias("_line")), "_log", "seq",
+        F.rlike("_line", F.lit(_START)), carried=["_line"])
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "_line"))),
+                                     lambda x: x["_line"]), "\n")
+    c = F.col("_entry")
+    return (entries.filter("writes > 0").groupBy("writes").agg(whole.alias("_entry"))
+            .filter(F.rlike(c, F.lit(_FAILURE))).select(
         # Log times carry no zone.
         F.try_to_timestamp(F.regexp_extract(c, _FAILURE, 1), F.lit("yyyy-MM-dd HH:mm:ss")
                            ).cast("timestamp_ntz").alias("ts"),
         F.regexp_extract(c, _FAILURE, 2).alias("url"),
-        strip(F.regexp_extract(c, _FAILURE, 3)).alias("reason"))
+        strip(F.regexp_extract(c, _FAILURE, 3)).alias("reason")))
 
 
 def read_failures(spark: SparkSession, path: str) -> DataFrame:
-    """Failure log entries, reasons over several lines kept whole.
-
-    An entry starts at a bracket that opens a line, so that is the record separator.
-    """
-    return parse_failures(spark.read.text(path, lineSep="\n["), "value")
+    """Failure log entries, reasons over several lines kept whole."""
+    return parse_failures(in_file_order(located(spark.read.text(path))), "value")

@@ -38,6 +38,23 @@ def test_entrypoints(spark, tmp_path):
     assert sorted(column(readers.read_entrypoints_headerless(spark, bare))) == ["https://a/1", "https://a/2"]
 
 
+def test_entrypoints_absent_or_with_more_columns(spark, tmp_path):
+    assert column(readers.read_entrypoints(spark, str(tmp_path / "none.csv"), "https://start/")) == ["https://start/"]
+    more = write(tmp_path, "more.csv", "id,url\n1,https://a/1\n2,\n")
+    assert column(readers.read_entrypoints(spark, more, "https://start/")) == ["https://a/1"]
+    other = write(tmp_path, "other.csv", "id,link\n1,https://a/1\n")
+    assert column(readers.read_entrypoints(spark, other, "https://start/")) == ["https://start/"]
+
+
+def test_columns_by_name_over_files(spark, tmp_path):
+    (tmp_path / "two").mkdir()
+    write(tmp_path, "two/a.csv", "product_name,current_price\nAlpha,10\nBeta,20\n")
+    write(tmp_path, "two/b c.csv", "current_price,product_name,extra\n30,Gamma,x\n")
+    rows = readers.read_products(spark, str(tmp_path / "two")).orderBy("seq").collect()
+    assert [(r["seq"], r["product_name"], r["current_price"], r["extra"]) for r in rows] == [
+        (0, "Alpha", "10", None), (1, "Beta", "20", None), (2, "Gamma", "30", "x")]
+
+
 def test_url_list_without_url_column(spark, tmp_path):
     path = write(tmp_path, "u.csv", "link,x\n https://a/1,1\n ,2\n")
     assert column(readers.read_url_list(spark, path)) == ["https://a/1"]
@@ -47,7 +64,7 @@ def test_url_list_without_url_column(spark, tmp_path):
 
 def test_products_with_trailing_commas_and_line_breaks(spark, tmp_path):
     path = write(tmp_path, "p.csv", 'product_name,current_price,\n"a ""q""\nb",5,\nc,,\n')
-    df = readers.read_products(spark, path)
+    df = readers.read_products(spark, path, multi_line=True)
     assert df.columns == ["seq", "current_price", "product_name"] or df.columns == [
         "seq", "product_name", "current_price"]
     rows = {r["seq"]: (r["product_name"], r["current_price"]) for r in df.collect()}
@@ -64,6 +81,13 @@ def test_failures_over_several_lines(spark, tmp_path):
     assert got["https://a/3"][1] == "x | y"
 
 
+def test_failure_lines_that_open_with_a_bracket(spark, tmp_path):
+    path = write(tmp_path, "g.txt", "lost\n[2026-03-17 01:26:50] https://a/1 | Error\n[0x1] frame\n[0x2] frame\n"
+                 "[2026-03-17 01:26:51] https://a/2 | x\n")
+    got = {r["url"]: r["reason"] for r in readers.read_failures(spark, path).collect()}
+    assert got == {"https://a/1": "Error\n[0x1] frame\n[0x2] frame", "https://a/2": "x"}
+
+
 def test_failures_round_trip(spark):
     path = new_folder(spark, "failures")
     df = spark.createDataFrame([("https://a/1", "None"), ("https://a/2", "IndexError: x")], "url string, reason string")
@@ -83,7 +107,7 @@ def test_csv_keeps_blanks_and_line_breaks(spark):
     path = new_folder(spark, "blanks")
     values = [" a ", 'say "x"', "line\nbreak", "comma, here"]
     sinks.export_csv(spark.createDataFrame([(v,) for v in values], "product_name string"), path)
-    assert sorted(column(readers.read_products(spark, path), "product_name")) == sorted(values)
+    assert sorted(column(readers.read_products(spark, path, multi_line=True), "product_name")) == sorted(values)
 
 
 def test_chunk_files_hold_exact_slices(spark, tmp_path):
