@@ -156,30 +156,32 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(
-    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], None] | None = None
+    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], None] | None = None,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Components of the nodes that share a bucket and pass `verify`.
 
     `buckets` has key and node; `verify` takes pairs a, b and returns those that are links.
     `prepare`, if given, is called once with all nodes that share a bucket with another one.
-    First every member of a bucket is held against the bucket's smallest node. Then only
-    buckets whose members still lie in different components are paired, across components
-    alone. A pair inside a component cannot change it, so the result is that of all pairs, while
-    a bucket of n like nodes costs n checks."""
-    shared = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
-    members = cut(buckets.join(shared.select("key", "hub"), "key").distinct())
+    First every member of a bucket is held against one of its nodes. Buckets whose members then
+    still lie in different components go to `refine`, if given, which returns finer buckets that
+    hold every link between nodes of a bucket; there it is done again. What is open then is
+    paired across components alone. A pair inside a component cannot change it, so the result is
+    that of all pairs, while a bucket of n like nodes costs n checks."""
+    shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    members = cut(buckets.join(shared.select("key"), "key").distinct())
     if prepare:
         prepare(members.select("node").distinct())
-    stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    edges = cut(verify(stars).select("a", "b"))
+    edges = cut(verify(_stars(members.withColumn("class", F.col("node")))).select("a", "b"))
     classes = components(edges)
-    labelled = members.join(classes, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("class")
-    )
-    mixed_keys = labelled.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
-    open_ = cut(labelled.join(mixed_keys.select("key"), "key"))
-    left = open_.select("key", F.col("node").alias("a"), F.col("class").alias("ca"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
+    members = cut(_open(members, classes))
+    if refine:
+        members = cut(_open(refine(members.select("key", "node")).distinct(), classes))
+        edges = edges.union(cut(verify(_stars(members)).select("a", "b")))
+        classes = components(edges)
+        members = cut(_open(members.drop("class"), classes))
+    left = members.select("key", F.col("node").alias("a"), F.col("class").alias("ca"))
+    right = members.select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
     rest = left.join(right, "key").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = cut(verify(rest.distinct()).select("a", "b"))
     if more.isEmpty():
@@ -187,6 +189,20 @@ def linked(
     return components(edges.union(more))
 
 
+def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """key, node, class of the members of buckets that hold two components or more."""
+    labelled = members.join(classes, "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
+    several = labelled.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
+    return labelled.join(several.select("key"), "key")
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs a, b of each bucket's first node with its nodes of other components."""
+    hubs = members.groupBy("key").agg(F.min(F.struct("class", "node")).alias("hub"))
+    pairs = members.join(hubs, "key").where(F.col("class") != F.col("hub.class"))
+    return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+
+
 #: Nodes whose list is sent to all tasks, 8 bytes each; more are joined by a shuffle.
 SENT_NODES = 1_000_000
 

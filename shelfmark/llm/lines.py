@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import pyarrow as pa
 import xxhash
@@ -143,6 +145,33 @@ def line_rows(docs: DataFrame, least: int, distance: int | None = None, text: bo
     return rows.mapInArrow(of_batches, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
 
 
+def letter_keys(line: str, distance: int) -> list[int]:
+    """Two lines within the distance share one of these: an edit changes how often two characters
+    stand at most, so of 2 * distance + 2 groups of characters two are untouched. A key is the
+    counts of the characters of two groups."""
+    groups: list[list[tuple[str, int]]] = [[] for _ in range(2 * distance + 2)]
+    for c, n in sorted(Counter(line).items()):
+        groups[ord(c) * 2654435761 % 4294967291 % len(groups)].append((c, n))
+    digests = [xxhash.xxh3_64_intdigest(repr(g)) for g in groups]
+    out = []
+    for (i, a), (j, b) in combinations(enumerate(digests), 2):
+        out.append((a * 3 + b * 5 + i * 64 + j) % (1 << 64) - (1 << 63))
+    return out
+
+
+def finer(members: DataFrame, found: DataFrame, distance: int) -> DataFrame:
+    """key, node: each bucket dealt out by the letter keys of its lines."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [letter_keys(t, distance) for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("node"), pa.array(values, pa.list_(pa.int64()))], names=["node", "letters"])
+
+    letters = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(of_batches, "node long, letters array<bigint>")
+    dealt = members.join(letters, "node").select("key", "node", F.explode("letters").alias("letter"))
+    return dealt.select(F.xxhash64("key", "letter").alias("key"), "node")
+
+
 def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:
     """node, component of the lines with another one within the distance of them."""
     buckets = line_rows(docs, least, distance).select("node", F.explode("keys").alias("key"))
@@ -154,7 +183,7 @@ def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:
     def close(pairs: DataFrame) -> DataFrame:
         return checked_pairs(with_both_texts(pairs, found[0]), lambda a, b: within(a, b, distance))
 
-    return linked(buckets, close, prepare)
+    return linked(buckets, close, prepare, lambda members: finer(members, found[0], distance))
 
 
 def repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2) -> DataFrame:

@@ -75,6 +75,8 @@ def test_edit_distance_and_buckets(a, b, most):
     assert lines.within(a, b, most) == near
     if near and min(len(a), len(b)) > most:
         assert set(lines.keys(a, most, {})) & set(lines.keys(b, most, {}))
+    if near:
+        assert set(lines.letter_keys(a, most)) & set(lines.letter_keys(b, most))
 
 
 def test_suffix_array():
