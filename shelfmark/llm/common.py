@@ -164,25 +164,28 @@ def linked(
     `buckets` has key and node; `verify` takes pairs a, b and returns those that are links.
     `prepare`, if given, is called once with all nodes that share a bucket with another one.
     First every member of a bucket is held against one of its nodes. Buckets whose members then
-    still lie in different components go to `refine`, if given, which returns finer buckets that
-    hold every link between nodes of a bucket; there it is done again. What is open then is
-    paired across components alone. A pair inside a component cannot change it, so the result is
-    that of all pairs, while a bucket of n like nodes costs n checks."""
+    still lie in different components go to `refine`, if given, which returns finer buckets
+    (key, node, weight, indexed): every link between nodes of a bucket must share one in which
+    one end is indexed. There it is done again, against the indexed node of most weight. What
+    is open then is paired across components alone. A pair inside a component cannot change it,
+    so the result is that of all pairs, while a bucket of n like nodes costs n checks."""
     shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     members = cut(buckets.join(shared.select("key"), "key").distinct())
     if prepare:
         prepare(members.select("node").distinct())
-    edges = cut(verify(_stars(members.withColumn("class", F.col("node")))).select("a", "b"))
+    plain = members.select("key", "node", F.lit(0.0).alias("weight"), F.lit(True).alias("indexed"))
+    edges = cut(verify(_stars(plain.withColumn("class", F.col("node")))).select("a", "b"))
     classes = components(edges)
-    members = cut(_open(members, classes))
+    members = cut(_open(plain, classes))
     if refine:
         members = cut(_open(refine(members.select("key", "node")).distinct(), classes))
         edges = edges.union(cut(verify(_stars(members)).select("a", "b")))
         classes = components(edges)
         members = cut(_open(members.drop("class"), classes))
-    left = members.select("key", F.col("node").alias("a"), F.col("class").alias("ca"))
-    right = members.select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
-    rest = left.join(right, "key").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    left = members.select("key", F.col("node").alias("a"), F.col("class").alias("ca"), F.col("indexed").alias("ia"))
+    right = members.where("indexed").select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
+    rest = left.join(right, "key").where("ca < cb OR (ca > cb AND NOT ia)")
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = cut(verify(rest.distinct()).select("a", "b"))
     if more.isEmpty():
         return classes
@@ -190,15 +193,16 @@ def linked(
 
 
 def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """key, node, class of the members of buckets that hold two components or more."""
-    labelled = members.join(classes, "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
+    """The members of buckets that hold two components or more, with their class."""
+    labelled = members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
     several = labelled.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
     return labelled.join(several.select("key"), "key")
 
 
 def _stars(members: DataFrame) -> DataFrame:
-    """Pairs a, b of each bucket's first node with its nodes of other components."""
-    hubs = members.groupBy("key").agg(F.min(F.struct("class", "node")).alias("hub"))
+    """Pairs a, b of each bucket's indexed node of most weight with its nodes of other classes."""
+    hub = F.max(F.struct("weight", (-F.col("node")).alias("first"), "class", "node")).alias("hub")
+    hubs = members.where("indexed").groupBy("key").agg(hub)
     pairs = members.join(hubs, "key").where(F.col("class") != F.col("hub.class"))
     return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 

@@ -160,7 +160,7 @@ def letter_keys(line: str, distance: int) -> list[int]:
 
 
 def finer(members: DataFrame, found: DataFrame, distance: int) -> DataFrame:
-    """key, node: each bucket dealt out by the letter keys of its lines."""
+    """Each bucket dealt out by the letter keys of its lines."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,7 +169,7 @@ def finer(members: DataFrame, found: DataFrame, distance: int) -> DataFrame:
 
     letters = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(of_batches, "node long, letters array<bigint>")
     dealt = members.join(letters, "node").select("key", "node", F.explode("letters").alias("letter"))
-    return dealt.select(F.xxhash64("key", "letter").alias("key"), "node")
+    return dealt.select(F.xxhash64("key", "letter").alias("key"), "node", F.lit(0.0).alias("weight"), F.lit(True).alias("indexed"))
 
 
 def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:

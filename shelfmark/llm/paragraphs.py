@@ -104,6 +104,35 @@ def similar(left: str, right: str, least: float) -> bool:
     return both >= least * (len(a) + len(b) - both)
 
 
+def rare_prefixes(members: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """key, node, weight, indexed: the rarest five-word runs of each paragraph as its buckets.
+
+    Of two sets as similar as asked, the larger shares one of its rarest (1 - s) n + 1 runs with
+    the rarest (1 - 2 s / (1 + s)) n + 1 of the smaller, counted from the rarest on in one order
+    for all: the smaller is found where it is indexed. Among many versions of one text the
+    rarest runs are those of their differences, so versions that differ much do not meet. The
+    weight, a paragraph's mean frequency of runs, is largest for the version most others share."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = []
+            for line in batch.column("text").to_pylist():
+                own = line.split(" ")
+                own = {" ".join(own[k : k + SHINGLE]) for k in range(len(own) - SHINGLE + 1)}
+                runs.append([x - (1 << 63) for x in sorted({xxhash.xxh3_64_intdigest(r) for r in own})])
+            yield pa.record_batch([batch.column("node"), pa.array(runs, pa.list_(pa.int64()))], names=["node", "runs"])
+
+    texts_ = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
+    runs = cut(texts_.mapInArrow(of_batches, "node long, runs array<bigint>")).select("node", F.explode("runs").alias("key"))
+    often = runs.groupBy("key").agg(F.count("*").alias("often"))
+    sets = runs.join(often, "key").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("often", "key"))).alias("runs"), F.avg("often").alias("weight"), F.count("*").alias("n")
+    )
+    asked, indexed = (F.col("n") - F.ceil(F.col("n") * s - 1e-9) + 1 for s in (similarity, 2 * similarity / (1 + similarity)))
+    dealt = sets.select("node", "weight", indexed.alias("first"), F.posexplode(F.slice("runs", F.lit(1), asked.cast("int"))).alias("place", "run"))
+    return dealt.select(F.col("run.key").alias("key"), "node", "weight", (F.col("place") < F.col("first")).alias("indexed"))
+
+
 def anchors(hashes: np.ndarray, size: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of runs of `size` words whose hash is the least among `reach` neighbours in a row,
     with the hash and a second one independent of it."""
@@ -186,7 +215,8 @@ def repeats(docs: DataFrame, least: int = 25, similarity: float = 0.8, bands: in
     def close(pairs: DataFrame) -> DataFrame:
         return checked_pairs(with_both_texts(pairs, kept[0]), lambda a, b: similar(a, b, similarity))
 
-    classes = linked(found.select("node", F.explode("keys").alias("key")), close, prepare)
+    buckets = found.select("node", F.explode("keys").alias("key"))
+    classes = linked(buckets, close, prepare, lambda members: rare_prefixes(members, kept[0], similarity))
     members = found.join(classes, "node", "left").select("doc_id", "start", "end", F.coalesce("component", "node").alias("class"))
     where = F.struct("doc_id", "start")
     first = members.groupBy("class").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")

@@ -207,16 +207,17 @@ def test_paragraphs(docs, empty, spark):
     assert 20 <= passages[11]["start"] and passages[11]["end"] <= 90 and passages[11]["end"] - passages[11]["start"] >= 25
     assert passages[12]["start"] - passages[11]["start"] == 13
     # against all pairs of paragraphs
-    words = [prose(40, 60).split() for _ in range(1)][0]
+    words = prose(80, 60).split()
     texts = []
-    for k in range(12):
+    for k in range(60):
         changed = list(words)
-        for place in np.random.default_rng(k).choice(40, k % 4, replace=False):
-            changed[place] = f"new{k}"
-        texts.append(" ".join(changed))
+        for place in np.random.default_rng(k).choice(80, k % 5, replace=False):
+            changed[place] = f"new{place if k % 2 else k}"
+        texts.append(" ".join(changed[k % 3 :]))
+    texts = list(dict.fromkeys(texts))
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    near = [(a, b) for a, b in itertools.combinations(range(12), 2) if paragraphs.similar(texts[a], texts[b], 0.8)]
-    of = classes(range(12), near)
+    near = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if paragraphs.similar(texts[a], texts[b], 0.8)]
+    of = classes(range(len(texts)), near)
     found = {r["doc_id"]: r["first_doc_id"] for r in paragraphs.repeats(table).collect() if r["kind"] == "paragraph"}
     assert found == {k: f for k, f in of.items() if list(of.values()).count(f) > 1}
     kept = paragraphs.drop_repeats(docs)
