@@ -165,15 +165,16 @@ def linked(
     `prepare`, if given, is called once with all nodes that share a bucket with another one.
     First every member of a bucket is held against one of its nodes. Buckets whose members then
     still lie in different components go to `refine`, if given, which returns finer buckets
-    (key, node, weight, indexed): every link between nodes of a bucket must share one in which
-    one end is indexed. There it is done again, against the indexed node of most weight. What
-    is open then is paired across components alone. A pair inside a component cannot change it,
+    (key, node, weight, indexed, size, reach): every link between nodes of a bucket must share
+    one in which one end is indexed, and the sizes of both ends together must not exceed the
+    reach of either. There it is done again, against the indexed node of most weight. What is
+    open then is paired across components alone. A pair inside a component cannot change it,
     so the result is that of all pairs, while a bucket of n like nodes costs n checks."""
     shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     members = cut(buckets.join(shared.select("key"), "key").distinct())
     if prepare:
         prepare(members.select("node").distinct())
-    plain = members.select("key", "node", F.lit(0.0).alias("weight"), F.lit(True).alias("indexed"))
+    plain = members.select("key", "node", *unranked())
     edges = cut(verify(_stars(plain.withColumn("class", F.col("node")))).select("a", "b"))
     classes = components(edges)
     members = cut(_open(plain, classes))
@@ -182,16 +183,23 @@ def linked(
         edges = edges.union(cut(verify(_stars(members)).select("a", "b")))
         classes = components(edges)
         members = cut(_open(members.drop("class"), classes))
-    left = members.select("key", F.col("node").alias("a"), F.col("class").alias("ca"), F.col("indexed").alias("ia"))
-    right = members.where("indexed").select("key", F.col("node").alias("b"), F.col("class").alias("cb"))
-    rest = left.join(right, "key").where("ca < cb OR (ca > cb AND NOT ia)")
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    left, right = (members.withColumnsRenamed({c: f"{side}_{c}" for c in members.columns if c != "key"}) for side in "ab")
+    rest = left.join(right.where("b_indexed"), "key").where(f"(a_class < b_class OR (a_class > b_class AND NOT a_indexed)) AND {_POSSIBLE}")
+    rest = rest.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
     more = cut(verify(rest.distinct()).select("a", "b"))
     if more.isEmpty():
         return classes
     return components(edges.union(more))
 
 
+_POSSIBLE = "least(a_reach, b_reach) >= a_size + b_size"
+
+
+def unranked() -> list[Column]:
+    """What `refine` returns beside key and node, where every pair of a bucket is possible."""
+    return [F.lit(0.0).alias("weight"), F.lit(True).alias("indexed"), F.lit(0.0).alias("size"), F.lit(0.0).alias("reach")]
+
+
 def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The members of buckets that hold two components or more, with their class."""
     labelled = members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
@@ -201,10 +209,10 @@ def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _stars(members: DataFrame) -> DataFrame:
     """Pairs a, b of each bucket's indexed node of most weight with its nodes of other classes."""
-    hub = F.max(F.struct("weight", (-F.col("node")).alias("first"), "class", "node")).alias("hub")
-    hubs = members.where("indexed").groupBy("key").agg(hub)
-    pairs = members.join(hubs, "key").where(F.col("class") != F.col("hub.class"))
-    return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    best = F.max(F.struct("weight", (-F.col("node")).alias("first"), "class", "node", "size", "reach")).alias("hub")
+    hubs = members.where("indexed").groupBy("key").agg(best).select("key", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("class", "node", "size", "reach")])
+    pairs = members.withColumnsRenamed({c: f"a_{c}" for c in members.columns if c != "key"}).join(hubs, "key").where(f"a_class <> b_class AND {_POSSIBLE}")
+    return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
 #: Nodes whose list is sent to all tasks, 8 bytes each; more are joined by a shuffle.

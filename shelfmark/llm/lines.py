@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import checked_pairs, cut, linked, texts_of, unused, with_both_texts
+from shelfmark.llm.common import checked_pairs, cut, linked, texts_of, unranked, unused, with_both_texts
 
 
 def segments(length: int, distance: int) -> list[tuple[int, int]]:
@@ -169,7 +169,7 @@ def finer(members: DataFrame, found: DataFrame, distance: int) -> DataFrame:
 
     letters = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(of_batches, "node long, letters array<bigint>")
     dealt = members.join(letters, "node").select("key", "node", F.explode("letters").alias("letter"))
-    return dealt.select(F.xxhash64("key", "letter").alias("key"), "node", F.lit(0.0).alias("weight"), F.lit(True).alias("indexed"))
+    return dealt.select(F.xxhash64("key", "letter").alias("key"), "node", *unranked())
 
 
 def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:
