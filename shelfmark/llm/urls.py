@@ -131,8 +131,7 @@ def with_listed(rows: DataFrame, column: str, entries: DataFrame) -> DataFrame:
 def flooding_hosts(pages: DataFrame, share: float) -> DataFrame:
     """Hosts that serve at least a share of all pages: 1 / share of them at most."""
     hosts = pages.select(url_parts("url")[0].alias("host")).groupBy("host").agg(F.count("*").alias("n"))
-    total = hosts.agg(F.sum("n").alias("total"))
-    return hosts.where("host <> ''").join(F.broadcast(total)).where(F.col("n") >= share * F.col("total")).select("host")
+    return hosts.where((F.col("host") != "") & (F.col("n") >= share * pages.count())).select("host")
 
 
 def judge(pages: DataFrame, rules: list[Rule], listed_hosts: DataFrame) -> DataFrame:
