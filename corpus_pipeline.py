@@ -7,13 +7,12 @@ only other inputs.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm import decontaminate, lines, packing, quality, simhash
-from shelfmark.llm.common import shared_folder, table
+from shelfmark.llm.common import table
+from shelfmark.session import new_folder
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage; every stage's result is a table in the shared folder."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, folder = table(spark, sf_dir, "documents"), new_folder(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.session import cut
+
 #: Bytes of text that a task handles at once, unless one text alone is longer.
 BLOCK_BYTES = 4 << 20
 
@@ -18,23 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`. A session without one, as in
-    tests, gets a folder of its own."""
-    folder, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return folder or context.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared folder, so that a lost executor costs no more than
-    reading them again. Spark removes them when nothing refers to them, if
-    `spark.cleaner.referenceTracking.cleanCheckpoints` is on."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def unused(name: str, columns: list[str]) -> str:
     """The name, with as many underscores before it as it takes to be none of the columns."""
     taken = {c.lower() for c in columns}

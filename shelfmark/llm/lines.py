@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import checked_pairs, cut, linked, texts_of, unranked, unused, with_both_texts
+from shelfmark.llm.common import checked_pairs, linked, texts_of, unranked, unused, with_both_texts
+from shelfmark.session import cut
 
 
 def segments(length: int, distance: int) -> list[tuple[int, int]]:

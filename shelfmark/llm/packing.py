@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfmark.llm.common import cut
+from shelfmark.session import cut
+
 
 END = 1
 

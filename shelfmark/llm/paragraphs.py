@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACED, checked_pairs, cut, linked, mixed, texts, texts_of, unused, with_both_texts, word_hashes, words
+from shelfmark.llm.common import SPACED, checked_pairs, linked, mixed, texts, texts_of, unused, with_both_texts, word_hashes, words
+from shelfmark.session import cut
 
 #: Words of a shingle.
 SHINGLE = 5

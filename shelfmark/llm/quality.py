@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import SPACED, cut, texts, unused, word_hashes, words
+from shelfmark.llm.common import SPACED, texts, unused, word_hashes, words
 from shelfmark.llm.logistic import fit
 from shelfmark.llm.toxicity import labelled_sample
+from shelfmark.session import cut
 
 _UPPER = np.zeros(256, dtype=np.int64)
 _UPPER[65:91] = 1

@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACED, cut, linked, texts, unused, words
+from shelfmark.llm.common import SPACED, linked, texts, unused, words
+from shelfmark.session import cut
 
 #: Shingles whose bits are counted at once.
 _STEP = 1 << 17

@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import cut
 from shelfmark.llm.logistic import fit
+from shelfmark.session import cut
 
 # Characters that look like a Latin letter, each with that letter.
 LOOKALIKES = {

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import cut, lower_ascii
+from shelfmark.llm.common import lower_ascii
+from shelfmark.session import cut
 
 
 def url_parts(url: str) -> tuple[Column, Column]:

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import components, cut
+from shelfmark.llm.common import components
+from shelfmark.session import cut
 
 #: What float32 may lose of a cosine; found neighbours are verified in double precision.
 _SLACK = 1e-3
