@@ -110,6 +110,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mixed(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+#: Links that a task of `components` takes.
+LINKS_A_TASK = 200_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Columns a, b (links) to node, component: the smallest node reachable. Nodes without a link
     to another node are left out.
@@ -119,17 +123,19 @@ def components(edges: DataFrame) -> DataFrame:
     star = cut(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    state = None
+    state, parts = None, -(-star.count() // LINKS_A_TASK) + 1
     while True:
+        # where partitions are not merged at run time, this keeps small links in few files
+        star = star.coalesce(parts)
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(parts).distinct().coalesce(parts)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(least).distinct()
+            .union(least).coalesce(parts).distinct()
         )
-        star = cut(small)
+        star = cut(small.coalesce(parts))
         now = star.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state or not now[0]:
             break
@@ -199,6 +205,27 @@ def _stars(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
+def rare_keys(grams: DataFrame, keys: Column, indexed: Column, size: Column, reach: Column) -> DataFrame:
+    """Buckets for `linked`: the rarest of each node's grams, in one order for all nodes.
+
+    `grams` has node and an array of distinct longs. `keys` says how many of a node's `n` grams
+    it brings, `indexed` how many of them it is found by; `common` of its grams stand at another
+    node too. Among many versions of one text the rarest grams are those of their differences,
+    so versions that differ much do not meet. The weight, a node's mean frequency of grams, is
+    largest for the version that most others share."""
+    rows = cut(grams).select("node", F.explode("grams").alias("key"))
+    often = rows.groupBy("key").agg(F.count("*").alias("often"))
+    sets = rows.join(often, "key").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("often", "key"))).alias("grams"), F.avg("often").alias("weight"),
+        F.count("*").alias("n"), F.count_if(F.col("often") > 1).alias("common"),
+    )
+    dealt = sets.select(
+        "node", "weight", indexed.alias("first"), size.cast("double").alias("size"), reach.cast("double").alias("reach"),
+        F.posexplode(F.slice("grams", F.lit(1), keys.cast("int"))).alias("place", "gram"),
+    )
+    return dealt.select(F.col("gram.key").alias("key"), "node", "weight", (F.col("place") < F.col("first")).alias("indexed"), "size", "reach")
+
+
 #: Nodes whose list is sent to all tasks, 8 bytes each; more are joined by a shuffle.
 SENT_NODES = 1_000_000
 

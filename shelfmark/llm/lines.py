@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import checked_pairs, linked, texts_of, unranked, unused, with_both_texts
+from shelfmark.llm.common import checked_pairs, linked, rare_keys, texts_of, unused, with_both_texts
 from shelfmark.session import cut
 
 
@@ -146,31 +145,34 @@ def line_rows(docs: DataFrame, least: int, distance: int | None = None, text: bo
     return rows.mapInArrow(of_batches, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
 
 
-def letter_keys(line: str, distance: int) -> list[int]:
-    """Two lines within the distance share one of these: an edit changes how often two characters
-    stand at most, so of 2 * distance + 2 groups of characters two are untouched. A key is the
-    counts of the characters of two groups."""
-    groups: list[list[tuple[str, int]]] = [[] for _ in range(2 * distance + 2)]
-    for c, n in sorted(Counter(line).items()):
-        groups[ord(c) * 2654435761 % 4294967291 % len(groups)].append((c, n))
-    digests = [xxhash.xxh3_64_intdigest(repr(g)) for g in groups]
-    out = []
-    for (i, a), (j, b) in combinations(enumerate(digests), 2):
-        out.append((a * 3 + b * 5 + i * 64 + j) % (1 << 64) - (1 << 63))
+def grams(line: str, size: int) -> set[int]:
+    """Digests of all runs of `size` characters, the n-th of equal ones as such."""
+    seen: Counter = Counter()
+    out = set()
+    for k in range(len(line) - size + 1):
+        run = line[k : k + size]
+        out.add(xxhash.xxh3_64_intdigest(run, seen[run]) - (1 << 63))
+        seen[run] += 1
     return out
 
 
-def finer(members: DataFrame, found: DataFrame, distance: int) -> DataFrame:
-    """Each bucket dealt out by the letter keys of its lines."""
+def rare_grams(members: DataFrame, found: DataFrame, least: int, distance: int) -> DataFrame:
+    """The rarest runs of characters of each line as its buckets, for `linked`.
+
+    An edit changes at most q of a line's runs of q characters, so lines within the distance
+    share one of their q * distance + 1 rarest runs, and all but q * distance of a line's runs
+    stand in the other."""
+    size = max(1, min(4, least // (distance + 1)))
+    lost = size * distance
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [letter_keys(t, distance) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("node"), pa.array(values, pa.list_(pa.int64()))], names=["node", "letters"])
+            values = [list(grams(t, size)) for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("node"), pa.array(values, pa.list_(pa.int64()))], names=["node", "grams"])
 
-    letters = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(of_batches, "node long, letters array<bigint>")
-    dealt = members.join(letters, "node").select("key", "node", F.explode("letters").alias("letter"))
-    return dealt.select(F.xxhash64("key", "letter").alias("key"), "node", *unranked())
+    open_texts = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
+    rows = open_texts.mapInArrow(of_batches, "node long, grams array<bigint>")
+    return rare_keys(rows, F.lit(lost + 1), F.lit(lost + 1), F.col("n"), 2 * F.col("common") + 2 * lost)
 
 
 def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:
@@ -184,7 +186,7 @@ def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:
     def close(pairs: DataFrame) -> DataFrame:
         return checked_pairs(with_both_texts(pairs, found[0]), lambda a, b: within(a, b, distance))
 
-    return linked(buckets, close, prepare, lambda members: finer(members, found[0], distance))
+    return linked(buckets, close, prepare, lambda members: rare_grams(members, found[0], least, distance))
 
 
 def repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2) -> DataFrame:

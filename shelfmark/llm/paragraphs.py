@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACED, checked_pairs, linked, mixed, texts, texts_of, unused, with_both_texts, word_hashes, words
+from shelfmark.llm.common import SPACED, checked_pairs, linked, mixed, rare_keys, texts, texts_of, unused, with_both_texts, word_hashes, words
 from shelfmark.session import cut
 
 #: Words of a shingle.
@@ -110,11 +110,9 @@ def rare_prefixes(members: DataFrame, found: DataFrame, similarity: float) -> Da
 
     Of two sets as similar as asked, the larger shares one of its rarest (1 - s) n + 1 runs with
     the rarest (1 - 2 s / (1 + s)) n + 1 of the smaller, counted from the rarest on in one order
-    for all: the smaller is found where it is indexed. Among many versions of one text the
-    rarest runs are those of their differences, so versions that differ much do not meet. The
-    weight, a paragraph's mean frequency of runs, is largest for the version most others share.
-    Runs that no other paragraph has cannot be shared, which bounds the similarity of a pair:
-    (1 + s) / s times what two sets share is at least the sum of their sizes."""
+    for all: the smaller is found where it is indexed. Runs that no other paragraph has cannot
+    be shared, which bounds the similarity of a pair: (1 + s) / s times what two sets share is
+    at least the sum of their sizes."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,20 +120,13 @@ def rare_prefixes(members: DataFrame, found: DataFrame, similarity: float) -> Da
             for line in batch.column("text").to_pylist():
                 own = line.split(" ")
                 own = {" ".join(own[k : k + SHINGLE]) for k in range(len(own) - SHINGLE + 1)}
-                runs.append([x - (1 << 63) for x in sorted({xxhash.xxh3_64_intdigest(r) for r in own})])
-            yield pa.record_batch([batch.column("node"), pa.array(runs, pa.list_(pa.int64()))], names=["node", "runs"])
-
-    texts_ = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
-    runs = cut(texts_.mapInArrow(of_batches, "node long, runs array<bigint>")).select("node", F.explode("runs").alias("key"))
-    often = runs.groupBy("key").agg(F.count("*").alias("often"))
-    sets = runs.join(often, "key").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("often", "key"))).alias("runs"), F.avg("often").alias("weight"), F.count("*").alias("n"),
-        F.count_if(F.col("often") > 1).alias("common"),
-    )
-    asked, indexed = (F.col("n") - F.ceil(F.col("n") * s - 1e-9) + 1 for s in (similarity, 2 * similarity / (1 + similarity)))
+                runs.append([x - (1 << 63) for x in {xxhash.xxh3_64_intdigest(r) for r in own}])
+            yield pa.record_batch([batch.column("node"), pa.array(runs, pa.list_(pa.int64()))], names=["node", "grams"])
+
+    open_texts = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
+    keys, indexed = (F.col("n") - F.ceil(F.col("n") * s - 1e-9) + 1 for s in (similarity, 2 * similarity / (1 + similarity)))
     reach = F.col("common") * ((1 + similarity) / similarity) + 1e-6
-    dealt = sets.select("node", "weight", indexed.alias("first"), F.col("n").cast("double").alias("size"), reach.alias("reach"), F.posexplode(F.slice("runs", F.lit(1), asked.cast("int"))).alias("place", "run"))
-    return dealt.select(F.col("run.key").alias("key"), "node", "weight", (F.col("place") < F.col("first")).alias("indexed"), "size", "reach")
+    return rare_keys(open_texts.mapInArrow(of_batches, "node long, grams array<bigint>"), keys, indexed, F.col("n"), reach)
 
 
 def anchors(hashes: np.ndarray, size: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -75,8 +75,12 @@ def test_edit_distance_and_buckets(a, b, most):
     assert lines.within(a, b, most) == near
     if near and min(len(a), len(b)) > most:
         assert set(lines.keys(a, most, {})) & set(lines.keys(b, most, {}))
-    if near:
-        assert set(lines.letter_keys(a, most)) & set(lines.letter_keys(b, most))
+    for q in (1, 2, 4):
+        one, two = lines.grams(a, q), lines.grams(b, q)
+        if near and len(one) > q * most and len(two) > q * most:
+            # whatever the order of the runs, here that of their digests
+            assert set(sorted(one)[: q * most + 1]) & set(sorted(two)[: q * most + 1])
+            assert len(one - two) <= q * most
 
 
 def test_suffix_array():
