@@ -205,12 +205,13 @@ def _stars(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
-def rare_keys(grams: DataFrame, keys: Column, indexed: Column, size: Column, reach: Column) -> DataFrame:
+def rare_keys(grams: DataFrame, keys: Column, indexed: Column, reach: Callable[[Column], Column]) -> DataFrame:
     """Buckets for `linked`: the rarest of each node's grams, in one order for all nodes.
 
     `grams` has node and an array of distinct longs. `keys` says how many of a node's `n` grams
-    it brings, `indexed` how many of them it is found by; `common` of its grams stand at another
-    node too. Among many versions of one text the rarest grams are those of their differences,
+    it brings, `indexed` how many of them it is found by. At the first gram that two nodes share,
+    they share at most what each has from there on of grams that stand at another node too;
+    `reach` makes of that number the most that the sizes of both may be together. Among many versions of one text the rarest grams are those of their differences,
     so versions that differ much do not meet. The weight, a node's mean frequency of grams, is
     largest for the version that most others share."""
     rows = cut(grams).select("node", F.explode("grams").alias("key"))
@@ -220,10 +221,14 @@ def rare_keys(grams: DataFrame, keys: Column, indexed: Column, size: Column, rea
         F.count("*").alias("n"), F.count_if(F.col("often") > 1).alias("common"),
     )
     dealt = sets.select(
-        "node", "weight", indexed.alias("first"), size.cast("double").alias("size"), reach.cast("double").alias("reach"),
+        "node", "weight", indexed.alias("first"), "n", "common",
         F.posexplode(F.slice("grams", F.lit(1), keys.cast("int"))).alias("place", "gram"),
     )
-    return dealt.select(F.col("gram.key").alias("key"), "node", "weight", (F.col("place") < F.col("first")).alias("indexed"), "size", "reach")
+    most = F.least("common", F.col("n") - F.col("place"))
+    return dealt.select(
+        F.col("gram.key").alias("key"), "node", "weight", (F.col("place") < F.col("first")).alias("indexed"),
+        F.col("n").cast("double").alias("size"), reach(most).cast("double").alias("reach"),
+    )
 
 
 #: Nodes whose list is sent to all tasks, 8 bytes each; more are joined by a shuffle.

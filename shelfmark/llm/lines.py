@@ -172,7 +172,7 @@ def rare_grams(members: DataFrame, found: DataFrame, least: int, distance: int)
 
     open_texts = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
     rows = open_texts.mapInArrow(of_batches, "node long, grams array<bigint>")
-    return rare_keys(rows, F.lit(lost + 1), F.lit(lost + 1), F.col("n"), 2 * F.col("common") + 2 * lost)
+    return rare_keys(rows, F.lit(lost + 1), F.lit(lost + 1), lambda most: 2 * most + 2 * lost)
 
 
 def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:

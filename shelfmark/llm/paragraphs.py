@@ -125,8 +125,8 @@ def rare_prefixes(members: DataFrame, found: DataFrame, similarity: float) -> Da
 
     open_texts = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
     keys, indexed = (F.col("n") - F.ceil(F.col("n") * s - 1e-9) + 1 for s in (similarity, 2 * similarity / (1 + similarity)))
-    reach = F.col("common") * ((1 + similarity) / similarity) + 1e-6
-    return rare_keys(open_texts.mapInArrow(of_batches, "node long, grams array<bigint>"), keys, indexed, F.col("n"), reach)
+    rows = open_texts.mapInArrow(of_batches, "node long, grams array<bigint>")
+    return rare_keys(rows, keys, indexed, lambda most: most * ((1 + similarity) / similarity) + 1e-6)
 
 
 def anchors(hashes: np.ndarray, size: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
