@@ -18,11 +18,11 @@ from shelfmark.llm.common import ALNUM, texts, words
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
 # Label, names in running text as a pattern over lower-cased words with single
-# blanks, versions as a pattern, and a word without which no name can match.
+# blanks, versions as a pattern, and words of which every match of the name has one.
 FAMILIES = [
-    ("mit", "(?:mit|expat|x11)", "", "license"),
+    ("mit", "(?:mit|expat|x11)", "", "mit|expat|x11"),
     ("mit-0", "mit (?:0|no attribution)", "", "mit"),
-    ("apache", "(?:apache|asl)(?: software)?", "1 0|1 1|2 0|2", "apache"),
+    ("apache", "(?:apache|asl)(?: software)?", "1 0|1 1|2 0|2", "apache|asl"),
     ("gpl", "(?:gnu )?general public", "1 0|1|2 0|2|3 0|3", "general"),
     ("gpl", "(?:gnu )?gpl(?: ?v)?", "1 0|1|2 0|2|3 0|3", "gpl"),
     ("lgpl", "(?:gnu )?(?:lesser|library) general public", "2 0|2 1|2|3 0|3", "general"),
@@ -47,18 +47,18 @@ FAMILIES = [
     ("zlib", "zlib(?: libpng)?", "", "zlib"),
     ("libpng", "libpng", "1 0|2 0", "libpng"),
     ("boost", "boost software", "1 0", "boost"),
-    ("python", "(?:python software foundation|psf|python)", "2 0|2", "python"),
+    ("python", "(?:python software foundation|psf|python)", "2 0|2", "python|psf"),
     ("php", "php", "3 0|3 01|3 1", "php"),
     ("ruby", "ruby", "", "ruby"),
     ("postgresql", "postgresql", "", "postgresql"),
     ("openssl", "openssl", "", "openssl"),
     ("unlicense", "(?:the )?unlicense", "", "unlicense"),
-    ("wtfpl", "wtfpl|do what the fuck you want to public", "1|2", "public"),
-    ("cc0", "(?:creative commons zero|cc0|cc zero)", "1 0", "cc"),
-    ("cc-by", "(?:creative commons attribution|cc by)", "1 0|2 0|2 5|3 0|4 0", "cc"),
-    ("cc-by-sa", "(?:creative commons attribution share ?alike|cc by sa)", "1 0|2 0|2 5|3 0|4 0", "cc"),
-    ("cc-by-nc", "(?:creative commons attribution non ?commercial|cc by nc)", "1 0|2 0|2 5|3 0|4 0", "cc"),
-    ("cc-by-nd", "(?:creative commons attribution no ?deriv(?:ative)?s?|cc by nd)", "1 0|2 0|2 5|3 0|4 0", "cc"),
+    ("wtfpl", "wtfpl|do what the fuck you want to public", "1|2", "wtfpl|fuck"),
+    ("cc0", "(?:creative commons zero|cc0|cc zero)", "1 0", "creative|cc"),
+    ("cc-by", "(?:creative commons attribution|cc by)", "1 0|2 0|2 5|3 0|4 0", "creative|cc"),
+    ("cc-by-sa", "(?:creative commons attribution share ?alike|cc by sa)", "1 0|2 0|2 5|3 0|4 0", "creative|cc"),
+    ("cc-by-nc", "(?:creative commons attribution non ?commercial|cc by nc)", "1 0|2 0|2 5|3 0|4 0", "creative|cc"),
+    ("cc-by-nd", "(?:creative commons attribution no ?deriv(?:ative)?s?|cc by nd)", "1 0|2 0|2 5|3 0|4 0", "creative|cc"),
     ("ofl", "(?:sil )?open font", "1 0|1 1", "font"),
     ("odbl", "(?:open data commons )?open database", "1 0", "database"),
     ("osl", "open software", "1 0|2 0|2 1|3 0", "software"),
@@ -102,30 +102,31 @@ class Rule(NamedTuple):
     label: str
     priority: int
     pattern: re.Pattern
-    keyword: str
+    keywords: tuple[str, ...]
     versioned: bool
 
 
 def rules() -> list[Rule]:
     """Every template around every name, then the text signatures; some three hundred."""
     found = []
-    for label, name, versions, keyword in FAMILIES:
+    for label, name, versions, needed in FAMILIES:
         for _, priority, template in TEMPLATES:
             if not versions:
                 if priority == VERSIONED:
                     continue
                 template = _VERSION.sub("", template)
             pattern = rf"\b(?:{template.format(name=f'(?:{name})', versions=versions)})\b"
-            found.append(Rule(label, priority, re.compile(pattern), keyword, bool(versions) and "(?P<v>" in template))
-    found += [Rule(label, priority, re.compile(rf"\b(?:{p})\b"), keyword, False) for label, priority, p, keyword in TEXTS]
+            found.append(Rule(label, priority, re.compile(pattern), tuple(needed.split("|")), bool(versions) and "(?P<v>" in template))
+    found += [Rule(label, priority, re.compile(rf"\b(?:{p})\b"), (word,), False) for label, priority, p, word in TEXTS]
     return found
 
 
 def gate(all_rules: list[Rule]) -> ahocorasick.Automaton:
-    """Keywords with the numbers of the rules that need them."""
+    """Keywords with the numbers of the rules that need one of them."""
     by_word: dict[str, list[int]] = {}
     for k, rule in enumerate(all_rules):
-        by_word.setdefault(rule.keyword, []).append(k)
+        for word in rule.keywords:
+            by_word.setdefault(word, []).append(k)
     found = ahocorasick.Automaton()
     for word, numbers in by_word.items():
         found.add_word(word, tuple(numbers))
@@ -145,7 +146,7 @@ class Detection(NamedTuple):
 
 
 def detect(line: str, all_rules: list[Rule], keywords: ahocorasick.Automaton) -> list[Detection]:
-    """Matches of the rules whose keyword occurs in the line, in words (end excluded). A match
+    """Matches of the rules of which a keyword occurs in the line, in words (end excluded). A match
     inside another of the same or higher priority, or inside a longer one of the same label's
     family, is suppressed; of equal spans the rule of higher priority, then the earlier, stays."""
     numbers = {k for _, ks in keywords.iter(line) for k in ks}

@@ -171,6 +171,45 @@ def test_longest_rule_of_host_and_path():
     assert urls.longest_rules(hosts, paths, rules, known) == ["example.net/en/", "net/", "example.net/en/", None, None, None]
 
 
+def written(tree, options):
+    """The strings a parsed pattern of words matches: all alternatives, with what is optional or without."""
+    out = [""]
+    for op, value in tree:
+        name = str(op)
+        if name == "LITERAL":
+            parts = [chr(value)]
+        elif name == "AT":
+            parts = [""]
+        elif name == "IN":
+            parts = [chr(v) for _, v in value]
+        elif name == "SUBPATTERN":
+            parts = written(value[-1], options)
+        elif name == "BRANCH":
+            parts = [x for branch in value[1] for x in written(branch, options)]
+        else:
+            assert name == "MAX_REPEAT" and value[:2] == (0, 1)
+            parts = written(value[2], options) if options else [""]
+        out = [a + b for a in out for b in dict.fromkeys(parts)]
+    return out
+
+
+def test_every_alternative_of_every_license_rule_passes_the_gate():
+    from re import _parser
+
+    rules = licenses.rules()
+    gate = licenses.gate(rules)
+    for k, rule in enumerate(rules):
+        for options in (False, True):
+            for line in written(_parser.parse(rule.pattern.pattern), options):
+                if rule.pattern.fullmatch(line):
+                    assert any(w.decode() in line for w in licenses._NEEDED), line
+                    assert k in {n for _, ns in gate.iter(line) for n in ns}, line
+    found = {t: [d.label for d in licenses.detect(t, rules, gate)] for t in (
+        "released under the mit", "distributed under expat", "released under asl 2 0", "the psf license", "released under wtfpl",
+        "creative commons attribution license", "creative commons zero license")}
+    assert list(found.values()) == [["mit"], ["mit"], ["apache-2.0"], ["python"], ["wtfpl"], ["cc-by"], ["cc0"]]
+
+
 def test_license_rules():
     rules = licenses.rules()
     gate = licenses.gate(rules)
