@@ -22,7 +22,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal and nearly equal lines the first stays; documents lose lines, the table none."""
-    return lines.drop_repeated_lines(docs)
+    return lines.drop_repeated_lines(docs, shortest=1)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

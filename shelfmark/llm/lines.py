@@ -189,17 +189,18 @@ def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:
     return linked(buckets, close, prepare, lambda members: rare_grams(members, found[0], least, distance))
 
 
-def repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2) -> DataFrame:
+def repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2, shortest: int | None = None) -> DataFrame:
     """A row for each line that is equal to another one of the table or reaches it by edits of at
     most `distance` characters a step: doc_id, line_no (from 0), class, first_doc_id,
     first_line_no, removed.
 
     The first line of a class by doc_id, then line_no, stays; the others are removed. Lines
-    shorter than `least` characters without blanks around them are never touched. Rows without a
+    shorter than `least` characters without blanks around them are never touched, unless
+    `shortest` is given: those of as many characters then count where they are equal. Rows without a
     doc_id keep their lines and count for nothing; rows with the same doc_id are one document.
     Null and empty texts have no lines. Digests of lines have 64 bits. Other columns are ignored.
     An empty table gives none."""
-    rows = cut(line_rows(docs, least))
+    rows = cut(line_rows(docs, least if shortest is None else min(shortest, least)))
     classes = line_classes(docs, least, distance)
     rows = rows.join(classes, "node", "left").select("doc_id", "line_no", F.coalesce("component", "node").alias("class"))
     first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.max(F.struct("doc_id", "line_no")).alias("last"))
@@ -208,12 +209,12 @@ def repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2) -> DataF
     return rows.join(several, "class").select("doc_id", "line_no", "class", "first_doc_id", "first_line_no", removed.alias("removed"))
 
 
-def drop_repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2, shortest: int | None = None) -> DataFrame:
     """All documents with all their columns, their texts without the removed lines; a document
     that loses every line stays with what is left of it. n_chars, if there, is set anew where a
     line was removed."""
     doc, lost = unused("doc", docs.columns), unused("lost", docs.columns)
-    gone = repeated_lines(docs, least, distance).where("removed").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("line_no").alias(lost))
+    gone = repeated_lines(docs, least, distance, shortest).where("removed").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("line_no").alias(lost))
     left = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(lost, i.cast("long"))), "\n")
     joined = docs.join(gone, F.col("doc_id").cast("long") == F.col(doc), "left")
     out = joined.withColumn("text", F.when(F.col(lost).isNull(), F.col("text")).otherwise(left))

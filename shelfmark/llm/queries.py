@@ -131,7 +131,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_line_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line that repeats another one, with the first of its class."""
-    return lines.repeated_lines(table(spark, sf_dir, "documents"))
+    return lines.repeated_lines(table(spark, sf_dir, "documents"), shortest=1)
 
 
 @query("op9_substring_dedup")

@@ -190,6 +190,16 @@ def test_lines(spark, docs, empty):
     assert lines.repeated_lines(empty).count() == 0 and lines.drop_repeated_lines(empty).count() == 0
 
 
+def test_equal_lines_of_any_length_repeat(spark):
+    rows = [(1, "a\nlast one.\n\n日本語の文です。\nalone"), (2, " last one.\nlast one!\na"), (3, "日本語の文です。\n\n" + "long enough for the edit join")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["line_no"]): ((r["first_doc_id"], r["first_line_no"]), r["removed"]) for r in lines.repeated_lines(table, shortest=1).collect()}
+    assert got == {(1, 0): ((1, 0), False), (1, 1): ((1, 1), False), (1, 3): ((1, 3), False),
+                   (2, 0): ((1, 1), True), (2, 2): ((1, 0), True), (3, 0): ((1, 3), True)}
+    out = {r["doc_id"]: r["text"] for r in lines.drop_repeated_lines(table, shortest=1).collect()}
+    assert out == {1: rows[0][1], 2: "last one!", 3: "\nlong enough for the edit join"}
+
+
 def test_linking_is_complete_where_the_first_of_a_bucket_is_far(spark):
     from shelfmark.llm.common import linked
 

@@ -44,6 +44,18 @@ def test_query(spark, name):
         assert df.count() > 0
 
 
+def test_no_equal_line_of_any_length_is_left_out(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    places = {}
+    for r in docs.collect():
+        for n, x in enumerate((r["text"] or "").split("\n")):
+            if x.strip():
+                places.setdefault(x.strip(), []).append((r["doc_id"], n))
+    wanted = {p: sorted(ps)[0] for x, ps in places.items() if len(x) < 20 and len(ps) > 1 for p in ps}
+    got = {(r["doc_id"], r["line_no"]): (r["first_doc_id"], r["first_line_no"]) for r in queries.QUERIES["op5_line_dedup"](spark, DATA).collect()}
+    assert wanted and all(got.get(p) == first for p, first in wanted.items())
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     """Each stage against the plain rule on its own input."""
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
