@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import SPACED, checked_pairs, linked, mixed, rare_keys, texts, texts_of, unused, with_both_texts, word_hashes, words
@@ -170,21 +170,99 @@ def anchor_rows(docs: DataFrame, size: int) -> DataFrame:
     return _identified(docs).mapInArrow(of_batches, "doc_id long, start long, key long, check long")
 
 
+def grown(own: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Of the runs of `size` words at the given places of a text: hash, and hashes of the run with
+    1 to `size` words more before it, then behind it, as many as there are; number of the former,
+    and of both."""
+    with np.errstate(over="ignore"):
+        key = shingle_hashes(own, size)[place]
+        check = shingle_hashes(own ^ np.uint64(0xA5A5A5A5A5A5A5A5), size)[place]
+        out = np.zeros((len(place), 2 * size), dtype=np.uint64)
+        for side in (0, 1):
+            value = mixed(check + np.uint64(side + 1) * _ODD)
+            for k in range(size):
+                at = place + size + k if side else place - 1 - k
+                value = mixed(value * _ODD + own[np.clip(at, 0, len(own) - 1)])
+                out[:, side * size + k] = value
+    before, behind = np.minimum(place, size), np.minimum(len(own) - place - size, size)
+    step = np.arange(2 * size)
+    there = np.where(step < size, step < before[:, None], step - size < behind[:, None])
+    return key, before, before + behind, out[there]
+
+
+def grown_rows(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """doc_id, start, key, n_before, values (see `grown`) of the runs at places doc_id, start."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, wanted = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("starts").to_pylist()
+            for at, data, offsets in texts(batch):
+                starts, ends, first = words(data, offsets, SPACED)
+                hashes = word_hashes(data, starts, ends)
+                for k, (a, b) in enumerate(zip(first, first[1:])):
+                    place = np.array(wanted[at + k], dtype=np.int64)
+                    place = place[place + size <= b - a]
+                    for few in np.array_split(place, -(-len(place) // 2000) or 1):
+                        if not len(few):
+                            continue
+                        key, before, both, values = grown(hashes[a:b], few, size)
+                        lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(both)).astype(np.int32), values.view(np.int64))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(few), ids[at + k], dtype=np.int64)), pa.array(few), pa.array(key.view(np.int64)), pa.array(before), lists],
+                            names=["doc_id", "start", "key", "n_before", "values"],
+                        )
+
+    by_doc = places.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    rows = _identified(docs).join(by_doc, "doc_id").select("doc_id", "text", "starts")
+    return rows.mapInArrow(of_batches, "doc_id long, start long, key long, n_before long, values array<bigint>")
+
+
+def reaches(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """doc_id, start, and how many words (`size` at most) before and behind the run there stand
+    with it at another place, and at an earlier one; kept: where the earliest of these is."""
+    where = F.struct("doc_id", "start")
+    rows = cut(grown_rows(docs, places, size)).select("doc_id", "start", "key", "n_before", F.posexplode("values").alias("k", "value"))
+    first = rows.groupBy("key", "value").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
+    left, earlier = F.col("k") < F.col("n_before"), where != F.col("first")
+    n = F.when(left, F.col("k") + 1).otherwise(F.col("k") - F.col("n_before") + 1)
+    return rows.join(first, ["key", "value"]).groupBy("doc_id", "start").agg(
+        F.coalesce(F.max(F.when(left, n)), F.lit(0)).alias("before"), F.coalesce(F.max(F.when(~left, n)), F.lit(0)).alias("behind"),
+        F.coalesce(F.max(F.when(left & earlier, n)), F.lit(0)).alias("earlier_before"),
+        F.coalesce(F.max(F.when(~left & earlier, n)), F.lit(0)).alias("earlier_behind"),
+        F.max_by("first", F.when(left & earlier, n)).alias("kept"),
+    )
+
+
 def repeated_passages(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, start, end, class, first_doc_id, first_start, removed of the stretches of anchored
-    runs that stand at two places."""
+    runs that stand at two places, with the words around them that do so too."""
     rows = anchor_rows(docs, size)
     where = F.struct("doc_id", "start")
     first = rows.groupBy("key", "check").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
-    found = rows.join(first, ["key", "check"]).select(
-        "doc_id", "start", "key", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"),
-        (where != F.col("first")).alias("removed"),
-    )
+    found = rows.join(first, ["key", "check"]).select("doc_id", "start", "key", "check", "first", (where != F.col("first")).alias("removed"))
     inside = Window.partitionBy("doc_id", "removed").orderBy("start")
-    fresh = F.coalesce(F.col("start") > F.lag("start").over(inside) + size + 1, F.lit(True)).cast("int")
+    # the words between two runs that touch are theirs; only where runs end, words may be missing
+    apart = [F.coalesce(d > size, F.lit(True)) for d in (F.col("start") - F.lag("start").over(inside), F.lead("start").over(inside) - F.col("start"))]
+    found = cut(found.withColumn("edge", apart[0] | apart[1]))
+    edges = found.where("edge").select("key", "check").distinct()
+    reach = reaches(docs, found.join(edges, ["key", "check"], "left_semi").select("doc_id", "start"), size)
+    found = found.join(reach, ["doc_id", "start"], "left").na.fill(0, ["before", "behind", "earlier_before", "earlier_behind"])
+
+    def spans(rows: DataFrame, removed: bool, before: str, behind: str, kept: Column) -> DataFrame:
+        return rows.select(
+            "doc_id", F.lit(removed).alias("removed"), (F.col("start") - F.col(before)).alias("start"), (F.col("start") + size + F.col(behind)).alias("end"),
+            "key", kept["doc_id"].alias("first_doc_id"), (kept["start"] - F.col(before)).alias("first_start"),
+        )
+
+    # a place that is not the first of its run may be the first of a longer one
+    longer = "NOT removed OR before > earlier_before OR behind > earlier_behind"
+    both = spans(found.where("removed"), True, "earlier_before", "earlier_behind", F.coalesce("kept", "first"))
+    both = both.union(spans(found.where(longer), False, "before", "behind", where))
+    inside = Window.partitionBy("doc_id", "removed").orderBy("start", "end")
+    fresh = F.coalesce(F.col("start") > F.max("end").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).cast("int")
     run = F.sum("fresh").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    return found.withColumn("fresh", fresh).withColumn("run", run).groupBy("doc_id", "removed", "run").agg(
-        F.min("start").alias("start"), (F.max("start") + size).alias("end"), F.min("key").alias("class"),
+    return both.withColumn("fresh", fresh).withColumn("run", run).groupBy("doc_id", "removed", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("key").alias("class"),
         F.min("first_doc_id").alias("first_doc_id"), F.min_by("first_start", F.struct("first_doc_id", "start")).alias("first_start"),
     ).drop("run")
 
@@ -196,8 +274,8 @@ def repeats(docs: DataFrame, least: int = 25, similarity: float = 0.8, bands: in
     kind paragraph: a line of at least `least` words with a like one (Jaccard similarity of its
     five-word runs, links followed to components) elsewhere in the table; nine bands of three
     find 99.8 % of the pairs at 0.8, and more beyond it. kind passage: a stretch that stands word
-    for word at another place, wherever lines end: each of at least 2 * `least` words is found,
-    though up to `least` words at either end may not be covered. The first place by doc_id, then
+    for word at another place, wherever lines end: each of at least 2 * `least` words is found
+    from its first to its last word. The first place by doc_id, then
     start, is kept, the others are marked as removed. Words are A-Z lower-cased and parted by
     white space. Rows without doc_id count for nothing; rows with the same doc_id are one
     document. Null, empty and short texts have no stretches. Other columns are ignored. An empty

@@ -235,6 +235,28 @@ def test_paragraphs(docs, empty, spark):
     assert paragraphs.repeats(empty).count() == 0
 
 
+def test_passages_are_found_to_their_ends(spark):
+    rows, wanted, kept = [], {}, {}
+    for k in range(40):
+        passage, lead = prose(50 + 2 * k, 500 + k), 7 + k
+        rows += [(3 * k, prose(lead, 600 + k) + " " + passage + " " + prose(30, 700 + k)), (3 * k + 1, prose(33, 800 + k) + " " + passage)]
+        wanted[3 * k + 1], kept[3 * k] = set(range(33, 83 + 2 * k)), set(range(lead, lead + 50 + 2 * k))
+        if k % 2:
+            # an earlier place that holds the middle alone does not hide the ends
+            rows.append((-1 - k, " ".join(passage.split()[10:45])))
+            wanted[3 * k] = None
+    got = [r for r in paragraphs.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["kind"] == "passage"]
+
+    def covered(doc_id, *removed):
+        return {n for r in got if r["doc_id"] == doc_id and r["removed"] in removed for n in range(r["start"], r["end"])}
+
+    for doc_id, places in wanted.items():
+        assert places is None or covered(doc_id, True) == places
+    for doc_id, places in kept.items():
+        assert covered(doc_id, True, False) == places
+        assert covered(doc_id, True) < places and (doc_id % 2 or not covered(doc_id, True))
+
+
 def test_licenses(docs, empty):
     got = {(r["doc_id"], r["n_words"]): r for r in licenses.scan(docs).collect()}
     r = got[9, 10]
