@@ -24,11 +24,14 @@ COLUMNS = {
     "op8_license_scan": {"doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"},
     "op9_substring_dedup": {"doc_id", "start", "end", "first_doc_id", "removed"},
     "op10_toxicity": {"doc_id", "held_out", "score", "predicted"},
+    "op11_merkle_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
+    "op12_vector_codes": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
+    "op13_byte_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
 }
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) == set(COLUMNS)
     registered = __spark_entry__.queries()
     assert set(COLUMNS) | {"pipeline"} <= set(registered)
