@@ -16,11 +16,13 @@ nothing outside it can change:
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,10 @@ from shelfmark.llm.common import unused
 LEAF_CHARS, LEAF_BYTES = 2048, 64
 #: Characters that the pattern reads from the start of a match, whatever its length: a quote and two letters.
 AHEAD = 3
+#: Characters of texts whose words are encoded together, and words that are merged at once.
+GROUP_CHARS, TOGETHER = 1 << 20, 1 << 15
+#: Bytes of texts or ids that a task holds the results of.
+PART_BYTES = 2 << 20
 #: Words and pairs whose ids a task remembers; the store starts anew when it is full.
 REMEMBERED = 300_000
 _ID = np.dtype("<u4")
@@ -49,6 +55,59 @@ class Merges:
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
         self.lawful: dict[tuple[int, int], bool] = {}
+        self.pairs: tuple[np.ndarray, np.ndarray] | None = None
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id that each pair of ids merges to, `_NONE` where none."""
+        if self.pairs is None:
+            get = self.ranks.get
+            found = sorted(
+                (a << 32 | b, whole) for token, whole in self.ranks.items() for k in range(1, len(token))
+                if (a := get(token[:k])) is not None and (b := get(token[k:])) is not None
+            )
+            self.pairs = tuple(np.array(x, dtype=np.int64) for x in zip(*found, strict=True))
+        keys, wholes = self.pairs
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, wholes[at], _NONE)
+
+    def merged_together(self, words: list[bytes]) -> list[bytes]:
+        """The ids of many short words as 32-bit numbers: one merge of each word at a time."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        ids = of_byte[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        last = np.zeros(len(ids), dtype=bool)
+        last[np.cumsum(sizes) - 1] = True
+        ranks = np.where(last, _NONE, self._pair_ranks(ids, np.append(ids[1:], 0)))
+        out, open_ = [b""] * len(words), np.arange(len(words))
+        while True:
+            starts = np.cumsum(sizes) - sizes
+            least = np.minimum.reduceat(ranks, starts)
+            done = least == _NONE
+            if done.any():
+                packed = ids.astype(_ID).tobytes()
+                for k, a, n in zip(open_[done].tolist(), starts[done].tolist(), sizes[done].tolist(), strict=True):
+                    out[k] = packed[4 * a : 4 * (a + n)]
+                stay = np.repeat(~done, sizes)
+                ids, ranks, open_, sizes, least = ids[stay], ranks[stay], open_[~done], sizes[~done], least[~done]
+                if not len(open_):
+                    return out
+                starts = np.cumsum(sizes) - sizes
+            # the leftmost place of each word's least rank
+            places = np.flatnonzero(ranks == np.repeat(least, sizes))
+            at = places[np.searchsorted(places, starts)]
+            ids[at] = least
+            stay = np.ones(len(ids), dtype=bool)
+            stay[at + 1] = False
+            # a pair that began with the second of the two is gone; what it pairs with now is looked up
+            ends = at + 2 == starts + sizes
+            at -= np.arange(len(at))
+            ids, ranks, sizes = ids[stay], ranks[stay], sizes - 1
+            starts = np.cumsum(sizes) - sizes
+            behind = ids[np.minimum(at + 1, len(ids) - 1)]
+            ranks[at] = np.where(ends, _NONE, self._pair_ranks(ids[at], behind))
+            before = at[at > starts] - 1
+            ranks[before] = self._pair_ranks(ids[before], ids[before + 1])
 
     def merged(self, data: bytes) -> list[int]:
         """Ids of a stretch, merge by merge."""
@@ -128,35 +187,49 @@ class Merges:
         return self.decoded(ids[:half]) + self.decoded(ids[half:])
 
 
+class Words(dict):
+    """Ids of words as 32-bit numbers, each word encoded once."""
+
+    def __init__(self, merges: Merges):
+        super().__init__()
+        self.merges = merges
+
+    def learn(self, words: set[str]) -> None:
+        """Encodes the short ones of the words that are not known yet, all together."""
+        if len(self) >= REMEMBERED:
+            self.clear()
+        new = [w for w in words.difference(self) if len(w) <= LEAF_BYTES]
+        for first in range(0, len(new), TOGETHER):
+            part = new[first : first + TOGETHER]
+            self.update(zip(part, self.merges.merged_together([w.encode("utf-8", "replace") for w in part]), strict=True))
+
+    def __missing__(self, word: str) -> bytes:
+        return _packed(self.merges.encoded(word.encode("utf-8", "replace")))
+
+
 class Encoder:
     """Ids of whole texts: words by a pattern, which leaves out no character, each by the merges."""
 
     def __init__(self, path: str, pattern: str):
         self.merges, self.pattern = Merges(path), regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
+        self.words = Words(self.merges)
 
-    def word(self, word: str) -> bytes:
-        """A word's ids as 32-bit numbers, each word encoded once."""
-        found = self.known.get(word)
-        if found is None:
-            found = _packed(self.merges.encoded(word.encode("utf-8", "replace")))
-            if len(word) <= 64:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[word] = found
-        return found
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(self._stretch(text, 0, len(text))[1]) if text else b""
+    def ids(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text as 32-bit numbers."""
+        for group in _groups(texts):
+            leaves = [{a: self.pattern.findall(text, a, b) for a, b in _leaves(0, len(text))} for text in group]
+            self.words.learn(set().union(*(words for leaf in leaves for words in leaf.values())))
+            for text, leaf in zip(group, leaves, strict=True):
+                yield b"".join(self._stretch(text, 0, len(text), leaf)[1])
 
-    def _stretch(self, text: str, start: int, end: int) -> tuple[list[int], list[bytes]]:
+    def _stretch(self, text: str, start: int, end: int, leaf: dict[int, list[str]]) -> tuple[list[int], list[bytes]]:
         """Where the words of a stretch end, and the ids of each."""
         if end - start <= LEAF_CHARS:
-            words = self.pattern.findall(text, start, end)
-            ends = (np.cumsum([len(w) for w in words], dtype=np.int64) + start).tolist()
-            return ends, list(map(self.word, words))
+            ends = list(accumulate(map(len, leaf[start]), initial=start))
+            return ends[1:], list(map(self.words.__getitem__, leaf[start]))
         half = (start + end) // 2
-        return self._joined(text, start, self._stretch(text, start, half), self._stretch(text, half, end), half, end)
+        left, right = self._stretch(text, start, half, leaf), self._stretch(text, half, end, leaf)
+        return self._joined(text, start, left, right, half, end)
 
     def _joined(self, text: str, start: int, left: tuple, right: tuple, border: int, end: int) -> tuple[list[int], list[bytes]]:
         (ends, ids), (later, later_ids) = left, right
@@ -190,7 +263,30 @@ class Encoder:
         if a < border < b and ends[-1] == border and b == later[0] and a == (ends[-2] if len(ends) > 1 else start):
             both = (np.frombuffer(x, dtype=_ID).tolist() for x in (ids[-1], later_ids[0]))
             return _packed(self.merges.joined(*both))
-        return self.word(text[a:b])
+        return self.words[text[a:b]]
+
+
+def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in groups of bounded size, unless one text alone is longer."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _leaves(start: int, end: int) -> Iterator[tuple[int, int]]:
+    """The leaves of the tree over a stretch."""
+    if end - start <= LEAF_CHARS:
+        yield start, end
+    else:
+        half = (start + end) // 2
+        yield from _leaves(start, half)
+        yield from _leaves(half, end)
 
 
 def _stands(start: int, stop: int, edge: int) -> bool:
@@ -202,6 +298,17 @@ def _packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype=_ID).tobytes()
 
 
+def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of bounded bytes, unless one value alone is longer."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, first = np.cumsum(sizes, dtype=np.int64), 0
+        while first < len(ends):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PART_BYTES, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def _with(batch: pa.RecordBatch, drop: int, name: str, values: list[bytes]) -> pa.RecordBatch:
     kept = [i for i in range(batch.num_columns) if i != drop]
     return pa.RecordBatch.from_arrays(
@@ -218,16 +325,16 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
 
     A null is an empty text; bytes that are no UTF-8 count as U+FFFD. A column named `ids` is set
     aside as `_ids`. Equal rows stay as many. Texts of any length are encoded whole, in the task
-    that holds the row; a task keeps the ids of 300,000 words at most."""
+    that holds the row; a task keeps the ids of 300,000 words, and of those of one group of texts."""
     aside = {c: unused("_ids", docs.columns) for c in docs.columns if c.lower() == "ids" and c != text}
     rows = docs.withColumnsRenamed(aside).withColumn(text, F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "utf-8"))
     at = rows.columns.index(text)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, pattern)
-        for batch in batches:
-            found = [encoder.ids(x.as_py().decode("utf-8", "replace")) for x in batch.column(at)]
-            yield _with(batch, at, "ids", found)
+        for batch in _parts(batches, at):
+            texts = (x.as_py().decode("utf-8", "replace") for x in batch.column(at))
+            yield _with(batch, at, "ids", list(encoder.ids(texts)))
 
     return rows.mapInArrow(of_batches, _schema(rows.drop(text), "ids"))
 
@@ -242,7 +349,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = Merges(path)
-        for batch in batches:
+        for batch in _parts(batches, at):
             found = [merges.decoded(np.frombuffer(x.as_py() or b"", dtype=_ID).tolist()) for x in batch.column(at)]
             yield _with(batch, -1, "decoded", found)
 
