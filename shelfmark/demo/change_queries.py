@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import changes
 from ..plans.ingest import apply_stop_rules, ingest_run
 from ..session import new_folder
-from ..sources.snapshots import read_snapshot, write_batch
+from ..sources.snapshots import fold_snapshot, read_snapshot, write_batch
 from .catalog import query
 from .views import view
 
@@ -117,6 +117,21 @@ def _store(spark, sf_dir):
         "seller_product_url", "seller_name", "product_name", "current_price", "in_stock")
 
 
+@query("snapshot_fold", ("crawl_items",), f"""
+
+select seller_product_url, seller_name, product_name, current_price, in_stock from ({LATEST})""")
+def _fold(spark, sf_dir):
+    """Four runs; the first three are folded into one row per key, the last one is repeated."""
+    folder, items = new_folder(spark, "folded"), view(spark, sf_dir, "crawl_items")
+    quarter = F.least(F.floor(F.col("seq") * 4 / items.agg(F.max("seq")).scalar()), F.lit(3))
+    for batch_id in range(4):
+        write_batch(items.filter(quarter == batch_id), folder, batch_id)
+    fold_snapshot(spark, folder, 3)
+    write_batch(items.filter(quarter == 3), folder, 3)
+    return read_snapshot(spark, folder).select(
+        "seller_product_url", "seller_name", "product_name", "current_price", "in_stock")
+
+
 @query("match_existing", ("crawl_items",), """
 , halves as (select *, seq > (select max(seq) from crawl_items) / 2 as late from crawl_items),
 stored as (select * from halves where not late
@@ -142,6 +157,18 @@ def _resumed(spark, sf_dir):
         "seq", "seller_product_url", "kind")
 
 
+@query("classify_resumed_negative", ("crawl_items",), KINDS + """
+select seq - 1000000000 as seq, seller_product_url, kind from kinds
+where seq > (select max(seq) from crawl_items) / 2""")
+def _resumed_negative(spark, sf_dir):
+    """The same with positions below zero: stored versions lead whatever the positions are."""
+    items = view(spark, sf_dir, "crawl_items").withColumn("seq", F.col("seq") - 1000000000)
+    middle = (items.agg(F.max("seq")).scalar() - 1000000000) / 2
+    known = changes.latest_per_url(items.filter(F.col("seq") <= middle))
+    return changes.classify_change(items.filter(F.col("seq") > middle), known).select(
+        "seq", "seller_product_url", "kind")
+
+
 @query("ingest_run", ("crawl_items",), KINDS + RUNS + f"""
 , stops as (select seller_name, min(seq) as stop_seq from idle
             where idle >= 50 or (kind <> 'duplicate' and writes >= {MAX_ITEMS}) group by all)

@@ -18,12 +18,12 @@ from .views import product_pages, table, view
 SLICES = 2
 
 
-def landing(spark: SparkSession, df: DataFrame, seq: str, run) -> None:
+def landing(spark: SparkSession, df: DataFrame, seq: str, run, slices: int = SLICES) -> None:
     """Lands a table slice by slice in ``seq`` order; ``run(folder)`` follows each slice."""
     folder = new_folder(spark, "landing")
     low, high = df.agg(F.min(seq), F.max(seq)).first()
-    width = (high - low) // SLICES + 1
-    for k in range(SLICES):
+    width = (high - low) // slices + 1
+    for k in range(slices):
         begin = low + k * width
         (df.filter(F.col(seq).between(begin, begin + width - 1))
          .write.mode("append").parquet(folder))
@@ -86,6 +86,31 @@ def _links(spark, sf_dir):
     return spark.read.schema("url string").parquet(out)
 
 
+_PERIODS = 5
+# What a period adds: not late by two periods or more, and not kept in the period before.
+_KEPT = ",\n".join(
+    f"kept{k} as (select distinct url from link_sightings where landed = {k} and period > {k} - 2"
+    + (f" and url not in (select url from kept{k - 1})" if k else "") + ")" for k in range(_PERIODS))
+
+
+@query("stream_link_window", ("link_sightings",), f", {_KEPT}\n" + "\nunion all\n".join(
+    f"select url from kept{k}" for k in range(_PERIODS)))
+def _link_window(spark, sf_dir):
+    """URLs remembered for two days, landed in periods of six: one that comes back after a
+    period is found again, one that lands late is dropped."""
+    sightings = view(spark, sf_dir, "link_sightings").withColumn(
+        "seen_at", F.timestamp_seconds(F.lit(1704067200) + F.col("period") * 6 * 86400))
+    out, checkpoint = new_folder(spark, "window"), new_folder(spark, "checkpoint")
+
+    def run(folder: str) -> None:
+        stream = readers.stream_table(spark, folder, sightings.schema)
+        found = jobs.distinct_urls_of_stream(stream, "seen_at", "2 days")
+        jobs.to_files(found, out, checkpoint).awaitTermination()
+
+    landing(spark, sightings, "landed", run, _PERIODS)
+    return spark.read.schema("url string").parquet(out)
+
+
 @query("stream_items", ("product_pages",),
        "\nunion all\n".join(product_sql(shop, fields) for shop, fields in EXPECTED.items()))
 def _items(spark, sf_dir):

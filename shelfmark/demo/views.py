@@ -137,6 +137,15 @@ select distinct 'https://shop' || cast(user_id as string) || '.example.com/list'
 from events
 """
 
+# Sightings of links by six-day period; some land in the last period only, long after they were made.
+VIEWS["link_sightings"] = """
+select url, period, case when event_id % 97 = 0 then 4 else period end as landed from (
+  select event_id, 'https://shop' || cast(user_id % 4 as string) || '.example.com/product/item-' || cast(user_id as string)
+      || '-' || cast(event_id % 20 as string) as url,
+    cast(floor((day(ts) - 1) / 6) as int) % 5 as period
+  from events) as dated
+"""
+
 VIEWS["failure_lines"] = """
 select event_id as seq, case when event_id % 9 = 8 then '  (continuation of the stack trace)' else
   '[2026-03-' || lpad(cast(1 + event_id % 28 as string), 2, '0') || ' 01:26:50]' || case when event_id % 2 = 0 then '  ' else ' ' end

@@ -29,21 +29,21 @@ def classify_change(items: DataFrame, known: DataFrame | None = None,
     keys = list(keys)
     compare = compare or [c for c in PRODUCT_COLUMNS if c in items.columns and c not in keys]
     items, _ = split_keyed(items)
+    order = [seq]
     if known is not None:
         earlier = known.select(
             *keys, *[(F.col(c) if c in known.columns else F.lit(None)).cast("string").alias(c)
-                     for c in compare]).withColumn("_known", F.lit(True))
-        # Earlier versions take position -1; one per key is all that is needed.
-        items = (items.withColumn("_known", F.lit(False))
-                 .unionByName(earlier.withColumn(seq, F.lit(-1).cast("bigint")),
-                              allowMissingColumns=True))
-    seen = with_previous(items, keys, seq, compare, slices)
+                     for c in compare]).withColumn("_generation", F.lit(0))
+        # Earlier versions lead whatever the positions are; one per key is all that is needed.
+        items = items.withColumn("_generation", F.lit(1)).unionByName(earlier, allowMissingColumns=True)
+        order = ["_generation", seq]
+    seen = with_previous(items, keys, order, compare, slices)
     changed = F.lit(False)
     for c in compare:
         changed = changed | (normalize_value(F.col(c)) != normalize_value(F.col("_prev")[c]))
     kind = (F.when(F.col("_prev").isNull(), "new").when(changed, "update").otherwise("duplicate"))
     seen = seen.withColumn("kind", kind).drop("_prev")
-    return seen.filter(~F.col("_known")).drop("_known") if known is not None else seen
+    return seen.filter(F.col("_generation") == 1).drop("_generation") if known is not None else seen
 
 
 def stop_points(kinds: DataFrame, max_duplicates: int | None = None,

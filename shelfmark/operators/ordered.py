@@ -32,21 +32,22 @@ def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
-def with_previous(df: DataFrame, keys: list[str], seq: str, columns: list[str],
+def with_previous(df: DataFrame, keys: list[str], seq: str | list[str], columns: list[str],
                   slices: int | None = None) -> DataFrame:
     """Adds ``_prev``: ``seq`` and ``columns`` of the row before, per key in ``seq`` order.
 
-    NULL is a key like any other. The first row of a slice takes the last row of the slice
-    before it, which is one row per slice.
+    ``seq`` may be several columns, the first one leading. NULL is a key like any other. The
+    first row of a slice takes the last row of the slice before it, which is one row per slice.
     """
-    carried = [seq, *[c for c in columns if c != seq]]
+    order = [seq] if isinstance(seq, str) else seq
+    carried = [*order, *[c for c in columns if c not in order]]
     fields = [*keys, *[c for c in carried if c not in keys]]
-    sliced = in_slices(df, [*keys, seq], slices)
+    sliced = in_slices(df, [*keys, *order], slices)
     ends = sliced.groupBy("_slice").agg(
-        F.max_by(F.struct(*fields), F.struct(*keys, seq)).alias("_end"))
+        F.max_by(F.struct(*fields), F.struct(*keys, *order)).alias("_end"))
     carry = ends.select(
         "_slice", F.lag("_end").over(Window.orderBy("_slice")).alias("_carry"))
-    w = Window.partitionBy("_slice").orderBy(*keys, seq)
+    w = Window.partitionBy("_slice").orderBy(*keys, *order)
     # One lag per existing column: nothing is added to the shuffled rows.
     inside = F.struct(*[F.lag(c).over(w).alias(c) for c in fields])
     before = F.when(F.col("_place") > 1, F.col("_inside")).otherwise(F.col("_carry"))

@@ -45,3 +45,10 @@ def cut(df: DataFrame) -> DataFrame:
     """
     working_root(df.sparkSession)
     return df.checkpoint()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, through the file system its path names."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)

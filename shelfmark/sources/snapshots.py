@@ -1,28 +1,19 @@
-"""The latest-version table: a plain table with a partition per batch."""
+"""The latest-version table: plain files in buckets of keys, with a partition per recent batch."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.changes import KEYS, as_snapshot, latest_per_url
 from ..schema import SNAPSHOT_COLUMNS
+from .keyed import KeyedTable
 
 _SCHEMA = T.StructType([
     *[T.StructField(c, T.StringType()) for c in SNAPSHOT_COLUMNS[:-1]],
-    T.StructField(SNAPSHOT_COLUMNS[-1], T.TimestampType()), T.StructField("batch", T.LongType())])
+    T.StructField(SNAPSHOT_COLUMNS[-1], T.TimestampType())])
 
 
-def read_batches(spark: SparkSession, folder: str, schema: T.StructType,
-                 before: int | None = None) -> DataFrame | None:
-    """All partitions, or those before a batch; None if the table is not there yet."""
-    try:
-        rows = spark.read.schema(schema).parquet(folder)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return rows if before is None else rows.filter(F.col("batch") < before)
+def snapshot_table(folder: str) -> KeyedTable:
+    return KeyedTable(folder, _SCHEMA, KEYS)
 
 
 def write_batch(items: DataFrame, folder: str, batch_id: int, seq: str = "seq") -> None:
@@ -30,9 +21,7 @@ def write_batch(items: DataFrame, folder: str, batch_id: int, seq: str = "seq")
 
     An upsert thus costs as much as its batch.
     """
-    rows = as_snapshot(latest_per_url(items, (seq,)))
-    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in _SCHEMA.fields[:-1]])
-    rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+    snapshot_table(folder).write(as_snapshot(latest_per_url(items, (seq,))), batch_id)
 
 
 def read_snapshot(spark: SparkSession, folder: str, before: int | None = None,
@@ -40,13 +29,13 @@ def read_snapshot(spark: SparkSession, folder: str, before: int | None = None,
     """The last version per key, None if there is no table; ``before`` leaves out that batch
     and later ones.
 
-    ``items`` limits it to their keys before versions are resolved, so that a small batch does
-    not shuffle the whole table: the planner broadcasts the keys if they fit.
+    ``items`` limits it to the buckets of their keys, and to those keys before versions are
+    resolved, so that a small batch neither lists nor shuffles the whole table.
     """
-    rows = read_batches(spark, folder, _SCHEMA, before)
-    if rows is None:
-        return None
-    if items is not None:
-        wanted = items.select(*[F.col(k).alias(f"_{k}") for k in KEYS]).distinct()
-        rows = rows.join(wanted, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS], "left_semi")
-    return latest_per_url(rows, ("batch",)).drop("batch")
+    return snapshot_table(folder).latest(spark, before, items)
+
+
+def fold_snapshot(spark: SparkSession, folder: str, before: int) -> None:
+    """Folds the batches older than ``before`` into one row per key, so that reads do not grow
+    with the number of batches. They must not be repeated any more."""
+    snapshot_table(folder).fold(spark, before)

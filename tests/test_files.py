@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import links
+from shelfmark.operators.changes import KEYS, classify_change
 from shelfmark.schema import PRODUCT_COLUMNS, SNAPSHOT_COLUMNS, fill_missing_columns, template_defaults
 from shelfmark.session import new_folder
 from shelfmark.sources import readers, sinks
+from shelfmark.sources.keyed import KeyedTable
 from shelfmark.sources.snapshots import read_snapshot, write_batch
 from shelfmark.streaming import jobs
 from tests.test_ordered import SCHEMA, observations, replay
@@ -195,3 +197,77 @@ def test_entrypoint_yield(spark):
     found = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a"), (2, "b"), (2, "c"), (3, "a")], "entry long, url string")
     got = sorted(tuple(r) for r in links.entrypoint_yield(found).select("entry", "found", "new", "duplicates").collect())
     assert got == [(1, 2, 2, 0), (2, 2, 1, 1), (3, 1, 0, 1)]
+
+
+def seen_rows(spark, *rows):
+    return spark.createDataFrame(rows, "seller string, url string, value long")
+
+
+def test_keyed_table_reads_the_buckets_of_its_keys_only(spark):
+    rows = [(f"s{s}", f"u{u}", 0) for s in range(6) for u in range(200)]
+    table = KeyedTable(new_folder(spark, "keyed"), seen_rows(spark, rows[0]).schema, ("seller", "url"), 4, 8)
+    assert table.latest(spark) is None and table.latest(spark, items=seen_rows(spark, rows[0])) is None
+    for batch in range(3):
+        table.write(seen_rows(spark, *[(s, u, batch) for s, u, _ in rows]), batch)
+    batch = seen_rows(spark, *[("s1", f"u{u}", 9) for u in range(40)], ("s1", "unseen", 9), (None, None, 9))
+    wanted = table.buckets_of(batch)
+    assert len(wanted) < 32
+
+    def buckets(df):
+        return {int(f.split("bucket=")[1].split("/")[0]) for f in df.inputFiles()}
+
+    got = table.latest(spark, before=2, items=batch)
+    assert buckets(got) <= set(wanted)
+    assert sorted(map(tuple, got.collect())) == sorted(("s1", f"u{u}", 1) for u in range(40))
+    before = len(table.versions(spark).inputFiles())
+    table.fold(spark, 2)
+    folded = table.versions(spark)
+    assert len(folded.inputFiles()) < before
+    assert buckets(table.latest(spark, items=batch)) <= set(wanted)
+    assert sorted(map(tuple, table.latest(spark, before=2).collect())) == sorted((s, u, 1) for s, u, _ in rows)
+    table.write(seen_rows(spark, ("s1", "u1", 7)), 2)  # repeated: its other rows are gone
+    got = {(r["seller"], r["url"]): r["value"] for r in table.latest(spark).collect()}
+    assert got == {(s, u): 7 if (s, u) == ("s1", "u1") else 1 for s, u, _ in rows}
+    table.fold(spark, 2)
+    table.fold(spark, 3)
+    assert {(r["seller"], r["url"]): r["value"] for r in table.latest(spark).collect()} == got
+    assert all("/base/" in f for f in table.versions(spark).inputFiles())
+
+
+def test_a_fold_that_was_cut_off_reads_as_one(spark):
+    table = KeyedTable(new_folder(spark, "cut"), seen_rows(spark, ("a", "b", 0)).schema, ("seller", "url"))
+    table.write(seen_rows(spark, ("s", "a", 0), ("s", "b", 0)), 0)
+    kept = f"{new_folder(spark, 'kept')}"
+    spark.read.parquet(f"{table.folder}/recent/batch=0").write.partitionBy("bucket").parquet(kept)
+    table.fold(spark, 1)
+    spark.read.parquet(kept).write.partitionBy("bucket").parquet(f"{table.folder}/recent/batch=0")
+    assert sorted(map(tuple, table.latest(spark).collect())) == [("s", "a", 0), ("s", "b", 0)]
+
+
+def test_stream_of_changes_with_folds(spark):
+    """Six micro-batches, folded after each second one."""
+    rows = [(k - 2000, *r[1:]) for k, r in enumerate(observations(5, n=1200))]  # positions below zero
+    source, out, checkpoint = (new_folder(spark, n) for n in ("source", "out", "checkpoint"))
+    for k in range(6):
+        spark.createDataFrame(rows[200 * k : 200 * k + 200], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = readers.stream_table(spark, source, spark.read.parquet(source).schema)
+        jobs.changes_of_stream(stream, out, checkpoint, compare=["product_name", "current_price"],
+                               fold_every=2).awaitTermination()
+    got = {r["seq"]: r["kind"] for r in spark.read.parquet(f"{out}/log").collect()}
+    assert got == replay(rows)
+    state = KeyedTable(f"{out}/seen", spark.read.parquet(f"{out}/seen/base").drop("batch", "bucket").schema, KEYS)
+    assert {f.split("/seen/")[1].split("/bucket")[0] for f in state.versions(spark).inputFiles()} <= {
+        "base", "recent/batch=4", "recent/batch=5"}
+
+
+def test_known_versions_lead_whatever_the_positions(spark):
+    known = spark.createDataFrame([(7, "s", "u", "n", "1")], SCHEMA)
+    items = spark.createDataFrame([(-5, "s", "u", "n", "1"), (-4, "s", "u", "n", "2"), (None, "s", "v", "n", "1")], SCHEMA)
+    got = {r["seq"]: r["kind"] for r in classify_change(items, known, compare=["product_name", "current_price"]).collect()}
+    assert got == {-5: "duplicate", -4: "update", None: "new"}
+
+
+def test_a_span_needs_a_time(spark):
+    links = spark.createDataFrame([("a",)], "url string")
+    with pytest.raises(ValueError):
+        jobs.distinct_urls_of_stream(links, within="1 day")
