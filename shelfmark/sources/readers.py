@@ -5,8 +5,6 @@ files with different headers are brought together by name.
 """
 
 import re
-from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import blank, strip
 from ..operators.ordered import running_counts
 from ..schema import PAGES, RAW_FEED, RAW_PRODUCT
+from ..session import cut
 
 _CSV = {"header": "true", "escape": '"', "enforceSchema": "false"}
 _START = r"^\[?[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\]"
@@ -25,6 +24,10 @@ HEADING_CELLS = ["url", "link", "entrypoint", ""]
 
 _PLACE = ["_file", "_block", "_at"]
 
+# A cell with the comma behind it, and a record with its line breaks in quotes.
+_CELL = r'("(?:[^"]++|"")*+"|[^,]*+),'
+_RECORD = r'(?:[^"\n]++|"(?:[^"]++|"")*+"|")++'
+
 
 def located(df: DataFrame) -> DataFrame:
     """Adds where each row was read: file, start of the input split, place in the split."""
@@ -50,29 +53,78 @@ def in_file_order(rows: DataFrame, out: str = "seq") -> DataFrame:
             .drop(*_PLACE, "_inside", "_offset"))
 
 
-def _headers(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
-    """Files, grouped by their first line; a line break in a heading is not foreseen."""
-    lines = located(spark.read.text(path)).filter(F.col("_block") == 0)
-    first = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
-    groups = first.groupBy("_header").agg(F.sort_array(F.collect_list("_file")).alias("files"))
-    return sorted([unquote(f) for f in r["files"]] for r in groups.collect())
-
-
-def _with_header(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
-    """Located rows, all columns as strings under the names their own file gives them.
-
-    With ``multi_line`` cells may hold line breaks, but a file is then read by one task.
+def _cells(line: Column) -> Column:
+    """The cells of one CSV record; an empty one without quotes is NULL."""
+    found = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(_CELL), F.lit(1))
+    return F.transform(found, lambda c: F.when(c == "", None).when(
+        F.startswith(c, F.lit('"')), F.replace(F.substring(c, 2, F.length(c) - 2), F.lit('""'), F.lit('"')))
+        .otherwise(c))
+
+
+def _records(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
+    """Located records of CSV files as ``_cells``; blank lines are none."""
+    lines = located(spark.read.text(path, wholetext=multi_line))
+    record = F.col("value")
+    if multi_line:
+        # One row a file comes in; a quoted line break does not end a record.
+        records = F.regexp_extract_all(F.col("value"), F.lit(_RECORD), F.lit(0))
+        lines = lines.select(*_PLACE[:2], F.posexplode(records).alias("_at", "value"))
+        record = F.rtrim(F.col("value"), F.lit("\r"))
+    return lines.filter(~blank(record)).select(*_PLACE, _cells(record).alias("_cells"))
+
+
+def _unique(names: list[str | None]) -> list[str]:
+    """Names of the columns of one file: a nameless one is called after its place, a repeated
+    one gets a number."""
+    out: list[str] = []
+    for k, name in enumerate(names):
+        name, n = name or f"_c{k}", 0
+        while (shown := f"{name}.{n}" if n else name) in out:
+            n += 1
+        out.append(shown)
+    return out
+
+
+def _with_header(spark: SparkSession, path: str | list[str], multi_line: bool
+                 ) -> tuple[DataFrame, dict[str, Column]]:
+    """Located records as ``_cells``, and each column name's cell.
+
+    The files are read once. Every file's own header row says by a join where in its rows a
+    column stands; what the driver sees is the distinct header rows, however many files have
+    them. With ``multi_line`` cells may hold line breaks, but a file is then read by one task.
     """
-    options = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
-    parts = [located(spark.read.options(**options).csv(files)) for files in _headers(spark, path)]
-    if not parts:
-        return spark.createDataFrame([], "_file string, _block long, _at long")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    records = cut(_records(spark, path, multi_line))
+    first = records.groupBy("_file").agg(
+        F.min_by(F.struct("_block", "_at", "_cells"), F.struct("_block", "_at")).alias("_first"))
+    # A byte order mark belongs to no name.
+    header = F.transform(F.col("_first._cells"), lambda c: F.ltrim(c, F.lit("\ufeff")))
+    first = cut(first.select("_file", "_first._block", "_first._at", header.alias("_header")))
+    headers = sorted((r["_header"] for r in first.select("_header").distinct().collect()),
+                     key=lambda h: [c or "" for c in h])
+    named = [_unique(h) for h in headers]
+    names = list(dict.fromkeys(name for n in named for name in n))
+    # For each header row the place of every name, 0 if it has none: one small row a header.
+    places = F.array(F.array().cast("array<int>"), *[
+        F.array(*[F.lit(n.index(name) + 1 if name in n else 0) for name in names]) for n in named])
+    which = F.lit(0)
+    for k, header_row in enumerate(headers):
+        same = F.array(*[F.lit(c) for c in header_row]).cast("array<string>")
+        which = F.when(F.col("_header").eqNullSafe(same), k + 1).otherwise(which)
+    of_file = first.select("_file", F.col("_block").alias("_b"), F.col("_at").alias("_a"),
+                           F.get(places, which).alias("_places"))
+    rows = records.join(of_file, "_file").filter(
+        (F.col("_block") != F.col("_b")) | (F.col("_at") != F.col("_a"))).drop("_b", "_a")
+    return rows, {name: F.get(F.col("_cells"), F.get(F.col("_places"), F.lit(k)) - 1)
+                  for k, name in enumerate(names)}
+
+
+def _unnamed(name: str) -> bool:
+    return bool(re.match(r"^(Unnamed|_c\d+$)", name))
 
 
 def drop_unnamed(df: DataFrame) -> DataFrame:
     """Without the nameless columns that trailing commas make."""
-    return df.drop(*[c for c in df.columns if re.match(r"^(Unnamed|_c\d+$)", c)])
+    return df.drop(*filter(_unnamed, df.columns))
 
 
 def entrypoints_or_default(urls: DataFrame, start_url: str) -> DataFrame:
@@ -86,14 +138,13 @@ def entrypoints_or_default(urls: DataFrame, start_url: str) -> DataFrame:
 def read_entrypoints(spark: SparkSession, path: str, start_url: str) -> DataFrame:
     """The ``url`` column; the start URL if the file is absent or has none."""
     try:
-        rows = _with_header(spark, path, False)
+        rows, cells = _with_header(spark, path, False)
+        urls = rows.select(cells.get("url", F.lit(None).cast("string")).alias("url"))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = None
-    if rows is None or "url" not in rows.columns:
-        rows = spark.createDataFrame([], "url string")
-    return entrypoints_or_default(rows, start_url)
+        urls = spark.createDataFrame([], "url string")
+    return entrypoints_or_default(urls, start_url)
 
 
 def without_headings(cells: DataFrame) -> DataFrame:
@@ -110,24 +161,29 @@ def read_entrypoints_headerless(spark: SparkSession, path: str) -> DataFrame:
 
 def listed_urls(df: DataFrame) -> DataFrame:
     """The ``url`` column, or the first one where that is blank; stripped, blanks dropped."""
-    first = F.col(df.columns[0])
-    chosen: Column = (F.coalesce(F.nullif(F.col("url"), F.lit("")), first)
-                      if "url" in df.columns else first)
-    return df.select(strip(chosen).alias("url")).filter(~blank(F.col("url")))
+    return _listed(df, F.col("url") if "url" in df.columns else F.lit(None), F.col(df.columns[0]))
+
+
+def _listed(rows: DataFrame, url: Column, first: Column) -> DataFrame:
+    chosen = F.coalesce(F.nullif(url, F.lit("")), first)
+    return rows.select(strip(chosen).alias("url")).filter(~blank(F.col("url")))
 
 
-def read_url_list(spark: SparkSession, path: str) -> DataFrame:
-    return listed_urls(_with_header(spark, path, False).drop(*_PLACE))
+def read_url_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """As ``listed_urls``; the first column is that of each file."""
+    rows, cells = _with_header(spark, path, False)
+    return _listed(rows, cells.get("url", F.lit(None)), F.get(F.col("_cells"), F.lit(0)))
 
 
 def read_products(spark: SparkSession, path: str | list[str], multi_line: bool = False
                   ) -> DataFrame:
-    """Product rows with their file position ``seq``. Columns no file has are absent."""
-    rows = _with_header(spark, path, multi_line)
-    named = [c for c in drop_unnamed(rows).columns if c not in _PLACE]
-    known = [c for c in RAW_PRODUCT.fieldNames() if c in named]
-    extra = [c for c in named if c not in known]
-    return in_file_order(rows).select(F.col("seq").alias("seq"), *known, *extra)
+    """Product rows with their file position ``seq``. Columns no file has are absent; others
+    than the known ones follow, under the names the files give them, in capitals or not."""
+    rows, cells = _with_header(spark, path, multi_line)
+    known = [c for c in RAW_PRODUCT.fieldNames() if c in cells]
+    extra = [c for c in cells if c not in known and not _unnamed(c)]
+    return in_file_order(rows, "_seq").select(
+        F.col("_seq").alias("seq"), *[cells[c].alias(c) for c in (*known, *extra)])
 
 
 # A second crawl of the same seller has the same form.

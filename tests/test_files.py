@@ -271,3 +271,56 @@ def test_a_span_needs_a_time(spark):
     links = spark.createDataFrame([("a",)], "url string")
     with pytest.raises(ValueError):
         jobs.distinct_urls_of_stream(links, within="1 day")
+
+
+def test_every_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "many").mkdir()
+    for k in range(40):
+        names = ["product_name", "current_price", "note"][: 2 + k % 2]
+        if k % 3:
+            names.reverse()
+        write(tmp_path, f"many/{k:02}.csv", ",".join(names) + "\n\n" + ",".join(f"{n[0]}{k}" for n in names) + "\r\n")
+    df = readers.read_products(spark, str(tmp_path / "many"))
+    assert df.columns == ["seq", "product_name", "current_price", "note"]
+    got = sorted(map(tuple, df.collect()))
+    assert got == [(k, f"p{k}", f"c{k}", f"n{k}" if k % 2 else None) for k in range(40)]
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_csv_files_are_read_once(spark, tmp_path):
+    path = write(tmp_path, "p.csv", "product_name,current_price\nAlpha,10\n")
+    records = readers._records(spark, path, False)
+    assert scans(records) == 1
+    assert scans(readers.read_products(spark, path)) == 0  # only what was written after that one scan
+
+
+def test_cells_of_any_form(spark, tmp_path):
+    path = write(tmp_path, "odd.csv", '﻿a,B,b,a,,"x,""y"""\n1,,"",4,5,"p,q"\n 7 ,"8""",9\n1,2,3,4,5,6,7\n,\n')
+    df = readers.read_products(spark, path)
+    assert df.columns == ["seq", "a", "B", "b", "a.1", 'x,"y"']
+    assert sorted(map(tuple, df.collect())) == [
+        (0, "1", None, "", "4", "p,q"), (1, " 7 ", '8"', "9", None, None), (2, "1", "2", "3", "4", "6"), (3, None, None, None, None, None)]
+    lines = write(tmp_path, "lines.csv", 'a,b\r\n"x\r\ny, ""z""",2\r\n\r\n3,"4"\r\n')
+    assert sorted((r["seq"], r["a"], r["b"]) for r in readers.read_products(spark, lines, multi_line=True).collect()) == [
+        (0, 'x\r\ny, "z"', "2"), (1, "3", "4")]
+    (tmp_path / "bare").mkdir()
+    empty = write(tmp_path, "bare/none.csv", "")
+    assert readers.read_products(spark, empty).columns == ["seq"] and readers.read_products(spark, empty).count() == 0
+    assert readers.read_url_list(spark, empty).count() == 0
+
+
+def test_long_cells_and_many_quotes(spark, tmp_path):
+    path = write(tmp_path, "long.csv", 'a,b\n"' + 'x""' * 200_000 + '",1\n' + '"' * 50_001 + ",2\n")
+    rows = readers.read_products(spark, path).orderBy("seq").collect()
+    assert rows[0]["a"] == 'x"' * 200_000 and rows[0]["b"] == "1"
+
+
+def test_url_lists_with_their_own_first_columns(spark, tmp_path):
+    (tmp_path / "lists").mkdir()
+    write(tmp_path, "lists/a.csv", "id,url\nhttps://f/1,https://a/1\nhttps://f/2,\n")
+    write(tmp_path, "lists/b.csv", "link,id\nhttps://b/1,3\n")
+    assert sorted(column(readers.read_url_list(spark, str(tmp_path / "lists")))) == [
+        "https://a/1", "https://b/1", "https://f/2"]
