@@ -176,6 +176,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         folder = new_folder(spark, "pages")
-        view(spark, sf_dir, "product_pages").write.parquet(folder)
+        # A crawler closes a file after so many pages.
+        view(spark, sf_dir, "product_pages").write.option("maxRecordsPerFile", 2500).parquet(folder)
         _LANDED[key] = folder
     return spark.read.parquet(_LANDED[key])

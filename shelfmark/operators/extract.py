@@ -3,9 +3,9 @@
 from dataclasses import dataclass
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import lower_hyphen
 from ..functions.urls import host, is_ignored_link, url_join
@@ -20,7 +20,18 @@ NO_PROFILE = "No parser found"
 
 def _readable(pages: DataFrame) -> DataFrame:
     """One clean copy of the page text, shared by all rules."""
-    return pages.withColumn("_page", H.strip_noise(F.col("html")))
+    return (pages.withColumn("_page", H.without_scripts(F.col("html")))
+            .withColumn("_page", H.plain_values(F.col("_page"))))
+
+
+def _only(pages: DataFrame, condition: Column) -> DataFrame:
+    """The rows that satisfy a condition on the page's text.
+
+    A filter would move below the projection of that text, which is then computed for the
+    filter's every test and once more for the rows it leaves. A generator stays where it is.
+    """
+    kept = pages.withColumn("_kept", F.explode(F.when(condition, F.array(F.lit(True)))))
+    return kept.drop("_kept")
 
 
 def _page() -> Page:
@@ -91,9 +102,9 @@ def extract(pages: DataFrame, profile: Profile | str, seller_name: str, base_url
     """Product rows of one seller's pages; other pages are left out."""
     kept = [c for c in keep if c in pages.columns]
     rules = _rules_of(pages, profile)
-    found = _readable(pages.select(
+    found = _only(_readable(pages.select(
         *kept, "url", "html", F.lit(seller_name).alias("_seller"), F.lit(base_url).alias("_base"))
-    ).filter(rules.is_product)
+    ), rules.is_product)
     return _with_product(found, rules).select(*kept, "product.*")
 
 
@@ -110,7 +121,7 @@ def extract_feed(pages: DataFrame) -> DataFrame:
 def rejected(pages: DataFrame, profile: Profile | str) -> DataFrame:
     """Failures of one seller: pages that are not product pages."""
     rules = _rules_of(pages, profile)
-    return (_readable(pages).filter(~rules.is_product)
+    return (_only(_readable(pages), ~rules.is_product)
             .select("url", F.lit(NOT_A_PRODUCT).alias("reason")))
 
 
@@ -119,9 +130,10 @@ def profile_table(spark: SparkSession, domains: dict[str, str]) -> DataFrame:
     unknown = set(domains.values()) - set(profile_names())
     if unknown:
         raise KeyError(f"no such profiles: {sorted(unknown)}")
-    schema = T.StructType([T.StructField("domain", T.StringType()),
-                           T.StructField("profile", T.StringType())])
-    return spark.createDataFrame(sorted(domains.items()), schema)
+    # An Arrow table stays a local one whose size the planner knows; a list would not.
+    names, profiles = zip(*sorted(domains.items())) if domains else ((), ())
+    return spark.createDataFrame(pa.table({
+        "domain": pa.array(names, pa.string()), "profile": pa.array(profiles, pa.string())}))
 
 
 def profile_of_host(h: Column) -> Column:
@@ -199,7 +211,7 @@ def extract_products(dispatched: DataFrame, names: list[str] | None = None,
     """Products only. Other pages are dropped before any field is read."""
     kept = [c for c in keep if c in dispatched.columns]
     rules = _rules_by_row(dispatched, names)
-    found = _readable(_with_seller(dispatched, kept)).filter(rules.is_product)
+    found = _only(_readable(_with_seller(dispatched, kept)), rules.is_product)
     return _with_product(found, rules).select(*kept, "product.*")
 
 
@@ -284,4 +296,4 @@ def zero_link_pages(pages: DataFrame, profile: Profile | str) -> DataFrame:
     """
     rules = _rules_of(pages, profile)
     hrefs = F.filter(_anchors(), lambda h: F.contains(h, F.lit("/product/")))
-    return (_readable(pages).filter(~rules.is_product & (F.size(hrefs) == 0)).drop("_page"))
+    return _only(_readable(pages), ~rules.is_product & (F.size(hrefs) == 0)).drop("_page")

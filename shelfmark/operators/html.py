@@ -10,8 +10,10 @@ never reaches over the next ``<``: a hostile page of any length can neither over
 nor backtrack without end.
 """
 
+import json
 import re
-from html.entities import name2codepoint
+from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,14 +30,25 @@ _OWN_TEXT = rf"(?:{_LEAF})*+([^<]*+)"
 _VALUE = r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 _QUOTES = "\"'"
 
-# Character references by name, from the standard library's table; a hard space reads as a blank.
-NAMED_REFERENCES = {name: chr(code) for name, code in name2codepoint.items()
-                    } | {"apos": "'", "nbsp": " "}
+# Character references by name, from the standard library's table, as browsers know them; a hard
+# space reads as a blank.
+NAMED_REFERENCES = {name.rstrip(";"): text.replace("\xa0", " ") for name, text in html5.items()}
+# The old names, which need no semicolon, longest first.
+_OLD = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+# What browsers read the numbers 128 to 159 as.
+_WINDOWS = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
+# The most usual references.
+_USUAL = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": " ", "&#39;": "'", "&#039;": "'"}
 
 # A reference, a run of other text, or a stray ampersand.
-_PIECE = r"(&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);|[^&]++|&)"
-# The end of a tag's attribute value that holds a closing bracket.
-_BRACKET_IN_VALUE = r"(?<==)(\"[^\"<>]*+)>([^\"<]*+\"(?=[\s/>]))|(?<==)('[^'<>]*+)>([^'<]*+'(?=[\s/>]))"
+_PIECE = r"(&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[a-zA-Z][a-zA-Z0-9]*+;?)|[^&]++|&)"
+# In an attribute's value, an old name that goes on: part of a query, not a reference.
+_QUERY_PART = rf"&(?=(?:{_OLD})[=0-9A-Za-z])(?![0-9A-Za-z]++;)"
+# A quoted attribute value that holds a bracket.
+_BRACKET_IN_VALUE = r"=\s*+(?:\"[^\"<>]*+[<>]|'[^'<>]*+[<>])"
+# A tag (a run of plain text and whole quoted values), text, or a stray bracket.
+_MARKUP = (r"<[a-zA-Z/](?:[^<>\"'=]++|=\s*+\"[^\"]*+\"(?=[\s/>])|=\s*+'[^']*+'(?=[\s/>])|[=\"'])*+>"
+           r"|[^<]++|<")
 
 # Elements that always have a closing tag and give a page its structure.
 STRUCTURE = ["div", "section", "article", "header", "footer", "main", "nav", "aside",
@@ -78,11 +91,27 @@ def _content(name: str) -> str:
 
 def strip_noise(html: Column) -> Column:
     """Without scripts, styles and comments, whose text could look like markup, and with the
-    closing brackets in quoted attribute values (two at most) written as references."""
-    page = F.regexp_replace(html, _NOISE, "")
-    for _ in range(2):
-        page = F.regexp_replace(page, _BRACKET_IN_VALUE, "$1$3&gt;$2$4")
-    return page
+    brackets in attribute values written as references."""
+    return _let(without_scripts(html), plain_values)
+
+
+def without_scripts(html: Column) -> Column:
+    return F.regexp_replace(html, _NOISE, "")
+
+
+def plain_values(page: Column) -> Column:
+    """The page with the brackets in quoted attribute values as references. Few pages have any;
+    the others are left as they are."""
+    def in_tag(piece: Column) -> Column:
+        inside = F.substring(piece, F.lit(2), F.length(piece) - 2)
+        for bracket, ref in (("<", "&lt;"), (">", "&gt;")):
+            inside = F.replace(inside, F.lit(bracket), F.lit(ref))
+        return F.concat(F.lit("<"), inside, F.lit(">"))
+
+    pieces = F.regexp_extract_all(page, F.lit(_MARKUP), F.lit(0))
+    rewritten = F.array_join(F.transform(pieces, lambda p: F.when(
+        F.startswith(p, F.lit("<")) & (p != "<"), in_tag(p)).otherwise(p)), "")
+    return F.when(F.rlike(page, F.lit(_BRACKET_IN_VALUE)), rewritten).otherwise(page)
 
 
 def has(html: Column, pattern: str) -> Column:
@@ -97,8 +126,9 @@ def count(html: Column, pattern: str) -> Column:
 
 
 def following(html: Column, pattern: str) -> Column:
-    """Everything after the first match."""
-    return F.regexp_extract(html, rf"{pattern}([\s\S]*)", 1)
+    """Everything after the first match, ``''`` without one; NULL of a NULL."""
+    parts = F.split(html, pattern, 2)
+    return F.when(html.isNotNull(), F.coalesce(F.get(parts, F.lit(1)), F.lit("")))
 
 
 def flats(html: Column, pattern: str, name: str, whole: bool = False) -> Column:
@@ -163,20 +193,18 @@ def piece_at(html: Column, path: list[tuple[str, int]]) -> Column:
         closes = F.startswith(piece, F.lit("</"))
         opens = F.startswith(piece, F.lit("<")) & ~closes
         name = F.lower(F.regexp_extract(piece, "^<([a-zA-Z]+)", 1))
-        live = at["found"] == 0
-        wanted = opens & live & (at["depth"] == at["matched"]) & (
-            name == F.get(names, at["matched"]))
+        wanted = opens & (at["depth"] == at["matched"]) & (name == F.get(names, at["matched"]))
         hit = wanted & (at["seen"] + 1 == F.get(places, at["matched"]))
-        # Leaving a matched element ends the search: its position occurs once.
         left = closes & (at["depth"] - 1 < at["matched"])
-        return F.struct(
+        # Nothing changes any more once the element is found, or a matched one left: its
+        # position occurs once.
+        return F.when((at["found"] > 0) | (at["matched"] < 0), at).otherwise(F.struct(
             (at["i"] + 1).alias("i"),
             (at["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).alias("depth"),
-            F.when(hit, at["matched"] + 1).when(left & live, -9).otherwise(at["matched"]
-                                                                    ).alias("matched"),
+            F.when(hit, at["matched"] + 1).when(left, -9).otherwise(at["matched"]).alias("matched"),
             F.when(hit, 0).when(wanted, at["seen"] + 1).otherwise(at["seen"]).alias("seen"),
             F.when(hit & (at["matched"] + 1 == len(path)), at["i"]).otherwise(at["found"]
-                                                                            ).alias("found"))
+                                                                            ).alias("found")))
 
     start = F.struct(F.lit(1).alias("i"), *[F.lit(0).alias(n)
                                             for n in ("depth", "matched", "seen", "found")])
@@ -205,7 +233,8 @@ def shown(html: Column, pattern: str, name: str) -> Column:
 
 
 def _unquoted(value: Column) -> Column:
-    return F.btrim(value, F.lit(_QUOTES))
+    value = F.btrim(value, F.lit(_QUOTES))
+    return F.when(F.contains(value, F.lit("&")), F.regexp_replace(value, _QUERY_PART, "&amp;")).otherwise(value)
 
 
 def attr(html: Column, pattern: str) -> Column:
@@ -246,19 +275,50 @@ def plain(fragment: Column) -> Column:
 # ── cleaning ─────────────────────────────────────────────────────────────────
 
 
+def _by_number(body: Column) -> Column:
+    """The character of a reference by number; those of Windows and impossible ones as in browsers."""
+    digits = F.regexp_extract(body, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+    is_hex = F.rlike(body, F.lit("^#[xX]"))
+    beyond = F.lit(0x110000).cast("bigint")
+    code = F.coalesce(
+        F.when(is_hex, F.when(F.length(digits) <= 6, F.conv(digits, 16, 10).cast("bigint")))
+        .otherwise(F.when(F.length(digits) <= 7, F.conv(digits, 10, 10).cast("bigint"))), beyond)
+    return (F.when(code.between(0x80, 0x9F), F.substring(F.lit(_WINDOWS), (code - 0x7F).cast("int"), F.lit(1)))
+            .when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
+                  F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+            .otherwise(F.lit("\ufffd")))
+
+
+@lru_cache(maxsize=1)
+def _names_by_letter() -> str:
+    """The names as JSON: an object for each first letter from A to z, so that a search is short."""
+    places: list[dict[str, str]] = [{} for _ in range(ord("A"), ord("z") + 1)]
+    for name, text in NAMED_REFERENCES.items():
+        places[ord(name[0]) - ord("A")][name] = text
+    return json.dumps(places)
+
+
+def _by_name(name: Column) -> Column:
+    """The text a name stands for, NULL if it is none."""
+    tables = F.from_json(F.lit(_names_by_letter()), "array<map<string,string>>")
+    return F.try_element_at(F.get(tables, F.ascii(name) - ord("A")), name)
+
+
 def _character(ref: Column) -> Column:
-    """The character a reference stands for; the reference itself if it stands for none."""
+    """What a reference stands for; the reference itself if it stands for nothing.
+
+    A name without a semicolon counts as far as it is one of the old names."""
     body = F.substring(ref, 2, 2147483647)
-    digits = F.regexp_extract(body, "^#[xX]?0*([0-9a-fA-F]*);", 1)
-    is_hex = F.rlike(body, F.lit("^#[xX]"))
-    code = F.when(F.length(digits) <= 7, F.conv(digits, 10, 10).cast("bigint"))
-    code = F.when(is_hex, F.when(F.length(digits) <= 6, F.conv(digits, 16, 10).cast("bigint"))
-                  ).otherwise(code)
-    number = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
-                    F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-    names = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
-    named = F.try_element_at(names, F.rtrim(body, F.lit(";")))
-    return F.coalesce(F.when(F.startswith(body, F.lit("#")), number).otherwise(named), ref)
+    old = F.regexp_extract(body, f"^(?:{_OLD})", 0)
+    rest = F.substring(body, F.length(old) + 1, F.length(body))
+    named = F.coalesce(
+        F.when(F.endswith(body, F.lit(";")), _by_name(F.rtrim(body, F.lit(";")))),
+        F.when(old != "", F.concat(_by_name(old), rest)), ref)
+    found = F.when(F.startswith(body, F.lit("#")), _by_number(body)).otherwise(named)
+    usual = F
+    for name, text in _USUAL.items():
+        usual = usual.when(ref == name, text)
+    return usual.otherwise(found)
 
 
 def unescape(c: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import html as stdlib_html
 import time
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,12 +102,39 @@ def test_noise_is_removed(spark):
 
 def test_unescape_equals_python(spark):
     given = ["&amp;lt;", "&lt;b&gt;", "&#2547;&nbsp;1,500", "&#x9F3;", "&#X41;&#65;", "a&b", "&unknown;",
-             "&quot;&apos;", "&#38;lt;b&#38;gt;", "&eacute;&ccedil;&frac12;", "&#0000000065;&#x000000041;", "&", "a&&amp;;", "&#0;", "&#55296;", "&#1114112;", "&copy; &middot; &hellip;"]
-    same = [g for g in given if g not in ("&#0;", "&#55296;", "&#1114112;")]
-    for text in same:
-        assert read(spark, text, H.unescape) == stdlib_html.unescape(text).replace(" ", " "), text
-    for text in ("&#0;", "&#55296;", "&#1114112;"):
-        assert read(spark, text, H.unescape) == text
+             "&quot;&apos;", "&#38;lt;b&#38;gt;", "&eacute;&ccedil;&frac12;", "&#0000000065;&#x000000041;", "&", "a&&amp;;", "&#0;", "&#55296;",
+             "&#1114112;", "&#99999999999;", "&copy; &middot; &hellip;", "&star; &bigstar; &NotEqualTilde;", "&amp copy", "&copy2 &copyright &notit; &notin;",
+             "&amp", "&#65 &#x42x &#", "&lt&gt&quot", "&Aacute &aacute; &AMP &zwj;x", "&#128; &#150;&#x99;", "&fjlig; &Zz; &a; &z;", "&#;", "&;"]
+    rows = spark.createDataFrame([(g,) for g in given], "h string").select("h", H.unescape(F.col("h")).alias("u")).collect()
+    for r in rows:
+        assert r["u"] == stdlib_html.unescape(r["h"]).replace("\xa0", " "), r["h"]
+
+
+def test_every_name_is_known(spark):
+    names = sorted(html5)
+    rows = spark.createDataFrame([(f"&{n} x",) for n in names], "h string").select(H.unescape(F.col("h")).alias("u")).collect()
+    assert [r["u"] for r in rows] == [html5[n].replace("\xa0", " ") + " x" for n in names]
+
+
+def test_references_in_attributes(spark):
+    markup = "<a href='/x?a=1&region=2&copy=3&amp;b=4&notin;&lt;&copy'>1</a>"
+    assert read(spark, markup, lambda h: H.clean(H.attrs(h, tag("a", read="href")))) == ["/x?a=1&region=2&copy=3&b=4∉<©"]
+
+
+@pytest.mark.parametrize("value", ["a > b > c > d", "a < b", "<b>x</b>", "1 <= 2 >= 3 it's", ">", "<"])
+def test_any_value_in_quotes(spark, value):
+    quote = '"'
+    for markup in (f"<p>1</p><img title={quote}{value}{quote} src={quote}q.png{quote}><p>2</p>", f"<p>1</p><img title = {quote}{value}{quote} data-x='>' src='q.png' /><p>2</p>"):
+        got = read(spark, markup, lambda h: H.clean(H.attr(H.strip_noise(h), tag("img", read="src"))),
+                   lambda h: H.clean(H.attr(H.strip_noise(h), tag("img", read="title"))),
+                   lambda h: H.clean(H.texts(H.strip_noise(h), tag("p"))))
+        assert got == [["q.png"], [value], ["1", "2"]]
+
+
+def test_quotes_that_are_no_values(spark):
+    for markup in ("<p>5=\"five</p><a href=\"x\">t</a>", "<p title=it's>5</p><a href='x'>it's</a>", "<p>a=\"b\" > c</p><a href=x>t</a>",
+                   "<p a=\"<b\"\"c\">5</p><a href=x>t</a>"):
+        assert read(spark, markup, lambda h: H.clean(H.attrs(H.strip_noise(h), tag("a", read="href")))) == ["x"]
 
 
 @pytest.mark.parametrize("markup", [
@@ -116,9 +144,12 @@ def test_unescape_equals_python(spark):
     "<script>" * 30000,
     "<li>" * 60000 + "</li>" * 60000,
     "<a href=\"" * 40000,
+    "<a href='<a title=\"" * 20000,
+    "<a x=\"<a x='\" y=\"" * 20000,
+    "<a x=\"<\" " * 20000,
     "&#" * 100000,
     "<p class='price'>" + "<bdi>1" * 40000,
-], ids=["nested", "unclosed tags", "angle", "scripts", "items", "quotes", "entities", "prices"])
+], ids=["nested", "unclosed tags", "angle", "scripts", "items", "quotes", "quotes in turn", "crossed quotes", "no end", "entities", "prices"])
 def test_hostile_pages(spark, markup):
     """All rules of all profiles end on such pages, and lose nothing of the page."""
     names = [n for n in profile_names() if n in BUILT_IN]
