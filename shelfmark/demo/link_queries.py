@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..operators import links
 from ..operators.extract import all_anchors, followed_urls, page_links
+from ..session import new_folder
 from ..sources.readers import entrypoints_or_default, listed_urls, without_headings
+from ..sources.visited import VisitedUrls
 from .catalog import query
 from .views import product_pages, table, view
 
@@ -36,12 +38,15 @@ def _joined(spark, sf_dir):
 _PAGE_ID = "page_id % 2 = 0"
 
 
-@query("frontier_step", (), f"""with {_ANCHORS},
+_FRONTIER = f"""with {_ANCHORS},
 visited as (select distinct url from absolute join pages on source_url = pages.url where {_PAGE_ID}),
 wanted as (select distinct url from absolute where not regexp_matches(lower(href), '{_IGNORED}')
   and ({_HOST.format('url')} = 'example.com' or ends_with({_HOST.format('url')}, '.example.com')))
 select url from wanted where url not in (select url from visited)""".replace(
-    "absolute join pages on source_url = pages.url", "absolute join (select url as page_url, page_id from pages) on source_url = page_url"))
+    "absolute join pages on source_url = pages.url", "absolute join (select url as page_url, page_id from pages) on source_url = page_url")
+
+
+@query("frontier_step", (), _FRONTIER)
 def _frontier(spark, sf_dir):
     """What even pages link to counts as visited; all pages are searched for links."""
     pages = table(spark, sf_dir, "pages")
@@ -50,6 +55,24 @@ def _frontier(spark, sf_dir):
     return links.frontier_step(found, visited, "example.com")
 
 
+def _visited_table(spark, name: str) -> VisitedUrls:
+    """A new table of the catalogue, its files in the shared folder."""
+    folder = new_folder(spark, name)
+    return VisitedUrls(spark, folder.rsplit("/", 1)[-1].replace("-", "_"), folder, buckets=8)
+
+
+@query("frontier_table", (), _FRONTIER)
+def _frontier_table(spark, sf_dir):
+    """The same against a table of visited URLs that grew over two rounds, one of them repeated."""
+    pages = table(spark, sf_dir, "pages")
+    visited = _visited_table(spark, "visited")
+    done = links.absolute_links(all_anchors(pages.filter(_PAGE_ID))).withColumn("half", F.xxhash64("url") % 2 == 0)
+    for round_id, half in ((0, True), (1, False), (1, False)):
+        visited.add(done.filter(F.col("half") == half), round_id)
+    found = links.keep_domain(links.absolute_links(links.drop_ignored(all_anchors(pages))), "example.com")
+    return visited.unvisited(found)
+
+
 @query("sorted_urls", (), f"with {_ANCHORS} select distinct url from absolute order by url")
 def _sorted(spark, sf_dir):
     found = links.absolute_links(_anchors(spark, sf_dir))
@@ -108,6 +131,16 @@ def _pending(spark, sf_dir):
         view(spark, sf_dir, "url_list"), view(spark, sf_dir, "crawl_items")).select("seq", "url")
 
 
+@query("pending_table", ("url_list", "crawl_items"), """
+, done as (select distinct seller_product_url as url from crawl_items)
+select seq, url from url_list where url not in (select url from done)""")
+def _pending_table(spark, sf_dir):
+    """The same against a table of scraped URLs."""
+    scraped = _visited_table(spark, "scraped")
+    scraped.add(view(spark, sf_dir, "crawl_items").select(F.col("seller_product_url").alias("url")), 0)
+    return scraped.pending(view(spark, sf_dir, "url_list")).select("seq", "url")
+
+
 @query("shuffled_pending", ("url_list", "crawl_items"), """
 , done as (select distinct seller_product_url as url from crawl_items)
 select url from url_list where url not in (select url from done)""")

@@ -7,6 +7,8 @@ from ..operators import profiling
 from ..operators.dedup import dedup_keep_last
 from ..operators.profiling import StageCounts
 from ..plans.clean import clean_startech, conform_feed
+from ..session import new_folder
+from ..sources import sinks
 from ..sources.readers import parse_failures
 from ..sources.sinks import with_chunk
 from .catalog import query
@@ -51,6 +53,27 @@ def _approximate(spark, sf_dir):
                              "categories_close": close("c", "exact_categories")}).drop("u", "c")
 
 
+@query("nunique_sketches", ("raw_products",), """
+select count(distinct seller_product_url) as exact_urls, count(distinct category_name) as exact_categories,
+  true as urls_close, true as categories_close from raw_products""")
+def _sketches(spark, sf_dir):
+    """Sketches of four batches, one of them repeated, united and compared with the exact number:
+    within three standard errors of 1.6 %."""
+    rows, columns = view(spark, sf_dir, "raw_products"), ["seller_product_url", "category_name"]
+    folder = new_folder(spark, "sketches")
+    for batch in (0, 1, 2, 3, 2):
+        part = rows.filter(F.floor(F.col("seq") / 10) % 4 == batch)
+        sinks.write_sketches(profiling.distinct_sketches(part, columns), folder, batch)
+    rough = profiling.united_nunique(spark.read.parquet(folder), columns).toDF("u", "c")
+    exact = profiling.nunique(rows, columns).toDF("exact_urls", "exact_categories")
+
+    def close(a: str, b: str):
+        return F.abs(F.col(a) - F.col(b)) <= 0.05 * F.col(b)
+
+    return exact.join(F.broadcast(rough)).withColumns({
+        "urls_close": close("u", "exact_urls"), "categories_close": close("c", "exact_categories")}).drop("u", "c")
+
+
 _PROFILED = ["seq", "seller_product_url", "product_name", "brand_name", "category_name",
              "current_price", "original_price", "review_count", "in_stock", "base_url", "variation_type"]
 

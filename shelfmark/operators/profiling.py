@@ -20,6 +20,23 @@ def nunique(df: DataFrame, columns: list[str], approximate: bool = False) -> Dat
     return df.agg(*[distinct(F.col(c)).alias(c) for c in columns])
 
 
+def distinct_sketches(df: DataFrame, columns: list[str], log2_size: int = 12) -> DataFrame:
+    """One row with a sketch of the distinct non-NULL values per column, 2 to the ``log2_size``
+    registers each: an error of 1.6 % with the default.
+
+    Sketches of batches are kept and united (``united_nunique``), so a count over all batches
+    reads a few KB a batch and not their rows.
+    """
+    return df.agg(*[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(log2_size)).alias(c) for c in columns])
+
+
+def united_nunique(sketches: DataFrame, columns: list[str]) -> DataFrame:
+    """One row with the estimated number of distinct values per column, of all sketches together;
+    0 without any."""
+    return sketches.agg(*[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(F.col(c))), F.lit(0)).alias(c)
+                          for c in columns])
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """``(column_name, data_type, non_null, total_rows)`` in one pass over the data."""
     counts = df.agg(F.count(F.lit(1)).alias("_total"),

@@ -11,13 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank, strip
-from ..operators.ordered import running_counts
+from ..operators.ordered import in_slices
 from ..schema import PAGES, RAW_FEED, RAW_PRODUCT
 from ..session import cut
 
 _CSV = {"header": "true", "escape": '"', "enforceSchema": "false"}
 _START = r"^\[?[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\]"
-_FAILURE = r"^\[?([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2})\]\s+(\S+)\s+\|\s+([\s\S]*)"
+_FAILURE = r"(?s)^\[?([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2})\]\s+(\S+)\s+\|\s+(.*)"
 
 # First cells that are headings, not URLs.
 HEADING_CELLS = ["url", "link", "entrypoint", ""]
@@ -209,6 +209,32 @@ def stream_pages(spark: SparkSession, path: str, max_files: int = 1000) -> DataF
     return stream_table(spark, path, PAGES, max_files)
 
 
+def _joined(rows: Column, field: str) -> Column:
+    """The lines of some rows in their order."""
+    return F.array_join(F.transform(F.sort_array(F.collect_list(rows)), lambda x: x[field]), "\n")
+
+
+def _folded(lines: DataFrame) -> DataFrame:
+    """Entries of a log as ``_entry``, each with the lines up to the next one.
+
+    Lines are dealt to slices in their order and folded there. Only the ends of slices, where
+    an entry may go on in the next one, are brought together afterwards: two rows a slice.
+    """
+    sliced = in_slices(lines.withColumn("_start", F.rlike("_line", F.lit(_START)).cast("int")), ["seq"])
+    inside = Window.partitionBy("_slice").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = (sliced.withColumn("_local", F.sum("_start").over(inside)).groupBy("_slice", "_local")
+              .agg(_joined(F.struct("seq", "_line"), "_line").alias("_entry")))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = sliced.groupBy("_slice").agg(F.sum("_start").alias("_n")).select(
+        "_slice", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    pieces = cut(pieces.join(counts, "_slice"))
+    at_end = (F.col("_local") == 0) | (F.col("_local") == F.col("_n"))
+    ends = pieces.filter(at_end).groupBy((F.col("_before") + F.col("_local")).alias("_number")).agg(
+        _joined(F.struct("_slice", "_local", "_entry"), "_entry").alias("_entry"))
+    # What stands before the first entry has the number 0.
+    return pieces.filter(~at_end).select("_entry").union(ends.filter("_number > 0").select("_entry"))
+
+
 def parse_failures(lines: DataFrame, column: str = "line", seq: str = "seq") -> DataFrame:
     """``(ts, url, reason)`` of log entries.
 
@@ -216,15 +242,9 @@ def parse_failures(lines: DataFrame, column: str = "line", seq: str = "seq") ->
     order, belong to its reason. Lines before the first entry, and entries without a URL, are
     dropped.
     """
-    c = F.col(column)
-    entries = running_counts(
-        lines.select(F.lit(0).alias("_log"), F.col(seq).alias("seq"), c.alias("_line")), "_log", "seq",
-        F.rlike("_line", F.lit(_START)), carried=["_line"])
-    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "_line"))),
-                                     lambda x: x["_line"]), "\n")
+    entries = _folded(lines.select(F.col(seq).alias("seq"), F.col(column).alias("_line")))
     c = F.col("_entry")
-    return (entries.filter("writes > 0").groupBy("writes").agg(whole.alias("_entry"))
-            .filter(F.rlike(c, F.lit(_FAILURE))).select(
+    return (entries.filter(F.rlike(c, F.lit(_FAILURE))).select(
         # Log times carry no zone.
         F.try_to_timestamp(F.regexp_extract(c, _FAILURE, 1), F.lit("yyyy-MM-dd HH:mm:ss")
                            ).cast("timestamp_ntz").alias("ts"),

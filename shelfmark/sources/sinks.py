@@ -79,3 +79,8 @@ def append_failures(failures: DataFrame, path: str) -> None:
 
 def quarantine_pages(pages: DataFrame, path: str) -> None:
     pages.write.mode("append").parquet(path)
+
+
+def write_sketches(sketches: DataFrame, folder: str, batch_id: int) -> None:
+    """The sketches of a batch as its partition; written again, they replace it."""
+    sketches.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")

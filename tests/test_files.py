@@ -1,16 +1,18 @@
 """Readers, sinks, snapshot store and streams."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import links
+from shelfmark.operators import links, profiling
 from shelfmark.operators.changes import KEYS, classify_change
 from shelfmark.schema import PRODUCT_COLUMNS, SNAPSHOT_COLUMNS, fill_missing_columns, template_defaults
 from shelfmark.session import new_folder
 from shelfmark.sources import readers, sinks
 from shelfmark.sources.keyed import KeyedTable
+from shelfmark.sources.visited import VisitedUrls
 from shelfmark.sources.snapshots import read_snapshot, write_batch
 from shelfmark.streaming import jobs
 from tests.test_ordered import SCHEMA, observations, replay
@@ -324,3 +326,48 @@ def test_url_lists_with_their_own_first_columns(spark, tmp_path):
     write(tmp_path, "lists/b.csv", "link,id\nhttps://b/1,3\n")
     assert sorted(column(readers.read_url_list(spark, str(tmp_path / "lists")))) == [
         "https://a/1", "https://b/1", "https://f/2"]
+
+
+def test_log_entries_over_many_slices(spark):
+    """Entries longer than a slice, lines before the first one, positions with gaps."""
+    rng = random.Random(3)
+    lines, entries = ["lost", "lost too"], []
+    for k in range(300):
+        more = [f"  frame {k} {j}" for j in range(rng.choice([0, 0, 1, 2, 90]))]
+        entries.append((f"https://a/{k}", "\n".join([f"Error {k}", *more])))
+        lines += [f"[2026-03-17 01:26:50] https://a/{k} | Error {k}", *more]
+    df = spark.createDataFrame([(7 * i, x) for i, x in enumerate(lines)], "seq long, line string").repartition(5)
+    got = sorted((r["url"], r["reason"]) for r in readers.parse_failures(df).collect())
+    assert got == sorted(entries)
+    none = spark.createDataFrame([], "seq long, line string")
+    assert readers.parse_failures(none).count() == 0
+
+
+def test_visited_urls_stay_where_they_lie(spark, tmp_path):
+    visited = VisitedUrls(spark, "visited_of_test", str(tmp_path / "visited"), buckets=4)
+    found = spark.createDataFrame([(f"https://a/{k % 50}",) for k in range(200)] + [(None,)], "url string")
+    assert visited.unvisited(found).count() == 50 and visited.pending(found).count() == 201
+    try:
+        visited.add(found.filter("url < 'https://a/3'"), 0)
+        visited.add(spark.createDataFrame([("https://a/9",), (None,), ("https://a/9",)], "url string"), 1)
+        visited.add(spark.createDataFrame([("https://a/9",)], "url string"), 1)
+        done = {f"https://a/{k}" for k in range(50) if f"https://a/{k}" < "https://a/3"} | {"https://a/9"}
+        fresh = visited.unvisited(found)
+        visited_side = fresh._jdf.queryExecution().executedPlan().toString().rsplit("Sort [", 1)[1]
+        assert "Bucketed: true" in visited_side and "Exchange" not in visited_side
+        assert {r["url"] for r in fresh.collect()} == {f"https://a/{k}" for k in range(50)} - done
+        pending = visited.pending(found)
+        assert sorted(r["url"] or "" for r in pending.collect()) == sorted(
+            [u for u in (f"https://a/{k % 50}" for k in range(200)) if u not in done] + [""])
+    finally:
+        spark.sql("drop table if exists visited_of_test")
+
+
+def test_sketches_of_batches_unite(spark):
+    rows = spark.range(3000).select((F.col("id") % 1000).cast("string").alias("a"), F.lit(None).cast("string").alias("b"), "id")
+    folder = new_folder(spark, "sketches")
+    for batch in (0, 1, 2, 1):
+        sinks.write_sketches(profiling.distinct_sketches(rows.filter(F.col("id") % 3 == batch), ["a", "b", "id"]), folder, batch)
+    got = profiling.united_nunique(spark.read.parquet(folder), ["a", "b", "id"]).first()
+    assert abs(got["a"] - 1000) <= 50 and got["b"] == 0 and abs(got["id"] - 3000) <= 150
+    assert profiling.united_nunique(profiling.distinct_sketches(rows.limit(0), ["a"]), ["a"]).first()["a"] == 0
