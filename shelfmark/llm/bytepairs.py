@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import accumulate
 
@@ -38,7 +39,7 @@ AHEAD = 3
 GROUP_CHARS, TOGETHER = 1 << 20, 1 << 15
 #: Bytes of texts or ids that a task holds the results of.
 PART_BYTES = 2 << 20
-#: Words and pairs whose ids a task remembers; the store starts anew when it is full.
+#: Words and pairs whose ids a worker remembers; the store starts anew when it is full.
 REMEMBERED = 300_000
 _ID = np.dtype("<u4")
 _NONE = 1 << 62
@@ -266,6 +267,18 @@ class Encoder:
         return self.words[text[a:b]]
 
 
+@lru_cache(maxsize=1)
+def shared_merges(path: str) -> Merges:
+    """One for all tasks that a worker runs one after another."""
+    return Merges(path)
+
+
+@lru_cache(maxsize=1)
+def shared_encoder(path: str, pattern: str) -> Encoder:
+    """Likewise, with the words the worker has met."""
+    return Encoder(path, pattern)
+
+
 def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
     """Texts in groups of bounded size, unless one text alone is longer."""
     group, size = [], 0
@@ -325,13 +338,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
 
     A null is an empty text; bytes that are no UTF-8 count as U+FFFD. A column named `ids` is set
     aside as `_ids`. Equal rows stay as many. Texts of any length are encoded whole, in the task
-    that holds the row; a task keeps the ids of 300,000 words, and of those of one group of texts."""
+    that holds the row; a worker keeps the ids of 300,000 words, and of those of one group of texts."""
     aside = {c: unused("_ids", docs.columns) for c in docs.columns if c.lower() == "ids" and c != text}
     rows = docs.withColumnsRenamed(aside).withColumn(text, F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "utf-8"))
     at = rows.columns.index(text)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, pattern)
+        encoder = shared_encoder(path, pattern)
         for batch in _parts(batches, at):
             texts = (x.as_py().decode("utf-8", "replace") for x in batch.column(at))
             yield _with(batch, at, "ids", list(encoder.ids(texts)))
@@ -348,7 +361,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     at = rows.columns.index("ids")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = Merges(path)
+        merges = shared_merges(path)
         for batch in _parts(batches, at):
             found = [merges.decoded(np.frombuffer(x.as_py() or b"", dtype=_ID).tolist()) for x in batch.column(at)]
             yield _with(batch, -1, "decoded", found)

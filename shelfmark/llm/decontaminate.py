@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import ALNUM, texts, word_hashes, words
+from shelfmark.llm.common import ALNUM, texts, unused, word_hashes, words
 
 #: Bytes of test texts that travel to the tasks at once; longer test sets take more passes.
 TEST_BYTES = 8 << 20
@@ -235,5 +235,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents without any match, with their columns as they are."""
-    return with_matches(docs, benchmark, window).where("NOT contaminated").select(*docs.columns)
+    """The documents without any match, with their columns as they are, whatever their names."""
+    aside = {c: unused(f"_{c}", docs.columns) for c in docs.columns if c.lower() in (*_FOUND, "matches")}
+    clean = with_matches(docs.withColumnsRenamed(aside), benchmark, window).where("NOT contaminated")
+    return clean.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,10 @@ _PLAIN = re.compile("[\t\n\r -~¡«»¿-ÖØ-öø-įı-ſ–-„…]*")
 _LETTERS = "a-zß-öø-ſ"
 # The splitting rule of the tokenizer file, for those characters.
 _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
-#: Words whose ids a task remembers; the store starts anew when it is full.
-_REMEMBERED = 400_000
+#: Words whose ids a worker remembers; the store starts anew when it is full.
+_REMEMBERED = 600_000
+#: Characters of texts whose new words are encoded together, and words in one call.
+_GROUP_CHARS, _TOGETHER = 1 << 20, 4096
 
 
 class WordIds(dict):
@@ -35,22 +38,56 @@ class WordIds(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # in a text these are ids of their own, across the words
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def learn(self, words: set[str]) -> None:
+        """Encodes the words that are not known yet, many in one call."""
         if len(self) >= _REMEMBERED:
             self.clear()
-        found = self[word] = self.ids(word)
-        return found
-
-    def of(self, text: str) -> bytes:
-        """The ids of a whole text, as the tokenizer gives them for it."""
-        if not _PLAIN.fullmatch(text):
-            return self.ids(text)
-        return b"".join(map(self.__getitem__, _WORD.findall(text.lower())))
+        new = list(words.difference(self))
+        for first in range(0, len(new), _TOGETHER):
+            part = new[first : first + _TOGETHER]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ends = np.cumsum(np.bincount(found.word_ids, minlength=len(part)))
+            ids, last = np.array(found.ids, dtype="<u4").tobytes(), 0
+            for word, end in zip(part, (4 * ends).tolist(), strict=True):
+                self[word] = ids[last:end]
+                last = end
+
+    def of(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of whole texts, as the tokenizer gives them for each."""
+        for group in _groups(texts):
+            split = []
+            for text in group:
+                low = text.lower()
+                plain = _PLAIN.fullmatch(text) and not any(s in low for s in self.special)
+                split.append(_WORD.findall(low) if plain else None)
+            self.learn(set().union(*(words for words in split if words)))
+            for text, words in zip(group, split, strict=True):
+                yield self.ids(text) if words is None else b"".join(map(self.__getitem__, words))
+
+
+def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in groups of bounded size, unless one text alone is longer."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= _GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One store for all tasks that a worker runs one after another."""
+    return WordIds(path)
 
 
 def cuts(total: int, capacity: int) -> list[int]:
@@ -70,13 +107,14 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, grain: int
     grains, rounded up) and its place among the pieces of its class in this partition."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, part = WordIds(tokenizer_path), TaskContext.get().partitionId()
+        known, part = word_ids(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(-(-capacity // grain) + 1, dtype=np.int64)
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = known.of(text or "") + end
+            whole = known.of(text.as_py() or "" for text in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), whole, strict=True):
+                ids += end
                 total = len(ids) // 4
                 start = 0
                 for length in cuts(total, capacity):
@@ -204,7 +242,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, grain: int
     """A row for each piece of a document: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.
 
-    A document is its ids and id 1 (null and empty texts: that alone). It is cut into full
+    A document is its ids and id 1 (null and empty texts: that alone). Strings of the
+    tokenizer's special tokens in a text are their ids, as the tokenizer has it. It is cut into full
     sequences, a half, a quarter and a rest, which short rests of others fill up. The histogram of lengths, in
     grains of `grain` ids, is the cutting-stock problem; it has capacity / grain entries at any
     size of the table. Pieces are ranked within their size by partition and place, and rank

@@ -37,7 +37,8 @@ def fingerprint(text: bytes, starts: np.ndarray, ends: np.ndarray, size: int) ->
 
 
 def fingerprints(docs: DataFrame, size: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and fp, a row for each row. Null and empty texts have fingerprint zero."""
+    """doc_id, fp and digest (of the text, 64 bits), a row for each row. Null and empty texts have
+    fingerprint zero."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -46,10 +47,14 @@ def fingerprints(docs: DataFrame, size: int = 3, id_column: str = "doc_id", text
                 raw = data.tobytes()
                 starts, ends, first = words(data, offsets, SPACED)
                 found += [fingerprint(raw, starts[a:b], ends[a:b], size) for a, b in zip(first, first[1:])]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.int64()), batch.column("digest")], names=["doc_id", "fp", "digest"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(of_batches, "doc_id long, fp long")
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), _digest(text_column).alias("digest"))
+    return rows.mapInArrow(of_batches, "doc_id long, fp long, digest long")
+
+
+def _digest(text_column: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
 
 
 def variants(fp: str, segments: int, bits: int = 64) -> Column:
@@ -72,7 +77,9 @@ def near_classes(prints: DataFrame, distance: int = 3) -> DataFrame:
     segments = max(2, (distance + 2) // 2)
     while 64 % segments:
         segments += 1
-    distinct = prints.select("fp").distinct()
+    # spread anew: few distinct fingerprints would come in few tasks, and each has 64 keys
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select("fp").distinct().repartition(parts, "fp")
     buckets = distinct.select(F.col("fp").alias("node"), F.explode(variants("fp", segments)).alias("key"))
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -81,6 +88,14 @@ def near_classes(prints: DataFrame, distance: int = 3) -> DataFrame:
     return linked(buckets, close)
 
 
+def _classed(docs: DataFrame, distance: int, size: int) -> DataFrame:
+    """doc_id, fp, digest, class of every row."""
+    prints = cut(fingerprints(docs, size))
+    return prints.join(near_classes(prints, distance), prints.fp == F.col("node"), "left").select(
+        "doc_id", "fp", "digest", F.coalesce("component", "fp").alias("class")
+    )
+
+
 def near_duplicates(docs: DataFrame, distance: int = 3, size: int = 3) -> DataFrame:
     """A row for each document: doc_id, fingerprint (16 hex digits), component_id, kept.
 
@@ -90,10 +105,7 @@ def near_duplicates(docs: DataFrame, distance: int = 3, size: int = 3) -> DataFr
     all are returned, with the same decision if their texts agree. A null doc_id is never
     smallest; a component of such rows alone has component_id null and is kept. Other columns
     are ignored. An empty table gives none."""
-    prints = cut(fingerprints(docs, size))
-    rows = prints.join(near_classes(prints, distance), prints.fp == F.col("node"), "left").select(
-        "doc_id", "fp", F.coalesce("component", "fp").alias("class")
-    )
+    rows = _classed(docs, distance, size)
     first = rows.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     return rows.join(first, "class").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
@@ -102,8 +114,19 @@ def near_duplicates(docs: DataFrame, distance: int = 3, size: int = 3) -> DataFr
 
 
 def drop_near_duplicates(docs: DataFrame, distance: int = 3, size: int = 3) -> DataFrame:
-    """The documents of each component's smallest doc_id, with all their columns. Rows without a
-    doc_id stay only if no row with one is near them."""
-    name = unused("gone", docs.columns)
-    gone = near_duplicates(docs, distance, size).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
+    """One document of each component, with all its columns: that of the smallest doc_id, or if
+    no row of the component has one, of the smallest digest of its text.
+
+    Each row is judged by its own text, so rows that share a doc_id, or have none, go or stay
+    with what they are like. Repeated rows of the document that stays, and rows with its doc_id
+    whose texts are near it, count as one document; of those texts the one of least digest
+    stays, as often as it stands there."""
+    rows = _classed(docs, distance, size)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    first = rows.groupBy("class").agg(F.min(order).alias("first"))
+    # a row a document that goes; of a hot class the copies are one row a task before the join
+    doc, text = unused("gone", docs.columns), unused("digest", docs.columns)
+    gone = rows.groupBy("class", "doc_id", "digest").agg(F.lit(True).alias("seen")).join(first, "class").where(~order.eqNullSafe(F.col("first")))
+    gone = gone.select(F.col("doc_id").alias(doc), F.col("digest").alias(text))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (_digest("text") == F.col(text))
+    return docs.join(gone, same, "left_anti")

@@ -117,13 +117,25 @@ def test_matches_against_all_windows():
 
 @pytest.mark.parametrize("text", [
     "", "It's  A test\n", "naïve Straße ÉCOLE ſ", "á é", "don't we'll 12 3½ x²", "!!'s ~~ <|endoftext|>", "日本 語 Привет ΑΣ",
-    "İstanbul ǅ", "a b​c\x1cd\x85e", "“q” – … ¿no?", "x" * 300,
+    "hello <|endoftext|> world", "<|startoftext|><|endoftext|>", "İstanbul ǅ", "a b​c\x1cd\x85e", "“q” – … ¿no?", "x" * 300,
 ])
 def test_word_ids_equal_the_tokenizer(text):
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    assert np.frombuffer(packing.WordIds(path).of(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    got = list(packing.WordIds(path).of([text, "", text]))
+    wanted = plain.encode(text, add_special_tokens=False).ids
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [wanted, [], wanted]
+
+
+def test_word_ids_of_many_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, chance = Tokenizer.from_file(path), random.Random(9)
+    kinds = ["abcdefghij ", "ab'srelvtmd ", "été ÀÉß1290 ", "x<|>endoftext| ", "日本 a\n", "'\".,;:!?-–“ a", "aA \t\r\n\u2028\x0b"]
+    texts = ["".join(chance.choice(k) for _ in range(chance.randint(0, 200))) for k in kinds for _ in range(150)]
+    texts += ["a <|endoftext|> b", "<|STARTOFTEXT|>x", "e\u0301 \u0130", "y" * 9000, "it's 'Twas we'LL"]
+    chance.shuffle(texts)
+    for text, got in zip(texts, packing.WordIds(path).of(texts), strict=True):
+        assert np.frombuffer(got, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
 def test_plan_uses_every_piece_once():

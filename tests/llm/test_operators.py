@@ -37,6 +37,7 @@ ROWS = [
     (9, "You idiot, under the MIT License\nGNU general public license", "en", "s", 9),
     (10, LONG, "en", "s", len(LONG)), (11, prose(20, 5) + " " + prose(70, 6) + " " + prose(9, 7), "en", "t", 5),
     (12, prose(33, 8) + " " + prose(70, 6), "en", "t", 5), (13, "x" * 200_000, "de", "t", 1), (14, "日本語 " * 50, "ja", "t", 1),
+    (15, "hello <|endoftext|> world", "en", "t", 1),
 ]
 
 
@@ -100,6 +101,35 @@ def test_simhash(docs, empty):
     assert simhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_go_by_row(spark):
+    """Null and repeated ids: each row by its own text."""
+    like, other, third = prose(80, 60), prose(80, 61), prose(80, 62)
+    rows = [(3, like, "keep"), (None, like + " ", "go"), (None, other, "keep"), (5, like, "go"), (5, third, "keep"), (9, third, "go"),
+            (None, prose(80, 63), "keep"), (None, prose(80, 63), "keep"), (7, None, "keep"), (8, "", "go"), (None, None, "go")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone string").repartition(4).withColumn("digest", F.lit("mine"))
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, (tuple(r)[:3] for r in kept.collect()))) == sorted(repr(r) for r in rows if r[2] == "keep")
+
+
+def test_near_duplicates_without_ids(spark):
+    """Of texts that are near each other one stays, though no row has an id."""
+    base = prose(200, 64)
+    versions = [base, base.upper(), base + "\n", base.replace(" ", "  ")]
+    docs = spark.createDataFrame([(None, t) for t in versions], "doc_id long, text string")
+    prints = [plain_simhash(t) for t in versions]
+    assert all(bin(a ^ b).count("1") <= 3 for a, b in itertools.combinations(prints, 2))
+    assert simhash.drop_near_duplicates(docs).count() == 1
+
+
+def test_contaminated_documents_with_clashing_columns(spark, benchmark):
+    rows = [(1, prose(40, 70), 777, "mine", True), (2, prose(90, 6), 5, "mine", False), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words int, matches string, Contaminated boolean")
+    kept = decontaminate.drop_contaminated(docs, benchmark)
+    assert kept.schema == docs.schema
+    assert sorted(map(repr, (tuple(r) for r in kept.collect()))) == sorted(map(repr, [rows[0], rows[2]]))
+
+
 def test_simhash_links_up_to_three_bits(spark):
     base = int(np.random.default_rng(1).integers(-(2**62), 2**62))
     masks = [0, 1, 1 | 1 << 33, 1 | 1 << 33 | 1 << 63, 0xF, 0xF << 40]
@@ -114,7 +144,6 @@ def test_simhash_links_up_to_three_bits(spark):
 def test_packing(docs, empty):
     got = packing.pack(docs, TOKENS).collect()
     plain = Tokenizer.from_file(TOKENS)
-    plain.encode_special_tokens = True
     ids = {}
     for i, t, *_ in ROWS:
         ids.setdefault(i, []).append(np.array(plain.encode(t or "", add_special_tokens=False).ids + [1], dtype="<u4").tobytes())
