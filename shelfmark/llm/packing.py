@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,61 +27,39 @@ _LETTERS = "a-zß-öø-ſ"
 _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
 #: Words whose ids a worker remembers; the store starts anew when it is full.
 _REMEMBERED = 600_000
-#: Characters of texts whose new words are encoded together, and words in one call.
-_GROUP_CHARS, _TOGETHER = 1 << 20, 4096
+# How byte-level vocabularies write bytes: printable ones of Latin-1 as themselves, the others
+# as the characters from 256 on.
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = dict(zip(_SELF, _SELF, strict=True)) | {b: 256 + k for k, b in enumerate(sorted({*range(256)}.difference(_SELF)))}
 
 
 class WordIds(dict):
     """Ids of words, as 32-bit little-endian bytes, by a tokenizer that splits text into words
-    before it merges: each word is encoded once."""
+    before it merges: its model encodes each word once."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         # in a text these are ids of their own, across the words
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        """Encodes the words that are not known yet, many in one call."""
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= _REMEMBERED:
             self.clear()
-        new = list(words.difference(self))
-        for first in range(0, len(new), _TOGETHER):
-            part = new[first : first + _TOGETHER]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ends = np.cumsum(np.bincount(found.word_ids, minlength=len(part)))
-            ids, last = np.array(found.ids, dtype="<u4").tobytes(), 0
-            for word, end in zip(part, (4 * ends).tolist(), strict=True):
-                self[word] = ids[last:end]
-                last = end
-
-    def of(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The ids of whole texts, as the tokenizer gives them for each."""
-        for group in _groups(texts):
-            split = []
-            for text in group:
-                low = text.lower()
-                plain = _PLAIN.fullmatch(text) and not any(s in low for s in self.special)
-                split.append(_WORD.findall(low) if plain else None)
-            self.learn(set().union(*(words for words in split if words)))
-            for text, words in zip(group, split, strict=True):
-                yield self.ids(text) if words is None else b"".join(map(self.__getitem__, words))
-
-
-def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
-    """Texts in groups of bounded size, unless one text alone is longer."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= _GROUP_CHARS:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+        found = self[word] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+        return found
+
+    def of(self, text: str) -> bytes:
+        """The ids of a whole text, as the tokenizer gives them for it."""
+        low = text.lower()
+        if not _PLAIN.fullmatch(text) or any(s in low for s in self.special):
+            return self.ids(text)
+        return b"".join(map(self.__getitem__, _WORD.findall(low)))
 
 
 @lru_cache(maxsize=1)
@@ -112,9 +90,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, grain: int
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            whole = known.of(text.as_py() or "" for text in batch.column(1))
-            for doc_id, ids in zip(batch.column(0).to_pylist(), whole, strict=True):
-                ids += end
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = known.of(text.as_py() or "") + end
                 total = len(ids) // 4
                 start = 0
                 for length in cuts(total, capacity):
