@@ -77,9 +77,9 @@ def near_classes(prints: DataFrame, distance: int = 3) -> DataFrame:
     segments = max(2, (distance + 2) // 2)
     while 64 % segments:
         segments += 1
-    # spread anew: few distinct fingerprints would come in few tasks, and each has 64 keys
+    # spread anew: so little data would come in few tasks, and each row has 64 keys
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = prints.select("fp").distinct().repartition(parts, "fp")
+    distinct = prints.select("fp").distinct().repartition(parts)
     buckets = distinct.select(F.col("fp").alias("node"), F.explode(variants("fp", segments)).alias("key"))
 
     def close(pairs: DataFrame) -> DataFrame:
