@@ -155,9 +155,10 @@ def linked(
     `prepare`, if given, is called once with all nodes that share a bucket with another one.
     First every member of a bucket is held against one of its nodes. Buckets whose members then
     still lie in different components go to `refine`, if given, which returns finer buckets
-    (key, node, weight, indexed, size, reach): every link between nodes of a bucket must share
-    one in which one end is indexed, and the sizes of both ends together must not exceed the
-    reach of either. There it is done again, against the indexed node of most weight. What is
+    (key, node, weight, indexed, size, reach, counts, slack): every link between nodes of a bucket
+    must share one in which one end is indexed, the sizes of both ends together must not exceed
+    the reach of either, and their counts must not differ by more, in sum, than the slack of
+    both. There it is done again, against the indexed node of most weight. What is
     open then is paired across components alone. A pair inside a component cannot change it,
     so the result is that of all pairs, while a bucket of n like nodes costs n checks."""
     shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
@@ -182,12 +183,15 @@ def linked(
     return components(edges.union(more))
 
 
-_POSSIBLE = "least(a_reach, b_reach) >= a_size + b_size"
+_POSSIBLE = """least(a_reach, b_reach) >= a_size + b_size
+    AND aggregate(zip_with(a_counts, b_counts, (x, y) -> abs(cast(x as int) - y)), 0, (s, x) -> s + x) <= a_slack + b_slack"""
+_RANKS = ("size", "reach", "counts", "slack")
 
 
 def unranked() -> list[Column]:
     """What `refine` returns beside key and node, where every pair of a bucket is possible."""
-    return [F.lit(0.0).alias("weight"), F.lit(True).alias("indexed"), F.lit(0.0).alias("size"), F.lit(0.0).alias("reach")]
+    numbers = [F.lit(0.0).alias(n) for n in ("weight", "size", "reach", "slack")]
+    return [*numbers, F.lit(True).alias("indexed"), F.array().cast("array<tinyint>").alias("counts")]
 
 
 def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -199,38 +203,49 @@ def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _stars(members: DataFrame) -> DataFrame:
     """Pairs a, b of each bucket's indexed node of most weight with its nodes of other classes."""
-    best = F.max(F.struct("weight", (-F.col("node")).alias("first"), "class", "node", "size", "reach")).alias("hub")
-    hubs = members.where("indexed").groupBy("key").agg(best).select("key", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("class", "node", "size", "reach")])
+    best = F.max(F.struct("weight", (-F.col("node")).alias("first"), "class", "node", *_RANKS)).alias("hub")
+    hubs = members.where("indexed").groupBy("key").agg(best).select("key", *[F.col(f"hub.{c}").alias(f"b_{c}") for c in ("class", "node", *_RANKS)])
     pairs = members.withColumnsRenamed({c: f"a_{c}" for c in members.columns if c != "key"}).join(hubs, "key").where(f"a_class <> b_class AND {_POSSIBLE}")
     return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
-def rare_keys(grams: DataFrame, keys: Column, indexed: Column, reach: Callable[[Column], Column]) -> DataFrame:
+def rare_keys(grams: DataFrame, keys: Column, indexed: Column, reach: Callable[[Column], Column], slack: Column) -> DataFrame:
     """Buckets for `linked`: the rarest of each node's grams, in one order for all nodes.
 
-    `grams` has node and an array of distinct longs. `keys` says how many of a node's `n` grams
-    it brings, `indexed` how many of them it is found by. At the first gram that two nodes share,
-    they share at most what each has from there on of grams that stand at another node too;
-    `reach` makes of that number the most that the sizes of both may be together. Among many versions of one text the rarest grams are those of their differences,
-    so versions that differ much do not meet. The weight, a node's mean frequency of grams, is
-    largest for the version that most others share."""
-    rows = cut(grams).select("node", F.explode("grams").alias("key"))
+    `grams` has node, an array of distinct longs, and the counts by which two nodes are told
+    apart. `keys` says how many of a node's `n` grams it brings, `indexed` how many of them it
+    is found by. At the first gram that two nodes share, they share at most what each has from
+    there on of grams that stand at another node too; `reach` makes of that number the most that
+    the sizes of both may be together. Among many versions of one text the rarest grams are
+    those of their differences, so versions that differ much do not meet; those that meet
+    nevertheless are told apart by their counts, before any text is looked at. The weight, a
+    node's mean frequency of grams, is largest for the version that most others share."""
+    grams = cut(grams)
+    rows = grams.select("node", F.explode("grams").alias("key"))
     often = rows.groupBy("key").agg(F.count("*").alias("often"))
     sets = rows.join(often, "key").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("often", "key"))).alias("grams"), F.avg("often").alias("weight"),
         F.count("*").alias("n"), F.count_if(F.col("often") > 1).alias("common"),
     )
+    sets = sets.withColumn("grams", F.slice("grams", F.lit(1), keys.cast("int"))).join(grams.select("node", "counts"), "node")
     dealt = sets.select(
-        "node", "weight", indexed.alias("first"), "n", "common",
-        F.posexplode(F.slice("grams", F.lit(1), keys.cast("int"))).alias("place", "gram"),
+        "node", "weight", indexed.alias("first"), "n", "common", "counts", slack.cast("double").alias("slack"),
+        F.posexplode("grams").alias("place", "gram"),
     )
     most = F.least("common", F.col("n") - F.col("place"))
     return dealt.select(
         F.col("gram.key").alias("key"), "node", "weight", (F.col("place") < F.col("first")).alias("indexed"),
-        F.col("n").cast("double").alias("size"), reach(most).cast("double").alias("reach"),
+        F.col("n").cast("double").alias("size"), reach(most).cast("double").alias("reach"), "counts", "slack",
     )
 
 
+def folded_counts(values: np.ndarray, places: int) -> np.ndarray:
+    """How many of the numbers fall on each of some places, 127 at most. What is counted may
+    change by one at no more than one place for a number that comes or goes."""
+    counted = np.bincount((values % places).astype(np.int64), minlength=places)
+    return np.minimum(counted, 127).astype(np.int8)
+
+
 #: Nodes whose list is sent to all tasks, 8 bytes each; more are joined by a shuffle.
 SENT_NODES = 1_000_000
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import checked_pairs, linked, rare_keys, texts_of, unused, with_both_texts
+from shelfmark.llm.common import checked_pairs, folded_counts, linked, rare_keys, texts_of, unused, with_both_texts
 from shelfmark.session import cut
 
 
@@ -100,49 +101,43 @@ def within(a: str, b: str, distance: int) -> bool:
     return any(value >> goal & 1 for value in state)
 
 
-#: Lengths whose places a task remembers.
-_LENGTHS = 20_000
+#: Lengths whose places, and lines whose keys, a task remembers.
+_LENGTHS, _SEEN = 20_000, 1_000_000
+#: What counts as a blank at the ends of a line.
+_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-def line_rows(docs: DataFrame, least: int, distance: int | None = None, text: bool = False) -> DataFrame:
+def line_rows(docs: DataFrame, least: int) -> DataFrame:
     """A row for each line of at least `least` characters of documents with an id: doc_id,
-    line_no, node (a 64-bit digest of the line), and either its bucket keys or its text, if asked
-    for. Lines end at a line feed; blanks around them do not count."""
+    line_no, node (a 64-bit digest of the line) and the line. Lines end at a line feed; blanks
+    around them do not count."""
+    each = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line")
+    )
+    each = each.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.btrim("line", F.lit(_BLANKS)).alias("line"))
+    return each.where(F.length("line") >= least).select("doc_id", "line_no", F.xxhash64("line").alias("node"), "line")
 
-    def made(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) or [()] * len(names)
-        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+def keyed_lines(lines: DataFrame, distance: int) -> DataFrame:
+    """node and bucket keys of the lines; a task leaves out most of those it has had before."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places: dict[int, list] = {}
+        seen: set[int] = set()
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for number, line in enumerate((whole or "").split("\n")):
-                    line = line.strip()
-                    if len(line) < least:
-                        continue
-                    digest = xxhash.xxh3_64_intdigest(line)
-                    row = (doc_id, number, digest - (1 << 64) if digest >> 63 else digest)
-                    if distance is not None:
-                        row += (keys(line, distance, places),)
-                    if text:
-                        row += (line,)
-                    rows.append(row)
-                    if len(rows) >= 10_000:
-                        yield made(rows)
-                        rows = []
-                        if len(places) > _LENGTHS:
-                            places.clear()
-            yield made(rows)
-
-    names, types, kinds = ["doc_id", "line_no", "node"], [pa.int64()] * 3, ["long"] * 3
-    if distance is not None:
-        names, types, kinds = [*names, "keys"], [*types, pa.list_(pa.int64())], [*kinds, "array<bigint>"]
-    if text:
-        names, types, kinds = [*names, "text"], [*types, pa.string()], [*kinds, "string"]
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(of_batches, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+            if len(places) > _LENGTHS:
+                places.clear()
+            if len(seen) > _SEEN:
+                seen.clear()
+            nodes, found = [], []
+            for node, line in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if node not in seen:
+                    seen.add(node)
+                    nodes.append(node)
+                    found.append(keys(line.as_py(), distance, places))
+            yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "keys"])
+
+    return lines.select("node", "line").mapInArrow(of_batches, "node long, keys array<bigint>")
 
 
 def grams(line: str, size: int) -> set[int]:
@@ -167,21 +162,30 @@ def rare_grams(members: DataFrame, found: DataFrame, least: int, distance: int)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [list(grams(t, size)) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("node"), pa.array(values, pa.list_(pa.int64()))], names=["node", "grams"])
+            lines = batch.column("text").to_pylist()
+            values = [list(grams(t, size)) for t in lines]
+            counts = [folded_counts(np.frombuffer(t.encode("utf-32-le"), dtype="<u4"), 32).tolist() for t in lines]
+            yield pa.record_batch(
+                [batch.column("node"), pa.array(values, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int8()))],
+                names=["node", "grams", "counts"],
+            )
 
     open_texts = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
-    rows = open_texts.mapInArrow(of_batches, "node long, grams array<bigint>")
-    return rare_keys(rows, F.lit(lost + 1), F.lit(lost + 1), lambda most: 2 * most + 2 * lost)
+    rows = open_texts.mapInArrow(of_batches, "node long, grams array<bigint>, counts array<tinyint>")
+    # lengths differ by no more than the distance, and an edit takes one character and brings one
+    return rare_keys(
+        rows, F.lit(lost + 1), F.lit(lost + 1), lambda most: F.least(2 * most + 2 * lost, 2 * F.col("n") + distance), F.lit(distance)
+    )
 
 
 def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:
     """node, component of the lines with another one within the distance of them."""
-    buckets = line_rows(docs, least, distance).select("node", F.explode("keys").alias("key"))
+    lines = line_rows(docs, least)
+    buckets = cut(keyed_lines(lines, distance)).select("node", F.explode("keys").alias("key"))
     found: list[DataFrame] = []
 
     def prepare(nodes: DataFrame) -> None:
-        found.append(texts_of(line_rows(docs, least, text=True), nodes))
+        found.append(texts_of(lines.withColumnRenamed("line", "text"), nodes))
 
     def close(pairs: DataFrame) -> DataFrame:
         return checked_pairs(with_both_texts(pairs, found[0]), lambda a, b: within(a, b, distance))
@@ -200,7 +204,7 @@ def repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2, shortest
     doc_id keep their lines and count for nothing; rows with the same doc_id are one document.
     Null and empty texts have no lines. Digests of lines have 64 bits. Other columns are ignored.
     An empty table gives none."""
-    rows = cut(line_rows(docs, least if shortest is None else min(shortest, least)))
+    rows = cut(line_rows(docs, least if shortest is None else min(shortest, least)).drop("line"))
     classes = line_classes(docs, least, distance)
     rows = rows.join(classes, "node", "left").select("doc_id", "line_no", F.coalesce("component", "node").alias("class"))
     first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.max(F.struct("doc_id", "line_no")).alias("last"))

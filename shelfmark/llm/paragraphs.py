@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACED, checked_pairs, linked, mixed, rare_keys, texts, texts_of, unused, with_both_texts, word_hashes, words
+from shelfmark.llm.common import SPACED, checked_pairs, folded_counts, linked, mixed, rare_keys, texts, texts_of, unused, with_both_texts, word_hashes, words
 from shelfmark.session import cut
 
 #: Words of a shingle.
@@ -116,17 +116,24 @@ def rare_prefixes(members: DataFrame, found: DataFrame, similarity: float) -> Da
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            runs = []
+            runs, counts = [], []
             for line in batch.column("text").to_pylist():
                 own = line.split(" ")
                 own = {" ".join(own[k : k + SHINGLE]) for k in range(len(own) - SHINGLE + 1)}
-                runs.append([x - (1 << 63) for x in {xxhash.xxh3_64_intdigest(r) for r in own}])
-            yield pa.record_batch([batch.column("node"), pa.array(runs, pa.list_(pa.int64()))], names=["node", "grams"])
+                digests = {xxhash.xxh3_64_intdigest(r) for r in own}
+                runs.append([x - (1 << 63) for x in digests])
+                counts.append(folded_counts(np.fromiter(digests, dtype=np.uint64), 64).tolist())
+            yield pa.record_batch(
+                [batch.column("node"), pa.array(runs, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int8()))],
+                names=["node", "grams", "counts"],
+            )
 
     open_texts = found.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
     keys, indexed = (F.col("n") - F.ceil(F.col("n") * s - 1e-9) + 1 for s in (similarity, 2 * similarity / (1 + similarity)))
-    rows = open_texts.mapInArrow(of_batches, "node long, grams array<bigint>")
-    return rare_keys(rows, keys, indexed, lambda most: most * ((1 + similarity) / similarity) + 1e-6)
+    rows = open_texts.mapInArrow(of_batches, "node long, grams array<bigint>, counts array<tinyint>")
+    # of two sets that alike, (1 - s) / (1 + s) of both sizes together is in one of them only
+    apart = F.col("n") * ((1 - similarity) / (1 + similarity)) + 1e-6
+    return rare_keys(rows, keys, indexed, lambda most: most * ((1 + similarity) / similarity) + 1e-6, apart)
 
 
 def anchors(hashes: np.ndarray, size: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

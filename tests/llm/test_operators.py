@@ -402,3 +402,48 @@ def test_vectors(spark):
         assert found[None]["n_links"] == 0 and found[None]["component_id"] is None and found[None]["kept"]
     assert vectors.near_vectors(table.limit(0)).count() == 0
     assert vectors.near_vectors(table.where("vec_id = 1")).first()["n_links"] == 0
+
+
+def versions(n, seed, size):
+    """Many versions of one line: words replaced, and single characters put in, left out or replaced."""
+    rng = np.random.default_rng(seed)
+    base, out = prose(size, seed), []
+    for _ in range(n):
+        line = base.split(" ")
+        for _ in range(rng.integers(0, 3)):
+            line[rng.integers(size)] = VOCABULARY[rng.integers(len(VOCABULARY))]
+        line = " ".join(line)
+        for _ in range(rng.integers(0, 3)):
+            at, kind = rng.integers(len(line)), rng.integers(3)
+            line = line[:at] + ("" if kind == 0 else "abcxyz"[rng.integers(6)]) + line[at + (kind != 1) :]
+        out.append(line.strip())
+    return out
+
+
+def test_versions_of_a_line_link_as_by_brute_force(spark):
+    found = versions(250, 80, 9) + versions(150, 81, 40) + [VOCABULARY[k] + prose(5, 900 + k) for k in range(60)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(found)], "doc_id long, text string").repartition(6)
+    near = [(a, b) for a, b in itertools.combinations(range(len(found)), 2) if lines.within(found[a], found[b], 2)]
+    of = classes(range(len(found)), near)
+    sizes = {c: list(of.values()).count(c) for c in of.values()}
+    got = {r["doc_id"]: r["first_doc_id"] for r in lines.repeated_lines(docs).collect()}
+    assert got == {k: c for k, c in of.items() if sizes[c] > 1}
+    assert len(set(of.values())) > 100
+
+
+def test_versions_of_a_paragraph_link_as_by_brute_force(spark):
+    found = versions(200, 82, 60) + versions(60, 83, 30)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(found)], "doc_id long, text string").repartition(6)
+
+    def runs(t):
+        w = t.split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+    sets = [runs(t) for t in found]
+    near = [(a, b) for a, b in itertools.combinations(range(len(found)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    of = classes(range(len(found)), near)
+    rows = [r for r in paragraphs.repeats(docs).collect() if r["kind"] == "paragraph"]
+    got = {r["doc_id"]: r["first_doc_id"] for r in rows}
+    sizes = {c: list(of.values()).count(c) for c in of.values()}
+    wanted = {k: c for k, c in of.items() if sizes[c] > 1}
+    assert sum(got.get(k) == c for k, c in wanted.items()) >= 0.98 * len(wanted) and set(got) <= set(wanted)
