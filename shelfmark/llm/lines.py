@@ -118,8 +118,9 @@ def line_rows(docs: DataFrame, least: int) -> DataFrame:
     return each.where(F.length("line") >= least).select("doc_id", "line_no", F.xxhash64("line").alias("node"), "line")
 
 
-def keyed_lines(lines: DataFrame, distance: int) -> DataFrame:
-    """node and bucket keys of the lines; a task leaves out most of those it has had before."""
+def keyed_lines(lines: DataFrame, least: int, distance: int) -> DataFrame:
+    """The lines without their text, and with their bucket keys. Shorter ones than `least` have
+    none, nor have most of those that a task has had before."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places: dict[int, list] = {}
@@ -129,15 +130,17 @@ def keyed_lines(lines: DataFrame, distance: int) -> DataFrame:
                 places.clear()
             if len(seen) > _SEEN:
                 seen.clear()
-            nodes, found = [], []
-            for node, line in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if node not in seen:
+            found: list[list[int] | None] = []
+            for node, line in zip(batch.column("node").to_pylist(), batch.column("line"), strict=True):
+                if node in seen or len(text := line.as_py()) < least:
+                    found.append(None)
+                else:
                     seen.add(node)
-                    nodes.append(node)
-                    found.append(keys(line.as_py(), distance, places))
-            yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "keys"])
+                    found.append(keys(text, distance, places))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found, pa.list_(pa.int64()))], names=[*names, "keys"])
 
-    return lines.select("node", "line").mapInArrow(of_batches, "node long, keys array<bigint>")
+    names = ["doc_id", "line_no", "node"]
+    return lines.mapInArrow(of_batches, "doc_id long, line_no long, node long, keys array<bigint>")
 
 
 def grams(line: str, size: int) -> set[int]:
@@ -178,14 +181,13 @@ def rare_grams(members: DataFrame, found: DataFrame, least: int, distance: int)
     )
 
 
-def line_classes(docs: DataFrame, least: int, distance: int) -> DataFrame:
+def line_classes(keyed: DataFrame, docs: DataFrame, least: int, distance: int) -> DataFrame:
     """node, component of the lines with another one within the distance of them."""
-    lines = line_rows(docs, least)
-    buckets = cut(keyed_lines(lines, distance)).select("node", F.explode("keys").alias("key"))
+    buckets = keyed.select("node", F.explode("keys").alias("key"))
     found: list[DataFrame] = []
 
     def prepare(nodes: DataFrame) -> None:
-        found.append(texts_of(lines.withColumnRenamed("line", "text"), nodes))
+        found.append(texts_of(line_rows(docs, least).withColumnRenamed("line", "text"), nodes))
 
     def close(pairs: DataFrame) -> DataFrame:
         return checked_pairs(with_both_texts(pairs, found[0]), lambda a, b: within(a, b, distance))
@@ -204,8 +206,8 @@ def repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2, shortest
     doc_id keep their lines and count for nothing; rows with the same doc_id are one document.
     Null and empty texts have no lines. Digests of lines have 64 bits. Other columns are ignored.
     An empty table gives none."""
-    rows = cut(line_rows(docs, least if shortest is None else min(shortest, least)).drop("line"))
-    classes = line_classes(docs, least, distance)
+    rows = cut(keyed_lines(line_rows(docs, least if shortest is None else min(shortest, least)), least, distance))
+    classes = line_classes(rows, docs, least, distance)
     rows = rows.join(classes, "node", "left").select("doc_id", "line_no", F.coalesce("component", "node").alias("class"))
     first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.max(F.struct("doc_id", "line_no")).alias("last"))
     several = first.where("first <> last").select("class", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))
