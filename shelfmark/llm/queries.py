@@ -53,38 +53,40 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "source", "lang", "evidence", "site", "prior", "score", "good")
 
 
-# The rules of the contract, and the share of all pages from which a host floods.
+# The rules of the contract.
 URL_RULES = [
     urls.Rule("block", "net/"), urls.Rule("allow", "example.net/en/"),
     urls.Rule("block", "example.com/de/"), urls.Rule("allow", "org/fr/"),
 ]
-FLOOD = 0.05
+_WORDS = "|".join(urls.UNWANTED)
 
 
-@query("op3_url_filters", """
+@query("op3_url_filters", rf"""
 with parts as (
     select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
 ), hosts as (
     select page_id, lower(regexp_extract(rest, '^([^/?#]*)', 1)) as host,
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
     from parts
+), said as (
+    select *, regexp_matches(host, '(^|[.\-])({_WORDS})([.\-]|$)')
+        or regexp_matches(lower(path), '(^|[/._\-])({_WORDS})([/._\-]|$)') as listed
+    from hosts
 ), rules(verdict, rule, rule_host, rule_path) as (
     values ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
         ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')
-), flood as (
-    select host from hosts group by host having host <> '' and count(*) >= 0.05 * (select count(*) from pages)
 ), fitting as (
     select page_id, r.rule, r.verdict, row_number() over (partition by page_id order by length(r.rule) desc) as place
     from hosts join rules r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
 )
-select h.page_id, h.host, h.path, f.rule, h.host in (select host from flood) as listed,
-    coalesce(f.verdict, case when h.host in (select host from flood) then 'block' else 'allow' end) as verdict
-from hosts h left join fitting f on f.page_id = h.page_id and f.place = 1
+select h.page_id, h.host, h.path, f.rule, h.listed,
+    coalesce(f.verdict, case when h.listed then 'block' else 'allow' end) as verdict
+from said h left join fitting f on f.page_id = h.page_id and f.place = 1
 """)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     pages = table(spark, sf_dir, "pages")
-    return urls.judge(pages, URL_RULES, urls.flooding_hosts(pages, FLOOD))
+    return urls.judge(pages, URL_RULES, urls.unwanted(pages))
 
 
 @query("op8_license_scan")

@@ -25,9 +25,7 @@ LOOKALIKES = {
 }
 # Digits and signs written for letters.
 WRITTEN_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "|": "i", "!": "i"}
-# Words known from the start, with the weight of a learned sure sign.
-SEEDS = {"disgusting": 4.0, "idiot": 4.0, "moron": 4.0, "pathetic": 4.0, "scum": 4.0, "stupid": 4.0, "worthless": 4.0}
-# Phrases in which a seed stands without offence.
+# Phrases in which a word that may give offence stands without any.
 EXCEPTIONS = ("idiot proof", "idiot board", "pond scum", "scum line", "stupid mistake of mine")
 
 _FOLD = str.maketrans(LOOKALIKES | {chr(0xFF41 + k): chr(97 + k) for k in range(26)})
@@ -65,7 +63,7 @@ def terms(text: str) -> set[str]:
     """Whole words (blank on both sides) and word beginnings (blank before) of folded text."""
     found: set[str] = set()
     for word in set(text.split()):
-        if len(word) >= STEMS[0]:
+        if len(word) > 1:
             found.add(f" {word} ")
             found.update(f" {word[:k]}" for k in STEMS if len(word) >= k)
     return found
@@ -96,11 +94,12 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learn_lexicon(docs: DataFrame, support: float, sure: float, size: int) -> dict[str, float]:
+def learn_lexicon(docs: DataFrame, support: float, sure: float) -> dict[str, float]:
     """Weight of each term: its log odds ratio, smoothed, where that is `sure` or more and at
-    least a share `support` of the toxic texts has it; the `size` heaviest. A whole word that
-    begins like an entry but is as frequent in clean texts enters with weight zero: the longer
-    match hides the shorter, so it is an exception."""
+    least a share `support` of the toxic texts has it. A whole word that begins like an entry but
+    is as frequent in clean texts enters with weight zero: the longer match hides the shorter, so
+    it is an exception. The labelled texts, a bounded sample, bound the entries: a toxic text of
+    T terms accounts for T / support of them at most."""
     totals = docs.groupBy().agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     if not totals["t"] or totals["t"] == totals["n"]:
         return {}
@@ -109,18 +108,18 @@ def learn_lexicon(docs: DataFrame, support: float, sure: float, size: int) -> di
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     counted = cut(term_counts(docs).withColumn("weight", odds))
     entries = counted.where((F.col("toxic") >= least) & (F.col("weight") >= sure))
-    entries = {r["term"]: r["weight"] for r in entries.orderBy(F.desc("weight"), "term").limit(size).collect()}
+    entries = {r["term"]: r["weight"] for r in entries.collect()}
     stems = [t for t in entries if not t.endswith(" ")]
     if stems:
         begins = reduce(Column.__or__, [F.substring("term", 1, k + 1).isin([t for t in stems if len(t) == k + 1] or [""]) for k in STEMS])
         harmless = counted.where(F.col("term").endswith(" ") & begins & (F.col("weight") < sure / 2) & (F.col("clean") >= 3))
-        entries |= {r["term"]: 0.0 for r in harmless.orderBy(F.desc("clean"), "term").limit(size).collect()}
+        entries |= {r["term"]: 0.0 for r in harmless.collect()}
     return entries
 
 
 def automaton(lexicon: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    entries = {f" {k} ": v for k, v in SEEDS.items()} | lexicon | {f" {folded(e).strip()} ": 0.0 for e in exceptions}
+    entries = lexicon | {f" {folded(e).strip()} ": 0.0 for e in exceptions}
     for term, weight in entries.items():
         found.add_word(term, (len(term), weight, term))
     found.make_automaton()
@@ -128,8 +127,8 @@ def automaton(lexicon: dict[str, float], exceptions: tuple[str, ...] = EXCEPTION
 
 
 def evidence(known: ahocorasick.Automaton, text: str) -> tuple[float, float, float, float]:
-    """What the lexicon says of a text: number of words, summed weight (each term counts three
-    times at most), largest weight, distinct terms. Where matches overlap from the same start or
+    """What the lexicon says of a text: number of words, summed weight of all places, largest
+    weight, distinct terms. Where matches overlap from the same start or
     one lies inside another, the longer counts; exception phrases are such matches of weight 0."""
     line = folded(text)
     hits, covered = [], -1
@@ -145,7 +144,7 @@ def evidence(known: ahocorasick.Automaton, text: str) -> tuple[float, float, flo
         if not inside and weight > 0:
             times[term] += 1
             weights[term] = weight
-    total = sum(min(n, 3) * weights[t] for t, n in times.items())
+    total = sum(n * weights[t] for t, n in times.items())
     return float(line.count(" ") - 1), total, max(weights.values(), default=0.0), float(len(times))
 
 
@@ -192,16 +191,16 @@ def features(rows: DataFrame) -> DataFrame:
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, sample: int = 40_000, support: float = 0.004, sure: float = 2.5, size: int = 20_000
+    docs: DataFrame, labels: DataFrame, sample: int = 40_000, support: float = 0.004, sure: float = 2.5
 ) -> DataFrame:
     """A row for each document: doc_id, held_out, score, predicted, n_words, n_terms.
 
-    Lexicon and score are learned from at most `sample` labelled rows outside fold 0: the lexicon
-    of `size` entries from all of them, the logistic score from each half's evidence by the
+    Lexicon and score are learned from at most `sample` labelled rows outside fold 0, no word is
+    known before: the lexicon from all of them, the logistic score from each half's evidence by the
     lexicon of the other, so that words which only copies share gain no weight. Everything else
     covers all rows. Null and
-    empty texts have no evidence and get the score of that; without labels of both kinds the
-    seeds alone decide. Repeated rows get equal scores. A null doc_id is never held out. Only
+    empty texts have no evidence and get the score of that; without labels of both kinds
+    there is no evidence, and all scores are low. Repeated rows get equal scores. A null doc_id is never held out. Only
     doc_id, text and the label are read. An empty table gives none."""
     chosen = cut(labelled_sample(labels, "toxic", sample))
     half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
@@ -209,11 +208,11 @@ def toxicity(
     learn = cut(texts.join(F.broadcast(chosen), "doc_id").withColumn("half", half))
     known: list = []
     for part in (True, False):
-        other = learn_lexicon(learn.where(F.col("half") != part), support, sure, size)
+        other = learn_lexicon(learn.where(F.col("half") != part), support, sure)
         own = learn.where(F.col("half") == part)
         known += features(lexicon_evidence(own, other, "toxic")).select(*FEATURES, "toxic").collect()
     intercept, slopes = fit(np.array([r[:-1] for r in known]).reshape(-1, len(FEATURES)), np.array([r[-1] for r in known]))
-    rows = cut(features(lexicon_evidence(docs, learn_lexicon(learn, support, sure, size))))
+    rows = cut(features(lexicon_evidence(docs, learn_lexicon(learn, support, sure))))
     if slopes is None:
         intercept, slopes = -4.0, np.array([2.0, 0.0, 0.0, 0.0])
     logit = reduce(Column.__add__, [F.col(n) * float(s) for n, s in zip(FEATURES, slopes, strict=True)], F.lit(float(intercept)))

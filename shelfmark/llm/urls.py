@@ -105,14 +105,14 @@ def with_rules(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     return rows.mapInArrow(of_batches, schema)
 
 
-def with_listed(rows: DataFrame, column: str, entries: DataFrame) -> DataFrame:
-    """All columns and `listed`: whether the string column's value is an entry of the list, a
-    table of one string column of any length; a null never is."""
+def with_listed(rows: DataFrame, columns: tuple[str, ...], entries: DataFrame) -> DataFrame:
+    """All columns and `listed`: whether the value of one of the string columns is an entry of
+    the list, a table of one string column of any length; a null never is."""
     name = entries.columns[0]
     entries = cut(entries.where(F.col(name).isNotNull()).select(F.col(name).alias("entry")).distinct())
     blocks = max(1, -(-entries.count() // BLOCK_ENTRIES))
     rows = rows.withColumn("listed", F.lit(False))
-    schema, place, names = rows.schema, rows.columns.index(column), rows.columns
+    schema, places, names = rows.schema, [rows.columns.index(c) for c in columns], rows.columns
     for block in range(blocks):
         part = entries.where(F.pmod(F.xxhash64("entry"), F.lit(blocks)) == block)
         shared = rows.sparkSession.sparkContext.broadcast([r[0] for r in part.collect()])
@@ -120,30 +120,48 @@ def with_listed(rows: DataFrame, column: str, entries: DataFrame) -> DataFrame:
         def of_batches(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known = DigestArray(shared.value)
             for batch in batches:
-                found = known.places([(v or "").encode() for v in batch.column(place).to_pylist()]) >= 0
-                found = found & batch.column(place).is_valid().to_numpy(zero_copy_only=False)
-                found = found | batch.column(len(names) - 1).to_numpy(zero_copy_only=False)
+                found = batch.column(len(names) - 1).to_numpy(zero_copy_only=False)
+                for place in places:
+                    hit = known.places([(v or "").encode() for v in batch.column(place).to_pylist()]) >= 0
+                    found = found | hit & batch.column(place).is_valid().to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.bool_())], names=names)
 
         rows = rows.mapInArrow(of_batches, schema)
     return rows
 
 
-def flooding_hosts(pages: DataFrame, share: float) -> DataFrame:
-    """Hosts that serve at least a share of all pages: 1 / share of them at most."""
-    hosts = pages.select(url_parts("url")[0].alias("host")).groupBy("host").agg(F.count("*").alias("n"))
-    return hosts.where((F.col("host") != "") & (F.col("n") >= share * pages.count())).select("host")
+# Words that mark hosts and paths of gambling, pill, adult and link-farm sites.
+UNWANTED = (
+    "adult", "bet", "bets", "betting", "casino", "casinos", "cialis", "escort", "escorts", "gamble", "gambling", "jackpot",
+    "keygen", "lottery", "payday", "pills", "poker", "porn", "porno", "sex", "slots", "spam", "viagra", "warez", "xxx",
+)
 
 
-def judge(pages: DataFrame, rules: list[Rule], listed_hosts: DataFrame) -> DataFrame:
+def says(part: str, words: tuple[str, ...], between: str) -> Column:
+    """Whether one of the words stands alone in a string, parted by the given characters."""
+    return F.rlike(F.col(part), F.lit(rf"(^|[{between}])({'|'.join(words)})([{between}]|$)"))
+
+
+def unwanted(pages: DataFrame, words: tuple[str, ...] = UNWANTED) -> DataFrame:
+    """The block list that the urls of a table give: `entry` is a host whose name says one of the
+    words, or the whole url of a page on another host whose path does. It grows with the table."""
+    host, path = url_parts("url")
+    rows = pages.select("url", host.alias("host"), lower_ascii(path).alias("path"))
+    by_host = says("host", words, ".\\-")
+    hosts = rows.where(by_host).select(F.col("host").alias("entry"))
+    return hosts.union(rows.where(~by_host & says("path", words, "/._\\-")).select("url")).distinct()
+
+
+def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame) -> DataFrame:
     """A row for each page: page_id, host, path, rule, verdict, listed.
 
-    verdict is that of the longest fitting rule; without one, block if the host is in the list,
-    else allow. Null urls and those without `://` have empty host and path, fit no rule and are
-    allowed. Repeated rows and null page_ids are judged each for itself; other columns are
-    ignored. An empty table gives none."""
+    verdict is that of the longest fitting rule; without one, block if the host or the whole url
+    is an entry of the list (a table of one string column), else allow. Null urls and those
+    without `://` have empty host and path, fit no rule and are allowed, unless listed. Repeated
+    rows and null page_ids are judged each for itself; other columns are ignored. An empty table
+    gives none."""
     host, path = url_parts("url")
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rows = with_listed(with_rules(rows, rules), "host", listed_hosts)
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"), F.col("url").alias("url"))
+    rows = with_listed(with_rules(rows, rules), ("host", "url"), listed)
     verdict = F.coalesce("rule_verdict", F.when(F.col("listed"), "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "listed")

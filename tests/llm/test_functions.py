@@ -242,8 +242,9 @@ def test_license_rules():
 def test_folding_and_exceptions():
     assert toxicity.folded("Ѕtuріd 1d10t, $cum!") == " stupid idiot scum "
     assert toxicity.folded("2024 a.b") == " 2024 a b "
-    known = toxicity.automaton({})
+    known = toxicity.automaton({" idiot ": 4.0, " scum ": 4.0, " ic ": 3.0})
     assert toxicity.evidence(known, "an idiot")[2] > 0
+    assert toxicity.evidence(known, "ic " * 40)[1:] == (120.0, 3.0, 1.0)
     assert toxicity.evidence(known, "an idiot proof box, pond scum")[1] == 0
     assert toxicity.evidence(known, "idiotic")[1] == 0
     assert toxicity.evidence(known, "")[1:] == (0.0, 0.0, 0.0)
@@ -271,3 +272,23 @@ def test_anchors_of_shared_words():
 def test_cut_out():
     assert paragraphs.cut_out("a b  c d\ne", [{"start": 1, "end": 3}, {"start": 2, "end": 4}]) == "a e"
     assert paragraphs.cut_out(None, []) is None
+
+
+def test_lexicon_evidence_against_every_place():
+    """All places of all terms, longest first from each start; what lies inside an earlier one is hidden."""
+    chance = random.Random(12)
+    pieces = ["ab", "abc", "b", "bc", "c a", "ab b", "abcab"]
+    for _ in range(300):
+        lexicon = {f" {p}" + chance.choice(["", " "]): chance.choice([0.0, 1.0, 2.5]) for p in chance.sample(pieces, 4)}
+        text = " ".join("".join(chance.choice("abc") for _ in range(chance.randint(1, 5))) for _ in range(chance.randint(0, 12)))
+        line, hits = toxicity.folded(text), []
+        for term, weight in lexicon.items():
+            hits += [(at, -(at + len(term) - 1), weight, term) for at in range(len(line)) if line.startswith(term, at)]
+        total, top, names, reach = 0.0, 0.0, set(), -1
+        for _, end, weight, term in sorted(hits):
+            last = -end - term.endswith(" ")
+            if last > reach and weight > 0:
+                total, top = total + weight, max(top, weight)
+                names.add(term)
+            reach = max(reach, last)
+        assert toxicity.evidence(toxicity.automaton(lexicon, ()), text) == (len(text.split()), total, top, len(names))
