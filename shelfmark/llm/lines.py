@@ -102,7 +102,7 @@ def within(a: str, b: str, distance: int) -> bool:
 
 
 #: Lengths whose places, and lines whose keys, a task remembers.
-_LENGTHS, _SEEN = 20_000, 1_000_000
+_LENGTHS, _SEEN = 20_000, 200_000
 #: What counts as a blank at the ends of a line.
 _BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
