@@ -95,3 +95,15 @@ def test_cleaning_twice_changes_nothing(spark):
         once = df.select(rule(F.col("c")).cast("string").alias("c"))
         twice = once.select("c", rule(F.col("c")).cast("string").alias("d"))
         assert twice.filter(~F.col("c").eqNullSafe(F.col("d"))).count() == 0
+
+
+def test_pages_are_landed_by_several_tasks(spark, tmp_path):
+    """A table that fits one row group is dealt out before its pages are made of it."""
+    from shelfmark.demo.views import product_pages
+    part = spark.read.parquet("/root/testdata/sf0.1/part.parquet")
+    many = part.crossJoin(spark.range(6)).withColumn("p_partkey", F.col("p_partkey") + 20_000 * F.col("id")).drop("id")
+    many.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    landed = product_pages(spark, str(tmp_path))
+    names = landed.select(F.input_file_name().alias("f")).distinct().collect()
+    assert len({r["f"].rsplit("/", 1)[1][:10] for r in names}) > 1
+    assert landed.agg(F.count("*"), F.count_distinct("url")).first() == (120_000, 120_000)
