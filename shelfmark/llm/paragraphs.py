@@ -136,24 +136,29 @@ def rare_prefixes(members: DataFrame, found: DataFrame, similarity: float) -> Da
     return rare_keys(rows, keys, indexed, lambda most: most * ((1 + similarity) / similarity) + 1e-6, apart)
 
 
-def anchors(hashes: np.ndarray, size: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of runs of `size` words whose hash is the least among `reach` neighbours in a row,
-    with the hash and a second one independent of it."""
-    with np.errstate(over="ignore"):
-        key = shingle_hashes(hashes, size)
-        check = shingle_hashes(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5), size)
-    n = len(key)
-    if n == 0:
-        return np.zeros(0, dtype=np.int64), key, check
-    if n <= reach:
-        place = np.array([int(key.argmin())])
-    else:
+def block_anchors(hashes: np.ndarray, first: np.ndarray, size: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of runs of `size` words whose hash is the least among `reach` neighbours in a row of
+    their text, with the hash and a second one independent of it. `first` has the first word of
+    each text, and the end."""
+    key = shingle_hashes(hashes, size)
+    check = shingle_hashes(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5), size)
+    begin, runs = first[:-1], first[1:] - first[:-1] - size + 1
+    found = [begin[k : k + 1] + key[begin[k] : begin[k] + runs[k]].argmin() for k in np.flatnonzero((runs > 0) & (runs <= reach))]
+    begin, many = begin[runs > reach], runs[runs > reach] - reach + 1
+    if len(many):
+        at = np.arange(many.sum()) + np.repeat(begin - np.cumsum(many) + many, many)
         rows = np.lib.stride_tricks.sliding_window_view(key, reach)
         step = 1 << 18
-        place = np.unique(np.concatenate([np.arange(k, min(k + step, len(rows))) + rows[k : k + step].argmin(1) for k in range(0, len(rows), step)]))
+        found += [few + rows[few].argmin(1) for few in (at[k : k + step] for k in range(0, len(at), step))]
+    place = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *found]))
     return place, key[place], check[place]
 
 
+def anchors(hashes: np.ndarray, size: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`block_anchors` of one text."""
+    return block_anchors(hashes, np.array([0, len(hashes)]), size, reach)
+
+
 def anchor_rows(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, start, key, check of the anchored runs of `size` words of each document. Of any
     2 * size words that stand in two documents, both have the same anchored run."""
@@ -163,27 +168,26 @@ def anchor_rows(docs: DataFrame, size: int) -> DataFrame:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for at, data, offsets in texts(batch):
                 starts, ends, first = words(data, offsets, SPACED)
-                hashes = word_hashes(data, starts, ends)
-                found = [(k, *anchors(hashes[a:b], size, size + 1)) for k, (a, b) in enumerate(zip(first, first[1:])) if b - a >= size]
-                if not found:
+                place, key, check = block_anchors(word_hashes(data, starts, ends), first, size, size + 1)
+                if not len(place):
                     continue
-                owner = np.repeat([at + k for k, *_ in found], [len(p) for _, p, *_ in found])
-                place, key, check = (np.concatenate([x[c] for x in found]) for c in (1, 2, 3))
+                owner = np.searchsorted(first, place, "right") - 1
                 yield pa.record_batch(
-                    [pa.array(ids[owner].astype(np.int64)), pa.array(place.astype(np.int64)), pa.array(key.view(np.int64)), pa.array(check.view(np.int64))],
+                    [pa.array(ids[at + owner].astype(np.int64)), pa.array((place - first[owner]).astype(np.int64)), pa.array(key.view(np.int64)), pa.array(check.view(np.int64))],
                     names=["doc_id", "start", "key", "check"],
                 )
 
     return _identified(docs).mapInArrow(of_batches, "doc_id long, start long, key long, check long")
 
 
-def grown(own: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
-    """Of the runs of `size` words at the given places of a text: hash, and hashes of the run with
-    1 to `size` words more before it, then behind it, as many as there are; number of the former,
-    and of both."""
+def grown(own: np.ndarray, place: np.ndarray, size: int, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the runs of `size` words at the given places of texts that go from `low` to `high`: hash,
+    and hashes of the run with 1 to `size` words more before it, then behind it, as many as there
+    are; number of the former, and of both."""
     with np.errstate(over="ignore"):
-        key = shingle_hashes(own, size)[place]
-        check = shingle_hashes(own ^ np.uint64(0xA5A5A5A5A5A5A5A5), size)[place]
+        at = place[:, None] + np.arange(size)
+        key = shingle_hashes(own[at].ravel(), size)[::size]
+        check = shingle_hashes(own[at].ravel() ^ np.uint64(0xA5A5A5A5A5A5A5A5), size)[::size]
         out = np.zeros((len(place), 2 * size), dtype=np.uint64)
         for side in (0, 1):
             value = mixed(check + np.uint64(side + 1) * _ODD)
@@ -191,7 +195,7 @@ def grown(own: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, ..
                 at = place + size + k if side else place - 1 - k
                 value = mixed(value * _ODD + own[np.clip(at, 0, len(own) - 1)])
                 out[:, side * size + k] = value
-    before, behind = np.minimum(place, size), np.minimum(len(own) - place - size, size)
+    before, behind = np.minimum(place - low, size), np.minimum(high - place - size, size)
     step = np.arange(2 * size)
     there = np.where(step < size, step < before[:, None], step - size < behind[:, None])
     return key, before, before + behind, out[there]
@@ -202,48 +206,156 @@ def grown_rows(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, wanted = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("starts").to_pylist()
+            ids, wanted = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("starts")
             for at, data, offsets in texts(batch):
                 starts, ends, first = words(data, offsets, SPACED)
                 hashes = word_hashes(data, starts, ends)
-                for k, (a, b) in enumerate(zip(first, first[1:])):
-                    place = np.array(wanted[at + k], dtype=np.int64)
-                    place = place[place + size <= b - a]
-                    for few in np.array_split(place, -(-len(place) // 2000) or 1):
-                        if not len(few):
-                            continue
-                        key, before, both, values = grown(hashes[a:b], few, size)
-                        lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(both)).astype(np.int32), values.view(np.int64))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(few), ids[at + k], dtype=np.int64)), pa.array(few), pa.array(key.view(np.int64)), pa.array(before), lists],
-                            names=["doc_id", "start", "key", "n_before", "values"],
-                        )
+                lists = wanted.slice(at, len(offsets) - 1)
+                owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                place = first[owner] + lists.flatten().to_numpy()
+                inside = place + size <= first[owner + 1]
+                owner, place = owner[inside], place[inside]
+                for k in range(0, len(place), 2000):
+                    few, text = place[k : k + 2000], owner[k : k + 2000]
+                    key, before, both, values = grown(hashes, few, size, first[text], first[text + 1])
+                    found = pa.ListArray.from_arrays(np.append(0, np.cumsum(both)).astype(np.int32), values.view(np.int64))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[at + text].astype(np.int64)), pa.array(few - first[text]), pa.array(key.view(np.int64)), pa.array(before), found],
+                        names=["doc_id", "start", "key", "n_before", "values"],
+                    )
 
     by_doc = places.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
     rows = _identified(docs).join(by_doc, "doc_id").select("doc_id", "text", "starts")
     return rows.mapInArrow(of_batches, "doc_id long, start long, key long, n_before long, values array<bigint>")
 
 
+#: What tells contexts of a run apart: the hash of the run, how many words around it count, and
+#: the hashes that stand for all of them.
+_CONTEXT = ["key", "n_before", "n_behind", "left", "right"]
+#: Contexts of one run that a task compares at once; those of more common runs are joined word by word.
+CONTEXTS = 500
+
+
+def compared(key: np.ndarray, place: np.ndarray, n_before: np.ndarray, n_behind: np.ndarray, values: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of contexts sorted by key and first place (a number each): words before and behind that stand at another
+    place, those that stand at an earlier one than its first, and the contexts of the first places
+    of the words before (those at an earlier one, all of them); -1 if there are none."""
+    m = len(key)
+    own, fresh = np.arange(m), np.append(True, key[1:] != key[:-1])
+    run, size = np.cumsum(fresh), max(int(n_before.max(initial=0)), int(n_behind.max(initial=0)))
+    base = np.cumsum(n_before + n_behind) - n_before - n_behind
+    reach, lo_kept, all_kept = np.zeros((4, m), dtype=np.int64), np.full(m, -1), np.full(m, -1)
+    for side, (count, begin) in enumerate(((n_before, base), (n_behind, base + n_before))):
+        for k in range(size):
+            at = own[count > k]
+            value, group = values[begin[at] + k], run[at]
+            order = np.lexsort((value, group))
+            value, group, at = value[order], group[order], at[order]
+            new = np.append(True, (value[1:] != value[:-1]) | (group[1:] != group[:-1]))[: len(at)]
+            number = np.cumsum(new) - 1
+            first = at[new][number]
+            later = place[first] != place[at]
+            shared = np.bincount(number, later | several[at])[number] > 0
+            reach[side, at[shared]] = k + 1
+            reach[2 + side, at[later]] = k + 1
+            if side == 0:
+                all_kept[at[shared]], lo_kept[at[later]] = first[shared], first[later]
+    return *reach, lo_kept, all_kept
+
+
+_COMPARED = ("before", "behind", "lo_before", "lo_behind")
+
+
+def compared_contexts(contexts: DataFrame) -> DataFrame:
+    """The contexts of runs with `CONTEXTS` contexts at most, each with what `compared` says."""
+
+    def block(rows: pa.Table) -> pa.RecordBatch:
+        key, n_before, n_behind, lo_doc, lo_start, hi_doc, hi_start = (
+            rows.column(c).to_numpy() for c in ("key", "n_before", "n_behind", "lo_doc", "lo_start", "hi_doc", "hi_start")
+        )
+        values = rows.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        place = np.cumsum(np.append(True, (key[1:] != key[:-1]) | (lo_doc[1:] != lo_doc[:-1]) | (lo_start[1:] != lo_start[:-1])))
+        *reach, lo_kept, all_kept = compared(key, place, n_before, n_behind, values, (lo_doc != hi_doc) | (lo_start != hi_start))
+        out = [rows.column(c).combine_chunks() for c in (*_CONTEXT, "lo_doc", "lo_start")] + [pa.array(r) for r in reach]
+        for kept in (lo_kept, all_kept):
+            out += [pa.array(x[kept], mask=kept < 0) for x in (lo_doc, lo_start)]
+        return pa.RecordBatch.from_arrays(out, names=names)
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            # the last run of a batch may go on in the next one
+            key = batch.column("key").to_numpy()
+            ends = int(np.searchsorted(np.cumsum(np.append(False, key[1:] != key[:-1])), np.count_nonzero(key[1:] != key[:-1])))
+            if kept and (ends or kept[-1].column("key")[-1] != batch.column("key")[0]):
+                yield block(pa.Table.from_batches([*kept, batch.slice(0, ends)]))
+                kept = []
+            elif ends:
+                yield block(pa.Table.from_batches([batch.slice(0, ends)]))
+            kept.append(batch.slice(ends))
+        if kept:
+            yield block(pa.Table.from_batches(kept))
+
+    names = [*_CONTEXT, "lo_doc", "lo_start", *_COMPARED, "lo_kept_doc", "lo_kept_start", "all_kept_doc", "all_kept_start"]
+    flat = contexts.select(
+        *_CONTEXT, F.col("lo.doc_id").alias("lo_doc"), F.col("lo.start").alias("lo_start"), F.col("hi.doc_id").alias("hi_doc"),
+        F.col("hi.start").alias("hi_start"), "values",
+    )
+    found = flat.repartition("key").sortWithinPartitions("key", "lo_doc", "lo_start").mapInArrow(of_batches, ", ".join(f"{n} long" for n in names))
+    return found.select(*_CONTEXT, *[
+        F.when(F.col(f"{n}_doc").isNotNull(), F.struct(F.col(f"{n}_doc").alias("doc_id"), F.col(f"{n}_start").alias("start"))).alias(n) for n in ("lo", "lo_kept", "all_kept")
+    ], *_COMPARED)
+
+
+def joined_contexts(contexts: DataFrame) -> DataFrame:
+    """As `compared_contexts`, for runs with any number of contexts: a join by each word."""
+    values = contexts.select(*_CONTEXT, "lo", "hi", F.posexplode("values").alias("k", "value"))
+    first = values.groupBy("key", "value").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first <> last").drop("last")
+    left, earlier = F.col("k") < F.col("n_before"), F.col("lo") != F.col("first")
+    n = F.when(left, F.col("k") + 1).otherwise(F.col("k") - F.col("n_before") + 1)
+    most = {"before": left, "behind": ~left, "lo_before": left & earlier, "lo_behind": ~left & earlier}
+    found = values.join(first, ["key", "value"]).groupBy(*_CONTEXT, "lo").agg(
+        F.max_by("first", F.when(left & earlier, n)).alias("lo_kept"), F.max_by("first", F.when(left, n)).alias("all_kept"),
+        *[F.coalesce(F.max(F.when(test, n)), F.lit(0)).cast("long").alias(c) for c, test in most.items()],
+    )
+    return found.select(*_CONTEXT, "lo", "lo_kept", "all_kept", *_COMPARED)
+
+
 def reaches(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
     """doc_id, start, and how many words (`size` at most) before and behind the run there stand
-    with it at another place, and at an earlier one; kept: where the earliest of these is."""
+    with it at another place, and at an earlier one; kept: where the earliest of these is.
+
+    Places with the same run and the same words around it as far as that are one context, and
+    contexts are compared: all but the first place of one have all of it at an earlier place."""
     where = F.struct("doc_id", "start")
-    rows = cut(grown_rows(docs, places, size)).select("doc_id", "start", "key", "n_before", F.posexplode("values").alias("k", "value"))
-    first = rows.groupBy("key", "value").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
-    left, earlier = F.col("k") < F.col("n_before"), where != F.col("first")
-    n = F.when(left, F.col("k") + 1).otherwise(F.col("k") - F.col("n_before") + 1)
-    return rows.join(first, ["key", "value"]).groupBy("doc_id", "start").agg(
-        F.coalesce(F.max(F.when(left, n)), F.lit(0)).alias("before"), F.coalesce(F.max(F.when(~left, n)), F.lit(0)).alias("behind"),
-        F.coalesce(F.max(F.when(left & earlier, n)), F.lit(0)).alias("earlier_before"),
-        F.coalesce(F.max(F.when(~left & earlier, n)), F.lit(0)).alias("earlier_behind"),
-        F.max_by("first", F.when(left & earlier, n)).alias("kept"),
+    before, behind = F.col("n_before"), (F.size("values") - F.col("n_before")).cast("long")
+    rows = cut(grown_rows(docs, places, size)).withColumn("n_behind", behind)
+    # each value is a hash of all words up to it, so the last ones stand for all
+    for name, n, at in (("left", before, before), ("right", F.col("n_behind"), F.size("values"))):
+        rows = rows.withColumn(name, F.when(n > 0, F.try_element_at("values", at.cast("int"))).otherwise(0))
+    contexts = cut(rows.groupBy(*_CONTEXT).agg(F.min(where).alias("lo"), F.max(where).alias("hi"), F.first("values").alias("values")))
+    common = cut(contexts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CONTEXTS).select("key"))
+    if common.isEmpty():
+        found = compared_contexts(contexts)
+    else:
+        found = compared_contexts(contexts.join(F.broadcast(common), "key", "left_anti"))
+        found = found.union(joined_contexts(contexts.join(F.broadcast(common), "key", "left_semi")))
+    own = where == F.col("lo")
+    reach = rows.select("doc_id", "start", *_CONTEXT).join(found, _CONTEXT).select(
+        "doc_id", "start", "before", "behind", F.when(own, F.col("lo_before")).otherwise(F.col("n_before")).alias("earlier_before"),
+        F.when(own, F.col("lo_behind")).otherwise(F.col("n_behind")).alias("earlier_behind"), F.when(own, F.col("lo_kept")).otherwise(F.col("all_kept")).alias("kept"),
     )
+    # a place has several contexts where rows share a doc_id
+    most = [F.max(c).alias(c) for c in ("before", "behind", "earlier_before", "earlier_behind")]
+    return reach.groupBy("doc_id", "start").agg(*most, F.max_by("kept", "earlier_before").alias("kept"))
 
 
 def repeated_passages(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, start, end, class, first_doc_id, first_start, removed of the stretches of anchored
     runs that stand at two places, with the words around them that do so too."""
-    rows = anchor_rows(docs, size)
+    rows = cut(anchor_rows(docs, size))
     where = F.struct("doc_id", "start")
     first = rows.groupBy("key", "check").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
     found = rows.join(first, ["key", "check"]).select("doc_id", "start", "key", "check", "first", (where != F.col("first")).alias("removed"))
@@ -270,8 +382,8 @@ def repeated_passages(docs: DataFrame, size: int) -> DataFrame:
     run = F.sum("fresh").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return both.withColumn("fresh", fresh).withColumn("run", run).groupBy("doc_id", "removed", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("key").alias("class"),
-        F.min("first_doc_id").alias("first_doc_id"), F.min_by("first_start", F.struct("first_doc_id", "start")).alias("first_start"),
-    ).drop("run")
+        F.min(F.struct("first_doc_id", F.col("start").alias("at"), "first_start")).alias("first"),
+    ).select("doc_id", "removed", "start", "end", "class", "first.first_doc_id", "first.first_start")
 
 
 def repeats(docs: DataFrame, least: int = 25, similarity: float = 0.8, bands: int = 9, rows: int = 3) -> DataFrame:

@@ -456,3 +456,20 @@ def test_versions_of_a_paragraph_link_as_by_brute_force(spark):
     sizes = {c: list(of.values()).count(c) for c in of.values()}
     wanted = {k: c for k, c in of.items() if sizes[c] > 1}
     assert sum(got.get(k) == c for k, c in wanted.items()) >= 0.98 * len(wanted) and set(got) <= set(wanted)
+
+
+def test_contexts_of_passages_are_compared_by_both_ways(spark, capsys, monkeypatch):
+    """The words around a run are compared in place; only very common runs send a row a word."""
+    rng = np.random.default_rng(9)
+    parts = [prose(int(rng.choice([3, 12, 40, 70])), 900 + k) for k in range(8)]
+    rows = [(k, " ".join(rng.choice(parts, rng.integers(1, 7)))) for k in range(80)] + [(3, parts[0] + " x " + parts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    places = paragraphs.anchor_rows(docs, 25).select("doc_id", "start")
+    capsys.readouterr()
+    paragraphs.reaches(docs, places, 25).explain()
+    assert "posexplode(values" not in capsys.readouterr().out
+    got = {tuple(map(str, r)) for r in paragraphs.repeated_passages(docs, 25).collect()}
+    monkeypatch.setattr(paragraphs, "CONTEXTS", 2)
+    assert got and got == {tuple(map(str, r)) for r in paragraphs.repeated_passages(docs, 25).collect()}
+    monkeypatch.setattr(paragraphs, "CONTEXTS", 0)
+    assert got == {tuple(map(str, r)) for r in paragraphs.repeated_passages(docs, 25).collect()}
