@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import checked_pairs, folded_counts, linked, rare_keys, texts_of, unused, with_both_texts
+from shelfmark.llm.common import _BASE, _INVERSE, _powers, checked_pairs, folded_counts, linked, mixed, rare_keys, texts_of, unused, with_both_texts
 from shelfmark.session import cut
 
 
@@ -44,61 +45,72 @@ def probes(length: int, distance: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def keys(line: str, distance: int, places: dict[int, list[tuple[int, int, int, int]]]) -> list[int]:
-    """Bucket keys of a line, for itself as indexed and as probing. Two lines within the distance
-    share one."""
-    found = places.get(len(line))
-    if found is None:
-        found = places[len(line)] = probes(len(line), distance)
-    digest = xxhash.xxh3_64_intdigest
-    signed = [digest(line[at : at + size], (other << 8) | k) for other, k, at, size in found]
-    return [x - (1 << 64) if x >> 63 else x for x in signed]
+def block_keys(lines: list[str], distance: int, places: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket keys of many lines, one behind the other, and how many each has: for itself as
+    indexed and as probing. Two lines within the distance share one. A key is a difference of one
+    running polynomial over all the lines, so no segment is handled by itself."""
+    lengths = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    kinds, kind = np.unique(lengths, return_inverse=True)
+    for length in kinds.tolist():
+        if length not in places:
+            places[length] = np.array(probes(length, distance), dtype=np.int64).reshape(-1, 4)
+    table = np.concatenate([np.zeros((0, 4), dtype=np.int64), *[places[length] for length in kinds.tolist()]])
+    sizes = np.array([len(places[length]) for length in kinds.tolist()], dtype=np.int64)
+    many = sizes[kind]
+    begin = np.cumsum(many) - many
+    other, k, at, size = table[np.arange(many.sum()) + np.repeat((np.cumsum(sizes) - sizes)[kind] - begin, many)].T
+    at = at + np.repeat(np.cumsum(lengths) - lengths, many)
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(codes) + 1, dtype=np.uint64)
+        np.cumsum((codes + np.uint64(1)) * _powers(_BASE, len(codes)), out=total[1:])
+        value = (total[at + size] - total[at]) * _powers(_INVERSE, len(codes))[at]
+        return mixed(value + ((other << 8) | k).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64), many
+
+
+def keys(line: str, distance: int, places: dict[int, np.ndarray]) -> list[int]:
+    """`block_keys` of one line."""
+    return block_keys([line], distance, places)[0].tolist()
+
+
+def _alike(a: str, i: int, b: str, j: int) -> int:
+    """How many characters a from i and b from j have in common: steps that double, then halve."""
+    most = min(len(a) - i, len(b) - j)
+    if a[i : i + most] == b[j : j + most]:
+        return most
+    k, step = 0, 8
+    while a[i + k : i + k + step] == b[j + k : j + k + step]:
+        k += step
+        step *= 2
+    while step > 1:
+        step //= 2
+        if a[i + k : i + k + step] == b[j + k : j + k + step]:
+            k += step
+    return k
 
 
 def within(a: str, b: str, distance: int) -> bool:
-    """Whether the edit distance is no more than `distance`: the bit-parallel recurrence on a band
-    of 2 * distance + 1 diagonals, so that one small integer holds a column of any string."""
-    if abs(len(a) - len(b)) > distance:
+    """Whether the edit distance is no more than `distance`: how far each of 2 * distance + 1
+    diagonals goes with so many edits, over whole runs of equal characters at a time."""
+    shift = len(b) - len(a)
+    if abs(shift) > distance:
         return False
     if a == b:
         return True
-    # what both begin and end with costs nothing
-    start, most = 0, min(len(a), len(b))
-    while start < most and a[start] == b[start]:
-        start += 1
-    end = 0
-    while end < most - start and a[-1 - end] == b[-1 - end]:
-        end += 1
-    a, b = a[start : len(a) - end], b[start : len(b) - end]
-    if not a or not b:
-        return max(len(a), len(b)) <= distance
-    # reach[d]: per diagonal, how far a goes with d edits; bits of `same` answer runs at once
-    width = 2 * distance + 1
-    full = (1 << width) - 1
-    # state[d] holds bit j if diagonal j - distance is reached at this row of a with d edits
-    state = [1 << distance]
-    for _ in range(distance):
-        state.append(state[-1] | (state[-1] << 1) & full)
-    for i, c in enumerate(a):
-        same = 0
-        for j in range(width):
-            k = i + j - distance
-            if 0 <= k < len(b) and b[k] == c:
-                same |= 1 << j
-        new: list[int] = []
-        for d, old in enumerate(state):
-            value = old & same
-            if d:
-                before = state[d - 1]
-                value |= before  # one of a for one of b
-                value |= before >> 1  # one of a left out
-                value |= (new[d - 1] << 1) & full  # one of b put in
-            new.append(value)
-        state = new
-        if not any(state):
-            return False
-    goal = len(b) - len(a) + distance
-    return any(value >> goal & 1 for value in state)
+    reach = {0: _alike(a, 0, b, 0)}
+    for left in range(distance - 1, -1, -1):
+        new = {}
+        # diagonals from which the edits left lead to the end
+        for d in range(shift - left, shift + left + 1):
+            # one of a for one of b, one of b put in, one of a left out
+            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -1), reach.get(d + 1, -2) + 1)
+            i = min(i, len(a), len(b) - d)
+            if i >= max(0, -d):
+                new[d] = i + _alike(a, i, b, i + d)
+        reach = new
+        if reach.get(shift, -1) >= len(a):
+            return True
+    return False
 
 
 #: Lengths whose places, and lines whose keys, a task remembers.
@@ -114,7 +126,11 @@ def line_rows(docs: DataFrame, least: int) -> DataFrame:
     each = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line")
     )
-    each = each.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.btrim("line", F.lit(_BLANKS)).alias("line"))
+    # most lines begin and end with a visible ASCII character, and trimming looks at every character
+    plain = F.left("line", F.lit(1)).between("!", "~") & F.right("line", F.lit(1)).between("!", "~")
+    each = each.select(
+        "doc_id", F.col("line_no").cast("long").alias("line_no"), F.when(plain, F.col("line")).otherwise(F.btrim("line", F.lit(_BLANKS))).alias("line")
+    )
     return each.where(F.length("line") >= least).select("doc_id", "line_no", F.xxhash64("line").alias("node"), "line")
 
 
@@ -123,21 +139,25 @@ def keyed_lines(lines: DataFrame, least: int, distance: int) -> DataFrame:
     none, nor have most of those that a task has had before."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places: dict[int, list] = {}
+        places: dict[int, np.ndarray] = {}
         seen: set[int] = set()
         for batch in batches:
             if len(places) > _LENGTHS:
                 places.clear()
             if len(seen) > _SEEN:
                 seen.clear()
-            found: list[list[int] | None] = []
-            for node, line in zip(batch.column("node").to_pylist(), batch.column("line"), strict=True):
-                if node in seen or len(text := line.as_py()) < least:
-                    found.append(None)
-                else:
+            fresh = []
+            long = pc.greater_equal(pc.utf8_length(batch.column("line")), least).to_numpy(zero_copy_only=False)
+            nodes = batch.column("node").to_numpy()
+            for k, node in zip(np.flatnonzero(long).tolist(), nodes[long].tolist(), strict=True):
+                if node not in seen:
                     seen.add(node)
-                    found.append(keys(text, distance, places))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found, pa.list_(pa.int64()))], names=[*names, "keys"])
+                    fresh.append(k)
+            found, many = block_keys(batch.column("line").take(pa.array(fresh, pa.int64())).to_pylist(), distance, places)
+            counts = np.zeros(len(batch), dtype=np.int64)
+            counts[fresh] = many
+            lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(counts)).astype(np.int32), found)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], lists], names=[*names, "keys"])
 
     names = ["doc_id", "line_no", "node"]
     return lines.mapInArrow(of_batches, "doc_id long, line_no long, node long, keys array<bigint>")

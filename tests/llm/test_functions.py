@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -292,3 +293,11 @@ def test_lexicon_evidence_against_every_place():
                 names.add(term)
             reach = max(reach, last)
         assert toxicity.evidence(toxicity.automaton(lexicon, ()), text)[1:] == (total, top, len(names))
+
+
+def test_edit_distance_of_long_lines_takes_runs_at_a_time():
+    line = "".join(np.random.default_rng(5).choice(list("abcdefgh"), 200_000))
+    other = line[:500] + line[501:150_000] + "x" + line[150_000:]
+    began = time.process_time()
+    assert all(lines.within(line, other, 2) and not lines.within(line, "y" + other[1:], 2) for _ in range(20))
+    assert time.process_time() - began < 2
