@@ -145,13 +145,104 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+#: Keys that a task sorts at once, at least.
+KEYS_AT_ONCE = 1 << 20
+#: Keys are dealt by so many of their first bits; beyond those come pairs that have met already,
+#: in rows of as many.
+_PART_BITS, _MET = 12, 256
+
+
+def _sorted_pairs(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in the order of key, then node; and which are the first and the last of their key."""
+    order = np.argsort(key)
+    key, node = key[order], node[order]
+    same = key[1:] == key[:-1]
+    own = np.flatnonzero(np.append(False, same) | np.append(same, False))
+    node[own] = node[own[np.lexsort((node[own], key[own]))]]
+    fresh = np.append(True, ~same | (node[1:] != node[:-1]))[: len(key)]
+    key, node = key[fresh], node[fresh]
+    change = key[1:] != key[:-1]
+    return key, node, np.append(True, change)[: len(key)], np.append(change, True)[: len(key)]
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows node, keys to rows part, keys, nodes. Nodes that share a key inside a block have met, and only
+    the least and the greatest of them go to the part of the key."""
+
+    def block(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        key, node, head, tail = _sorted_pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        many = ~(head & tail)
+        met, meeting = (key[many], node[many]), (key[head | tail], node[head | tail])
+        part = (meeting[0] >> (64 - _PART_BITS)).astype(np.int32)
+        edges = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[: len(part)]
+        yield rows(part[edges], edges, *meeting)
+        edges = np.arange(0, len(met[0]), _MET)
+        yield rows((((met[0][edges] ^ met[1][edges]) & 4095) + (1 << _PART_BITS)).astype(np.int32), edges, *met)
+
+    def rows(part: np.ndarray, edges: np.ndarray, key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        offsets = pa.array(np.append(edges, len(key)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (key, node)]
+        return pa.RecordBatch.from_arrays([pa.array(part), *lists], names=["part", "keys", "nodes"])
+
+    held, size = [], 0
+    for batch in batches:
+        keys = batch.column("keys")
+        own = mixed(keys.flatten().to_numpy().view(np.uint64)).view(np.int64)
+        many = keys.value_lengths().fill_null(0).to_numpy()
+        held.append((own, np.repeat(batch.column("node").to_numpy(), many)))
+        size += len(own)
+        if size >= KEYS_AT_ONCE:
+            yield from block(held)
+            held, size = [], 0
+    if size:
+        yield from block(held)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `_dealt` in the order of part to rows key, node where two nodes share the key."""
+
+    def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        part, key, node = (pa.concat_arrays([x.column(c) for x in held]) for c in range(3))
+        before = np.repeat(part.to_numpy() >= 1 << _PART_BITS, key.value_lengths().to_numpy())
+        key, node = key.flatten().to_numpy(), node.flatten().to_numpy()
+        own, other, head, tail = _sorted_pairs(key[~before], node[~before])
+        many = ~(head & tail)
+        out = (np.append(key[before], own[many]), np.append(node[before], other[many]))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "node"])
+
+    held, size = [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        # the last part of a batch may go on in the next one
+        part = batch.column("part").to_numpy()
+        ends = int(np.searchsorted(part, part[-1]))
+        if held and (ends or held[-1].column("part")[-1].as_py() != part[0]) and size >= KEYS_AT_ONCE:
+            yield block([*held, batch.slice(0, ends)])
+            held, size, batch = [], 0, batch.slice(ends)
+        held.append(batch)
+        size += len(batch.column("keys").flatten())
+    if held:
+        yield block(held)
+
+
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """key, node (distinct) of the keys that several nodes have, out of rows node, keys (an array
+    of longs, of which key is a digest without collisions).
+
+    Keys are sorted in blocks before they are dealt out, and move as arrays: most have one node.
+    A key that many nodes have sends two of them a block to its part; the others need not meet."""
+    dealt = rows.select("node", "keys").mapInArrow(_dealt, "part int, keys array<bigint>, nodes array<bigint>")
+    return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(_met, "key long, node long").distinct()
+
+
 def linked(
     buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], None] | None = None,
     refine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Components of the nodes that share a bucket and pass `verify`.
 
-    `buckets` has key and node; `verify` takes pairs a, b and returns those that are links.
+    `buckets` has key and node, or node and keys, an array of longs; `verify` takes pairs a, b and returns those that are links.
     `prepare`, if given, is called once with all nodes that share a bucket with another one.
     First every member of a bucket is held against one of its nodes. Buckets whose members then
     still lie in different components go to `refine`, if given, which returns finer buckets
@@ -161,8 +252,11 @@ def linked(
     both. There it is done again, against the indexed node of most weight. What is
     open then is paired across components alone. A pair inside a component cannot change it,
     so the result is that of all pairs, while a bucket of n like nodes costs n checks."""
-    shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = cut(buckets.join(shared.select("key"), "key").distinct())
+    if "keys" in buckets.columns:
+        members = cut(shared_keys(buckets))
+    else:
+        shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+        members = cut(buckets.join(shared.select("key"), "key").distinct())
     if prepare:
         prepare(members.select("node").distinct())
     plain = members.select("key", "node", *unranked())

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import _BASE, _INVERSE, _powers, checked_pairs, folded_counts, linked, mixed, rare_keys, texts_of, unused, with_both_texts
-from shelfmark.session import cut
+from shelfmark.session import cut, scratch
 
 
 def segments(length: int, distance: int) -> list[tuple[int, int]]:
@@ -203,7 +203,7 @@ def rare_grams(members: DataFrame, found: DataFrame, least: int, distance: int)
 
 def line_classes(keyed: DataFrame, docs: DataFrame, least: int, distance: int) -> DataFrame:
     """node, component of the lines with another one within the distance of them."""
-    buckets = keyed.select("node", F.explode("keys").alias("key"))
+    buckets = keyed.where(F.size("keys") > 0).select("node", "keys")
     found: list[DataFrame] = []
 
     def prepare(nodes: DataFrame) -> None:
@@ -226,8 +226,12 @@ def repeated_lines(docs: DataFrame, least: int = 20, distance: int = 2, shortest
     doc_id keep their lines and count for nothing; rows with the same doc_id are one document.
     Null and empty texts have no lines. Digests of lines have 64 bits. Other columns are ignored.
     An empty table gives none."""
-    rows = cut(keyed_lines(line_rows(docs, least if shortest is None else min(shortest, least)), least, distance))
-    classes = line_classes(rows, docs, least, distance)
+    with scratch(docs.sparkSession) as keep:
+        rows = keep(keyed_lines(line_rows(docs, least if shortest is None else min(shortest, least)), least, distance))
+        return cut(_repeated(rows, line_classes(rows, docs, least, distance)))
+
+
+def _repeated(rows: DataFrame, classes: DataFrame) -> DataFrame:
     rows = rows.join(classes, "node", "left").select("doc_id", "line_no", F.coalesce("component", "node").alias("class"))
     first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.max(F.struct("doc_id", "line_no")).alias("last"))
     several = first.where("first <> last").select("class", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import SPACED, checked_pairs, folded_counts, linked, mixed, rare_keys, texts, texts_of, unused, with_both_texts, word_hashes, words
-from shelfmark.session import cut
+from shelfmark.session import cut, scratch
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -323,7 +323,7 @@ def joined_contexts(contexts: DataFrame) -> DataFrame:
     return found.select(*_CONTEXT, "lo", "lo_kept", "all_kept", *_COMPARED)
 
 
-def reaches(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
+def reaches(docs: DataFrame, places: DataFrame, size: int, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """doc_id, start, and how many words (`size` at most) before and behind the run there stand
     with it at another place, and at an earlier one; kept: where the earliest of these is.
 
@@ -331,11 +331,12 @@ def reaches(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
     contexts are compared: all but the first place of one have all of it at an earlier place."""
     where = F.struct("doc_id", "start")
     before, behind = F.col("n_before"), (F.size("values") - F.col("n_before")).cast("long")
-    rows = cut(grown_rows(docs, places, size)).withColumn("n_behind", behind)
+    rows = grown_rows(docs, places, size).withColumn("n_behind", behind)
     # each value is a hash of all words up to it, so the last ones stand for all
     for name, n, at in (("left", before, before), ("right", F.col("n_behind"), F.size("values"))):
         rows = rows.withColumn(name, F.when(n > 0, F.try_element_at("values", at.cast("int"))).otherwise(0))
-    contexts = cut(rows.groupBy(*_CONTEXT).agg(F.min(where).alias("lo"), F.max(where).alias("hi"), F.first("values").alias("values")))
+    rows = keep(rows)
+    contexts = keep(rows.groupBy(*_CONTEXT).agg(F.min(where).alias("lo"), F.max(where).alias("hi"), F.first("values").alias("values")))
     common = cut(contexts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CONTEXTS).select("key"))
     if common.isEmpty():
         found = compared_contexts(contexts)
@@ -355,16 +356,31 @@ def reaches(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
 def repeated_passages(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, start, end, class, first_doc_id, first_start, removed of the stretches of anchored
     runs that stand at two places, with the words around them that do so too."""
-    rows = cut(anchor_rows(docs, size))
+    with scratch(docs.sparkSession) as keep:
+        with scratch(docs.sparkSession) as brief:
+            found = keep(_repeated_runs(brief(anchor_rows(docs, size)), size))
+        edges = found.where("edge").select("key", "check").distinct()
+        places = found.join(edges, ["key", "check"], "left_semi").select("doc_id", "start")
+        with scratch(docs.sparkSession) as brief:
+            reach = keep(reaches(docs, places, size, brief))
+        return cut(_stretches(found, reach, size))
+
+
+def _repeated_runs(rows: DataFrame, size: int) -> DataFrame:
+    """doc_id, start, key, check, first, removed, edge of the anchored runs that stand at two places:
+    where the first one is, whether this is another, and whether a stretch of them ends here."""
     where = F.struct("doc_id", "start")
     first = rows.groupBy("key", "check").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
     found = rows.join(first, ["key", "check"]).select("doc_id", "start", "key", "check", "first", (where != F.col("first")).alias("removed"))
     inside = Window.partitionBy("doc_id", "removed").orderBy("start")
     # the words between two runs that touch are theirs; only where runs end, words may be missing
     apart = [F.coalesce(d > size, F.lit(True)) for d in (F.col("start") - F.lag("start").over(inside), F.lead("start").over(inside) - F.col("start"))]
-    found = cut(found.withColumn("edge", apart[0] | apart[1]))
-    edges = found.where("edge").select("key", "check").distinct()
-    reach = reaches(docs, found.join(edges, ["key", "check"], "left_semi").select("doc_id", "start"), size)
+    return found.withColumn("edge", apart[0] | apart[1])
+
+
+def _stretches(found: DataFrame, reach: DataFrame, size: int) -> DataFrame:
+    """`repeated_passages` of the runs, and how far the words around them go."""
+    where = F.struct("doc_id", "start")
     found = found.join(reach, ["doc_id", "start"], "left").na.fill(0, ["before", "behind", "earlier_before", "earlier_behind"])
 
     def spans(rows: DataFrame, removed: bool, before: str, behind: str, kept: Column) -> DataFrame:
@@ -399,7 +415,13 @@ def repeats(docs: DataFrame, least: int = 25, similarity: float = 0.8, bands: in
     white space. Rows without doc_id count for nothing; rows with the same doc_id are one
     document. Null, empty and short texts have no stretches. Other columns are ignored. An empty
     table gives none."""
-    found = cut(paragraph_rows(docs, least, bands, rows))
+    with scratch(docs.sparkSession) as keep:
+        whole = cut(repeated_paragraphs(docs, keep(paragraph_rows(docs, least, bands, rows)), least, similarity, bands, rows))
+    return whole.union(repeated_passages(docs, least).withColumn("kind", F.lit("passage")).select(*whole.columns))
+
+
+def repeated_paragraphs(docs: DataFrame, found: DataFrame, least: int, similarity: float, bands: int, rows: int) -> DataFrame:
+    """The paragraphs of `repeats`, out of all paragraphs with their keys."""
     kept: list[DataFrame] = []
 
     def prepare(nodes: DataFrame) -> None:
@@ -408,17 +430,14 @@ def repeats(docs: DataFrame, least: int = 25, similarity: float = 0.8, bands: in
     def close(pairs: DataFrame) -> DataFrame:
         return checked_pairs(with_both_texts(pairs, kept[0]), lambda a, b: similar(a, b, similarity))
 
-    buckets = found.select("node", F.explode("keys").alias("key"))
-    classes = linked(buckets, close, prepare, lambda members: rare_prefixes(members, kept[0], similarity))
+    classes = linked(found.select("node", "keys"), close, prepare, lambda members: rare_prefixes(members, kept[0], similarity))
     members = found.join(classes, "node", "left").select("doc_id", "start", "end", F.coalesce("component", "node").alias("class"))
     where = F.struct("doc_id", "start")
     first = members.groupBy("class").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
-    columns = ["doc_id", "start", "end", "kind", "class", "first_doc_id", "first_start", "removed"]
-    whole = members.join(first, "class").select(
+    return members.join(first, "class").select(
         "doc_id", "start", "end", F.lit("paragraph").alias("kind"), "class", F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.start").alias("first_start"), (where != F.col("first")).alias("removed"),
     )
-    return whole.union(repeated_passages(docs, least).withColumn("kind", F.lit("passage")).select(*columns))
 
 
 def drop_repeats(docs: DataFrame, **options) -> DataFrame:
