@@ -150,6 +150,7 @@ KEYS_AT_ONCE = 1 << 20
 #: Keys are dealt by so many of their first bits; beyond those come pairs that have met already,
 #: in rows of as many.
 _PART_BITS, _MET = 12, 256
+_PARTED = ["part", "keys", "nodes", "counts"]
 
 
 def _sorted_pairs(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -165,50 +166,41 @@ def _sorted_pairs(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.nda
     return key, node, np.append(True, change)[: len(key)], np.append(change, True)[: len(key)]
 
 
-def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows node, keys to rows part, keys, nodes. Nodes that share a key inside a block have met, and only
-    the least and the greatest of them go to the part of the key."""
+def _rows(part: np.ndarray, edges: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each stretch of some columns: its part, and the stretch of each column as an array."""
+    offsets = pa.array(np.append(edges, len(columns[0])).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in columns]
+    return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *lists], names=_PARTED[: 1 + len(lists)])
 
-    def block(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        key, node, head, tail = _sorted_pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        many = ~(head & tail)
-        met, meeting = (key[many], node[many]), (key[head | tail], node[head | tail])
-        part = (meeting[0] >> (64 - _PART_BITS)).astype(np.int32)
-        edges = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[: len(part)]
-        yield rows(part[edges], edges, *meeting)
-        edges = np.arange(0, len(met[0]), _MET)
-        yield rows((((met[0][edges] ^ met[1][edges]) & 4095) + (1 << _PART_BITS)).astype(np.int32), edges, *met)
 
-    def rows(part: np.ndarray, edges: np.ndarray, key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-        offsets = pa.array(np.append(edges, len(key)).astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (key, node)]
-        return pa.RecordBatch.from_arrays([pa.array(part), *lists], names=["part", "keys", "nodes"])
+def _in_parts(by: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """`_rows` by the first bits of numbers in ascending order."""
+    part = by >> (64 - _PART_BITS)
+    edges = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[: len(part)]
+    return _rows(part[edges], edges, *columns)
+
 
+def _key_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """Key and node of rows node, array of keys, in blocks."""
     held, size = [], 0
     for batch in batches:
-        keys = batch.column("keys")
+        node, keys = batch.columns
         own = mixed(keys.flatten().to_numpy().view(np.uint64)).view(np.int64)
-        many = keys.value_lengths().fill_null(0).to_numpy()
-        held.append((own, np.repeat(batch.column("node").to_numpy(), many)))
+        held.append((own, np.repeat(node.to_numpy(), keys.value_lengths().fill_null(0).to_numpy())))
         size += len(own)
         if size >= KEYS_AT_ONCE:
-            yield from block(held)
+            yield held
             held, size = [], 0
     if size:
-        yield from block(held)
+        yield held
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of `_dealt` in the order of part to rows key, node where two nodes share the key."""
+def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of rows in the order of part in blocks that hold whole parts; part once a number."""
 
-    def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        part, key, node = (pa.concat_arrays([x.column(c) for x in held]) for c in range(3))
-        before = np.repeat(part.to_numpy() >= 1 << _PART_BITS, key.value_lengths().to_numpy())
-        key, node = key.flatten().to_numpy(), node.flatten().to_numpy()
-        own, other, head, tail = _sorted_pairs(key[~before], node[~before])
-        many = ~(head & tail)
-        out = (np.append(key[before], own[many]), np.append(node[before], other[many]))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "node"])
+    def block(held: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+        part, *lists = (pa.concat_arrays([x.column(c) for x in held]) for c in range(held[0].num_columns))
+        return np.repeat(part.to_numpy(), lists[0].value_lengths().to_numpy()), *(x.flatten().to_numpy() for x in lists)
 
     held, size = [], 0
     for batch in batches:
@@ -221,11 +213,38 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield block([*held, batch.slice(0, ends)])
             held, size, batch = [], 0, batch.slice(ends)
         held.append(batch)
-        size += len(batch.column("keys").flatten())
+        size += len(batch.column(1).flatten())
     if held:
         yield block(held)
 
 
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows node, keys to rows part, keys, nodes. Nodes that share a key inside a block have met, and only
+    the least and the greatest of them go to the part of the key."""
+
+    def block(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        key, node, head, tail = _sorted_pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        many = ~(head & tail)
+        met, meeting = (key[many], node[many]), (key[head | tail], node[head | tail])
+        yield _in_parts(meeting[0], *meeting)
+        edges = np.arange(0, len(met[0]), _MET)
+        yield _rows(((met[0][edges] ^ met[1][edges]) & 4095) + (1 << _PART_BITS), edges, *met)
+
+    for held in _key_blocks(batches):
+        yield from block(held)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `_dealt` in the order of part to rows key, node where two nodes share the key."""
+
+    for part, key, node in _whole_parts(batches):
+        before = part >= 1 << _PART_BITS
+        own, other, head, tail = _sorted_pairs(key[~before], node[~before])
+        many = ~(head & tail)
+        out = (np.append(key[before], own[many]), np.append(node[before], other[many]))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "node"])
+
+
 def shared_keys(rows: DataFrame) -> DataFrame:
     """key, node (distinct) of the keys that several nodes have, out of rows node, keys (an array
     of longs, of which key is a digest without collisions).
@@ -303,6 +322,45 @@ def _stars(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows node, array of keys by the parts of the keys."""
+    for held in _key_blocks(batches):
+        key, node = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(key)
+        yield _in_parts(key[order], key[order], node[order])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `_spread` in the order of part by the parts of the nodes, with how often each key stands."""
+    for _, key, node in _whole_parts(batches):
+        _, kind, often = np.unique(key, return_inverse=True, return_counts=True)
+        by = mixed(node.view(np.uint64)).view(np.int64)
+        order = np.argsort(by)
+        yield _in_parts(by[order], key[order], node[order], often[kind][order])
+
+
+def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `_counted` in the order of part as a row for each node."""
+    for _, key, node, often in _whole_parts(batches):
+        order = np.lexsort((key, often, node))
+        key, node, often = key[order], node[order], often[order]
+        edges = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        n = np.diff(np.append(edges, len(node)))
+        columns = [node[edges], np.add.reduceat(often, edges) / n, n, np.add.reduceat((often > 1).astype(np.int64), edges)]
+        lists = pa.ListArray.from_arrays(np.append(edges, len(node)).astype(np.int32), pa.array(key))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names=["node", "weight", "n", "common", "grams"])
+
+
+def counted_keys(rows: DataFrame) -> DataFrame:
+    """Of rows node (each once), grams (an array of distinct longs): node, weight (how often its
+    grams stand, on average), n, common (those of other nodes too), and digests of the grams
+    without collisions, the rarest first. Grams move as arrays, to the parts of grams and back."""
+    part = "part int, keys array<bigint>, nodes array<bigint>"
+    dealt = rows.select("node", "grams").mapInArrow(_spread, part).repartition("part").sortWithinPartitions("part")
+    back = dealt.mapInArrow(_counted, f"{part}, counts array<bigint>").repartition("part").sortWithinPartitions("part")
+    return back.mapInArrow(_ranked, "node long, weight double, n long, common long, grams array<bigint>")
+
+
 def rare_keys(grams: DataFrame, keys: Column, indexed: Column, reach: Callable[[Column], Column], slack: Column) -> DataFrame:
     """Buckets for `linked`: the rarest of each node's grams, in one order for all nodes.
 
@@ -315,20 +373,14 @@ def rare_keys(grams: DataFrame, keys: Column, indexed: Column, reach: Callable[[
     nevertheless are told apart by their counts, before any text is looked at. The weight, a
     node's mean frequency of grams, is largest for the version that most others share."""
     grams = cut(grams)
-    rows = grams.select("node", F.explode("grams").alias("key"))
-    often = rows.groupBy("key").agg(F.count("*").alias("often"))
-    sets = rows.join(often, "key").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("often", "key"))).alias("grams"), F.avg("often").alias("weight"),
-        F.count("*").alias("n"), F.count_if(F.col("often") > 1).alias("common"),
-    )
-    sets = sets.withColumn("grams", F.slice("grams", F.lit(1), keys.cast("int"))).join(grams.select("node", "counts"), "node")
+    sets = counted_keys(grams).withColumn("grams", F.slice("grams", F.lit(1), keys.cast("int"))).join(grams.select("node", "counts"), "node")
     dealt = sets.select(
         "node", "weight", indexed.alias("first"), "n", "common", "counts", slack.cast("double").alias("slack"),
         F.posexplode("grams").alias("place", "gram"),
     )
     most = F.least("common", F.col("n") - F.col("place"))
     return dealt.select(
-        F.col("gram.key").alias("key"), "node", "weight", (F.col("place") < F.col("first")).alias("indexed"),
+        F.col("gram").alias("key"), "node", "weight", (F.col("place") < F.col("first")).alias("indexed"),
         F.col("n").cast("double").alias("size"), reach(most).cast("double").alias("reach"), "counts", "slack",
     )
 
