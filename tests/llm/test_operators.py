@@ -1,11 +1,16 @@
 """The operators as Spark jobs: brute force on small tables, and every odd input."""
 
 import itertools
+import os
 import re
+import time
 import zlib
+from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -238,6 +243,78 @@ def test_linking_is_complete_where_the_first_of_a_bucket_is_far(spark):
     assert got == {100: 100, 101: 100, 102: 100, 200: 200, 201: 200}
 
 
+def test_keys_that_nodes_share_are_found_in_blocks(spark, monkeypatch):
+    from shelfmark.llm import common
+
+    rng = np.random.default_rng(4)
+    rows = [(int(n) - 200, [int(k) << 50 for k in rng.integers(-4000, 4000, 3)] + [7] * (n % 2)) for n in rng.permutation(600)] + [(5, []), (6, None)]
+    rows += rows[:40]
+    nodes: dict = {}
+    for n, keys in rows:
+        for k in keys or []:
+            nodes.setdefault(k, set()).add(n)
+    wanted = sorted(sorted(v) for v in nodes.values() if len(v) > 1)
+
+    def groups(pairs):
+        found: dict = {}
+        for k, n in pairs:
+            found.setdefault(k, []).append(n)
+        return sorted(sorted(v) for v in found.values())
+
+    table = spark.createDataFrame(rows, "node long, keys array<bigint>").repartition(5)
+    assert groups((r["key"], r["node"]) for r in common.shared_keys(table).collect()) == wanted
+    # the same in small blocks; the common key sends two nodes of each to its part
+    monkeypatch.setattr(common, "KEYS_AT_ONCE", 100)
+    batches = [pa.record_batch([pa.array([n for n, _ in rows[k : k + 50]]), pa.array([x for _, x in rows[k : k + 50]], pa.list_(pa.int64()))], names=["node", "keys"])
+               for k in range(0, len(rows), 50)]
+    dealt = pa.Table.from_batches(list(common._dealt(iter(batches)))).sort_by("part")
+    pairs = {(k, n) for b in common._met(iter(dealt.to_batches(max_chunksize=7))) for k, n in zip(*(c.to_pylist() for c in b.columns))}
+    assert groups(pairs) == wanted
+    sent = [k for p, ks in zip(dealt["part"].to_pylist(), dealt["keys"].to_pylist()) if p < 4096 for k in ks]
+    assert max(sent.count(k) for k in set(sent)) <= 2 * len(batches)
+
+
+def test_grams_are_counted_and_ranked_in_blocks(spark):
+    from shelfmark.llm import common
+
+    rng = np.random.default_rng(5)
+    sets = {n: {int(k) for k in rng.zipf(1.3, 30) % 500} for n in range(-100, 100)}
+    often = Counter(k for v in sets.values() for k in v)
+    rows = spark.createDataFrame([(n, sorted(v)) for n, v in sets.items()], "node long, grams array<bigint>").repartition(5)
+    of = {int(common.mixed(np.array([k], dtype=np.uint64)).view(np.int64)[0]): k for k in often}
+    got = {r["node"]: r for r in common.counted_keys(rows).collect()}
+    assert set(got) == set(sets)
+    for n, v in sets.items():
+        counts = [often[of[k]] for k in got[n]["grams"]]
+        assert {of[k] for k in got[n]["grams"]} == v and counts == sorted(counts) and got[n]["n"] == len(v)
+        assert got[n]["common"] == sum(c > 1 for c in counts) and abs(got[n]["weight"] - sum(counts) / len(v)) < 1e-9
+
+
+def test_what_a_step_has_shuffled_or_kept_does_not_stay(spark):
+    from shelfmark import session
+
+    many = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    before = spark.conf.get(session.SHUFFLES_FREED, None)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return sum(x.startswith("shuffle_") for d in blocks.localDirsString() for _, _, names in os.walk(d) for x in names)
+
+    had = files()
+    once = session.cut(many)
+    with session.scratch(spark) as keep:
+        kept = keep(many)
+        folder = os.path.dirname(urlparse(kept.inputFiles()[0]).path)
+        for _ in range(50):  # they are deleted behind the action
+            if files() <= had:
+                break
+            time.sleep(0.1)
+        assert files() <= had
+        assert kept.count() == once.count() == 10 and os.path.isdir(folder)
+    assert not os.path.exists(folder) and spark.conf.get(session.SHUFFLES_FREED, None) == before
+    assert once.agg(F.sum("count")).first()[0] == 1000
+
+
 def test_paragraphs(docs, empty, spark):
     got = paragraphs.repeats(docs).collect()
     assert {r["doc_id"] for r in got} == {1, 2, 3, 11, 12}
