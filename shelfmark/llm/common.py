@@ -255,6 +255,12 @@ def shared_keys(rows: DataFrame) -> DataFrame:
     return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(_met, "key long, node long").distinct()
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """The rows, to be joined by a merge join. Spark sizes what explode makes by the rows before
+    it, however many it makes of each, and would send all of them to the driver to broadcast them."""
+    return rows.hint("merge")
+
+
 def linked(
     buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], None] | None = None,
     refine: Callable[[DataFrame], DataFrame] | None = None,
@@ -275,7 +281,7 @@ def linked(
         members = cut(shared_keys(buckets))
     else:
         shared = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-        members = cut(buckets.join(shared.select("key"), "key").distinct())
+        members = cut(merged(buckets).join(shared.select("key"), "key").distinct())
     if prepare:
         prepare(members.select("node").distinct())
     plain = members.select("key", "node", *unranked())

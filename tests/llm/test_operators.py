@@ -146,6 +146,24 @@ def test_simhash_links_up_to_three_bits(spark):
         assert {v: got.get(v, v) for v in values} == of
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    """A table of 4 MB or more that Spark chooses to broadcast ends the job."""
+    limit, before = "spark.sql.maxBroadcastTableSize", spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set(limit, "4m")
+    yield
+    spark.conf.set(limit, before)
+
+
+def test_keys_of_fingerprints_are_not_broadcast(spark, small_broadcasts):
+    """5,000 fingerprints are a small table, their 64 keys each are not."""
+    values = np.random.default_rng(71).integers(-(2**63), 2**63 - 1, 5000).tolist()
+    near = {v ^ (1 << (k + 8)) ^ 4: v for k, v in enumerate(values[:50])}
+    prints = spark.createDataFrame([(v,) for v in [*values, *near]], "fp long")
+    got = {r["node"]: r["component"] for r in simhash.near_classes(prints).collect()}
+    assert got == {x: min(pair) for pair in near.items() for x in pair}
+
+
 def test_packing(docs, empty):
     got = packing.pack(docs, TOKENS).collect()
     plain = Tokenizer.from_file(TOKENS)
